@@ -181,18 +181,30 @@ def max_tokens_tier(length: str | Column) -> Column:
 
 
 # Identifier patterns (ours: the rule "exclude personal identifiers" comes
-# without patterns). E-mail address, phone-like digit runs, 9-digit ids.
-EMAIL_PATTERN = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
-PHONE_PATTERN = r"\+?[0-9][0-9 ().-]{7,}[0-9]"
-SSN_PATTERN = r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b"
+# without patterns). Checked in this order; the first match names the reason.
+# Written in the regex subset shared by Java and RE2 (no \b, no \s).
+IDENTIFIER_PATTERNS = (
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+[.][A-Za-z]{2,}"),
+    ("ssn", r"[0-9]{3}-[0-9]{2}-[0-9]{4}"),
+    ("card", r"[0-9]{13,19}"),
+    ("ip", r"[0-9]{1,3}[.][0-9]{1,3}[.][0-9]{1,3}[.][0-9]{1,3}"),
+    ("phone", r"[+]?[0-9][0-9 ().-]{7,}[0-9]"),
+    ("secret", r'(?i)(token|api_key|secret|password) *[=:] *"'),
+)
 
 
 def identifier_reason(text: str | Column) -> Column:
-    """First identifier kind found (``email``, ``ssn``, ``phone``) or null."""
+    """First identifier kind found (see ``IDENTIFIER_PATTERNS``) or null."""
     t = col(text)
-    return (F.when(t.rlike(EMAIL_PATTERN), F.lit("email"))
-             .when(t.rlike(SSN_PATTERN), F.lit("ssn"))
-             .when(t.rlike(PHONE_PATTERN), F.lit("phone")))
+    expr = None
+    for kind, pattern in IDENTIFIER_PATTERNS:
+        cond = t.rlike(pattern)
+        expr = F.when(cond, F.lit(kind)) if expr is None else expr.when(cond, F.lit(kind))
+    return expr
+
+
+def has_identifier(text: str | Column) -> Column:
+    return identifier_reason(text).isNotNull()
 
 
 def content_hash(text: str | Column) -> Column:
