@@ -42,3 +42,4 @@ def strip(expr: str) -> str:
 # Import the modules that register queries (order = report order).
 from quarry.plans import queries_corpus  # noqa: E402,F401
 from quarry.plans import queries_scoring  # noqa: E402,F401
+from quarry.plans import queries_events  # noqa: E402,F401
