@@ -43,3 +43,4 @@ def strip(expr: str) -> str:
 from quarry.plans import queries_corpus  # noqa: E402,F401
 from quarry.plans import queries_scoring  # noqa: E402,F401
 from quarry.plans import queries_events  # noqa: E402,F401
+from quarry.plans import queries_vectors  # noqa: E402,F401
