@@ -125,6 +125,8 @@ def pack_short(df: DataFrame, key: str = "doc_id", text_col: str = "text",
     Returns one row per pack: ``pack_id, first_doc, last_doc, n_texts,
     n_tokens, chars, text``.
     """
+    from quarry.session import ship_package
+    ship_package(df.sparkSession)
     routed = route(df.select(key, text_col), text_col, max_length, min_length, pack_min)
     kept = routed.filter(F.col("route") == "keep").select(F.count(F.lit(1))).scalar()
     bound = max(max_samples, 0) * texts_per_pack_bound(max_length, pack_min)

@@ -45,3 +45,4 @@ from quarry.plans import queries_scoring  # noqa: E402,F401
 from quarry.plans import queries_events  # noqa: E402,F401
 from quarry.plans import queries_vectors  # noqa: E402,F401
 from quarry.plans import queries_streaming  # noqa: E402,F401
+from quarry.plans import queries_sources  # noqa: E402,F401

@@ -71,3 +71,31 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``quarry`` importable in Python workers (zip + ``addPyFile``), once per application.
+
+    Operators that run Python in tasks (pandas UDFs, ``applyInPandas``,
+    ``mapInPandas``) call this; a cluster deployment that installs the package
+    on the executors does not need it, and it is harmless there.
+    """
+    import shutil
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # pragma: no cover - Spark Connect
+        return
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.join(checkpoint_dir(spark), "pyfiles", app)
+    if "://" in base and not base.startswith("file:"):
+        base = tempfile.mkdtemp(prefix="quarry-pyfiles-")   # archive is built locally, Spark ships it
+    base = base.replace("file:", "")
+    os.makedirs(base, exist_ok=True)
+    archive = shutil.make_archive(os.path.join(base, "quarry"), "zip", os.path.dirname(pkg), "quarry")
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(app)
