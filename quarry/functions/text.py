@@ -154,10 +154,20 @@ def _lit_array(words: Iterable[str]) -> Column:
     return F.array(*[F.lit(w.lower()) for w in words])
 
 
+def _quoted_alternation(words: Iterable[str]) -> str:
+    """Regex matching any of the literal (lower-cased) words: ``\\Q..\\E`` quoting, one alternation."""
+    return "|".join("\\Q" + w.lower().replace("\\E", "\\E\\\\E\\Q") + "\\E" for w in words)
+
+
 def has_any(text: str | Column, keywords: Sequence[str]) -> Column:
-    """Case-insensitive substring test, any keyword."""
-    low = F.lower(col(text))
-    return F.exists(_lit_array(keywords), lambda k: low.contains(k))
+    """Case-insensitive substring test, any keyword.
+
+    One regex alternation over ``lower(text)``: the text is lower-cased and
+    scanned once, instead of once per keyword inside a lambda.
+    """
+    if not keywords:
+        return F.lit(False)
+    return F.coalesce(F.lower(col(text)).rlike(_quoted_alternation(keywords)), F.lit(False))
 
 
 def has_none(text: str | Column, terms: Sequence[str] = COMPLEX_TERMS) -> Column:

@@ -126,7 +126,8 @@ def fmt_fixed(c: str | Column, digits: int = 3, sign: bool = False) -> Column:
     Java's formatter alone rounds exact ties up (0.8125 -> 0.813, Python 0.812).
     """
     x = F.col(c) if isinstance(c, str) else c
-    return F.format_string(("%+." if sign else "%.") + f"{digits}f", F.bround(x, digits))
+    # format_string renders null as text ("nul" at %.3f), so keep nulls null
+    return F.when(x.isNotNull(), F.format_string(("%+." if sign else "%.") + f"{digits}f", F.bround(x, digits)))
 
 
 def comparison_text(cmp: DataFrame) -> DataFrame:

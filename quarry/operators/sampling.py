@@ -87,6 +87,27 @@ def _prefix(hash_col: str) -> Column:
     return F.conv(F.substring(F.col(hash_col), 1, 8), 16, 10).cast("long")
 
 
+def top_per_group_salted(df: DataFrame, group_col: str, quotas, hash_col: str, tie_col: str,
+                         rank_col: str = "rank", salts: int = 64) -> DataFrame:
+    """Exact per-group top-q in one pass over ``df`` (for inputs that are costly to recompute).
+
+    First a window over (group, salt) keeps at most q rows per salt, which
+    spreads a hot group over ``salts`` tasks; then a window over the group
+    ranks at most ``q * salts`` survivors. ``quotas``: dict or (group_col, _quota) table.
+    """
+    if isinstance(quotas, DataFrame):
+        qdf = F.broadcast(quotas.select(group_col, F.col("_quota").cast("long")))
+    else:
+        qdf = F.broadcast(_group_literal_df(df, group_col, {g: int(q) for g, q in quotas.items()}))
+    x = df.join(qdf, group_col).withColumn("_salt", F.pmod(F.xxhash64(F.col(tie_col)), F.lit(salts)))
+    w1 = Window.partitionBy(group_col, "_salt").orderBy(F.col(hash_col), F.col(tie_col))
+    first = x.withColumn("_r1", F.row_number().over(w1)).filter(F.col("_r1") <= F.col("_quota"))
+    w2 = Window.partitionBy(group_col).orderBy(F.col(hash_col), F.col(tie_col))
+    return (first.withColumn(rank_col, F.row_number().over(w2))
+                 .filter(F.col(rank_col) <= F.col("_quota"))
+                 .drop("_salt", "_r1", "_quota"))
+
+
 def top_per_group(df: DataFrame, group_col: str, quotas: Mapping, hash_col: str, tie_col: str,
                   rank_col: str = "rank") -> DataFrame:
     """Exact first ``quotas[g]`` rows of every group ``g`` in (hash, tie) order.

@@ -181,10 +181,11 @@ def render_conversation(turns: DataFrame, conv_col: str = "conv_id", turn_col: s
     if add_generation_prompt:
         text = F.concat(text, F.lit("Assistant:"))
     out = g.withColumn("valid", valid).withColumn("n_messages", F.size("_m"))
+    rendered = F.when(F.col("valid"), text)
     if raise_error:
-        text = F.when(F.col("valid"), text).otherwise(
+        rendered = rendered.otherwise(
             F.raise_error(F.lit("Conversation roles must alternate user/assistant/user/assistant/...")))
-    return out.withColumn("rendered", F.when(F.col("valid"), text)).drop("_m", "_sys", "_rest")
+    return out.withColumn("rendered", rendered).drop("_m", "_sys", "_rest")
 
 
 def user_turn_cases(conversations: DataFrame, n_elements: int = 6, min_len: int = 5) -> DataFrame:

@@ -179,11 +179,12 @@ def augment_with_terms(corpus: DataFrame, terms: DataFrame, per_term: int, seed:
 
     Single-word terms match whole lower-cased tokens: distinct (doc, token)
     pairs are joined to the term list (broadcast when bounded). The per-term
-    ranking goes through ``top_per_group``: a hot term is cut to about
-    ``per_term`` candidates map side, so no task receives all of its documents. Multi-word terms use substring
+    ranking is the salted two-level window (``top_per_group_salted``): one pass
+    over the hits, and a hot term is spread over many tasks before its final
+    ranking sees at most ``per_term * salts`` rows. Multi-word terms use substring
     search. Result: (term, doc_id, rank).
     """
-    from quarry.operators.sampling import top_per_group
+    from quarry.operators.sampling import top_per_group_salted
     from quarry.functions.text import seeded_hash
 
     tl = terms.select(F.lower(F.col(term_col)).alias(term_col)).distinct()
@@ -191,13 +192,13 @@ def augment_with_terms(corpus: DataFrame, terms: DataFrame, per_term: int, seed:
     multi = tl.filter(F.col(term_col).contains(" "))
     if terms_bound is not None and terms_bound <= BROADCAST_ROW_LIMIT:
         single, multi = F.broadcast(single), F.broadcast(multi)
-    toks = explode_tokens(corpus, id_col, text_col, term_col).distinct()
-    hits1 = toks.join(single, term_col)
+    toks = explode_tokens(corpus, id_col, text_col, term_col)
+    hits1 = toks.join(single, term_col).distinct()      # filter to terms first, then de-duplicate
     low = corpus.select(id_col, F.lower(F.col(text_col)).alias("_low"))
     hits2 = low.join(multi, F.col("_low").contains(F.col(term_col))).select(term_col, id_col)
     hits = hits1.unionByName(hits2).withColumn("_h", seeded_hash(id_col, seed))
     quotas = tl.withColumn("_quota", F.lit(per_term).cast("long"))
-    return top_per_group(hits, term_col, quotas, "_h", id_col).drop("_h")
+    return top_per_group_salted(hits, term_col, quotas, "_h", id_col).drop("_h")
 
 
 def preview(df: DataFrame, n: int = 3, chars: int = 200, key: str = "doc_id", text_col: str = "text",

@@ -325,27 +325,36 @@ def q_batches(spark, sf_dir):
 
 
 PACK_MAX_SAMPLES = 100_000
-PACK_SQL = f"""
-WITH RECURSIVE r AS (
-  SELECT doc_id, text, least({ntok('text')}, 2048) AS n_tokens FROM documents),
-kept AS (SELECT count(*) AS k FROM r WHERE text IS NOT NULL AND text <> '' AND n_tokens >= 256),
-c AS (SELECT row_number() OVER (ORDER BY doc_id) AS i, doc_id, length(text) + 1 AS ch, n_tokens
-      FROM r WHERE text IS NOT NULL AND text <> '' AND n_tokens >= 50 AND n_tokens < 256),
-walk(i, doc_id, pack_start, buf, toks) AS (
-  SELECT i, doc_id, i, ch, n_tokens FROM c WHERE i = 1
+
+
+def pack_ctes(max_samples: int, max_length: int = 2048, min_length: int = 256, pack_min: int = 50) -> str:
+    """Recursive-CTE oracle of W2 (one shard): CTEs ``r``, ``kept``, ``c``, ``walk``, ``packs`` and
+    ``members`` (pack_id, doc_id, i) restricted to packs within the budget."""
+    return f"""
+r AS (SELECT doc_id, text, least({ntok('text')}, {max_length}) AS n_tokens FROM documents),
+kept AS (SELECT count(*) AS k FROM r WHERE text IS NOT NULL AND text <> '' AND n_tokens >= {min_length}),
+c AS (SELECT row_number() OVER (ORDER BY doc_id) AS i, doc_id, text, length(text) + 1 AS ch, n_tokens
+      FROM r WHERE text IS NOT NULL AND text <> '' AND n_tokens >= {pack_min} AND n_tokens < {min_length}),
+walk(i, pack_start, buf, toks) AS (
+  SELECT i, i, ch, n_tokens FROM c WHERE i = 1
   UNION ALL
-  SELECT c.i, c.doc_id,
-         CASE WHEN w.buf > 4096 THEN c.i ELSE w.pack_start END,
-         CASE WHEN w.buf > 4096 THEN c.ch ELSE w.buf + c.ch END,
-         CASE WHEN w.buf > 4096 THEN c.n_tokens ELSE w.toks + c.n_tokens END
+  SELECT c.i,
+         CASE WHEN w.buf > {2 * max_length} THEN c.i ELSE w.pack_start END,
+         CASE WHEN w.buf > {2 * max_length} THEN c.ch ELSE w.buf + c.ch END,
+         CASE WHEN w.buf > {2 * max_length} THEN c.n_tokens ELSE w.toks + c.n_tokens END
   FROM walk w JOIN c ON c.i = w.i + 1),
-closed AS (SELECT pack_start, i AS pack_end, least(toks, 2048) AS n_tokens FROM walk WHERE buf > 4096),
-packs AS (SELECT *, row_number() OVER (ORDER BY pack_start) - 1 AS pack_id FROM closed WHERE n_tokens >= 256)
-SELECT p.pack_id, min(c.doc_id) AS first_doc, max(c.doc_id) AS last_doc, count(*) AS n_texts,
-       any_value(p.n_tokens) AS n_tokens
-FROM packs p JOIN c ON c.i BETWEEN p.pack_start AND p.pack_end, kept
-WHERE kept.k < {PACK_MAX_SAMPLES} // 2 AND p.pack_id < {PACK_MAX_SAMPLES} - kept.k
-GROUP BY p.pack_id
+closed AS (SELECT pack_start, i AS pack_end, least(toks, {max_length}) AS n_tokens FROM walk WHERE buf > {2 * max_length}),
+packs AS (SELECT p.*, row_number() OVER (ORDER BY pack_start) - 1 AS pack_id
+          FROM closed p WHERE n_tokens >= {min_length}),
+members AS (
+  SELECT p.pack_id, p.n_tokens, c.doc_id, c.i, c.text
+  FROM packs p JOIN c ON c.i BETWEEN p.pack_start AND p.pack_end, kept
+  WHERE kept.k < {max_samples} // 2 AND p.pack_id < {max_samples} - kept.k)"""
+
+
+PACK_SQL = "WITH RECURSIVE " + pack_ctes(PACK_MAX_SAMPLES) + """
+SELECT pack_id, min(doc_id) AS first_doc, max(doc_id) AS last_doc, count(*) AS n_texts, any_value(n_tokens) AS n_tokens
+FROM members GROUP BY pack_id
 """
 
 

@@ -7,6 +7,7 @@ import os
 from pyspark.sql import functions as F
 
 from quarry.plans.catalog import ntok, register, strip
+from quarry.plans.queries_corpus import pack_ctes
 from quarry.session import table
 
 TOKRX = "'[^ \\t\\n\\r\\f]+'"
@@ -283,12 +284,19 @@ def q_report_lines(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- K2, S15
-@register("build_calibration", f"""
+@register("build_calibration", "WITH RECURSIVE " + pack_ctes(512) + f""",
+buf AS (SELECT pack_id, any_value(n_tokens) AS n_tokens, string_agg(text || ' ', '' ORDER BY i) AS b
+        FROM members GROUP BY pack_id)
 SELECT 'text' AS kind, doc_id AS seq_key, least({ntok('text')}, 2048) AS n_tokens,
        sha256(CASE WHEN {ntok('text')} > 2048
                    THEN array_to_string(regexp_extract_all(text, {TOKRX})[1:2048], ' ') ELSE text END) AS text_hash
 FROM documents
 WHERE text IS NOT NULL AND text <> '' AND least({ntok('text')}, 2048) >= 256
+UNION ALL
+SELECT 'pack', pack_id, n_tokens,
+       sha256(CASE WHEN {ntok('b')} > 2048
+                   THEN array_to_string(regexp_extract_all(b, {TOKRX})[1:2048], ' ') ELSE b END)
+FROM buf
 """)
 def q_build_calibration(spark, sf_dir):
     """K2: route, truncate, pack (only when fewer than 256 texts are kept) and a run manifest

@@ -69,8 +69,25 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over the session's cores when the scan has fewer splits than cores.
+
+    A table stored as one row group is read by one task, and every per-row
+    expression after it (regexes over whole texts) would run on one core.
+    The split count is known at planning time; a large table with many splits
+    is left alone (no extra shuffle). Filters and column pruning still reach
+    the scan below the repartition.
+    """
+    try:
+        par = df.sparkSession.sparkContext.defaultParallelism
+        n = df.rdd.getNumPartitions()
+    except Exception:  # pragma: no cover - Spark Connect has no RDD API
+        return df
+    return df.repartition(par) if n < par else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
 
 
 _SHIPPED: set[str] = set()
