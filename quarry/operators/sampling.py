@@ -96,7 +96,8 @@ def top_per_group_salted(df: DataFrame, group_col: str, quotas, hash_col: str, t
     ranks at most ``q * salts`` survivors. ``quotas``: dict or (group_col, _quota) table.
     """
     if isinstance(quotas, DataFrame):
-        qdf = F.broadcast(quotas.select(group_col, F.col("_quota").cast("long")))
+        # a quota table may be data-derived: AQE broadcasts it only if it is small at run time
+        qdf = quotas.select(group_col, F.col("_quota").cast("long"))
     else:
         qdf = F.broadcast(_group_literal_df(df, group_col, {g: int(q) for g, q in quotas.items()}))
     x = df.join(qdf, group_col).withColumn("_salt", F.pmod(F.xxhash64(F.col(tie_col)), F.lit(salts)))
@@ -117,8 +118,9 @@ def top_per_group(df: DataFrame, group_col: str, quotas: Mapping, hash_col: str,
     for the skew-safe plan.
     """
     if isinstance(quotas, DataFrame):
-        # Quota table (group_col, _quota) of a bounded size; broadcast it.
-        qdf = F.broadcast(quotas.select(group_col, F.col("_quota").cast("long")).filter(F.col("_quota") > 0))
+        # Quota table (group_col, _quota): possibly data-derived, so no broadcast hint;
+        # AQE turns the joins into broadcasts when its run-time size is small.
+        qdf = quotas.select(group_col, F.col("_quota").cast("long")).filter(F.col("_quota") > 0)
         base = df.join(qdf.select(group_col), group_col, "left_semi")
     else:
         quotas = {g: int(q) for g, q in quotas.items() if int(q) > 0}
@@ -131,14 +133,16 @@ def top_per_group(df: DataFrame, group_col: str, quotas: Mapping, hash_col: str,
     cuts = (qdf.join(counts, group_col)
                .select(group_col, "_quota", "_n",
                        F.least(F.lit(HASH_SPACE), F.ceil(frac * F.lit(HASH_SPACE))).cast("long").alias("_cut")))
-    cuts = F.broadcast(cuts)                                     # at most len(quotas) rows
+    if not isinstance(quotas, DataFrame):
+        cuts = F.broadcast(cuts)                                 # at most len(quotas) rows
     keyed = base.withColumn("_p", _prefix(hash_col))
     cand = keyed.join(cuts, group_col).filter(F.col("_p") < F.col("_cut"))
     got = cand.groupBy(group_col).agg(F.count(F.lit(1)).alias("_got"))
-    short = (cuts.join(F.broadcast(got), group_col, "left")   # got: at most one row per group
+    short = (cuts.join(got, group_col, "left")               # both sides: one row per group
                  .filter(F.coalesce(F.col("_got"), F.lit(0)) < F.least(F.col("_quota"), F.col("_n")))
                  .select(group_col, "_quota", "_n", "_cut"))
-    extra = keyed.join(F.broadcast(short), group_col).filter(F.col("_p") >= F.col("_cut"))
+    short = F.broadcast(short) if not isinstance(quotas, DataFrame) else short
+    extra = keyed.join(short, group_col).filter(F.col("_p") >= F.col("_cut"))
     pool = cand.unionByName(extra)
     w = Window.partitionBy(group_col).orderBy(F.col(hash_col), F.col(tie_col))
     return (pool.withColumn(rank_col, F.row_number().over(w))

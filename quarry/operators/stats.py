@@ -177,26 +177,35 @@ def augment_with_terms(corpus: DataFrame, terms: DataFrame, per_term: int, seed:
                        terms_bound: int | None = None) -> DataFrame:
     """For each term, up to ``per_term`` documents containing it (seeded choice).
 
-    Single-word terms match whole lower-cased tokens: distinct (doc, token)
-    pairs are joined to the term list (broadcast when bounded). The per-term
+    Single-word terms match whole lower-cased tokens: (doc, token) pairs are
+    joined to the term list (broadcast when bounded) and de-duplicated.
+    Multi-word terms (ours: the rule is undefined) match when their words occur
+    as consecutive tokens; candidates come from an equi-join on the first word. The per-term
     ranking is the salted two-level window (``top_per_group_salted``): one pass
     over the hits, and a hot term is spread over many tasks before its final
-    ranking sees at most ``per_term * salts`` rows. Multi-word terms use substring
-    search. Result: (term, doc_id, rank).
+    ranking sees at most ``per_term * salts`` rows. Result: (term, doc_id, rank).
     """
     from quarry.operators.sampling import top_per_group_salted
     from quarry.functions.text import seeded_hash
 
-    tl = terms.select(F.lower(F.col(term_col)).alias(term_col)).distinct()
+    norm_term = F.array_join(F.split(F.btrim(F.lower(F.col(term_col))), r"[ \t\n\r\f]+"), " ")
+    tl = terms.select(norm_term.alias(term_col)).filter(F.col(term_col) != "").distinct()
     single = tl.filter(~F.col(term_col).contains(" "))
-    multi = tl.filter(F.col(term_col).contains(" "))
+    multi = tl.filter(F.col(term_col).contains(" ")).withColumn("_first", F.substring_index(term_col, " ", 1))
     if terms_bound is not None and terms_bound <= BROADCAST_ROW_LIMIT:
         single, multi = F.broadcast(single), F.broadcast(multi)
     toks = explode_tokens(corpus, id_col, text_col, term_col)
     hits1 = toks.join(single, term_col).distinct()      # filter to terms first, then de-duplicate
-    low = corpus.select(id_col, F.lower(F.col(text_col)).alias("_low"))
-    hits2 = low.join(multi, F.col("_low").contains(F.col(term_col))).select(term_col, id_col)
-    hits = hits1.unionByName(hits2).withColumn("_h", seeded_hash(id_col, seed))
+    # multi-word terms: candidates by an equi-join on the first word, then the phrase is checked
+    # on whole tokens of those documents only (no theta join over the corpus)
+    cand = (toks.withColumnRenamed(term_col, "_first").join(multi, "_first")
+                .select(id_col, term_col).distinct())
+    phrase = corpus.select(id_col, F.concat(F.lit(" "), F.array_join(lower_tokens(text_col), " "),
+                                            F.lit(" ")).alias("_norm"))
+    hits2 = (cand.join(phrase, id_col)
+                 .filter(F.col("_norm").contains(F.concat(F.lit(" "), F.col(term_col), F.lit(" "))))
+                 .select(term_col, id_col))
+    hits = hits1.select(term_col, id_col).unionByName(hits2).withColumn("_h", seeded_hash(id_col, seed))
     quotas = tl.withColumn("_quota", F.lit(per_term).cast("long"))
     return top_per_group_salted(hits, term_col, quotas, "_h", id_col).drop("_h")
 

@@ -95,3 +95,16 @@ def test_compare_baseline_zero_and_missing(spark):
     rows = {r.metric: r for r in comparison_text(compare(b, c, ["x", "y", "z"])).collect()}
     assert rows["x"].delta_pct_text == "+0.0%" and rows["y"].delta_pct_text == "+50.0%"
     assert rows["z"].baseline_text == "N/A" and rows["z"].delta_text == "N/A"
+
+
+def test_augment_terms_multiword_and_quota(spark):
+    corpus = spark.createDataFrame([(1, "Chest pain and fever"), (2, "pain chest"), (3, "chest  PAIN today"),
+                                    (4, "fever only"), (5, "xchest pain")], "doc_id long, text string")
+    terms = spark.createDataFrame([("chest pain",), ("fever",)], "term string")
+    got = st.augment_with_terms(corpus, terms, per_term=5).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.term, set()).add(r.doc_id)
+    assert by == {"chest pain": {1, 3}, "fever": {1, 4}}
+    capped = st.augment_with_terms(corpus, terms, per_term=1).collect()
+    assert sorted(r.term for r in capped) == ["chest pain", "fever"]
