@@ -202,3 +202,22 @@ def bar(score: str | Column, width: int = 40, char: str = "#") -> Column:
 
 
 STRING = T.StringType()
+
+
+def markdown_lines(summary: DataFrame, title: str = "Evaluation Report", key: Sequence[str] = ()) -> DataFrame:
+    """K5 lines of a markdown report per key from a long metric table ``(metric, value)``:
+    a title, a summary table sorted by metric, ``%.3f`` values and ``%.2f`` latency."""
+    keys = list(key)
+    val = F.when(F.col("metric") == "latency_ms", fmt_fixed("value", 2)).otherwise(fmt_fixed("value", 3))
+    body = summary.select(*keys, F.lit(10).alias("_sec"), F.col("metric").alias("_sort"),
+                          F.concat(F.lit("| "), F.col("metric"), F.lit(" | "), F.coalesce(val, F.lit("N/A")),
+                                   F.lit(" |")).alias("line"))
+    heads = summary.select(*keys).distinct() if keys else summary.sparkSession.range(1).select()
+    head = heads.select(*keys, F.explode(F.array(
+        F.struct(F.lit(0).alias("_sec"), F.lit("").alias("_sort"), F.lit(f"# {title}").alias("line")),
+        F.struct(F.lit(1).alias("_sec"), F.lit("").alias("_sort"), F.lit("").alias("line")),
+        F.struct(F.lit(2).alias("_sec"), F.lit("").alias("_sort"), F.lit("## Summary Metrics").alias("line")),
+        F.struct(F.lit(3).alias("_sec"), F.lit("").alias("_sort"), F.lit("| Metric | Value |").alias("line")),
+        F.struct(F.lit(4).alias("_sec"), F.lit("").alias("_sort"), F.lit("|--------|-------|").alias("line")),
+    )).alias("h")).select(*keys, "h.*")
+    return head.unionByName(body).select(*keys, F.struct("_sec", "_sort").alias("pos"), "line")

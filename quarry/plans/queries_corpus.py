@@ -364,3 +364,25 @@ def q_pack_short(spark, sf_dir):
     from quarry.operators.packing import pack_short
     p = pack_short(table(spark, sf_dir, "documents"), max_samples=PACK_MAX_SAMPLES)
     return p.select("pack_id", "first_doc", "last_doc", "n_texts", "n_tokens")
+
+
+# --------------------------------------------------------------------------- W5, J6
+@register("mix_scaled", MIX_SQL.replace("('en', 307), ('fr', 154), ('de', 51)", "('en', 153), ('fr', 77), ('de', 25)")
+          .replace("LIMIT 512", "LIMIT 256") + """
+SELECT lang, count(*) AS n, round(100.0 * count(*) / (SELECT count(*) FROM mix), 6) AS percent
+FROM mix GROUP BY lang ORDER BY n DESC, lang
+""")
+def q_mix_scaled(spark, sf_dir):
+    """K1 at 256 rows: W5 scales the 307/154/51 quotas to 153/77/25 (truncation loses a row)."""
+    return mix_distribution(table(spark, sf_dir, "documents"), FLAGSHIP_QUOTAS, total=256, seed=SEED)
+
+
+@register("quota_gaps", """
+SELECT q.source FROM (VALUES ('en'), ('fr'), ('it'), ('pt')) q(source)
+WHERE q.source NOT IN (SELECT DISTINCT lang FROM documents)
+""")
+def q_quota_gaps(spark, sf_dir):
+    """Quota sources of a mix that have no rows (reported, then skipped by the mix)."""
+    from quarry.operators.sampling import missing_quota_sources
+    d = table(spark, sf_dir, "documents").select(F.col("lang").alias("source"))
+    return missing_quota_sources(d, "source", {"en": 1, "fr": 1, "it": 1, "pt": 1})

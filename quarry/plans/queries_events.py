@@ -335,12 +335,19 @@ SELECT CASE WHEN metric LIKE 'ppl_%' OR metric = 'avg_perplexity' THEN 'perplexi
 FROM long
 """)
 def q_evaluate_suite(spark, sf_dir):
-    """K3: three independent stages, flattened (A12) with the report formatting (%.3f, latency %.2f)."""
+    """K3: three independent stages, flattened (A12) with the report formatting (%.3f, latency %.2f);
+    results saved as JSON, one-row CSV and a markdown report (S10, K5)."""
     s = summary_long(spark, sf_dir)
     stage = (F.when(F.col("metric").startswith("ppl_") | (F.col("metric") == "avg_perplexity"), F.lit("perplexity"))
               .when(F.col("metric").startswith("task_") | (F.col("metric") == "avg_task_score"), F.lit("tasks"))
               .otherwise(F.lit("latency")))
-    from quarry.operators.metrics import fmt_fixed
+    from quarry.operators.metrics import fmt_fixed, markdown_lines, report_text
+    from quarry.sources.results import save_results
+    from quarry.streaming.jobs import scratch
+    out = scratch(spark, "evaluate")
+    report = report_text(markdown_lines(s), [])
+    for fmt in ("json", "csv", "markdown"):                     # S10, all three formats
+        save_results(s, out, fmt, "run", report_lines=report)
     disp = F.when(F.col("metric") == "latency_ms", fmt_fixed("value", 2)).otherwise(fmt_fixed("value", 3))
     return s.select(stage.alias("stage"), "metric", F.round("value", 6).alias("value"), disp.alias("display"))
 

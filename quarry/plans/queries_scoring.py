@@ -297,3 +297,42 @@ def q_token_tiers(spark, sf_dir):
     from quarry.functions.text import max_tokens_tier
     d = table(spark, sf_dir, "documents")
     return d.groupBy(max_tokens_tier("n_chars").alias("max_tokens")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("custom_extractor", f"""
+SELECT conv_id, turn,
+       list_sort(list_distinct(list_filter(regexp_extract_all(text, {TOKRX}),
+                                           lambda t: regexp_matches(t, '^[A-Z][a-z]{{4,}}$')))) AS entities
+FROM conversations WHERE role = 'assistant'
+""")
+def q_custom_extractor(spark, sf_dir):
+    """a user extractor (capitalised words of five or more letters) run as an Arrow UDF."""
+    import re
+    from quarry.functions.plugins import extractor_udf
+
+    from quarry.functions.text import TOKEN_PATTERN
+
+    def make():
+        rx = re.compile(r"^[A-Z][a-z]{4,}$")
+        tok = re.compile(TOKEN_PATTERN)
+        return lambda t: [w for w in tok.findall(t) if rx.match(w)]
+
+    c = table(spark, sf_dir, "conversations").filter(F.col("role") == "assistant")
+    return c.select("conv_id", "turn", extractor_udf(make, spark)(F.col("text")).alias("entities"))
+
+
+@register("sections_roundtrip", f"""
+WITH l AS (SELECT doc_id, text FROM documents WHERE {ntok('text')} > 3500)
+SELECT doc_id, len(string_split_regex(text, '\\n+')) AS n_sections,
+       array_to_string(string_split_regex(text, '\\n+'), chr(10)) = regexp_replace(text, '\\n+', chr(10), 'g')
+         AS same_text
+FROM l
+""")
+def q_sections_roundtrip(spark, sf_dir):
+    """P14 split then recombine: sections processed apart and joined back in order."""
+    from quarry.operators.scoring import combine_sections, split_sections
+    d = table(spark, sf_dir, "documents")
+    s = split_sections(d, "doc_id")
+    c = combine_sections(s, "doc_id")
+    orig = d.select("doc_id", F.regexp_replace("text", r"\n+", "\n").alias("_norm"))
+    return c.join(orig, "doc_id").select("doc_id", "n_sections", (F.col("combined") == F.col("_norm")).alias("same_text"))

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -10,9 +9,9 @@ sys.path.insert(0, ROOT)
 
 @pytest.fixture(scope="session")
 def spark():
-    from quarry.session import build_session
-    s = build_session("local[4]", app="quarry-tests", shuffle_partitions=4,
-                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="quarry-test-ckpt-")})
+    from quarry.session import build_session, checkpoint_dir
+    s = build_session("local[4]", app="quarry-tests", shuffle_partitions=4)
+    checkpoint_dir(s)          # keeps the configured folder; only an unset one gets a fresh scratch folder
     yield s
     s.stop()
 
