@@ -2,11 +2,11 @@
 
 W1 needs a global row index. An un-partitioned ``row_number()`` would pull
 every row into one task, so ``global_index`` uses two passes: rows are put in
-``n_buckets`` range buckets of the (numeric) order key by ``width_bucket``
-over [min, max] (two scalar aggregates), each bucket's size is counted (a
-partial aggregate), bucket offsets are a running sum over at most
-``n_buckets`` rows, and the index is ``offset + row_number() over (partition
-by bucket order by key)``. Only narrow columns need to travel.
+``n_buckets`` range buckets of the order key (boundaries: approximate
+quantiles, one aggregate), each bucket's size is counted (a partial
+aggregate), bucket offsets are a running sum over at most ``n_buckets`` rows,
+and the index is ``offset + row_number() over (partition by bucket order by
+key)``. Only narrow columns need to travel.
 
 W2 is sequential by definition (a buffer that resets). Two facts bound it:
 packing stops after ``max_samples`` sequences in total, and every candidate
@@ -34,13 +34,21 @@ DEFAULT_MAX_SAMPLES = 512
 
 
 def global_index(df: DataFrame, order_col: str, n_buckets: int = 64, idx_col: str = "idx") -> DataFrame:
-    """0-based position of every row in ``order_col`` order (``order_col`` unique, numeric)."""
+    """0-based position of every row in ``order_col`` order (``order_col`` unique and orderable).
+
+    Bucket boundaries are approximate quantiles of the key (one aggregate), so
+    buckets stay balanced whatever the key distribution; a row's bucket is the
+    number of boundaries below its key. Exactness does not depend on the
+    boundaries, only balance does.
+    """
     k = F.col(order_col)
-    lo = df.select(F.min(k)).scalar()
-    hi = df.select(F.max(k)).scalar()
-    bucket = F.when(hi == lo, F.lit(1)).otherwise(
-        F.least(F.width_bucket(k, lo, hi, F.lit(n_buckets)), F.lit(n_buckets)))
-    b = df.withColumn("_b", bucket)
+    qs = [i / n_buckets for i in range(1, n_buckets)]
+    bounds = df.select(F.array_distinct(F.percentile_approx(k, qs, 10_000))).scalar()
+    # bucket = number of boundaries below the key = its position in sorted(bounds + [key]) - 1
+    # (no lambda: a lambda over an outer column trips the planner when columns are pruned)
+    merged = F.array_sort(F.array_union(F.col("_bounds"), F.array(k)))
+    b = (df.withColumn("_bounds", bounds)                     # subquery value as a column first
+           .withColumn("_b", (F.array_position(merged, k) - 1).cast("int")).drop("_bounds"))
     sizes = b.groupBy("_b").agg(F.count(F.lit(1)).alias("_sz"))
     offsets = sizes.withColumn(
         "_off", F.sum("_sz").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)))

@@ -39,12 +39,22 @@ def _r(c: Column, digits: int = 6) -> Column:
     return F.round(c, digits)
 
 
-def distribution(df: DataFrame, col: str, count_col: str = "n", pct_col: str = "percent") -> DataFrame:
-    """A1: count and percent of total per value, largest first (ties by value)."""
-    total = df.select(F.count(F.lit(1))).scalar()
-    return (df.groupBy(col).agg(F.count(F.lit(1)).alias(count_col))
-              .withColumn(pct_col, _r(F.lit(100.0) * F.col(count_col) / total))
-              .orderBy(F.col(count_col).desc(), F.col(col)))
+def distribution(df: DataFrame, col: str, count_col: str = "n", pct_col: str = "percent",
+                 groups_bound: int | None = None) -> DataFrame:
+    """A1: count and percent of total per value, largest first (ties by value).
+
+    With ``groups_bound`` (a known bound on distinct values, e.g. the sources of
+    a mix) the total is a window sum over the grouped rows, so the input is
+    computed once; otherwise it is a scalar subquery, which re-reads the input
+    but never gathers an unbounded number of groups in one task.
+    """
+    g = df.groupBy(col).agg(F.count(F.lit(1)).alias(count_col))
+    if groups_bound is not None and groups_bound <= 100_000:
+        total = F.sum(count_col).over(Window.partitionBy())
+    else:
+        total = df.select(F.count(F.lit(1))).scalar()
+    return (g.withColumn(pct_col, _r(F.lit(100.0) * F.col(count_col) / total))
+             .orderBy(F.col(count_col).desc(), F.col(col)))
 
 
 def with_token_count(df: DataFrame, text_col: str = "text", out: str = "n_tokens") -> DataFrame:

@@ -41,4 +41,4 @@ def mix_distribution(docs: DataFrame, quotas: Mapping[str, int], total: int = 51
                      source_col: str = "lang", **kw) -> DataFrame:
     """K1 result summary: A1 by source over the prepared mix."""
     mix = prepare_mix(docs, quotas, total, seed, source_col=source_col, **kw)
-    return distribution(mix, source_col)
+    return distribution(mix, source_col, groups_bound=len(quotas))   # one group per quota source

@@ -36,7 +36,8 @@ def indexed_lines(spark: SparkSession, path: str) -> DataFrame:
     offs = (sizes.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
                  .withColumn("_goff", F.coalesce(F.sum("_n").over(before_all), F.lit(0))))  # one row per split
     w = Window.partitionBy("file", "block").orderBy("_m")
-    return (t.join(F.broadcast(offs.select("file", "block", "_off", "_goff")), ["file", "block"])
+    # one row per split: small, but it grows with the input, so AQE decides on a broadcast
+    return (t.join(offs.select("file", "block", "_off", "_goff"), ["file", "block"])
              .withColumn("_r", F.row_number().over(w))
              .select(F.col("value").alias("line"), "file",
                      (F.col("_off") + F.col("_r")).alias("line_no"),
