@@ -26,6 +26,7 @@ def registry():
         "src1": SourceEntry("qa_view", "source = 'src1'", format_fn="format_qa"),
         "src2": SourceEntry("mcq_view", "source = 'src2'", format_fn="format_mcq"),
         "src3": SourceEntry("documents", "source = 'src3'"),            # no text rule: skipped with a warning
+        "src5": SourceEntry("documents", "source = 'src5'", text_column="text"),   # alternate of src4
     }
 
 
@@ -51,21 +52,23 @@ s1 AS (SELECT doc_id AS key,
        FROM d WHERE source = 'src1' ORDER BY doc_id LIMIT 80),
 s2 AS (SELECT doc_id AS key, text || chr(10) || chr(10) || 'Options:' || chr(10) || '1. ' || lang || chr(10) || '2. ' || source AS text
        FROM d WHERE source = 'src2' ORDER BY doc_id LIMIT 80),
+s5 AS (SELECT doc_id AS key, text FROM d WHERE source = 'src5' ORDER BY doc_id LIMIT 80),
 u AS (
   SELECT * FROM (SELECT 'src0' AS source, key, text FROM s0 WHERE length({strip('text')}) > 50 ORDER BY key LIMIT 40)
   UNION ALL SELECT * FROM (SELECT 'src1', key, text FROM s1 WHERE length({strip('text')}) > 50 ORDER BY key LIMIT 40)
-  UNION ALL SELECT * FROM (SELECT 'src2', key, text FROM s2 WHERE length({strip('text')}) > 50 ORDER BY key LIMIT 40))
+  UNION ALL SELECT * FROM (SELECT 'src2', key, text FROM s2 WHERE length({strip('text')}) > 50 ORDER BY key LIMIT 40)
+  UNION ALL SELECT * FROM (SELECT 'src4', key, text FROM s5 WHERE length({strip('text')}) > 50 ORDER BY key LIMIT 40))
 SELECT source, key, sha256(text) AS text_hash FROM u
 """
 
 
 @register("registry_load", REG_SQL)
 def q_registry_load(spark, sf_dir):
-    """Four registry entries plus one unknown name; src3 has no text rule and src4 is not
-    registered (both skipped, the others load up to 40 rows each from a head of 80)."""
+    """Registry loads of up to 40 rows each from a head of 80; src3 has no text rule (empty,
+    with a warning) and src4 is not registered, so its alternate src5 is loaded under its name."""
     from quarry.sources.registry import load_with_failover
     rows, skipped = load_with_failover(spark, registry(), ["src0", "src1", "src2", "src3", "src4"], 40,
-                                       _reader(spark, sf_dir))
+                                       _reader(spark, sf_dir), alternates={"src4": "src5"})
     return rows.select("source", "key", F.sha2("text", 256).alias("text_hash"))
 
 
@@ -154,19 +157,24 @@ def q_custom_tokenizer(spark, sf_dir):
 
 # --------------------------------------------------------------------------- S1, S2, S7, S8
 @register("jsonl_round_trip", """
-SELECT source AS source, lang AS type, count(*) AS n FROM documents GROUP BY 1, 2
+SELECT 'total' AS section, 'all' AS key, count(*) AS n FROM documents
+UNION ALL SELECT 'sources', coalesce(source, 'unknown'), count(*) FROM documents GROUP BY 2
+UNION ALL SELECT 'types', coalesce(lang, 'unknown'), count(*) FROM documents GROUP BY 2
 """)
 def q_jsonl_round_trip(spark, sf_dir):
-    """S7 -> S1 -> S8: documents written as JSON lines, read back, counted by source and type."""
-    from quarry.sources.jsonl import read_jsonl, sample_stats, write_jsonl
-    out = os.path.join(_scratch(spark, "jsonl"), "calibration.jsonl")
+    """S7 -> S1 -> S8: documents written as JSON lines, read back, and the stats sidecar written and
+    read back (total, counts by source, counts by type)."""
+    from quarry.sources.jsonl import read_jsonl, write_jsonl, write_stats
+    base = _scratch(spark, "jsonl")
+    out = os.path.join(base, "calibration.jsonl")
     d = table(spark, sf_dir, "documents").select("text", "source", F.col("lang").alias("type"))
     write_jsonl(d, out)
-    back = read_jsonl(spark, out)
-    stats = sample_stats(back)
-    ex = stats.select(F.explode("sources").alias("source", "n_src"))
-    del ex
-    return back.groupBy("source", "type").agg(F.count(F.lit(1)).alias("n"))
+    write_stats(read_jsonl(spark, out), os.path.join(base, "calibration_stats.json"))
+    st = spark.read.json(os.path.join(base, "calibration_stats.json"))
+    total = st.select(F.lit("total").alias("section"), F.lit("all").alias("key"), F.col("total_samples").alias("n"))
+    parts = [st.select(F.lit(sec).alias("section"), F.explode(F.from_json(F.to_json(sec), "map<string,bigint>"))
+                       .alias("key", "n")) for sec in ("sources", "types")]
+    return total.unionByName(parts[0]).unionByName(parts[1])
 
 
 @register("bad_lines", """
