@@ -138,11 +138,12 @@ def pack_short(df: DataFrame, key: str = "doc_id", text_col: str = "text",
     routed = route(df.select(key, text_col), text_col, max_length, min_length, pack_min)
     kept = routed.filter(F.col("route") == "keep").select(F.count(F.lit(1))).scalar()
     bound = max(max_samples, 0) * texts_per_pack_bound(max_length, pack_min)
-    cand = (routed.filter(F.col("route") == "pack")
-                  .select(F.col(key).cast("long").alias("key"),
-                          F.length(text_col).cast("long").alias("chars"),
-                          token_count(text_col).cast("long").alias("ntok"))
-                  .orderBy("key").limit(bound)                 # proven bound, see module notes
+    from quarry.operators.sampling import head_by_order
+    narrow = (routed.filter(F.col("route") == "pack")
+                    .select(F.col(key).cast("long").alias("key"),
+                            F.length(text_col).cast("long").alias("chars"),
+                            token_count(text_col).cast("long").alias("ntok")))
+    cand = (head_by_order(narrow, bound, "key")                # proven bound, see module notes
                   .withColumn("_budget", F.lit(max_samples) - kept)
                   .withColumn("_active", kept < F.lit(max_samples // 2)))
     members = cand.groupBy(F.lit(0).alias("_shard")).applyInPandas(

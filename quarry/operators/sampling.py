@@ -150,15 +150,66 @@ def top_per_group(df: DataFrame, group_col: str, quotas: Mapping, hash_col: str,
                 .drop("_p", "_cut", "_quota", "_n"))
 
 
+# Above this many rows reaching the single merge task, a plain top-k is replaced by a pre-cut.
+TOPK_MERGE_ROWS = 1_000_000
+# Geometric grid of quantile levels (ratio 1.5) from 1e-12 to 1, for the key cut of ``head_by_order``.
+_GRID = []
+_g = 1e-12
+while _g < 1.0:
+    _GRID.append(_g)
+    _g *= 1.5
+_GRID.append(1.0)
+
+
+def _partitions(df: DataFrame) -> int:
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # pragma: no cover - Spark Connect
+        return 1 << 20
+
+
+def small_topk(df: DataFrame, n: int) -> bool:
+    """True when a TakeOrderedAndProject of ``n`` is cheap: its merge task gets at most
+    partitions x n rows, and that product is small (known at planning time)."""
+    return _partitions(df) * max(n, 1) <= TOPK_MERGE_ROWS
+
+
+def head_by_order(df: DataFrame, n: int, key: str, tie: str | None = None,
+                  accuracy: int = 100_000) -> DataFrame:
+    """First ``n`` rows in ``(key, tie)`` order, exact, without sending partitions x n rows
+    to one task.
+
+    Small inputs use a plain top-k. Otherwise one aggregate gives the row count
+    and an approximate quantile sketch of ``key`` at a geometric grid of levels;
+    the cut is the smallest grid quantile whose level covers ``n`` plus the
+    sketch's rank error (``total / accuracy``), so at least ``n`` rows lie at or
+    below it and they are a prefix of the order. Only those rows (about
+    ``1.5 n + total / accuracy``) reach the final top-k.
+    """
+    order = [key] + ([tie] if tie else [])
+    if small_topk(df, n):
+        return df.orderBy(*order).limit(n)
+    k = F.col(key)
+    total = df.select(F.count(F.lit(1))).scalar()
+    qs = df.select(F.percentile_approx(k, _GRID, accuracy)).scalar()
+    frac = (F.lit(float(n)) + total / F.lit(float(accuracy)) + F.lit(1.0)) / total
+    idx = None
+    for i, g in enumerate(_GRID):
+        idx = F.when(frac <= F.lit(g), F.lit(i + 1)) if idx is None else idx.when(frac <= F.lit(g), F.lit(i + 1))
+    idx = idx.otherwise(F.lit(len(_GRID)))
+    cut = df.sparkSession.range(1).select(F.element_at(qs, idx)).scalar()
+    return df.filter(k.isNull() | (k <= cut)).orderBy(*order).limit(n)
+
+
 def sample_seeded(df: DataFrame, n: int, seed: int, key: str = "doc_id",
                   rank_col: str = "rank") -> DataFrame:
     """``min(n, size)`` rows without replacement, reproducible per seed.
 
-    Small ``n`` plans to a TakeOrderedAndProject (per-partition top-n, then a
-    merge of ``n`` x partitions rows); large ``n`` uses the threshold plan.
+    A plain top-k when partitions x n is small; otherwise the uniform-hash cut
+    of ``top_per_group`` (about ``n + 6 sqrt(n) + 64`` candidates reach the ranking).
     """
     h = df.withColumn("_h", seeded_hash(key, seed))
-    if n <= 10_000:
+    if small_topk(h, n):
         w = Window.orderBy("_h", key)
         top = h.orderBy("_h", key).limit(n)
         return top.withColumn(rank_col, F.row_number().over(w)).drop("_h")
@@ -184,7 +235,10 @@ def shuffle_trim(df: DataFrame, total: int, seed: int, key: str = "doc_id",
                  pos_col: str = "pos") -> DataFrame:
     """Seeded shuffle, then the head ``total`` rows; ``pos_col`` keeps the order."""
     h = df.withColumn("_s", seeded_hash(key, seed, "shuffle"))
-    top = h.orderBy("_s", key).limit(total)
+    if small_topk(h, total):
+        top = h.orderBy("_s", key).limit(total)
+    else:
+        top = top_per_group(h.withColumn("_g", F.lit("all")), "_g", {"all": total}, "_s", key, "_r").drop("_g", "_r")
     return top.withColumn(pos_col, F.row_number().over(Window.orderBy("_s", key))).drop("_s")
 
 
@@ -198,9 +252,9 @@ def relabel_source(df: DataFrame, label: str, col: str = "source") -> DataFrame:
     return df.withColumn(col, F.lit(label))
 
 
-def head_n(df: DataFrame, n: int, order: Sequence[Column | str]) -> DataFrame:
-    """First ``n`` rows by an explicit order (always with a tie-break key)."""
-    return df.orderBy(*order).limit(n)
+def head_n(df: DataFrame, n: int, key: str, tie: str | None = None) -> DataFrame:
+    """First ``n`` rows by a key (and tie-break), bounded at any scale (``head_by_order``)."""
+    return head_by_order(df, n, key, tie)
 
 
 def backfill(main: DataFrame, fallback: DataFrame, target: int, key: str = "doc_id",
@@ -213,9 +267,8 @@ def backfill(main: DataFrame, fallback: DataFrame, target: int, key: str = "doc_
     at most ``target`` rows.
     """
     n_main = main.select(F.count(F.lit(1))).scalar()   # scalar subquery, one value
-    head = (fallback.filter(min_chars(text_col, min_len))
-                    .orderBy(order or key).limit(target)
-                    .withColumn("_pos", F.row_number().over(Window.orderBy(order or key))))
+    head = (head_by_order(fallback.filter(min_chars(text_col, min_len)), target, order or key)
+            .withColumn("_pos", F.row_number().over(Window.orderBy(order or key))))   # <= target rows
     add = (head.filter((n_main < F.lit(target // 2)) & (F.col("_pos") <= F.lit(target) - n_main))
                .drop("_pos"))
     return main.unionByName(add, allowMissingColumns=True)

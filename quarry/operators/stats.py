@@ -223,8 +223,9 @@ def augment_with_terms(corpus: DataFrame, terms: DataFrame, per_term: int, seed:
 def preview(df: DataFrame, n: int = 3, chars: int = 200, key: str = "doc_id", text_col: str = "text",
             cols: Sequence[str] = ("source", "lang")) -> DataFrame:
     """First ``n`` rows by key: labels, token length, first ``chars`` characters + ``...`` (always)."""
+    from quarry.operators.sampling import head_by_order
     keep = [c for c in cols if c in df.columns]
-    return (df.orderBy(key).limit(n)
+    return (head_by_order(df, n, key)
               .select(key, *keep, token_count(text_col).alias("n_tokens"),
                       F.concat(F.substring(F.coalesce(F.col(text_col), F.lit("")), 1, chars), F.lit("..."))
                       .alias("preview")))

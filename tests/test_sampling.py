@@ -66,3 +66,21 @@ def test_mix_result_never_refilled(spark):
     assert m.count() == 7
     m2 = prepare_mix(d, {"a": 5, "b": 5}, total=512, seed=1)
     assert m2.count() == 10
+
+
+def test_head_by_order_cut_path_is_exact(spark, monkeypatch):
+    d = docs(spark, n=20000, parts=16).withColumn("k", (F.col("doc_id") * 7919) % 20011)
+    monkeypatch.setattr(sm, "TOPK_MERGE_ROWS", 10)          # force the quantile-cut path
+    got = [r.k for r in sm.head_by_order(d, 1500, "k", "doc_id").collect()]
+    want = sorted(r.k for r in d.select("k").collect())[:1500]
+    assert sorted(got) == want
+    tiny = [r.k for r in sm.head_by_order(d, 3, "k").collect()]
+    assert sorted(tiny) == want[:3]
+
+
+def test_sample_seeded_threshold_path(spark, monkeypatch):
+    d = docs(spark, n=3000, parts=8)
+    small = {r.doc_id for r in sm.sample_seeded(d, 100, 5).collect()}
+    monkeypatch.setattr(sm, "TOPK_MERGE_ROWS", 10)
+    big = {r.doc_id for r in sm.sample_seeded(d, 100, 5).collect()}
+    assert small == big and len(big) == 100
