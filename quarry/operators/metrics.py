@@ -172,7 +172,7 @@ def best_under(runs: DataFrame, quality_col: str, bound_col: str, bound: float,
 
 
 def round_robin(df: DataFrame, items: DataFrame, order_col: str, item_order_col: str,
-                n_buckets: int = 64) -> DataFrame:
+                n_buckets: int | None = None) -> DataFrame:
     """Row i (in ``order_col`` order) gets item ``i % k`` (items in ``item_order_col`` order).
 
     The row index comes from ``global_index`` (no un-partitioned window); the

@@ -2,11 +2,11 @@
 
 W1 needs a global row index. An un-partitioned ``row_number()`` would pull
 every row into one task, so ``global_index`` uses two passes: rows are put in
-``n_buckets`` range buckets of the order key (boundaries: approximate
-quantiles, one aggregate), each bucket's size is counted (a partial
-aggregate), bucket offsets are a running sum over at most ``n_buckets`` rows,
-and the index is ``offset + row_number() over (partition by bucket order by
-key)``. Only narrow columns need to travel.
+range buckets of the order key (boundaries: approximate quantiles, one
+aggregate; the number of buckets grows with the input), each bucket's size is
+counted (a partial aggregate), bucket offsets are a running sum over one row
+per bucket, and the index is ``offset + row_number() over (partition by bucket
+order by key)``. Only narrow columns need to travel.
 
 W2 is sequential by definition (a buffer that resets). Two facts bound it:
 packing stops after ``max_samples`` sequences in total, and every candidate
@@ -33,22 +33,47 @@ DEFAULT_MAX_LENGTH = 2048
 DEFAULT_MAX_SAMPLES = 512
 
 
-def global_index(df: DataFrame, order_col: str, n_buckets: int = 64, idx_col: str = "idx") -> DataFrame:
+def _n_buckets(df: DataFrame) -> int:
+    """Buckets grow with the input (two per input split), between 64 and 100,000."""
+    try:
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # pragma: no cover - Spark Connect
+        parts = 64
+    return max(64, min(100_000, 2 * parts))
+
+
+def _count_le(bounds: Column, k: Column) -> Column:
+    """How many elements of ``bounds`` are <= ``k`` (lambdas see only their own arguments)."""
+    return F.aggregate(F.zip_with(bounds, F.array_repeat(k, F.size(bounds)),
+                                  lambda x, y: F.when(x <= y, 1).otherwise(0)),
+                       F.lit(0), lambda acc, v: acc + v)
+
+
+def global_index(df: DataFrame, order_col: str, n_buckets: int | None = None, idx_col: str = "idx") -> DataFrame:
     """0-based position of every row in ``order_col`` order (``order_col`` unique and orderable).
 
     Bucket boundaries are approximate quantiles of the key (one aggregate), so
-    buckets stay balanced whatever the key distribution; a row's bucket is the
-    number of boundaries below its key. Exactness does not depend on the
-    boundaries, only balance does.
+    buckets stay balanced whatever the key distribution, and their number grows
+    with the input so that a bucket stays a few splits' worth of rows. A row's
+    bucket (the number of boundaries at or below its key) is found in two
+    levels: every ``s``-th boundary first, then the ``s - 1`` boundaries inside
+    that stretch (``s = sqrt(buckets)``), so about ``2 sqrt(buckets)``
+    comparisons per row. Exactness does not depend on the boundaries, only
+    balance does.
     """
+    import math
     k = F.col(order_col)
-    qs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = df.select(F.array_distinct(F.percentile_approx(k, qs, 10_000))).scalar()
-    # bucket = number of boundaries below the key = its position in sorted(bounds + [key]) - 1
-    # (no lambda: a lambda over an outer column trips the planner when columns are pruned)
-    merged = F.array_sort(F.array_union(F.col("_bounds"), F.array(k)))
+    nb = n_buckets or _n_buckets(df)
+    step = max(1, math.isqrt(nb))
+    qs = [i / nb for i in range(1, nb)]
+    bounds = df.select(F.array_sort(F.array_distinct(F.percentile_approx(k, qs, max(10_000, 10 * nb))))).scalar()
     b = (df.withColumn("_bounds", bounds)                     # subquery value as a column first
-           .withColumn("_b", (F.array_position(merged, k) - 1).cast("int")).drop("_bounds"))
+           .withColumn("_coarse", F.filter("_bounds", lambda x, i: (i + 1) % step == 0)))
+    c = _count_le(F.col("_coarse"), k)
+    b = b.withColumn("_c", c)
+    seg = F.slice("_bounds", F.col("_c") * step + 1, step - 1) if step > 1 else F.array().cast("array<long>")
+    b = (b.withColumn("_b", F.col("_c") * step + _count_le(seg, k))
+          .drop("_bounds", "_coarse", "_c"))
     sizes = b.groupBy("_b").agg(F.count(F.lit(1)).alias("_sz"))
     offsets = sizes.withColumn(
         "_off", F.sum("_sz").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)))
@@ -59,7 +84,7 @@ def global_index(df: DataFrame, order_col: str, n_buckets: int = 64, idx_col: st
              .drop("_b", "_off"))
 
 
-def assign_batches(df: DataFrame, size: int, order_col: str, n_buckets: int = 64) -> DataFrame:
+def assign_batches(df: DataFrame, size: int, order_col: str, n_buckets: int | None = None) -> DataFrame:
     """Consecutive slices of ``size`` rows in ``order_col`` order (``batch_id`` 0-based)."""
     return (global_index(df, order_col, n_buckets)
             .withColumn("batch_id", F.floor(F.col("idx") / F.lit(size)).cast("long")))
@@ -133,16 +158,19 @@ def pack_short(df: DataFrame, key: str = "doc_id", text_col: str = "text",
     Returns one row per pack: ``pack_id, first_doc, last_doc, n_texts,
     n_tokens, chars, text``.
     """
-    from quarry.session import ship_package
+    from quarry.operators.sampling import head_by_order
+    from quarry.session import cut_lineage, ship_package
     ship_package(df.sparkSession)
-    routed = route(df.select(key, text_col), text_col, max_length, min_length, pack_min)
+    # One tokenizing pass over the texts; the narrow routing table is checkpointed (reliable,
+    # shared folder) so the kept count, the candidate cut and the walk all read it instead of
+    # re-tokenizing every text.
+    routed = cut_lineage(route(df.select(key, text_col), text_col, max_length, min_length, pack_min)
+                         .select(F.col(key).cast("long").alias("key"), "route",
+                                 F.length(text_col).cast("long").alias("chars"),
+                                 token_count(text_col).cast("long").alias("ntok")))
     kept = routed.filter(F.col("route") == "keep").select(F.count(F.lit(1))).scalar()
     bound = max(max_samples, 0) * texts_per_pack_bound(max_length, pack_min)
-    from quarry.operators.sampling import head_by_order
-    narrow = (routed.filter(F.col("route") == "pack")
-                    .select(F.col(key).cast("long").alias("key"),
-                            F.length(text_col).cast("long").alias("chars"),
-                            token_count(text_col).cast("long").alias("ntok")))
+    narrow = routed.filter(F.col("route") == "pack").select("key", "chars", "ntok")
     cand = (head_by_order(narrow, bound, "key")                # proven bound, see module notes
                   .withColumn("_budget", F.lit(max_samples) - kept)
                   .withColumn("_active", kept < F.lit(max_samples // 2)))
