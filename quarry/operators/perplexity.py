@@ -55,9 +55,15 @@ def perplexity_suite(losses: DataFrame, by: str = "dataset") -> DataFrame:
 
 
 def unigram_counts(train: DataFrame, corpus_col: str, text_col: str = "text") -> DataFrame:
-    """Token counts per training corpus plus corpus totals N and vocabulary size V."""
+    """Token counts per training corpus plus corpus totals N and vocabulary size V.
+
+    The counts (one row per corpus and distinct token: vocabulary-sized, far
+    smaller than the corpus) are checkpointed to the shared folder, so the two
+    consumers do not each re-tokenize the training texts.
+    """
+    from quarry.session import cut_lineage
     toks = train.select(corpus_col, F.explode(lower_tokens(text_col)).alias("token"))
-    counts = toks.groupBy(corpus_col, "token").agg(F.count(F.lit(1)).alias("c"))
+    counts = cut_lineage(toks.groupBy(corpus_col, "token").agg(F.count(F.lit(1)).alias("c")))
     totals = counts.groupBy(corpus_col).agg(F.sum("c").alias("N"), F.count(F.lit(1)).alias("V"))
     return counts, totals
 
