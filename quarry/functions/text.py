@@ -130,6 +130,23 @@ def format_qa(question: str | Column, answer: str | Column) -> Column:
                     F.coalesce(col(answer), F.lit("")))
 
 
+def format_qa_rows(df, question: str, answer: str, out: str = "text", on_missing: str = "empty"):
+    """P1 over a table with its three variants: ``empty`` (missing side -> ""), ``error``
+    (a missing side fails the job) and ``drop`` (rows with an empty side are dropped)."""
+    q, a = col(question), col(answer)
+    if on_missing == "empty":
+        return df.withColumn(out, format_qa(q, a))
+    if on_missing == "error":
+        bad = q.isNull() | a.isNull()
+        return df.withColumn(out, F.when(bad, F.raise_error(F.lit("missing question or answer")))
+                             .otherwise(format_qa(q, a)))
+    if on_missing == "drop":
+        keep = F.coalesce(q, F.lit("")) != F.lit("")
+        keep = keep & (F.coalesce(a, F.lit("")) != F.lit(""))
+        return df.filter(keep).withColumn(out, format_qa(q, a))
+    raise ValueError(f"on_missing must be empty, error or drop, not {on_missing}")
+
+
 def format_mcq(question: str | Column, choices: str | Column) -> Column:
     """Question, blank line, ``Options:`` and numbered choices; question alone without choices."""
     ch = col(choices)
@@ -160,6 +177,12 @@ def extract_response(full: str | Column, prompt: str | Column) -> Column:
              .otherwise(f))
 
 
+def drop_prompt_prefix(full: str | Column, prompt: str | Column) -> Column:
+    """P10 simple variant: the text after the prompt's length, stripped."""
+    f, p = col(full), col(prompt)
+    return stripped(f.substr(F.length(p) + 1, F.greatest(F.length(f) - F.length(p), F.lit(0))))
+
+
 def _lit_array(words: Iterable[str]) -> Column:
     return F.array(*[F.lit(w.lower()) for w in words])
 
@@ -242,6 +265,18 @@ def mask_id(c: str | Column, salt: str) -> Column:
     return F.sha2(F.concat(F.lit(salt), col(c).cast("string")), 256)
 
 
+def encrypt_id(c: str | Column, key: str | Column) -> Column:
+    """P20 reversible variant: AES-GCM encryption of an identifier, base64 text
+    (``decrypt_id`` with the same 16/24/32-byte key restores it)."""
+    k = F.lit(key) if isinstance(key, str) else key
+    return F.base64(F.aes_encrypt(col(c).cast("string"), k))
+
+
+def decrypt_id(c: str | Column, key: str | Column) -> Column:
+    k = F.lit(key) if isinstance(key, str) else key
+    return F.aes_decrypt(F.unbase64(col(c)), k).cast("string")
+
+
 def seeded_hash(key: str | Column, seed: int | str, tag: str | None = None) -> Column:
     """Hex md5 of ``key|seed[|tag]``: a uniform, partition-independent sort key."""
     parts = [col(key).cast("string"), F.lit(f"|{seed}" + (f"|{tag}" if tag else ""))]

@@ -282,6 +282,20 @@ def dedupe_overlap(df: DataFrame, text_col: str = "text", source_col: str = "sou
               .filter(F.col("copies") > 1))
 
 
+def disjoint_hash(key: str, seed: int, source: str) -> Column:
+    """U4 option ``disjoint=True``: salt the sample hash with the source name, so two
+    sources drawing from one table with the same seed no longer take the same prefix."""
+    return F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}|"), F.lit(source)))
+
+
+def apply_quota_disjoint(df: DataFrame, source_col: str, quotas: Mapping, seed: int, key: str = "doc_id",
+                         rank_col: str = "rank") -> DataFrame:
+    """J6 with per-source salted hashes (U4 ``disjoint``): the draw of each source is still seeded."""
+    h = df.withColumn("_h", F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}|"),
+                                           F.col(source_col).cast("string"))))
+    return top_per_group(h, source_col, quotas, "_h", key, rank_col).drop("_h")
+
+
 def quota_rows_bound(quotas: Mapping) -> int:
     return sum(int(v) for v in quotas.values())
 

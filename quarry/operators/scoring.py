@@ -31,6 +31,11 @@ def pair_outputs(cases: DataFrame, outputs: DataFrame, on: Sequence[str] | str =
     return cases.join(outputs, on, how)
 
 
+def cases_without_output(cases: DataFrame, outputs: DataFrame, on: Sequence[str] | str = "test_id") -> DataFrame:
+    """J1 left variant: cases that have no output (left-anti join)."""
+    return cases.join(outputs, on, "left_anti")
+
+
 def _hit(output: Column, mode: str):
     low = F.lower(output)
 

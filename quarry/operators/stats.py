@@ -61,14 +61,17 @@ def with_token_count(df: DataFrame, text_col: str = "text", out: str = "n_tokens
     return df if out in df.columns else df.withColumn(out, token_count(text_col))
 
 
-def length_stats(df: DataFrame, len_col: str = "n_tokens", by: Sequence[str] = ()) -> DataFrame:
+def length_stats(df: DataFrame, len_col: str = "n_tokens", by: Sequence[str] = (),
+                 approx: bool = False) -> DataFrame:
     """A2: rows, mean, median, min, max, population std and total tokens.
 
     ``median`` is exact; Spark keeps a map of distinct lengths per partial
     aggregate, which is bounded by the longest text, not by the row count.
+    ``approx=True`` uses ``percentile_approx`` instead (a fixed-size sketch).
     """
     n = F.col(len_col)
-    aggs = [F.count(n).alias("rows"), _r(F.avg(n)).alias("mean"), _r(F.median(n)).alias("median"),
+    med = F.percentile_approx(n, 0.5, 10_000).cast("double") if approx else F.median(n)
+    aggs = [F.count(n).alias("rows"), _r(F.avg(n)).alias("mean"), _r(med).alias("median"),
             F.min(n).alias("min"), F.max(n).alias("max"), _r(F.stddev_pop(n)).alias("std"),
             F.sum(n).alias("total_tokens")]
     return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)

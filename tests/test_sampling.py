@@ -84,3 +84,13 @@ def test_sample_seeded_threshold_path(spark, monkeypatch):
     monkeypatch.setattr(sm, "TOPK_MERGE_ROWS", 10)
     big = {r.doc_id for r in sm.sample_seeded(d, 100, 5).collect()}
     assert small == big and len(big) == 100
+
+
+def test_disjoint_quota_breaks_shared_prefix(spark):
+    d = docs(spark, n=3000).withColumn("src", F.lit("x"))
+    a = {r.doc_id for r in sm.apply_quota(d, "lang", {"a": 30}, 42).collect()}
+    b = {r.doc_id for r in sm.apply_quota(d.withColumn("lang", F.lit("a")), "lang", {"a": 30}, 42).collect()}
+    assert a == b                                               # same seed, same key order: same rows
+    dj = sm.apply_quota_disjoint(d.withColumn("lang", F.when(F.col("lang") == "a", "a2").otherwise("z")),
+                                 "lang", {"a2": 30}, 42)
+    assert len({r.doc_id for r in dj.collect()} & a) < 30

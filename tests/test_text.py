@@ -82,3 +82,19 @@ def test_render_prompt_markers(spark):
 def test_content_hash_is_sha256(spark):
     import hashlib
     assert one(spark, tx.content_hash("t"), [("abc",)], "t string") == [hashlib.sha256(b"abc").hexdigest()]
+
+
+def test_format_qa_variants(spark):
+    import pytest
+    df = spark.createDataFrame([("Q", "A"), ("Q", ""), (None, "A")], "q string, a string")
+    assert [r.text for r in tx.format_qa_rows(df, "q", "a", on_missing="drop").collect()] == ["Q\n\nA"]
+    assert len(tx.format_qa_rows(df, "q", "a").collect()) == 3
+    with pytest.raises(Exception):
+        tx.format_qa_rows(df, "q", "a", on_missing="error").collect()
+
+
+def test_drop_prompt_prefix_and_encryption(spark):
+    assert one(spark, tx.drop_prompt_prefix("f", "p"), [("prompt  answer ", "prompt")], "f string, p string") == ["answer"]
+    key = "0123456789abcdef"
+    got = one(spark, tx.decrypt_id(tx.encrypt_id("i", key), key), [("mrn-42",)], "i string")
+    assert got == ["mrn-42"]
