@@ -181,7 +181,7 @@ def term_share(corpus: DataFrame, terms: DataFrame, text_col: str = "text", id_c
         tl = F.broadcast(tl)
     out = tl.join(counts, term_col, "left").withColumn("occurrences", F.coalesce("occurrences", F.lit(0)))
     share = F.col("occurrences") / total
-    return out.select(term_col, "occurrences", _r(F.lit(100.0) * share, 9).alias("percent"),
+    return out.select(term_col, "occurrences", _r(F.lit(100.0) * share).alias("percent"),
                       (share < F.lit(rare_share)).alias("rare"))
 
 

@@ -217,7 +217,7 @@ WITH {TERMS_SQL},
 toks AS (SELECT unnest(regexp_extract_all(lower(text), {"'[^ \\t\\n\\r\\f]+'"})) AS token FROM documents),
 counts AS (SELECT token, count(*) AS c FROM toks GROUP BY token),
 total AS (SELECT count(*) AS n FROM toks)
-SELECT term, coalesce(c, 0) AS occurrences, round(100.0 * coalesce(c, 0) / n, 9) AS percent,
+SELECT term, coalesce(c, 0) AS occurrences, round(100.0 * coalesce(c, 0) / n, 6) AS percent,
        coalesce(c, 0) / n < 0.00003 AS rare
 FROM terms LEFT JOIN counts ON term = token, total
 """)
