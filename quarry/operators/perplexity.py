@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.text import lower_tokens
+from quarry.functions.text import lower_tokens, token_count
 
 
 def perplexity(losses: DataFrame, by: str = "dataset", min_padded_len: int = 2) -> DataFrame:
@@ -85,7 +85,7 @@ def ngram_losses(train: DataFrame, test: DataFrame, corpus_col: str, test_id: st
               .groupBy(test_id, "token").agg(F.count(F.lit(1)).alias("k")))
     seen = (tt.join(counts, "token")
               .groupBy(corpus_col, test_id).agg(F.sum(F.col("k") * F.log(F.col("c") + 1)).alias("_s")))
-    grid = test.select(test_id, F.size(lower_tokens(text_col)).alias("tokens"),
+    grid = test.select(test_id, token_count(text_col).alias("tokens"),
                        F.explode(F.array(*[F.lit(d) for d in datasets])).alias(corpus_col))
     grid = grid.join(F.broadcast(totals), corpus_col, "left")   # one row per named corpus
     loss = (F.col("tokens") * F.log(F.col("N") + F.col("V")) - F.coalesce(F.col("_s"), F.lit(0.0))) / F.col("tokens")

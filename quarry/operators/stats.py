@@ -169,16 +169,18 @@ def term_share(corpus: DataFrame, terms: DataFrame, text_col: str = "text", id_c
                terms_bound: int | None = None) -> DataFrame:
     """Share of each term among all tokens; absent terms get 0; rare flag.
 
-    Token counts are aggregated per token first (partial aggregation: a hot
-    token costs one row per partition, not one per occurrence), then the term
-    list is joined. The term side is broadcast only when its row bound is known.
+    Tokens are first reduced to the listed terms (a semi-join; the term side is
+    broadcast only when its row bound is known, otherwise AQE decides), then
+    counted with partial aggregation (a hot term costs one row per partition).
+    The token total is a sum of per-text token counts, without exploding.
     """
-    toks = explode_tokens(corpus, id_col, text_col)
-    total = toks.select(F.count(F.lit(1))).scalar()
-    counts = toks.groupBy(F.col("token").alias(term_col)).agg(F.count(F.lit(1)).alias("occurrences"))
+    total = corpus.select(F.sum(token_count(text_col))).scalar()   # no explode needed
     tl = terms.select(F.lower(F.col(term_col)).alias(term_col)).distinct()
     if terms_bound is not None and terms_bound <= BROADCAST_ROW_LIMIT:
         tl = F.broadcast(tl)
+    toks = explode_tokens(corpus, id_col, text_col, term_col)
+    counts = (toks.join(tl, term_col, "left_semi")                       # keep term tokens only
+                  .groupBy(term_col).agg(F.count(F.lit(1)).alias("occurrences")))
     out = tl.join(counts, term_col, "left").withColumn("occurrences", F.coalesce("occurrences", F.lit(0)))
     share = F.col("occurrences") / total
     return out.select(term_col, "occurrences", _r(F.lit(100.0) * share).alias("percent"),
