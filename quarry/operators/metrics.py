@@ -11,7 +11,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
 # Fixed values
@@ -201,8 +200,6 @@ def bar(score: str | Column, width: int = 40, char: str = "#") -> Column:
     return F.repeat(F.lit(char), F.greatest(n, F.lit(0)))
 
 
-STRING = T.StringType()
-
 
 def markdown_lines(summary: DataFrame, title: str = "Evaluation Report", key: Sequence[str] = ()) -> DataFrame:
     """K5 lines of a markdown report per key from a long metric table ``(metric, value)``:

@@ -25,8 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.functions.text import (MIN_TOKENS, PACK_MIN_TOKENS, route_by_length, token_count,
-                                   tokens, truncate_tokens)
+from quarry.functions.text import MIN_TOKENS, PACK_MIN_TOKENS, route_by_length, token_count, truncate_tokens
 
 # Calibration defaults.
 DEFAULT_MAX_LENGTH = 2048
@@ -200,7 +199,3 @@ def calibration_set(df: DataFrame, key: str = "doc_id", text_col: str = "text",
     packs = pack_short(df, key, text_col, max_length, min_length, max_samples, pack_min)
     return kept.unionByName(packs.select(F.lit("pack").alias("kind"), F.col("pack_id").alias("seq_key"),
                                          "n_tokens", "text"))
-
-
-def token_array(c: str | Column) -> Column:
-    return tokens(c)

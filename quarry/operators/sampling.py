@@ -19,7 +19,6 @@ branch because its broadcast side is empty), which keeps the result exact.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -28,7 +27,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.text import min_chars, seeded_hash
-from quarry.session import BROADCAST_ROW_LIMIT
 
 HASH_SPACE = float(2 ** 32)
 
@@ -294,17 +292,3 @@ def apply_quota_disjoint(df: DataFrame, source_col: str, quotas: Mapping, seed:
     h = df.withColumn("_h", F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}|"),
                                            F.col(source_col).cast("string"))))
     return top_per_group(h, source_col, quotas, "_h", key, rank_col).drop("_h")
-
-
-def quota_rows_bound(quotas: Mapping) -> int:
-    return sum(int(v) for v in quotas.values())
-
-
-def broadcast_if_bounded(df: DataFrame, row_bound: int) -> DataFrame:
-    """Broadcast a side only when its row count is bounded by a known number."""
-    return F.broadcast(df) if row_bound <= BROADCAST_ROW_LIMIT else df
-
-
-def hash_threshold_fraction(q: int, n: int) -> float:
-    """Expected share of a group kept by the pre-filter (for docs and tests)."""
-    return min(1.0, (q + 6 * math.sqrt(q) + 64) / max(n, 1))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.text import (MAX_TOKENS, MIN_TOKENS, has_any, length_class, lower_tokens,
-                                   stripped, token_count)
+                                   token_count)
 from quarry.session import BROADCAST_ROW_LIMIT
 
 # ---------------------------------------------------------------------------
@@ -234,7 +234,3 @@ def preview(df: DataFrame, n: int = 3, chars: int = 200, key: str = "doc_id", te
               .select(key, *keep, token_count(text_col).alias("n_tokens"),
                       F.concat(F.substring(F.coalesce(F.col(text_col), F.lit("")), 1, chars), F.lit("..."))
                       .alias("preview")))
-
-
-def stripped_text(df: DataFrame, text_col: str = "text") -> DataFrame:
-    return df.withColumn(text_col, stripped(text_col))
