@@ -230,14 +230,20 @@ def missing_quota_sources(df: DataFrame, source_col: str, quotas: Mapping) -> Da
 
 
 def shuffle_trim(df: DataFrame, total: int, seed: int, key: str = "doc_id",
-                 pos_col: str = "pos") -> DataFrame:
-    """Seeded shuffle, then the head ``total`` rows; ``pos_col`` keeps the order."""
+                 pos_col: str = "pos", tie: str | None = None) -> DataFrame:
+    """Seeded shuffle, then the head ``total`` rows; ``pos_col`` keeps the order.
+
+    ``tie`` breaks ties between copies of one key (a row drawn by two sources).
+    """
     h = df.withColumn("_s", seeded_hash(key, seed, "shuffle"))
+    order = ["_s", key] + ([tie] if tie else [])
     if small_topk(h, total):
-        top = h.orderBy("_s", key).limit(total)
+        top = h.orderBy(*order).limit(total)
     else:
-        top = top_per_group(h.withColumn("_g", F.lit("all")), "_g", {"all": total}, "_s", key, "_r").drop("_g", "_r")
-    return top.withColumn(pos_col, F.row_number().over(Window.orderBy("_s", key))).drop("_s")
+        t = h.withColumn("_tk", F.concat_ws("|", *[F.col(c).cast("string") for c in order[1:]]))
+        top = top_per_group(t.withColumn("_g", F.lit("all")), "_g", {"all": total}, "_s", "_tk", "_r") \
+            .drop("_g", "_r", "_tk")
+    return top.withColumn(pos_col, F.row_number().over(Window.orderBy(*order))).drop("_s")
 
 
 def mix_union(parts: Sequence[DataFrame]) -> DataFrame:

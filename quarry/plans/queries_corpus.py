@@ -386,3 +386,39 @@ def q_quota_gaps(spark, sf_dir):
     from quarry.operators.sampling import missing_quota_sources
     d = table(spark, sf_dir, "documents").select(F.col("lang").alias("source"))
     return missing_quota_sources(d, "source", {"en": 1, "fr": 1, "it": 1, "pt": 1})
+
+
+PRESET_SQL = f"""
+WITH r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY {_md5('doc_id', '|42')}, doc_id) AS rk FROM documents),
+u AS (
+  SELECT doc_id, 'PubMedQA' AS source,
+         split_part(text, chr(10), 1) || chr(10) || chr(10) ||
+         CASE WHEN strpos(text, chr(10)) > 0 THEN substr(text, strpos(text, chr(10)) + 1) ELSE '' END AS text
+  FROM r WHERE lang = 'en' AND rk <= 307
+  UNION ALL
+  SELECT doc_id, 'PMC-Patients', text FROM r WHERE lang = 'de' AND rk <= 154 AND length({strip('text')}) > 100
+  UNION ALL
+  SELECT doc_id, 'PMC-Patients (radiology-filtered)', text FROM r
+  WHERE lang = 'de' AND rk <= 51 AND length({strip('text')}) > 100),
+mix AS (SELECT * FROM u WHERE {ntok('text')} BETWEEN 256 AND 4096
+        ORDER BY {_md5('doc_id', '|42|shuffle')}, doc_id, source LIMIT 512)
+SELECT source, count(*) AS n, round(100.0 * count(*) / (SELECT count(*) FROM mix), 6) AS percent
+FROM mix GROUP BY source
+"""
+
+
+@register("preset_mix", PRESET_SQL)
+def q_preset_mix(spark, sf_dir):
+    """K1 from the radiology preset: PubMedQA = en (question/answer formatted), PMC-Patients = de
+    (> 100 characters after sampling), custom_radiology = stand-in re-drawn from PMC-Patients with the
+    same seed and relabelled, so its rows repeat PMC-Patients rows (kept, as in the source)."""
+    from quarry.functions.text import format_qa
+    from quarry.operators.stats import distribution
+    from quarry.plans.mix import prepare_preset_mix
+    d = table(spark, sf_dir, "documents")
+    qa = (lambda df: format_qa(F.substring_index("text", "\n", 1),
+                               F.expr("substr(text, length(substring_index(text, '\\n', 1)) + 2)")))
+    tables = {"pubmedqa": (d.filter(F.col("lang") == "en"), qa),
+              "pmc_patients": (d.filter(F.col("lang") == "de"), lambda df: F.col("text"))}
+    mix, _skipped = prepare_preset_mix("radiology", tables, total=512, seed=SEED)
+    return distribution(mix, "source", groups_bound=3).select("source", "n", "percent")

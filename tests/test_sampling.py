@@ -97,3 +97,19 @@ def test_disjoint_quota_breaks_shared_prefix(spark):
     d1 = {r.doc_id for r in dj if r.lang == "s1"}
     d2 = {r.doc_id for r in dj if r.lang == "s2"}
     assert len(d1) == len(d2) == 30 and len(d1 & d2) < 30
+
+
+def test_preset_mix_skips_unknown_and_relabels_stand_in(spark):
+    from quarry.plans.mix import prepare_preset_mix
+    d = docs(spark, n=3000).withColumn("text", F.concat_ws(" ", F.array_repeat(F.col("doc_id").cast("string"), 300)))
+    tables = {"pmc_patients": (d.filter(F.col("lang") == "b"), lambda df: F.col("text"))}
+    mix, skipped = prepare_preset_mix("radiology", tables, total=512, seed=3)
+    assert skipped == ["pubmedqa"]
+    rows = mix.collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r.source, set()).add(r.doc_id)
+    assert len(by["PMC-Patients"]) == 154 and len(by["PMC-Patients (radiology-filtered)"]) == 51
+    assert by["PMC-Patients (radiology-filtered)"] <= by["PMC-Patients"]      # same seed: a prefix
+    with __import__("pytest").raises(ValueError):
+        prepare_preset_mix("nonexistent", tables)
