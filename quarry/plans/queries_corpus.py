@@ -144,13 +144,13 @@ KW = "['patient', 'clinical', 'diagnosis', 'treatment', 'medical', 'disease', 's
          count(*) FILTER (WHERE text IS NOT NULL AND text <> ''
                           AND len(list_filter({KW}, lambda k: contains(lower(text), k))) > 0) AS domain_rows
   FROM t)
-SELECT 'rows_above_min_length' AS "check", CAST(above_min AS DOUBLE) AS value, 256.0 AS threshold,
+SELECT 'rows_above_min_length' AS "check", CAST(above_min AS DOUBLE) AS value, CAST(256 AS DOUBLE) AS threshold,
        above_min >= 256 AS ok FROM a
-UNION ALL SELECT 'sample_count', CAST(rows AS DOUBLE), 512.0, rows >= 512 FROM a
-UNION ALL SELECT 'mean_length', round(mean_len, 6), 500.0, coalesce(mean_len > 500, false) FROM a
-UNION ALL SELECT 'domain_percent', round(100.0 * domain_rows / rows, 6), 70.0,
+UNION ALL SELECT 'sample_count', CAST(rows AS DOUBLE), CAST(512 AS DOUBLE), rows >= 512 FROM a
+UNION ALL SELECT 'mean_length', round(mean_len, 6), CAST(500 AS DOUBLE), coalesce(mean_len > 500, false) FROM a
+UNION ALL SELECT 'domain_percent', round(100.0 * domain_rows / rows, 6), CAST(70 AS DOUBLE),
                  coalesce(100.0 * domain_rows / rows > 70, false) FROM a
-UNION ALL SELECT 'rows_without_text', CAST(no_text AS DOUBLE), 0.0, no_text = 0 FROM a
+UNION ALL SELECT 'rows_without_text', CAST(no_text AS DOUBLE), CAST(0 AS DOUBLE), no_text = 0 FROM a
 """)
 def q_quality_checks(spark, sf_dir):
     """A4 over all documents."""
