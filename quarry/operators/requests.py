@@ -1,8 +1,9 @@
 """Serving-log analytics (A17-A21, W7, W8, S16 helpers).
 
 ``request_log`` maps a raw event table onto the request-log shape used here:
-request_id, ts (timestamp), start_us/end_us (epoch microseconds), latency_s,
-status, reason, confidence, input_key, user_id, day.
+request_id, ts (timestamp instant), ts_ntz (wall clock), start_us/end_us
+(epoch microseconds), latency_s, status, reason, confidence, input_key,
+user_id, day. Nothing depends on the session time zone.
 
 Percentiles are exact (``percentile``: Spark keeps one map of distinct values
 per partial aggregate, so memory follows the value resolution, not the row
@@ -37,14 +38,35 @@ OFF_PEAK_HOURS = (0, 1, 2, 3, 4, 5, 6, 7, 20, 21, 22, 23)   # ours: the source g
 US = 1_000_000
 
 
+EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
+def ntz_micros(c: Column) -> Column:
+    """Microseconds since 1970 of a ``timestamp_ntz`` wall-clock value (no time zone involved)."""
+    return F.timestamp_diff("MICROSECOND", F.lit(EPOCH_NTZ).cast("timestamp_ntz"), c)
+
+
+def micros_ntz(c: Column) -> Column:
+    """Inverse of ``ntz_micros``."""
+    return F.timestamp_add("MICROSECOND", c, F.lit(EPOCH_NTZ).cast("timestamp_ntz"))
+
+
 def request_log(events: DataFrame) -> DataFrame:
     """Events -> request log (bindings of FIXTURES: latency = value seconds,
-    failed = event_type 'error', confidence = (100 - k) / 100, input = user|k)."""
+    failed = event_type 'error', confidence = (100 - k) / 100, input = user|k).
+
+    Times do not depend on the session time zone: ``start_us``/``end_us`` are
+    epoch microseconds of the wall-clock ``ts_ntz`` read as UTC, ``ts`` is that
+    instant as a ``timestamp`` (for watermarks and windows), and ``day`` and
+    hours are taken from ``ts_ntz``.
+    """
     k = F.get_json_object("props", "$.k").cast("int")
-    ts = F.col("ts").cast("timestamp")
-    start = F.unix_micros(ts)
+    is_ntz = events.schema["ts"].dataType.typeName() == "timestamp_ntz"
+    ts_ntz = F.col("ts") if is_ntz else micros_ntz(F.unix_micros(F.col("ts")))
+    start = ntz_micros(ts_ntz)
     return events.select(
-        F.col("event_id").alias("request_id"), ts.alias("ts"), F.col("user_id"),
+        F.col("event_id").alias("request_id"), F.timestamp_micros(start).alias("ts"), ts_ntz.alias("ts_ntz"),
+        F.col("user_id"),
         start.alias("start_us"),
         (start + F.round(F.col("value") * US).cast("long")).alias("end_us"),
         F.col("value").alias("latency_s"),
@@ -52,7 +74,7 @@ def request_log(events: DataFrame) -> DataFrame:
         F.col("event_type").alias("reason"),
         ((F.lit(100) - k) / F.lit(100.0)).alias("confidence"),
         F.concat_ws("|", F.col("user_id").cast("string"), k.cast("string")).alias("input_key"),
-        F.to_date(ts).alias("day"))
+        F.to_date(ts_ntz).alias("day"))
 
 
 def latency_panel(log: DataFrame, latency_col: str = "latency_s", by: Sequence[str] = (),
@@ -189,12 +211,12 @@ def concurrency(log: DataFrame, bucket_us: int = 3600 * US) -> DataFrame:
 
 def peaks(log: DataFrame, off_peak_hours: Sequence[int] = OFF_PEAK_HOURS) -> DataFrame:
     """Busiest hour of day and busiest day (ties -> earliest), mean per day, off-peak share."""
-    by_hour = log.groupBy(F.hour("ts").alias("hour")).agg(F.count(F.lit(1)).alias("n"))
+    by_hour = log.groupBy(F.hour("ts_ntz").alias("hour")).agg(F.count(F.lit(1)).alias("n"))
     by_day = log.groupBy("day").agg(F.count(F.lit(1)).alias("n"))
     h = by_hour.agg(F.min_by(F.struct("hour", "n"), F.struct(-F.col("n"), F.col("hour"))).alias("h"))
     d = by_day.agg(F.min_by(F.struct("day", "n"), F.struct(-F.col("n"), F.col("day"))).alias("d"),
                    F.avg("n").alias("mean_per_day"))
-    off = log.agg(F.avg(F.hour("ts").isin(list(off_peak_hours)).cast("double")).alias("off_peak_share"))
+    off = log.agg(F.avg(F.hour("ts_ntz").isin(list(off_peak_hours)).cast("double")).alias("off_peak_share"))
     return (h.select(F.lit("busiest_hour").alias("metric"), F.col("h.hour").cast("string").alias("key"),
                      F.col("h.n").cast("double").alias("value"))
              .unionByName(d.select(F.lit("busiest_day").alias("metric"), F.col("d.day").cast("string").alias("key"),
@@ -205,7 +227,11 @@ def peaks(log: DataFrame, off_peak_hours: Sequence[int] = OFF_PEAK_HOURS) -> Dat
                                      F.round("off_peak_share", 6).alias("value"))))
 
 
-def retain(log: DataFrame, as_of: str, days: int = RETENTION_DAYS, ts_col: str = "ts") -> DataFrame:
+def retention_cutoff_us(as_of: str, days: int) -> Column:
+    """``as_of - days`` in epoch microseconds (``as_of`` a wall-clock date-time, read as UTC)."""
+    return ntz_micros(F.lit(as_of).cast("timestamp_ntz")) - F.lit(int(days) * 86_400 * US)
+
+
+def retain(log: DataFrame, as_of: str, days: int = RETENTION_DAYS, us_col: str = "start_us") -> DataFrame:
     """T4 (batch): keep rows newer than ``as_of - days`` (``as_of`` is a parameter, never now())."""
-    cutoff = F.lit(as_of).cast("timestamp") - F.expr(f"INTERVAL {int(days)} DAYS")
-    return log.filter(F.col(ts_col) > cutoff)
+    return log.filter(F.col(us_col) > retention_cutoff_us(as_of, days))

@@ -100,7 +100,7 @@ def q_before_after(spark, sf_dir):
     """Share of each event type in days 1-15 vs 16-30, change, and mean value per arm."""
     from quarry.operators.requests import before_after
     lg = log(spark, sf_dir).withColumn(
-        "phase", F.when(F.dayofmonth("ts") <= 15, F.lit("before")).otherwise(F.lit("after")))
+        "phase", F.when(F.dayofmonth("ts_ntz") <= 15, F.lit("before")).otherwise(F.lit("after")))
     return before_after(lg, "reason", "phase", "latency_s").withColumnRenamed("reason", "event_type")
 
 
@@ -377,7 +377,7 @@ def q_compare_halves(spark, sf_dir):
     """Days 1-15 (baseline) against days 16-30 (candidate); an unmeasured metric stays null."""
     from quarry.operators.metrics import compare
     lg = log(spark, sf_dir).withColumn(
-        "phase", F.when(F.dayofmonth("ts") <= 15, F.lit("before")).otherwise(F.lit("after")))
+        "phase", F.when(F.dayofmonth("ts_ntz") <= 15, F.lit("before")).otherwise(F.lit("after")))
     req = lg.groupBy("phase").agg(F.count(F.lit(1)).cast("double").alias("requests"),
                                   F.avg((F.col("status") == "failed").cast("double")).alias("error_rate"),
                                   F.avg("latency_s").alias("mean_latency_s"))

@@ -25,9 +25,7 @@ def q_stream_latency(spark, sf_dir):
     out = jobs.scratch(spark, "stream_latency")
     path = jobs.run_to_parquet(jobs.stream_latency(jobs.event_stream(spark, sf_dir)), out)
     r = spark.read.parquet(path)
-    return r.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
-                    F.col("window_end").cast("timestamp_ntz").alias("window_end"),
-                    "requests", "failed", "p50", "p95", "sla_ok")
+    return r.select("window_start", "window_end", "requests", "failed", "p50", "p95", "sla_ok")
 
 
 @register("stream_dedupe", f"WITH {LOG_CTE}\nSELECT input_key, count(*) AS requests FROM log GROUP BY input_key")

@@ -8,7 +8,9 @@ helpers here run a query with ``availableNow`` (process what is there, then
 stop) and read the sink back as a batch DataFrame.
 
 ``events.ts`` is ``timestamp_ntz``; watermarks need ``timestamp``, so the
-request log casts it (session time zone UTC).
+request log derives the instant from epoch microseconds of the wall-clock
+value (independent of the session time zone) and keeps the wall clock as
+``ts_ntz``; window bounds are turned back into wall-clock values the same way.
 """
 
 from __future__ import annotations
@@ -67,7 +69,9 @@ def stream_latency(events: DataFrame, window: str = WINDOW, watermark: str = WAT
     p = F.percentile("latency_s", F.array(*[F.lit(x) for x in (PANEL_PERCENTILES[0], PANEL_PERCENTILES[3])]))
     agg = log.groupBy(F.window("ts", window)).agg(
         F.count(F.lit(1)).alias("requests"), F.count_if(F.col("status") == "failed").alias("failed"), p.alias("_p"))
-    return agg.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+    from quarry.operators.requests import micros_ntz
+    return agg.select(micros_ntz(F.unix_micros("window.start")).alias("window_start"),
+                      micros_ntz(F.unix_micros("window.end")).alias("window_end"),
                       "requests", "failed", F.round(F.col("_p")[0], 6).alias("p50"),
                       F.round(F.col("_p")[1], 6).alias("p95"), (F.col("_p")[1] < F.lit(sla)).alias("sla_ok"))
 
@@ -109,6 +113,7 @@ def audit_records(log: DataFrame, salt: str = "audit") -> DataFrame:
         F.col("request_id").cast("string").alias("report_id"),
         F.sha2(F.concat(F.lit(salt), F.col("user_id").cast("string")), 256).alias("patient_mrn"),
         F.col("ts").alias("generated_at"),
+        F.col("start_us").alias("generated_us"),
         F.lit(AUDIT_MODEL_VERSION).alias("model_version"),
         F.sha2(F.col("input_key"), 256).alias("input_hash"),
         F.sha2(F.concat_ws("|", F.col("reason"), F.col("latency_s").cast("string")), 256).alias("output_hash"),
@@ -116,7 +121,7 @@ def audit_records(log: DataFrame, salt: str = "audit") -> DataFrame:
         F.lit(False).alias("human_reviewed"),
         F.lit(None).cast("string").alias("reviewer_id"),
         F.lit(None).cast("timestamp").alias("reviewed_at"),
-        F.to_date("ts").alias("date"))
+        F.col("day").alias("date"))
 
 
 def audit_append(records: DataFrame, path: str) -> None:
@@ -129,12 +134,11 @@ def audit_stream(events: DataFrame, out: str) -> str:
     return run_to_parquet(audit_records(request_log(events)), out, partition_by=["date"])
 
 
-def retention_cutoff(as_of: str, days: int) -> F.Column:
-    return F.lit(as_of).cast("timestamp") - F.expr(f"INTERVAL {int(days)} DAYS")
-
-
 def retain_partitions(spark: SparkSession, path: str, as_of: str, days: int = 30) -> DataFrame:
-    """T4 on disk: read only the date partitions after the cutoff (partition pruning), then the row filter."""
-    cutoff = retention_cutoff(as_of, days)
+    """T4 on disk: read only the date partitions from the cutoff day on (partition pruning),
+    then the exact row filter on the record time."""
+    from quarry.operators.requests import micros_ntz, retention_cutoff_us
+    cutoff_us = retention_cutoff_us(as_of, days)
     df = spark.read.parquet(path)
-    return df.filter(F.col("date") >= F.to_date(cutoff)).filter(F.col("generated_at") > cutoff)
+    return (df.filter(F.col("date") >= F.to_date(micros_ntz(cutoff_us)))
+              .filter(F.col("generated_us") > cutoff_us))
