@@ -42,9 +42,9 @@ def latency_by_batch(timings: DataFrame, batch_col: str = "batch_size", seconds_
     """Per batch size, mean latency (ms), samples/s, total time, iterations; warm-up excluded."""
     t = timings.filter(~F.col(warmup_col))
     agg = t.groupBy(batch_col).agg(F.sum(seconds_col).alias("total_time"), F.count(F.lit(1)).alias("iterations"))
-    avg_s = F.col("total_time") / F.col("iterations")
+    avg_s = F.try_divide(F.col("total_time"), F.col("iterations"))
     return (agg.withColumn("avg_latency_ms", avg_s * 1000)
-               .withColumn("throughput_samples_per_sec", F.col(batch_col) / avg_s))
+               .withColumn("throughput_samples_per_sec", F.try_divide(F.col(batch_col), avg_s)))
 
 
 def throughput(gen: DataFrame, tokens_col: str = "tokens_generated", time_col: str = "time_seconds",
@@ -56,9 +56,10 @@ def throughput(gen: DataFrame, tokens_col: str = "tokens_generated", time_col: s
                 F.count(F.lit(1)).alias("items"),
                 F.avg(F.when(F.col(time_col) > 0, F.col(tokens_col) / F.col(time_col))).alias("mean_rate"),
                 F.avg(time_col).alias("mean_latency_s"))
-    tps = F.when(F.col("total_time") > 0, F.col("total_tokens") / F.col("total_time")).otherwise(F.lit(0.0))
+    tps = F.when(F.col("total_time") > 0, F.try_divide(F.col("total_tokens"), F.col("total_time"))).otherwise(F.lit(0.0))
     out = (out.withColumn("tokens_per_sec", tps)
-              .withColumn("items_per_sec", F.when(F.col("total_time") > 0, F.col("items") / F.col("total_time"))))
+              .withColumn("items_per_sec", F.when(F.col("total_time") > 0,
+                                                  F.try_divide(F.col("items"), F.col("total_time")))))
     tier = (F.when(F.col("tokens_per_sec") >= SPEED_GOOD, F.lit("good"))
              .when(F.col("tokens_per_sec") >= SPEED_SLOW, F.lit("slow")).otherwise(F.lit("very slow")))
     return out.withColumn("speed_tier", tier)
@@ -115,7 +116,7 @@ def compare(baseline: DataFrame, candidate: DataFrame, metrics: Sequence[str] =
     c = candidate.select(F.col(metric_col).alias("metric"), F.col(value_col).alias("candidate"))
     j = order.join(b, "metric", "left").join(c, "metric", "left")
     delta = F.col("candidate") - F.col("baseline")
-    pct = F.when(F.col("baseline") == 0, F.lit(0.0)).otherwise(delta / F.col("baseline") * 100)
+    pct = F.when(F.col("baseline") == 0, F.lit(0.0)).otherwise(F.try_divide(delta, F.col("baseline")) * 100)
     return j.select("pos", "metric", "baseline", "candidate", delta.alias("delta"), pct.alias("delta_pct"))
 
 
@@ -157,7 +158,7 @@ def sweep_gain(runs: DataFrame, param_col: str, quality_col: str, time_col: str)
     w = Window.orderBy(param_col)
     prev_q, prev_t = F.lag(quality_col).over(w), F.lag(time_col).over(w)
     return (runs.withColumn("quality_change", F.col(quality_col) - prev_q)
-                .withColumn("time_change_pct", (F.col(time_col) - prev_t) / prev_t * 100))
+                .withColumn("time_change_pct", F.try_divide(F.col(time_col) - prev_t, prev_t) * 100))
 
 
 def best_under(runs: DataFrame, quality_col: str, bound_col: str, bound: float,

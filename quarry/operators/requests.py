@@ -101,17 +101,17 @@ def request_panel(log: DataFrame) -> DataFrame:
     days = log.select(F.count_distinct("day")).scalar()
     by_status = (log.groupBy(F.col("status").alias("key")).agg(F.count(F.lit(1)).alias("n"))
                     .select(F.lit("status").alias("section"), "key", F.col("n").cast("double").alias("n"),
-                            F.round(F.lit(100.0) * F.col("n") / total, 6).alias("percent")))
+                            F.round(F.try_divide(F.lit(100.0) * F.col("n"), total), 6).alias("percent")))
     by_reason = (log.filter(F.col("status") == "failed")
                     .groupBy(F.col("reason").alias("key")).agg(F.count(F.lit(1)).alias("n"))
                     .select(F.lit("failure_reason").alias("section"), "key", F.col("n").cast("double").alias("n"),
-                            F.round(F.lit(100.0) * F.col("n") / failed_total, 6).alias("percent")))
+                            F.round(F.try_divide(F.lit(100.0) * F.col("n"), failed_total), 6).alias("percent")))
     totals = log.agg(F.count(F.lit(1)).alias("n")).select(
         F.lit("total").alias("section"), F.lit("requests").alias("key"), F.col("n").cast("double").alias("n"),
         F.lit(100.0).alias("percent"))
     per_day = log.agg(F.count(F.lit(1)).alias("n")).select(
         F.lit("per_day").alias("section"), F.lit("mean").alias("key"),
-        F.round(F.col("n") / days, 6).alias("n"), F.lit(None).cast("double").alias("percent"))
+        F.round(F.try_divide(F.col("n"), days), 6).alias("n"), F.lit(None).cast("double").alias("percent"))
     return by_status.unionByName(by_reason).unionByName(totals).unionByName(per_day)
 
 
@@ -129,10 +129,10 @@ def review_panel(log: DataFrame, threshold: float = REVIEW_CONFIDENCE) -> DataFr
     queued = q.select(F.count(F.lit(1))).scalar()
     by_reason = (q.groupBy(F.col("review_reason").alias("key")).agg(F.count(F.lit(1)).alias("n"))
                   .select(F.lit("reason").alias("section"), "key", "n",
-                          F.round(F.lit(100.0) * F.col("n") / queued, 6).alias("percent")))
+                          F.round(F.try_divide(F.lit(100.0) * F.col("n"), queued), 6).alias("percent")))
     overall = q.agg(F.count(F.lit(1)).alias("n")).select(
         F.lit("queue").alias("section"), F.lit("all").alias("key"), "n",
-        F.round(F.lit(100.0) * F.col("n") / total, 6).alias("percent"))
+        F.round(F.try_divide(F.lit(100.0) * F.col("n"), total), 6).alias("percent"))
     return overall.unionByName(by_reason)
 
 
@@ -153,7 +153,7 @@ def cache_hit_rate(log: DataFrame, key_col: str = "input_key", by: Sequence[str]
     f = cache_flags(log, key_col)
     g = f.groupBy(*by) if by else f
     return (g.agg(F.count(F.lit(1)).alias("requests"), F.count_if("cache_hit").alias("hits"))
-             .withColumn("hit_rate", F.round(F.col("hits") / F.col("requests"), 6)))
+             .withColumn("hit_rate", F.round(F.try_divide(F.col("hits"), F.col("requests")), 6)))
 
 
 def before_after(df: DataFrame, answer_col: str, phase_col: str, value_col: str | None = None,
@@ -170,10 +170,9 @@ def before_after(df: DataFrame, answer_col: str, phase_col: str, value_col: str
                     F.coalesce(F.col(f"{a}_n"), F.lit(0)).alias(f"n_{a}"),
                     *([F.round(f"{b}_mean_value", 6).alias(f"mean_{b}"),
                        F.round(f"{a}_mean_value", 6).alias(f"mean_{a}")] if value_col else []))
-    out = (out.withColumn(f"share_{b}", F.col(f"n_{b}") / totals[b])
-              .withColumn(f"share_{a}", F.col(f"n_{a}") / totals[a]))
-    change = F.when(F.col(f"share_{b}") == 0, F.lit(None)).otherwise(
-        (F.col(f"share_{a}") - F.col(f"share_{b}")) / F.col(f"share_{b}") * 100)
+    out = (out.withColumn(f"share_{b}", F.try_divide(F.col(f"n_{b}"), totals[b]))
+              .withColumn(f"share_{a}", F.try_divide(F.col(f"n_{a}"), totals[a])))
+    change = F.try_divide(F.col(f"share_{a}") - F.col(f"share_{b}"), F.col(f"share_{b}")) * 100
     return (out.withColumn("change_pct", F.round(change, 6))
                .withColumn(f"share_{b}", F.round(F.col(f"share_{b}") * 100, 6))
                .withColumn(f"share_{a}", F.round(F.col(f"share_{a}") * 100, 6)))

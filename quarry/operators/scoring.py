@@ -82,10 +82,11 @@ def validation_summary(results: DataFrame, score_col: str = "coverage_score", la
     if tokens_col:
         aggs.append(F.sum(tokens_col).alias("total_tokens"))
     out = results.agg(*aggs).withColumn(
-        "pass_rate", F.col("passed_tests") / F.col("total_tests") * 100)
+        "pass_rate", F.try_divide(F.col("passed_tests"), F.col("total_tests")) * 100)
     if tokens_col and total_time is not None:
         t = total_time if isinstance(total_time, Column) else F.lit(float(total_time))
-        out = out.withColumn("tokens_per_second", F.when(t > 0, F.col("total_tokens") / t).otherwise(F.lit(0.0)))
+        out = out.withColumn("tokens_per_second", F.when(t > 0, F.try_divide(F.col("total_tokens"), t))
+                             .otherwise(F.lit(0.0)))
     return out
 
 
@@ -119,7 +120,7 @@ def keyword_score(results: DataFrame, suite_col: str = "suite", hit_col: str = "
     tot = results.agg(F.count(F.lit(1)).alias("tests"), F.sum(h).alias("hits")) \
                  .select(F.lit(overall_label).alias("suite"), "tests", "hits")
     both = per.unionByName(tot)
-    return both.withColumn("score", F.col("hits") / F.col("tests")).withColumn("tier", tier("score"))
+    return both.withColumn("score", F.try_divide(F.col("hits"), F.col("tests"))).withColumn("tier", tier("score"))
 
 
 def consistency(runs: DataFrame, prompt_col: str = "prompt", output_col: str = "output") -> DataFrame:

@@ -53,7 +53,7 @@ def distribution(df: DataFrame, col: str, count_col: str = "n", pct_col: str = "
         total = F.sum(count_col).over(Window.partitionBy())
     else:
         total = df.select(F.count(F.lit(1))).scalar()
-    return (g.withColumn(pct_col, _r(F.lit(100.0) * F.col(count_col) / total))
+    return (g.withColumn(pct_col, _r(F.try_divide(F.lit(100.0) * F.col(count_col), total)))
              .orderBy(F.col(count_col).desc(), F.col(col)))
 
 
@@ -110,7 +110,7 @@ def min_length_sweep(df: DataFrame, len_col: str = "n_tokens",
         k=len(thresholds), pairs=", ".join(f"{t}, _c{t}" for t in thresholds))
     return (row.selectExpr("_total", stack)
                .select(F.col("threshold").cast("int"), F.col("passing"),
-                       _r(F.lit(100.0) * F.col("passing") / F.col("_total")).alias("percent"),
+                       _r(F.try_divide(F.lit(100.0) * F.col("passing"), F.col("_total"))).alias("percent"),
                        (F.col("passing") >= F.lit(min_rows)).alias("ok")))
 
 
@@ -141,9 +141,9 @@ def quality_checks(df: DataFrame, text_col: str = "text", len_col: str = "n_toke
                      F.lit(float(MIN_MEAN_LENGTH)).alias("threshold"),
                      F.coalesce(F.col("mean_len") > MIN_MEAN_LENGTH, F.lit(False)).alias("ok")),
             F.struct(F.lit("domain_percent").alias("check"),
-                     _r(F.lit(100.0) * F.col("domain_rows") / F.col("rows")).alias("value"),
+                     _r(F.try_divide(F.lit(100.0) * F.col("domain_rows"), F.col("rows"))).alias("value"),
                      F.lit(float(MIN_DOMAIN_PERCENT)).alias("threshold"),
-                     F.coalesce(F.lit(100.0) * F.col("domain_rows") / F.col("rows") > MIN_DOMAIN_PERCENT,
+                     F.coalesce(F.try_divide(F.lit(100.0) * F.col("domain_rows"), F.col("rows")) > MIN_DOMAIN_PERCENT,
                                 F.lit(False)).alias("ok")),
             F.struct(F.lit("rows_without_text").alias("check"), F.col("no_text").cast("double").alias("value"),
                      F.lit(0.0).alias("threshold"), (F.col("no_text") == 0).alias("ok")),
@@ -156,7 +156,7 @@ def domain_relevance(df: DataFrame, text_col: str = "text", by: str = "lang",
     """P11 rolled up: rows with any keyword, per group, with percent."""
     hit = has_any(text_col, keywords)
     return (df.groupBy(by).agg(F.count(F.lit(1)).alias("rows"), F.count_if(hit).alias("domain_rows"))
-              .withColumn("percent", _r(F.lit(100.0) * F.col("domain_rows") / F.col("rows"))))
+              .withColumn("percent", _r(F.try_divide(F.lit(100.0) * F.col("domain_rows"), F.col("rows")))))
 
 
 def explode_tokens(df: DataFrame, id_col: str, text_col: str = "text", out: str = "token") -> DataFrame:
@@ -182,7 +182,7 @@ def term_share(corpus: DataFrame, terms: DataFrame, text_col: str = "text", id_c
     counts = (toks.join(tl, term_col, "left_semi")                       # keep term tokens only
                   .groupBy(term_col).agg(F.count(F.lit(1)).alias("occurrences")))
     out = tl.join(counts, term_col, "left").withColumn("occurrences", F.coalesce("occurrences", F.lit(0)))
-    share = F.col("occurrences") / total
+    share = F.try_divide(F.col("occurrences"), total)
     return out.select(term_col, "occurrences", _r(F.lit(100.0) * share).alias("percent"),
                       (share < F.lit(rare_share)).alias("rare"))
 

@@ -97,11 +97,11 @@ def error_columns(df: DataFrame, vec_col: str = "embedding", deq_col: str = "deq
     v = F.transform(F.col(vec_col), lambda x: x.cast("double"))
     d = F.col(deq_col)
     diff = F.zip_with(v, d, lambda a, b: a - b)
-    mse = _sum(F.transform(diff, lambda e: e * e)) / F.size(v)
+    mse = F.try_divide(_sum(F.transform(diff, lambda e: e * e)), F.size(v))
     dot = _sum(F.zip_with(v, d, lambda a, b: a * b))
     nv = F.sqrt(_sum(F.transform(v, lambda a: a * a)))
     nd = F.sqrt(_sum(F.transform(d, lambda a: a * a)))
-    cos = F.when((nv == 0) | (nd == 0), F.lit(None)).otherwise(dot / (nv * nd))
+    cos = F.try_divide(dot, nv * nd)
     return (df.withColumn("mse", mse).withColumn("cosine", cos)
               .withColumn("max_error", F.array_max(F.transform(diff, lambda e: F.abs(e)))))
 

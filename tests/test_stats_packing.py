@@ -115,3 +115,19 @@ def test_global_index_skewed_keys_many_buckets(spark):
     df = spark.range(0, 3000).select((F.pow(F.col("id"), 3) + F.col("id")).cast("long").alias("k")).repartition(5)
     got = sorted((r.k, r.idx) for r in pk.global_index(df, "k", n_buckets=200).collect())
     assert [i for _, i in got] == list(range(3000))
+
+
+def test_empty_inputs_do_not_divide_by_zero(spark):
+    from quarry.operators import requests as rq
+    from quarry.operators import scoring as sc
+    empty = spark.createDataFrame([], "coverage_score double, tokens_generated long")
+    r = sc.validation_summary(empty).collect()[0]
+    assert r.total_tests == 0 and r.pass_rate is None
+    docs = spark.createDataFrame([], "text string, n_tokens int")
+    assert {x.check: x.value for x in st.quality_checks(docs).collect()}["domain_percent"] is None
+    assert st.min_length_sweep(docs).count() == 4
+    ev = spark.createDataFrame([], "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, "
+                                   "props string")
+    log = rq.request_log(ev)
+    assert rq.request_panel(log).count() == 2          # total and per-day rows, no failure
+    assert rq.review_panel(log).count() == 1
