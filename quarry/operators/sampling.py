@@ -86,13 +86,21 @@ def _prefix(hash_col: str) -> Column:
 
 
 def top_per_group_salted(df: DataFrame, group_col: str, quotas, hash_col: str, tie_col: str,
-                         rank_col: str = "rank", salts: int = 64) -> DataFrame:
+                         rank_col: str = "rank", salts: int | None = None) -> DataFrame:
     """Exact per-group top-q in one pass over ``df`` (for inputs that are costly to recompute).
 
     First a window over (group, salt) keeps at most q rows per salt, which
     spreads a hot group over ``salts`` tasks; then a window over the group
     ranks at most ``q * salts`` survivors. ``quotas``: dict or (group_col, _quota) table.
+    ``salts`` defaults to the session's shuffle partition count (16..4096), so a
+    hot group is spread as widely as the shuffle itself.
     """
+    if salts is None:
+        try:
+            salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        except Exception:  # pragma: no cover
+            salts = 64
+        salts = max(16, min(4096, salts))
     if isinstance(quotas, DataFrame):
         # a quota table may be data-derived: AQE broadcasts it only if it is small at run time
         qdf = quotas.select(group_col, F.col("_quota").cast("long"))
