@@ -69,21 +69,33 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+SPREAD_BYTES_PER_TASK = 64 << 10
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over the session's cores when the scan has fewer splits than cores.
+    """Round-robin the rows over more tasks when the scan has fewer splits than it should.
 
     A table stored as one row group is read by one task, and every per-row
     expression after it (regexes over whole texts) would run on one core.
-    The split count is known at planning time; a large table with many splits
-    is left alone (no extra shuffle). Filters and column pruning still reach
-    the scan below the repartition.
+    Split count and size estimate are known at planning time; the target is
+    about 64 KB of (compressed) input per task, capped at the session's cores:
+    per-row work here is CPU-bound (regexes, array math), a tiny table stays in
+    one task, and a large table (many splits) is left alone.
+    Filters and column pruning still reach the scan below the repartition.
     """
     try:
-        par = df.sparkSession.sparkContext.defaultParallelism
-        n = df.rdd.getNumPartitions()
-    except Exception:  # pragma: no cover - Spark Connect has no RDD API
+        spark = df.sparkSession
+        par = spark.sparkContext.defaultParallelism
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        files = len(df.inputFiles())
+        max_split = int(str(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728")).rstrip("b"))
+    except Exception:  # pragma: no cover - Spark Connect has no JVM handle
         return df
-    return df.repartition(par) if n < par else df
+    # Splits holding data: at least one per file, one per maxPartitionBytes (a file with a single
+    # row group reports several byte-range splits, but only one of them reads rows).
+    have = max(files, -(-size // max(max_split, 1)))
+    want = min(par, max(1, -(-size // SPREAD_BYTES_PER_TASK)))
+    return df.repartition(want) if have < want else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
