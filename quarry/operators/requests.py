@@ -115,14 +115,21 @@ def request_panel(log: DataFrame) -> DataFrame:
     return by_status.unionByName(by_reason).unionByName(totals).unionByName(per_day)
 
 
-def review_reason(log: DataFrame, threshold: float = REVIEW_CONFIDENCE) -> Column:
-    """T3/A19 routing rule: failed, else confidence under the threshold, else null (publish)."""
-    return (F.when(F.col("status") == "failed", F.lit("failed"))
-             .when(F.col("confidence") < F.lit(threshold), F.lit("low_confidence")))
-
-
-def review_panel(log: DataFrame, threshold: float = REVIEW_CONFIDENCE) -> DataFrame:
-    """Review queue size and share, split by reason."""
+def review_reason(log: DataFrame, threshold: float = REVIEW_CONFIDENCE, added_col: str | None = "n_added") -> Column:
+    """T3/A19 routing rule: failed, else confidence under the threshold, else terms added by the
+    output (when the log carries an added-terms count, see U3), else null (publish)."""
+    r = (F.when(F.col("status") == "failed", F.lit("failed"))
+          .when(F.col("confidence") < F.lit(threshold), F.lit("low_confidence")))
+    if added_col and added_col in log.columns:
+        r = r.when(F.col(added_col) > 0, F.lit("added_terms"))
+    return r
+
+
+def review_panel(log: DataFrame, threshold: float = REVIEW_CONFIDENCE,
+                 decisions: DataFrame | None = None) -> DataFrame:
+    """Review queue size and share, split by reason; with a reviewer decision table
+    ``(request_id, decision)`` ('approved' / 'revised') also the approval and revision rates
+    among reviewed items."""
     total = log.select(F.count(F.lit(1))).scalar()
     r = log.withColumn("review_reason", review_reason(log, threshold))
     q = r.filter(F.col("review_reason").isNotNull())
@@ -133,7 +140,15 @@ def review_panel(log: DataFrame, threshold: float = REVIEW_CONFIDENCE) -> DataFr
     overall = q.agg(F.count(F.lit(1)).alias("n")).select(
         F.lit("queue").alias("section"), F.lit("all").alias("key"), "n",
         F.round(F.try_divide(F.lit(100.0) * F.col("n"), total), 6).alias("percent"))
-    return overall.unionByName(by_reason)
+    out = overall.unionByName(by_reason)
+    if decisions is not None:
+        d = q.select("request_id").join(decisions.select("request_id", "decision"), "request_id")
+        reviewed = d.select(F.count(F.lit(1))).scalar()
+        rates = (d.groupBy(F.col("decision").alias("key")).agg(F.count(F.lit(1)).alias("n"))
+                  .select(F.lit("decision").alias("section"), "key", "n",
+                          F.round(F.try_divide(F.lit(100.0) * F.col("n"), reviewed), 6).alias("percent")))
+        out = out.unionByName(rates)
+    return out
 
 
 def cache_flags(log: DataFrame, key_col: str = "input_key") -> DataFrame:

@@ -131,3 +131,19 @@ def test_empty_inputs_do_not_divide_by_zero(spark):
     log = rq.request_log(ev)
     assert rq.request_panel(log).count() == 2          # total and per-day rows, no failure
     assert rq.review_panel(log).count() == 1
+
+
+def test_review_panel_decisions_and_added_terms(spark):
+    from quarry.operators import requests as rq
+    ev = spark.createDataFrame(
+        [(1, "2024-01-01 00:00:00", 1, "error", 1.0, '{"k": 1}'), (2, "2024-01-01 00:01:00", 1, "view", 1.0, '{"k": 50}'),
+         (3, "2024-01-01 00:02:00", 2, "view", 1.0, '{"k": 1}'), (4, "2024-01-01 00:03:00", 3, "view", 1.0, '{"k": 2}')],
+        "event_id long, ts string, user_id long, event_type string, value double, props string"
+    ).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    log = rq.request_log(ev).withColumn("n_added", F.when(F.col("request_id") == 3, 2).otherwise(0))
+    dec = spark.createDataFrame([(1, "approved"), (2, "revised"), (3, "approved")], "request_id long, decision string")
+    rows = {(r.section, r.key): (r.n, r.percent) for r in rq.review_panel(log, decisions=dec).collect()}
+    assert rows[("queue", "all")] == (3, 75.0)
+    assert rows[("reason", "failed")][0] == 1 and rows[("reason", "low_confidence")][0] == 1
+    assert rows[("reason", "added_terms")][0] == 1
+    assert rows[("decision", "approved")] == (2, round(200 / 3, 6)) and rows[("decision", "revised")][0] == 1
