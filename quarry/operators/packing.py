@@ -112,11 +112,14 @@ def _pack_walk(max_length: int, min_length: int):
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
         out_cols = {"pack_id": [], "member": [], "pos": []}
         if pdf.empty or not bool(pdf["_active"].iloc[0]):
-            return pd.DataFrame({"pack_id": pd.Series([], dtype="int64"),
+            return pd.DataFrame({"shard": pd.Series([], dtype="int64"), "pack_id": pd.Series([], dtype="int64"),
                                  "member": pd.Series([], dtype="int64"),
                                  "pos": pd.Series([], dtype="int32")})
         pdf = pdf.sort_values("key", kind="mergesort")
         budget = int(pdf["_budget"].iloc[0])
+        if "_shard" in pdf.columns:                    # this shard's share of the global budget
+            n, i = int(pdf["_nshards"].iloc[0]), int(pdf["_shard"].iloc[0])
+            budget = budget // n + (1 if i < budget % n else 0)
         keys = pdf["key"].to_numpy()
         c = pdf["chars"].to_numpy(dtype=np.int64) + 1          # text + " "
         t = pdf["ntok"].to_numpy(dtype=np.int64)
@@ -137,7 +140,9 @@ def _pack_walk(max_length: int, min_length: int):
                 pack_id += 1
                 made += 1
             start = j
-        return pd.DataFrame({"pack_id": pd.Series(out_cols["pack_id"], dtype="int64"),
+        shard = int(pdf["_shard"].iloc[0]) if "_shard" in pdf.columns else 0
+        return pd.DataFrame({"shard": pd.Series([shard] * len(out_cols["pack_id"]), dtype="int64"),
+                             "pack_id": pd.Series(out_cols["pack_id"], dtype="int64"),
                              "member": pd.Series(out_cols["member"], dtype="int64"),
                              "pos": pd.Series(out_cols["pos"], dtype="int32")})
     return walk
@@ -145,7 +150,8 @@ def _pack_walk(max_length: int, min_length: int):
 
 def pack_short(df: DataFrame, key: str = "doc_id", text_col: str = "text",
                max_length: int = DEFAULT_MAX_LENGTH, min_length: int = MIN_TOKENS,
-               max_samples: int = DEFAULT_MAX_SAMPLES, pack_min: int = PACK_MIN_TOKENS) -> DataFrame:
+               max_samples: int = DEFAULT_MAX_SAMPLES, pack_min: int = PACK_MIN_TOKENS,
+               n_shards: int = 1) -> DataFrame:
     """Packs of short texts, in key order.
 
     Packing runs only when fewer than ``max_samples // 2`` texts were kept;
@@ -154,6 +160,11 @@ def pack_short(df: DataFrame, key: str = "doc_id", text_col: str = "text",
     and kept when it has at least ``min_length`` tokens; packing stops when
     kept texts plus packs reach ``max_samples``; the unfinished tail is dropped.
 
+    ``n_shards = 1`` is the sequential rule over all candidates in key order.
+    With more shards (ours), candidates are split by a hash of the key and each
+    shard packs its own candidates in key order with its share of the budget,
+    in parallel; which texts meet in a pack then depends on the shard.
+
     Returns one row per pack: ``pack_id, first_doc, last_doc, n_texts,
     n_tokens, chars, text``.
     """
@@ -170,11 +181,26 @@ def pack_short(df: DataFrame, key: str = "doc_id", text_col: str = "text",
     kept = routed.filter(F.col("route") == "keep").select(F.count(F.lit(1))).scalar()
     bound = max(max_samples, 0) * texts_per_pack_bound(max_length, pack_min)
     narrow = routed.filter(F.col("route") == "pack").select("key", "chars", "ntok")
-    cand = (head_by_order(narrow, bound, "key")                # proven bound, see module notes
-                  .withColumn("_budget", F.lit(max_samples) - kept)
-                  .withColumn("_active", kept < F.lit(max_samples // 2)))
-    members = cand.groupBy(F.lit(0).alias("_shard")).applyInPandas(
-        _pack_walk(max_length, min_length), "pack_id long, member long, pos int")
+    schema = "shard long, pack_id long, member long, pos int"
+    if n_shards <= 1:
+        cand = (head_by_order(narrow, bound, "key")            # proven bound, see module notes
+                      .withColumn("_budget", F.lit(max_samples) - kept)
+                      .withColumn("_active", kept < F.lit(max_samples // 2)))
+        members = cand.groupBy(F.lit(0).alias("_g")).applyInPandas(_pack_walk(max_length, min_length), schema)
+    else:
+        from quarry.operators.sampling import top_per_group_salted
+        per_shard = -(-max(max_samples, 0) // n_shards) * texts_per_pack_bound(max_length, pack_min)
+        sharded = narrow.withColumn("_shard", F.pmod(F.xxhash64("key"), F.lit(n_shards)))
+        cand = (top_per_group_salted(sharded, "_shard", {i: per_shard for i in range(n_shards)}, "key", "key")
+                .drop("rank")
+                .withColumn("_budget", F.lit(max_samples) - kept)
+                .withColumn("_active", kept < F.lit(max_samples // 2))
+                .withColumn("_nshards", F.lit(n_shards)))
+        members = cand.groupBy("_shard").applyInPandas(_pack_walk(max_length, min_length), schema)
+    # pack ids: with one shard the walk's ids are already 0..n-1 in key order; with several,
+    # (shard, local id) is encoded as one unique id (no second pass over the walk's output)
+    gid = F.col("pack_id") if n_shards <= 1 else F.col("shard") * F.lit(max_samples + 1) + F.col("pack_id")
+    members = members.select(gid.alias("pack_id"), "member", "pos")
     texts = df.select(F.col(key).cast("long").alias("member"), text_col)
     joined = texts.join(F.broadcast(members), "member")      # members: <= bound rows
     packed = joined.groupBy("pack_id").agg(

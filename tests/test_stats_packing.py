@@ -147,3 +147,16 @@ def test_review_panel_decisions_and_added_terms(spark):
     assert rows[("reason", "failed")][0] == 1 and rows[("reason", "low_confidence")][0] == 1
     assert rows[("reason", "added_terms")][0] == 1
     assert rows[("decision", "approved")] == (2, round(200 / 3, 6)) and rows[("decision", "revised")][0] == 1
+
+
+def test_pack_short_sharded_invariants(spark):
+    texts = [(i, " ".join(["w%d" % j for j in range(50 + (i * 37) % 150)])) for i in range(300)]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    got = pk.pack_short(df, max_length=600, min_length=250, max_samples=12, n_shards=3).collect()
+    assert 0 < len(got) <= 12
+    assert len({r.pack_id for r in got}) == len(got)
+    assert all(r.chars > 1200 and r.n_tokens >= 250 for r in got)
+    spans = [(r.first_doc, r.last_doc, r.n_texts) for r in got]
+    assert sum(n for _, _, n in spans) <= len(texts)           # every text used at most once overall
+    one = pk.pack_short(df, max_length=600, min_length=250, max_samples=12, n_shards=1).collect()
+    assert len(one) == 12
