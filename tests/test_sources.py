@@ -81,3 +81,13 @@ def test_load_test_cases_document(spark):
     assert results.load_test_cases(spark, d).count() == 7
     assert [r.id for r in results.load_test_cases(spark, d, head=5).orderBy("case_pos").collect()] == \
         ["c0", "c1", "c2", "c3", "c4"]
+
+
+def test_load_source_observes_shortfall(spark, caplog):
+    from pyspark.sql import Observation
+    reg = {"a": registry.SourceEntry("t", text_column="text")}
+    df = spark.createDataFrame([(i, "x" * (40 + i)) for i in range(30)], "doc_id long, text string")
+    obs = Observation("load_a")
+    rows = registry.load_source(spark, reg, "a", 20, lambda n: df, observation=obs).collect()
+    assert registry.warn_shortfall("a", obs, 20) == len(rows) == 19
+    assert "Only loaded 19 samples" in caplog.text
