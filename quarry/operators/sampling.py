@@ -15,6 +15,13 @@ source's hash order, so the top ``q`` of the candidates is the true top ``q``
 whenever at least ``min(q, n)`` candidates survive. A second branch re-reads
 only the sources that came up short (normally none; AQE then prunes the
 branch because its broadcast side is empty), which keeps the result exact.
+Inputs that are costly to recompute use ``top_per_group_salted`` instead:
+one pass, ranked first per (group, salt), then per group over the survivors.
+
+Plain ``orderBy(..).limit(n)`` merges up to partitions x n rows in one task;
+``head_by_order`` and ``sample_seeded`` use it only when that product is
+small and otherwise pre-cut the input (an exact quantile cut of the key, or
+the uniform-hash cut above).
 """
 
 from __future__ import annotations
@@ -294,12 +301,6 @@ def dedupe_overlap(df: DataFrame, text_col: str = "text", source_col: str = "sou
               .filter(F.col("copies") > 1))
 
 
-def disjoint_hash(key: str, seed: int, source: str) -> Column:
-    """U4 option ``disjoint=True``: salt the sample hash with the source name, so two
-    sources drawing from one table with the same seed no longer take the same prefix."""
-    return F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}|"), F.lit(source)))
-
-
 def apply_quota_disjoint(df: DataFrame, source_col: str, quotas: Mapping, seed: int, key: str = "doc_id",
                          rank_col: str = "rank") -> DataFrame:
     """J6 with per-source salted hashes (U4 ``disjoint``): the draw of each source is still seeded."""
