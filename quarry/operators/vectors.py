@@ -7,8 +7,10 @@ Plain round-to-nearest per group of ``group_size`` consecutive elements:
   ``q = clamp(round(x / scale) + zero, 0, 2^bits - 1)``
 
 Everything is a higher-order array expression on the row (``transform``,
-``slice``, ``array_max``, ``zip_with``, ``aggregate``): no UDF, no shuffle;
-the report is one grouped aggregate per setting.
+``slice``, ``array_max``, ``zip_with``, ``aggregate``): no UDF, no shuffle.
+The report explodes the (small, literal) list of settings onto each vector,
+so the table is scanned once for all settings, and aggregates per setting with
+partial aggregation.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ def _c(x) -> Column:
 
 
 def quantize_expr(v: Column, bits, group_size, sym) -> Column:
-    """Struct ``(codes, scales, zeros, dequant)`` of a double array ``v``.
+    """Struct ``(codes, scales, zeros)`` of a double array ``v``.
 
     ``bits``, ``group_size`` and ``sym`` may be literals or columns, so one
     scan can evaluate many settings (see ``quant_report``).
