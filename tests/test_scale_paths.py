@@ -1,0 +1,37 @@
+"""The at-scale branches (pre-cut top-k, hash-cut samples) forced on small tables must give the
+same answers as DuckDB: they are only taken when partitions x n is large, so at test scale they
+would otherwise stay untested end to end."""
+
+import os
+import sys
+
+import duckdb
+import pytest
+
+sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
+
+import __spark_entry__ as E  # noqa: E402
+from check_oracle import rows_of  # noqa: E402
+from quarry.operators import sampling  # noqa: E402
+from quarry.session import TABLES  # noqa: E402
+
+SF = "/root/testdata/sf0.01"
+AFFECTED = ["mix_distribution", "mix_scaled", "preset_mix", "source_sample", "registry_load", "eval_texts",
+            "preview", "backfill", "pack_short", "build_calibration"]
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    return con
+
+
+@pytest.mark.parametrize("name", AFFECTED)
+def test_forced_scale_path_matches_oracle(spark, duck, name, monkeypatch):
+    monkeypatch.setattr(sampling, "TOPK_MERGE_ROWS", 1)
+    df = E.queries()[name](spark, SF)
+    cur = duck.execute(E.oracle_sql()[name])
+    dcols = [d[0] for d in cur.description]
+    assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(dcols, cur.fetchall())
