@@ -113,3 +113,15 @@ def test_preset_mix_skips_unknown_and_relabels_stand_in(spark):
     assert by["PMC-Patients (radiology-filtered)"] <= by["PMC-Patients"]      # same seed: a prefix
     with __import__("pytest").raises(ValueError):
         prepare_preset_mix("nonexistent", tables)
+
+
+def test_threshold_fallback_branch_keeps_exactness(spark, monkeypatch):
+    from pyspark.sql import Window
+    d = docs(spark, n=4000).withColumn("_h", F.md5(F.concat(F.col("doc_id").cast("string"), F.lit("|7"))))
+    q = {"a": 300, "b": 40, "c": 5}
+    w = Window.partitionBy("lang").orderBy("_h", "doc_id")
+    want = {r.doc_id for r in d.withColumn("r", F.row_number().over(w)).collect() if r.r <= q[r.lang]}
+    monkeypatch.setattr(sm, "CUT_SIGMAS", -10.0)       # cut far too small: every group comes up short
+    monkeypatch.setattr(sm, "CUT_EXTRA", -200.0)
+    got = {r.doc_id for r in sm.top_per_group(d, "lang", q, "_h", "doc_id").collect()}
+    assert got == want
