@@ -11,7 +11,8 @@ count); ``approx=True`` switches to ``percentile_approx`` for float domains
 with unbounded resolution.
 
 Concurrency (W7) needs a running sum over the whole timeline. Instead of one
-un-partitioned window it uses time buckets: every +1 (start) / -1 (end) event
+un-partitioned window it uses time buckets (width adapted to about a million
+events per bucket): every +1 (start) / -1 (end) event
 lands in the bucket of its own time, the carry-in of a bucket is the sum of all
 earlier buckets' deltas (a running sum over one row per bucket), and the running
 sum inside a bucket is a window partitioned by bucket. Exact, and each task
@@ -201,22 +202,47 @@ def concurrency_events(log: DataFrame) -> DataFrame:
     ).select("e.*")
 
 
-def active_counts(log: DataFrame, bucket_us: int = 3600 * US) -> DataFrame:
-    """Active request count right after every start/end event (exact, bucketed)."""
-    ev = concurrency_events(log).withColumn("_b", F.floor(F.col("t") / F.lit(bucket_us)).cast("long"))
+# Target number of +1/-1 events per time bucket of the concurrency sweep.
+EVENTS_PER_BUCKET = 1_000_000
+
+
+def active_counts(log: DataFrame, bucket_us: int | None = None,
+                  events_per_bucket: int = EVENTS_PER_BUCKET) -> DataFrame:
+    """Active request count right after every start/end event (exact, bucketed).
+
+    Without ``bucket_us`` the bucket width adapts to the data: the time span is
+    cut into at least four buckets per shuffle partition and enough buckets
+    that one holds about ``events_per_bucket`` events on average (two scalar
+    aggregates), so a busy period never becomes one huge task.
+    """
+    ev = concurrency_events(log)
+    if bucket_us is None:
+        try:
+            parts = int(log.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        except Exception:  # pragma: no cover
+            parts = 200
+        span = ev.select(F.max("t") - F.min("t") + 1).scalar()
+        n = ev.select(F.count(F.lit(1))).scalar()
+        # at least 4 buckets per shuffle partition, at most ~events_per_bucket events each
+        buckets = F.greatest(F.lit(4 * parts), F.ceil(F.try_divide(n, F.lit(events_per_bucket))))
+        width = F.greatest(F.lit(1).cast("long"), F.ceil(F.try_divide(span, buckets)).cast("long"))
+    else:
+        width = F.lit(int(bucket_us)).cast("long")
+    ev = ev.withColumn("_b", F.floor(F.col("t") / width).cast("long"))
     sums = ev.groupBy("_b").agg(F.sum("delta").alias("_s"))
     carry = sums.withColumn("_carry", F.coalesce(F.sum("_s").over(
         Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    carry = F.broadcast(carry.select("_b", "_carry"))       # one row per bucket of time
+    carry = carry.select("_b", "_carry")              # one row per bucket: small; AQE broadcasts it
     w = Window.partitionBy("_b").orderBy("t", "delta").rowsBetween(Window.unboundedPreceding, 0)
     return (ev.join(carry, "_b")
               .withColumn("active", F.col("_carry") + F.sum("delta").over(w))
               .drop("_carry"))
 
 
-def concurrency(log: DataFrame, bucket_us: int = 3600 * US) -> DataFrame:
+def concurrency(log: DataFrame, bucket_us: int | None = None,
+                events_per_bucket: int = EVENTS_PER_BUCKET) -> DataFrame:
     """Maximum simultaneous requests and the mean/max active count seen at arrivals."""
-    a = active_counts(log, bucket_us)
+    a = active_counts(log, bucket_us, events_per_bucket)
     starts = F.col("is_start") == 1
     return a.agg(F.max("active").alias("max_concurrent"),
                  F.round(F.avg(F.when(starts, F.col("active"))), 6).alias("mean_active_at_arrival"),

@@ -160,3 +160,13 @@ def test_pack_short_sharded_invariants(spark):
     assert sum(n for _, _, n in spans) <= len(texts)           # every text used at most once overall
     one = pk.pack_short(df, max_length=600, min_length=250, max_samples=12, n_shards=1).collect()
     assert len(one) == 12
+
+
+def test_concurrency_bucket_width_does_not_change_result(spark):
+    from quarry.operators import requests as rq
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    log = rq.request_log(ev)
+    a = rq.concurrency(log).collect()[0]
+    b = rq.concurrency(log, events_per_bucket=7).collect()[0]          # many tiny buckets
+    c = rq.concurrency(log, bucket_us=3600 * 1_000_000).collect()[0]
+    assert a == b == c
