@@ -21,6 +21,14 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+# -- 1: quality -------------------------------------------------------------------------
+
+@query("op1_quality")
+def op1_quality(spark, sf_dir):
+    from quarry.llm.quality import quality_scores
+    return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 # -- 5: near duplicates -----------------------------------------------------------------
 
 NEAR_SQL = r"""
