@@ -59,3 +59,11 @@ FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN low USING (doc_id)
 def op5_near_duplicates(spark, sf_dir):
     from quarry.llm.near_dup import near_duplicates
     return near_duplicates(read(spark, sf_dir, "documents"), words=3, percent=85)
+
+
+# -- 7: toxicity ------------------------------------------------------------------------
+
+@query("op7_toxicity")
+def op7_toxicity(spark, sf_dir):
+    from quarry.llm.toxicity import toxicity_scores
+    return toxicity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
