@@ -67,3 +67,11 @@ def op5_near_duplicates(spark, sf_dir):
 def op7_toxicity(spark, sf_dir):
     from quarry.llm.toxicity import toxicity_scores
     return toxicity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+# -- 10: sharding -----------------------------------------------------------------------
+
+@query("op10_sharding")
+def op10_sharding(spark, sf_dir):
+    from quarry.llm.sharding import shard_documents
+    return shard_documents(read(spark, sf_dir, "documents"))
