@@ -12,10 +12,11 @@
    ``SIGMAS`` standard deviations) are not verified.
 4. Verification on the full shingle sets, exact integer arithmetic.
 
-Groups of any size stay linear where links are found: round one compares each
+Groups of any size stay linear where links are found. Round one compares each
 member of a bucket with the bucket's smallest id only. Round two takes the
-buckets in which more than one component is left and compares members of
-different components, in blocks of bounded size; a pair is produced by its
+buckets in which more than one component is left, in blocks of bounded size, and
+verifies a spanning forest of the pairs that the sketches allow. Round three
+verifies every such pair that is still between two components, produced by its
 first common band only. So no link is lost, no bucket goes whole into one task,
 and members that are already connected are not paired again.
 """
@@ -33,11 +34,11 @@ from quarry.llm.common import SPACE, U64, map_groups, mix64, rows_with_ids, shin
 from quarry.llm.graph import components
 from quarry.session import cut_lineage
 
-BINS = 2048
+BINS = 8192
 BITS = 4096
 SIGMAS = 4.5
 MISS = 1e-6
-BLOCK = 2048
+BLOCK = 512
 
 
 def band_plan(percent: int) -> tuple[int, int]:
@@ -67,16 +68,24 @@ def signature(shingles: np.ndarray, bands: int, rows: int) -> tuple[np.ndarray,
 
 
 def xor_limit(n_a, n_b, percent: int):
-    """Largest XOR population count of the sketches of two sets of these sizes at the threshold."""
+    """Largest XOR population count of the sketches of two sets of these sizes at the threshold.
+
+    An element of the symmetric difference changes the sample of its own bin
+    only: one sample, or two where the other set has one there. So the samples
+    differ by no more than the difference of the sets plus those extra ones; for
+    sets much larger than ``BINS`` the mean over bins is the smaller bound.
+    Parity can only hide differences.
+    """
     j = percent / 100
     union = (n_a + n_b) / (1 + j)
+    apart = (1 - j) * union                                     # most elements that a linked pair differs by
+    both = -np.expm1(-np.minimum(n_a, n_b) / BINS)              # the other set has a sample in the bin, too
+    small = apart * (1 + both) + SIGMAS * np.sqrt(apart * both * (1 - both))
     used = BINS * -np.expm1(-union / BINS)                      # bins that hold a hash of the union
-    both = -np.expm1(-np.minimum(n_a, n_b) / BINS)              # the other set has a sample there, too
-    mean = (1 - j) * used * (1 + both)
-    dev = np.sqrt(used * j * (1 - j) * np.maximum(0, 1 - used / union)) * (1 + both) + 1
-    worst = mean + SIGMAS * dev
+    large = (1 + both) * ((1 - j) * used + SIGMAS * np.sqrt(used * j * (1 - j)))
+    worst = np.minimum(small, large) + 1
     odd = BITS / 2 * -np.expm1(-2 * worst / BITS)
-    return odd + SIGMAS * (np.sqrt(2 * worst ** 2 / BITS) + 1)
+    return np.minimum(worst, odd + SIGMAS * np.sqrt(2) * worst / np.sqrt(BITS) + 1)
 
 
 def _sketch_rows(words: int, bands: int, rows: int):
@@ -132,10 +141,46 @@ def _linked(percent: int):
     return run
 
 
+def _cross_forest(percent: int):
+    """A spanning forest of the pairs that the sketches allow, most similar first, components counting as connected.
+
+    Prim's method over one block pair of a bucket: fewer pairs than rows.
+    """
+    def run(g: pd.DataFrame):
+        ids, n = g["id"].to_numpy(), g["n"].to_numpy(float)
+        _, comp = np.unique(g["comp"].to_numpy(), return_inverse=True)
+        if comp.max() == 0:
+            return None
+        odd = np.frombuffer(b"".join(g["odd"]), U64).reshape(len(g), -1)
+        near = np.full(len(g), np.inf)                  # smallest allowed count to the tree, and to whom
+        to = np.zeros(len(g), int)
+        left = np.ones(len(g), bool)
+        found = []
+        while left.any():
+            i = int(np.argmin(np.where(left, near, np.inf)))
+            if not left[i] or not np.isfinite(near[i]):
+                i = int(np.flatnonzero(left)[0])        # a new tree
+            elif near[i] >= 0:
+                found.append((ids[i], ids[to[i]]))
+            left[i] = False
+            j = np.flatnonzero(left)
+            if not len(j):
+                break
+            z = np.bitwise_count(odd[i] ^ odd[j]).sum(axis=1).astype(float)
+            ok = (z <= xor_limit(n[i], n[j], percent)) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
+            z = np.where(comp[j] == comp[i], -1.0, np.where(ok, z, np.inf))
+            closer = z < near[j]
+            near[j[closer]], to[j[closer]] = z[closer], i
+        if not found:
+            return None
+        p = np.sort(np.array(found, dtype=np.int64), axis=1)
+        return pd.DataFrame({"a": p[:, 0], "b": p[:, 1]})
+    return run
+
+
 def _cross_pairs(percent: int):
-    """Pairs of different components in one block pair of a bucket, by their first common band, sketches allowing."""
+    """All pairs of different components in one block pair of a bucket that the sketches allow, by their first common band."""
     def run(g: pd.DataFrame):
-        g = g.sort_values("id", kind="stable")
         key, lo, hi = g["key"].iat[0], g["lo"].iat[0], g["hi"].iat[0]
         ids, comp, blk = g["id"].to_numpy(), g["comp"].to_numpy(), g["blk"].to_numpy()
         n = g["n"].to_numpy(float)
@@ -143,11 +188,8 @@ def _cross_pairs(percent: int):
         keys = np.vstack(g["bands"].to_numpy())
         odd = np.frombuffer(b"".join(g["odd"]), U64).reshape(len(g), -1)
         found = []
-        rows = np.flatnonzero(blk == lo)
         other = np.flatnonzero(blk == hi)
-        for i in rows:
-            if ids[i] == pivot:
-                continue
+        for i in np.flatnonzero((blk == lo) & (ids != pivot)):
             j = other[other > i] if lo == hi else other
             j = j[(comp[j] != comp[i]) & (ids[j] != pivot)]
             j = j[100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])]
@@ -210,19 +252,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     first = cut_lineage(links(pairs))
     comp = components(first)
 
-    # round two: what is still apart within a bucket
-    apart = member.where("size > 2").join(comp, "id", "left").withColumn("comp", F.coalesce("component", "id"))
-    apart = cut_lineage(apart.select("id", "key", "pivot", "size", "comp"))
-    cross = apart.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 < c2").select("key")
-    blocks = F.ceil(F.col("size") / BLOCK)
-    split = (apart.join(cross, "key")
-             .withColumn("blk", F.pmod(F.xxhash64("id"), blocks))
-             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-             .select("id", "key", "pivot", "comp", "blk", F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi")))
-    pairs2 = map_groups(split.join(reps, "id"), ["key", "lo", "hi"], [], _cross_pairs(percent), "a long, b long")
-    pairs2 = cut_lineage(pairs2)
-    if pairs2.limit(1).count():
-        comp = components(first.union(links(pairs2)))
+    def split(comp: DataFrame) -> DataFrame:
+        """Members of the buckets that hold more than one component, dealt to pairs of blocks."""
+        apart = member.where("size > 2").join(comp, "id", "left").withColumn("comp", F.coalesce("component", "id"))
+        apart = cut_lineage(apart.select("id", "key", "pivot", "size", "comp"))
+        cross = apart.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 < c2").select("key")
+        blocks = F.ceil(F.col("size") / BLOCK)
+        return (apart.join(cut_lineage(cross), "key")
+                .withColumn("blk", F.pmod(F.xxhash64("id"), blocks))
+                .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+                .select("id", "key", "pivot", "comp", "blk", F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi"))
+                .join(reps, "id"))
+
+    # rounds two and three: what is still apart within a bucket, first as forests, then every pair left
+    for pick in (_cross_forest, _cross_pairs):
+        more = cut_lineage(map_groups(split(comp), ["key", "lo", "hi"], ["id"], pick(percent), "a long, b long").distinct())
+        if more.limit(1).count():
+            first = cut_lineage(first.union(links(more)))
+            comp = components(first)
 
     of = cut_lineage(classes.join(comp.withColumnRenamed("id", "rep"), "rep", "left")
                      .select("set", F.coalesce("component", "rep").alias("component_id")))
