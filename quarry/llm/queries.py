@@ -75,3 +75,11 @@ def op7_toxicity(spark, sf_dir):
 def op10_sharding(spark, sf_dir):
     from quarry.llm.sharding import shard_documents
     return shard_documents(read(spark, sf_dir, "documents"))
+
+
+# -- 6: mixing --------------------------------------------------------------------------
+
+@query("op6_mixing")
+def op6_mixing(spark, sf_dir):
+    from quarry.llm.mixing import mix_report
+    return mix_report(read(spark, sf_dir, "documents"))
