@@ -83,3 +83,11 @@ def op10_sharding(spark, sf_dir):
 def op6_mixing(spark, sf_dir):
     from quarry.llm.mixing import mix_report
     return mix_report(read(spark, sf_dir, "documents"))
+
+
+# -- 4: fingerprints --------------------------------------------------------------------
+
+@query("op4_fingerprints")
+def op4_fingerprints(spark, sf_dir):
+    from quarry.llm.fingerprint import neighbour_fingerprints
+    return neighbour_fingerprints(read(spark, sf_dir, "documents"))
