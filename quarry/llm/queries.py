@@ -91,3 +91,37 @@ def op6_mixing(spark, sf_dir):
 def op4_fingerprints(spark, sf_dir):
     from quarry.llm.fingerprint import neighbour_fingerprints
     return neighbour_fingerprints(read(spark, sf_dir, "documents"))
+
+
+# -- 3: benchmark decontamination -------------------------------------------------------
+
+LEAK_SQL = r"""
+WITH w AS (
+  SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark),
+t AS (SELECT side, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM w),
+sh AS (SELECT side, id, len(w) - 4 AS m, unnest(range(0, len(w) - 4)) AS pos,
+              unnest(list_transform(range(1, len(w) - 3), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] || ' ' || w[i + 4])) AS s
+       FROM t WHERE len(w) >= 5),
+item AS (SELECT id AS item_id, m, s, count(*) AS c FROM sh WHERE side = 'b' GROUP BY ALL),
+hit AS (SELECT d.id AS doc_id, i.item_id, i.m, d.m AS n, d.pos, d.s, i.c FROM sh d JOIN item i ON d.side = 'd' AND d.s = i.s),
+span AS (SELECT *, CASE WHEN m < n THEN m ELSE n END AS w FROM hit),
+win AS (SELECT DISTINCT doc_id, item_id, m, n, w, unnest(range(greatest(0, pos - w + 1), least(pos, n - w) + 1)) AS start FROM span),
+cnt AS (SELECT win.doc_id, win.item_id, win.m, win.w, start, hit.s, count(*) AS k, min(hit.c) AS c
+        FROM win JOIN hit ON hit.doc_id = win.doc_id AND hit.item_id = win.item_id AND hit.pos >= start AND hit.pos < start + win.w
+        GROUP BY win.doc_id, win.item_id, win.m, win.w, start, hit.s),
+sim AS (SELECT doc_id, item_id, m, w, start, sum(least(k, c)) AS b, w + m - sum(least(k, c)) AS u FROM cnt GROUP BY doc_id, item_id, m, w, start),
+best AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY b / u DESC, start) AS r FROM sim WHERE 100 * b >= 80 * u)
+SELECT doc_id, item_id, (b / u)::DOUBLE AS similarity, start::BIGINT AS start_word, (w + 4)::BIGINT AS n_words FROM best WHERE r = 1
+UNION ALL
+SELECT doc_id, item_id, 1.0, min(p)::BIGINT, len(bw)::BIGINT
+FROM (SELECT d.id AS doc_id, b.id AS item_id, d.w AS dw, b.w AS bw, unnest(range(0, len(d.w) - len(b.w) + 1)) AS p
+      FROM t b JOIN t d ON b.side = 'b' AND d.side = 'd' AND len(b.w) BETWEEN 1 AND 4) AS x
+WHERE list_slice(dw, p + 1, p + len(bw)) = bw GROUP BY doc_id, item_id, bw
+"""
+
+
+@query("op3_decontamination", LEAK_SQL)
+def op3_decontamination(spark, sf_dir):
+    from quarry.llm.decontaminate import contaminated
+    return contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("bits")
