@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quarry.llm import licenses
 from quarry.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +126,10 @@ WHERE list_slice(dw, p + 1, p + len(bw)) = bw GROUP BY doc_id, item_id, bw
 def op3_decontamination(spark, sf_dir):
     from quarry.llm.decontaminate import contaminated
     return contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("bits")
+
+
+# -- 2: licenses ------------------------------------------------------------------------
+
+@query("op2_licenses", licenses.report_sql())
+def op2_licenses(spark, sf_dir):
+    return licenses.license_report(read(spark, sf_dir, "documents"))
