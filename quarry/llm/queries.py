@@ -133,3 +133,11 @@ def op3_decontamination(spark, sf_dir):
 @query("op2_licenses", licenses.report_sql())
 def op2_licenses(spark, sf_dir):
     return licenses.license_report(read(spark, sf_dir, "documents"))
+
+
+# -- 9: HTML ----------------------------------------------------------------------------
+
+@query("op9_html")
+def op9_html(spark, sf_dir):
+    from quarry.llm.html_text import extract
+    return extract(read(spark, sf_dir, "pages"))
