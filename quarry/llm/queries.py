@@ -141,3 +141,11 @@ def op2_licenses(spark, sf_dir):
 def op9_html(spark, sf_dir):
     from quarry.llm.html_text import extract
     return extract(read(spark, sf_dir, "pages"))
+
+
+# -- 8: secrets -------------------------------------------------------------------------
+
+@query("op8_secrets")
+def op8_secrets(spark, sf_dir):
+    from quarry.llm.secrets import secret_findings
+    return secret_findings(read(spark, sf_dir, "documents"))
