@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
+import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,59 +54,50 @@ def build_session(master: str | None = None, app: str = "quarry",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins. Only when it is unset (local tests) a
-    fresh scratch folder is created and registered.
+    The cluster's setting always wins. Only a local session (tests) may leave it
+    unset and gets a fresh scratch folder; elsewhere that would put checkpoints
+    on the disks of single machines, so it is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
-    if not d:
-        d = tempfile.mkdtemp(prefix="quarry-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    try:
+        if not re.match(r"local(\[|$)", spark.conf.get("spark.master", None) or ""):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        d = _LOCAL_FOLDERS.get(spark.sparkContext.applicationId)
+        if d is None:
+            d = _LOCAL_FOLDERS[spark.sparkContext.applicationId] = tempfile.mkdtemp(prefix="quarry-ckpt-")
+            atexit.register(shutil.rmtree, d, ignore_errors=True)
+    if spark.sparkContext.applicationId not in _REGISTERED:
         spark.sparkContext.setCheckpointDir(d)
-    except Exception:  # pragma: no cover - Spark Connect has no SparkContext
-        pass
+        _REGISTERED.add(spark.sparkContext.applicationId)
     return d
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (never local)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-SPREAD_BYTES_PER_TASK = 64 << 10
+_LOCAL_FOLDERS: dict[str, str] = {}
+_REGISTERED: set[str] = set()
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over more tasks when the scan has fewer splits than it should.
+@contextmanager
+def scratch(spark: SparkSession, name: str):
+    """A fresh folder inside the shared checkpoint folder, removed at the end of the block.
 
-    A table stored as one row group is read by one task, and every per-row
-    expression after it (regexes over whole texts) would run on one core.
-    Split count and size estimate are known at planning time; the target is
-    about 64 KB of (compressed) input per task, capped at the session's cores:
-    per-row work here is CPU-bound (regexes, array math), a tiny table stays in
-    one task, and a large table (many splits) is left alone.
-    Filters and column pruning still reach the scan below the repartition.
+    What outlives the block must be written elsewhere or pass ``cut_lineage``.
     """
+    folder = os.path.join(checkpoint_dir(spark), "scratch", f"{name}-{uuid.uuid4().hex}")
     try:
-        spark = df.sparkSession
-        par = spark.sparkContext.defaultParallelism
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        files = len(df.inputFiles())
-        max_split = int(str(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728")).rstrip("b"))
-    except Exception:  # pragma: no cover - Spark Connect has no JVM handle
-        return df
-    # Splits holding data: at least one per file, one per maxPartitionBytes (a file with a single
-    # row group reports several byte-range splits, but only one of them reads rows).
-    have = max(files, -(-size // max(max_split, 1)))
-    want = min(par, max(1, -(-size // SPREAD_BYTES_PER_TASK)))
-    return df.repartition(want) if have < want else df
+        yield folder
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the shared checkpoint folder (never local)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 _SHIPPED: set[str] = set()
@@ -114,7 +110,6 @@ def ship_package(spark: SparkSession) -> None:
     ``mapInPandas``) call this; a cluster deployment that installs the package
     on the executors does not need it, and it is harmless there.
     """
-    import shutil
     try:
         app = spark.sparkContext.applicationId
     except Exception:  # pragma: no cover - Spark Connect
