@@ -171,17 +171,15 @@ def best_under(runs: DataFrame, quality_col: str, bound_col: str, bound: float,
     return ok.agg(pick(F.struct(*cols), order).alias("_b")).select("_b.*")
 
 
-def round_robin(df: DataFrame, items: DataFrame, order_col: str, item_order_col: str,
-                n_buckets: int | None = None) -> DataFrame:
+def round_robin(df: DataFrame, items: DataFrame, order_col: str, item_order_col: str) -> DataFrame:
     """Row i (in ``order_col`` order) gets item ``i % k`` (items in ``item_order_col`` order).
 
-    The row index comes from ``global_index`` (no un-partitioned window); the
-    item side is indexed the same way and joined on ``idx % k``.
+    Both sides are numbered by ``global_index`` (no un-partitioned window) and joined on ``idx % k``.
     """
     from quarry.operators.packing import global_index
     k = items.select(F.count(F.lit(1))).scalar()
-    it = global_index(items, item_order_col, n_buckets, "item_pos")
-    rows = global_index(df, order_col, n_buckets).withColumn("item_pos", F.pmod(F.col("idx"), k))
+    it = global_index(items, item_order_col, "item_pos")
+    rows = global_index(df, order_col).withColumn("item_pos", F.pmod(F.col("idx"), k))
     return rows.join(it, "item_pos")
 
 

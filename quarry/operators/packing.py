@@ -1,91 +1,46 @@
 """Batches, routing and packing of short texts.
 
-W1 needs a global row index. An un-partitioned ``row_number()`` would pull
-every row into one task, so ``global_index`` uses two passes: rows are put in
-range buckets of the order key (boundaries: approximate quantiles, one
-aggregate; the number of buckets grows with the input), each bucket's size is
-counted (a partial aggregate), bucket offsets are a running sum over one row
-per bucket, and the index is ``offset + row_number() over (partition by bucket
-order by key)``. Only narrow columns need to travel.
-
-W2 is sequential by definition (a buffer that resets). Two facts bound it:
-packing stops after ``max_samples`` sequences in total, and every candidate
-text has at least ``pack_min`` tokens, hence at least ``2*pack_min`` characters
-with its separator, so one pack consumes at most ``2*max_length // (2*pack_min) + 1``
-texts. Only that many leading candidates (narrow: key, characters, tokens)
-can ever be read, which is a TakeOrderedAndProject of a proven size; one
-Python task then walks them with numpy prefix sums. Pack texts are rebuilt
-afterwards by a broadcast join of the (bounded) membership table.
+W1 needs a global row index. ``global_index`` deals the rows to ranges of the
+order key with Spark's range partitioner (it samples a bounded number of keys
+per task), writes them to the checkpoint folder, counts each range, sums the
+counts (one row per range) and numbers the rows within their range.
+
+W2 is sequential by definition: a buffer of texts that resets. It runs per shard
+(the key modulo ``n_shards``), each shard sorted by key and streamed through one
+task with the open buffer carried from batch to batch, so memory holds one pack
+and one batch whatever the shard's size. Every candidate is read; a pack that is
+thrown away (too few tokens) costs no budget. The members' texts are attached
+by a join on the key.
 """
 
 from __future__ import annotations
 
-import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.text import MIN_TOKENS, PACK_MIN_TOKENS, route_by_length, token_count, truncate_tokens
+from quarry.session import cut_lineage, ship_package
 
 # Calibration defaults.
 DEFAULT_MAX_LENGTH = 2048
 DEFAULT_MAX_SAMPLES = 512
 
 
-def _n_buckets(df: DataFrame) -> int:
-    """Buckets grow with the input (two per input split), between 64 and 100,000."""
-    try:
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # pragma: no cover - Spark Connect
-        parts = 64
-    return max(64, min(100_000, 2 * parts))
+def global_index(df: DataFrame, order_col: str, idx_col: str = "idx") -> DataFrame:
+    """0-based position of every row in ``order_col`` order (``order_col`` unique, any orderable type)."""
+    ranged = cut_lineage(df.repartitionByRange(F.col(order_col)).withColumn("_b", F.spark_partition_id()))
+    sizes = ranged.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"), F.min(order_col).alias("_first"))
+    before = Window.orderBy("_first").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))   # one row per range
+    w = Window.partitionBy("_b").orderBy(order_col)
+    return (ranged.join(offsets, "_b").withColumn(idx_col, F.col("_off") + F.row_number().over(w) - 1)
+                  .drop("_b", "_off"))
 
 
-def _count_le(bounds: Column, k: Column) -> Column:
-    """How many elements of ``bounds`` are <= ``k`` (lambdas see only their own arguments)."""
-    return F.aggregate(F.zip_with(bounds, F.array_repeat(k, F.size(bounds)),
-                                  lambda x, y: F.when(x <= y, 1).otherwise(0)),
-                       F.lit(0), lambda acc, v: acc + v)
-
-
-def global_index(df: DataFrame, order_col: str, n_buckets: int | None = None, idx_col: str = "idx") -> DataFrame:
-    """0-based position of every row in ``order_col`` order (``order_col`` unique and orderable).
-
-    Bucket boundaries are approximate quantiles of the key (one aggregate), so
-    buckets stay balanced whatever the key distribution, and their number grows
-    with the input so that a bucket stays a few splits' worth of rows. A row's
-    bucket (the number of boundaries at or below its key) is found in two
-    levels: every ``s``-th boundary first, then the ``s - 1`` boundaries inside
-    that stretch (``s = sqrt(buckets)``), so about ``2 sqrt(buckets)``
-    comparisons per row. Exactness does not depend on the boundaries, only
-    balance does.
-    """
-    import math
-    k = F.col(order_col)
-    nb = n_buckets or _n_buckets(df)
-    step = max(1, math.isqrt(nb))
-    qs = [i / nb for i in range(1, nb)]
-    bounds = df.select(F.array_sort(F.array_distinct(F.percentile_approx(k, qs, max(10_000, 10 * nb))))).scalar()
-    b = (df.withColumn("_bounds", bounds)                     # subquery value as a column first
-           .withColumn("_coarse", F.filter("_bounds", lambda x, i: (i + 1) % step == 0)))
-    c = _count_le(F.col("_coarse"), k)
-    b = b.withColumn("_c", c)
-    seg = F.slice("_bounds", F.col("_c") * step + 1, step - 1) if step > 1 else F.array().cast("array<long>")
-    b = (b.withColumn("_b", F.col("_c") * step + _count_le(seg, k))
-          .drop("_bounds", "_coarse", "_c"))
-    sizes = b.groupBy("_b").agg(F.count(F.lit(1)).alias("_sz"))
-    offsets = sizes.withColumn(
-        "_off", F.sum("_sz").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)))
-    offsets = F.broadcast(offsets.select("_b", F.coalesce("_off", F.lit(0)).alias("_off")))  # <= n_buckets rows
-    w = Window.partitionBy("_b").orderBy(k)
-    return (b.join(offsets, "_b")
-             .withColumn(idx_col, F.col("_off") + F.row_number().over(w) - 1)
-             .drop("_b", "_off"))
-
-
-def assign_batches(df: DataFrame, size: int, order_col: str, n_buckets: int | None = None) -> DataFrame:
+def assign_batches(df: DataFrame, size: int, order_col: str) -> DataFrame:
     """Consecutive slices of ``size`` rows in ``order_col`` order (``batch_id`` 0-based)."""
-    return (global_index(df, order_col, n_buckets)
+    return (global_index(df, order_col)
             .withColumn("batch_id", F.floor(F.col("idx") / F.lit(size)).cast("long")))
 
 
@@ -102,49 +57,28 @@ def truncated(df: DataFrame, text_col: str = "text", max_length: int = DEFAULT_M
     return df.withColumn(text_col, truncate_tokens(text_col, max_length))
 
 
-def texts_per_pack_bound(max_length: int, pack_min: int) -> int:
-    return (2 * max_length) // (2 * pack_min) + 1
-
-
-def _pack_walk(max_length: int, min_length: int):
+def _pack_stream(max_length: int, min_length: int):
+    """Walks (shard, key, chars, ntok, budget) rows sorted by shard and key; yields the members of kept packs."""
     limit = 2 * max_length
 
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        out_cols = {"pack_id": [], "member": [], "pos": []}
-        if pdf.empty or not bool(pdf["_active"].iloc[0]):
-            return pd.DataFrame({"shard": pd.Series([], dtype="int64"), "pack_id": pd.Series([], dtype="int64"),
-                                 "member": pd.Series([], dtype="int64"),
-                                 "pos": pd.Series([], dtype="int32")})
-        pdf = pdf.sort_values("key", kind="mergesort")
-        budget = int(pdf["_budget"].iloc[0])
-        if "_shard" in pdf.columns:                    # this shard's share of the global budget
-            n, i = int(pdf["_nshards"].iloc[0]), int(pdf["_shard"].iloc[0])
-            budget = budget // n + (1 if i < budget % n else 0)
-        keys = pdf["key"].to_numpy()
-        c = pdf["chars"].to_numpy(dtype=np.int64) + 1          # text + " "
-        t = pdf["ntok"].to_numpy(dtype=np.int64)
-        pc = np.concatenate([[0], np.cumsum(c)])
-        pt = np.concatenate([[0], np.cumsum(t)])
-        start, pack_id, made = 0, 0, 0
-        n = len(keys)
-        while start < n and made < budget:
-            # first end j (exclusive) with chars(start..j-1) > limit
-            j = int(np.searchsorted(pc, pc[start] + limit, side="right"))
-            if j > n:
-                break                                          # unfinished tail: dropped
-            ntok = min(int(pt[j] - pt[start]), max_length)
-            if ntok >= min_length:
-                out_cols["pack_id"].extend([pack_id] * (j - start))
-                out_cols["member"].extend(keys[start:j].tolist())
-                out_cols["pos"].extend(range(j - start))
-                pack_id += 1
-                made += 1
-            start = j
-        shard = int(pdf["_shard"].iloc[0]) if "_shard" in pdf.columns else 0
-        return pd.DataFrame({"shard": pd.Series([shard] * len(out_cols["pack_id"]), dtype="int64"),
-                             "pack_id": pd.Series(out_cols["pack_id"], dtype="int64"),
-                             "member": pd.Series(out_cols["member"], dtype="int64"),
-                             "pos": pd.Series(out_cols["pos"], dtype="int32")})
+    def walk(batches):
+        shard, made, chars, toks, open_ = None, 0, 0, 0, []
+        for pdf in batches:
+            out: list[tuple] = []
+            for sh, key, c, n, budget in zip(pdf["shard"], pdf["key"], pdf["chars"], pdf["ntok"], pdf["budget"]):
+                if sh != shard:                                # the unfinished tail of a shard is dropped
+                    shard, made, chars, toks, open_ = sh, 0, 0, 0, []
+                if made >= budget:
+                    continue
+                open_.append(key)
+                chars += c + 1                                 # text + " "
+                toks += n
+                if chars > limit:                              # closed: kept with enough tokens
+                    if min(toks, max_length) >= min_length:
+                        out += [(sh, made, k, i) for i, k in enumerate(open_)]
+                        made += 1
+                    chars, toks, open_ = 0, 0, []
+            yield pd.DataFrame(out, columns=["shard", "pack", "member", "pos"])
     return walk
 
 
@@ -160,50 +94,32 @@ def pack_short(df: DataFrame, key: str = "doc_id", text_col: str = "text",
     and kept when it has at least ``min_length`` tokens; packing stops when
     kept texts plus packs reach ``max_samples``; the unfinished tail is dropped.
 
-    ``n_shards = 1`` is the sequential rule over all candidates in key order.
-    With more shards (ours), candidates are split by a hash of the key and each
-    shard packs its own candidates in key order with its share of the budget,
-    in parallel; which texts meet in a pack then depends on the shard.
+    ``n_shards = 1`` is the sequential rule over all candidates. With more
+    shards, a candidate belongs to the shard ``key mod n_shards``; each shard
+    packs its candidates in key order with its share of the budget (the first
+    shards get one more), in parallel.
 
-    Returns one row per pack: ``pack_id, first_doc, last_doc, n_texts,
-    n_tokens, chars, text``.
+    Returns one row per pack: ``pack_id`` (``pack number * n_shards + shard``),
+    ``first_doc, last_doc, n_texts, n_tokens, chars, text``.
     """
-    from quarry.operators.sampling import head_by_order
-    from quarry.session import cut_lineage, ship_package
     ship_package(df.sparkSession)
-    # One tokenizing pass over the texts; the narrow routing table is checkpointed (reliable,
-    # shared folder) so the kept count, the candidate cut and the walk all read it instead of
-    # re-tokenizing every text.
+    # one tokenizing pass; the narrow routing table is read by the kept count and by the walk
     routed = cut_lineage(route(df.select(key, text_col), text_col, max_length, min_length, pack_min)
                          .select(F.col(key).cast("long").alias("key"), "route",
                                  F.length(text_col).cast("long").alias("chars"),
                                  token_count(text_col).cast("long").alias("ntok")))
     kept = routed.filter(F.col("route") == "keep").select(F.count(F.lit(1))).scalar()
-    bound = max(max_samples, 0) * texts_per_pack_bound(max_length, pack_min)
-    narrow = routed.filter(F.col("route") == "pack").select("key", "chars", "ntok")
-    schema = "shard long, pack_id long, member long, pos int"
-    if n_shards <= 1:
-        cand = (head_by_order(narrow, bound, "key")            # proven bound, see module notes
-                      .withColumn("_budget", F.lit(max_samples) - kept)
-                      .withColumn("_active", kept < F.lit(max_samples // 2)))
-        members = cand.groupBy(F.lit(0).alias("_g")).applyInPandas(_pack_walk(max_length, min_length), schema)
-    else:
-        from quarry.operators.sampling import top_per_group_salted
-        per_shard = -(-max(max_samples, 0) // n_shards) * texts_per_pack_bound(max_length, pack_min)
-        sharded = narrow.withColumn("_shard", F.pmod(F.xxhash64("key"), F.lit(n_shards)))
-        cand = (top_per_group_salted(sharded, "_shard", {i: per_shard for i in range(n_shards)}, "key", "key")
-                .drop("rank")
-                .withColumn("_budget", F.lit(max_samples) - kept)
-                .withColumn("_active", kept < F.lit(max_samples // 2))
-                .withColumn("_nshards", F.lit(n_shards)))
-        members = cand.groupBy("_shard").applyInPandas(_pack_walk(max_length, min_length), schema)
-    # pack ids: with one shard the walk's ids are already 0..n-1 in key order; with several,
-    # (shard, local id) is encoded as one unique id (no second pass over the walk's output)
-    gid = F.col("pack_id") if n_shards <= 1 else F.col("shard") * F.lit(max_samples + 1) + F.col("pack_id")
-    members = members.select(gid.alias("pack_id"), "member", "pos")
+    rest = F.when(kept < F.lit(max_samples // 2), F.lit(max_samples) - kept).otherwise(F.lit(0))
+    shard = F.pmod("key", F.lit(n_shards))
+    cand = (routed.filter(F.col("route") == "pack")
+                  .select(shard.alias("shard"), "key", "chars", "ntok",
+                          (F.floor(rest / n_shards) + F.when(shard < F.pmod(rest, F.lit(n_shards)), 1).otherwise(0))
+                          .cast("long").alias("budget")))
+    members = (cand.repartition(n_shards, "shard").sortWithinPartitions("shard", "key")
+                   .mapInPandas(_pack_stream(max_length, min_length), "shard long, pack long, member long, pos int"))
+    members = members.select((F.col("pack") * n_shards + F.col("shard")).alias("pack_id"), "member", "pos")
     texts = df.select(F.col(key).cast("long").alias("member"), text_col)
-    joined = texts.join(F.broadcast(members), "member")      # members: <= bound rows
-    packed = joined.groupBy("pack_id").agg(
+    packed = texts.join(members, "member").groupBy("pack_id").agg(
         F.min("member").alias("first_doc"), F.max("member").alias("last_doc"),
         F.count(F.lit(1)).alias("n_texts"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", text_col))),
@@ -216,12 +132,13 @@ def pack_short(df: DataFrame, key: str = "doc_id", text_col: str = "text",
 
 def calibration_set(df: DataFrame, key: str = "doc_id", text_col: str = "text",
                     max_length: int = DEFAULT_MAX_LENGTH, min_length: int = MIN_TOKENS,
-                    max_samples: int = DEFAULT_MAX_SAMPLES, pack_min: int = PACK_MIN_TOKENS) -> DataFrame:
+                    max_samples: int = DEFAULT_MAX_SAMPLES, pack_min: int = PACK_MIN_TOKENS,
+                    n_shards: int = 1) -> DataFrame:
     """K2 core: kept texts (truncated) plus packs, as ``(kind, seq_key, n_tokens, text)``."""
     routed = route(df.select(key, text_col), text_col, max_length, min_length, pack_min)
     kept = (routed.filter(F.col("route") == "keep")
                   .select(F.lit("text").alias("kind"), F.col(key).cast("long").alias("seq_key"),
                           "n_tokens", truncate_tokens(text_col, max_length).alias("text")))
-    packs = pack_short(df, key, text_col, max_length, min_length, max_samples, pack_min)
+    packs = pack_short(df, key, text_col, max_length, min_length, max_samples, pack_min, n_shards)
     return kept.unionByName(packs.select(F.lit("pack").alias("kind"), F.col("pack_id").alias("seq_key"),
                                          "n_tokens", "text"))

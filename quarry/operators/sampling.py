@@ -4,24 +4,11 @@ Determinism comes from a hex md5 of ``key|seed`` (see ``seeded_hash``), never
 from ``rand()`` or ``df.sample``: the same seed gives the same rows under any
 partitioning.
 
-Scale design of the per-group sample (``top_per_group``): a window
-``row_number() over (partition by source order by hash)`` would send every row
-of a source to one task, and one source may hold a third of the table.
-Because the hash is uniform, the first 8 hex digits give a per-row number in
-[0, 2^32); from the exact per-source row count (a cheap partial aggregate) we
-derive a cut that keeps about ``q + 6*sqrt(q) + 64`` rows of each source, map
-side, before any shuffle. Rows under the cut are exactly a prefix of the
-source's hash order, so the top ``q`` of the candidates is the true top ``q``
-whenever at least ``min(q, n)`` candidates survive. A second branch re-reads
-only the sources that came up short (normally none; AQE then prunes the
-branch because its broadcast side is empty), which keeps the result exact.
-Inputs that are costly to recompute use ``top_per_group_salted`` instead:
-one pass, ranked first per (group, salt), then per group over the survivors.
-
-Plain ``orderBy(..).limit(n)`` merges up to partitions x n rows in one task;
-``head_by_order`` and ``sample_seeded`` use it only when that product is
-small and otherwise pre-cut the input (an exact quantile cut of the key, or
-the uniform-hash cut above).
+Top-n plans: rows are first ranked per (group, salt), where the salt is the
+task's partition number modulo ``SALTS``; Spark cuts each task's rows to the
+wanted number before the shuffle. Only the survivors, at most ``SALTS`` times the
+quota, are ranked per group. So a group that holds a third of the table is
+spread over ``SALTS`` tasks, the input is read once, and any orderable key works.
 """
 
 from __future__ import annotations
@@ -29,37 +16,23 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.text import min_chars, seeded_hash
 
-HASH_SPACE = float(2 ** 32)
-# Candidate margin of the hash cut: q + CUT_SIGMAS * sqrt(q) + CUT_EXTRA expected rows per group.
-CUT_SIGMAS = 6.0
-CUT_EXTRA = 64.0
+# Tasks that share the first ranking of one group.
+SALTS = 64
 
 # ---------------------------------------------------------------------------
-# Calibration mix presets (source -> ratio, samples; 512 rows each)
+# Calibration mix presets (samples per source, 512 rows each)
 # ---------------------------------------------------------------------------
 MIX_PRESETS = {
-    "radiology": {
-        "description": "Optimized for radiology report summarization",
-        "sources": {"pubmedqa": (0.60, 307), "pmc_patients": (0.30, 154), "custom_radiology": (0.10, 51)},
-    },
-    "general_medical": {
-        "description": "General medical Q&A and clinical reasoning",
-        "sources": {"medqa": (0.50, 256), "pubmedqa": (0.50, 256)},
-    },
-    "clinical_notes": {
-        "description": "Clinical documentation and narratives",
-        "sources": {"pmc_patients": (0.60, 307), "asclepius_notes": (0.40, 205)},
-    },
-    "balanced": {
-        "description": "Balanced mix of medical content types",
-        "sources": {"pubmedqa": (0.40, 205), "pmc_patients": (0.30, 154), "medqa": (0.30, 153)},
-    },
+    "radiology": {"pubmedqa": 307, "pmc_patients": 154, "custom_radiology": 51},
+    "general_medical": {"medqa": 256, "pubmedqa": 256},
+    "clinical_notes": {"pmc_patients": 307, "asclepius_notes": 205},
+    "balanced": {"pubmedqa": 205, "pmc_patients": 154, "medqa": 153},
 }
 DEFAULT_TOTAL = 512
 # ---------------------------------------------------------------------------
@@ -75,14 +48,6 @@ def scale_quotas(quotas: Mapping[str, int], total: int, base: int = DEFAULT_TOTA
     return {k: scale_quota(int(v), total, base) for k, v in quotas.items()}
 
 
-def scale_quota_table(mix: DataFrame, total: int, base: int = DEFAULT_TOTAL,
-                      samples_col: str = "samples") -> DataFrame:
-    """W5 on a quota table: adds ``quota = floor(samples * total / base)``."""
-    s = F.col(samples_col)
-    q = s if total == base else F.floor(s * F.lit(total) / F.lit(base)).cast("long")
-    return mix.withColumn("quota", q.cast("long"))
-
-
 def _group_literal_df(df: DataFrame, group_col: str, quotas: Mapping) -> DataFrame:
     gtype = df.schema[group_col].dataType
     schema = T.StructType([T.StructField(group_col, gtype, True),
@@ -90,154 +55,52 @@ def _group_literal_df(df: DataFrame, group_col: str, quotas: Mapping) -> DataFra
     return df.sparkSession.createDataFrame([(g, int(q)) for g, q in quotas.items()], schema)
 
 
-def _prefix(hash_col: str) -> Column:
-    """First 32 bits of a hex hash as a non-negative long."""
-    return F.conv(F.substring(F.col(hash_col), 1, 8), 16, 10).cast("long")
-
-
-def top_per_group_salted(df: DataFrame, group_col: str, quotas, hash_col: str, tie_col: str,
-                         rank_col: str = "rank", salts: int | None = None) -> DataFrame:
-    """Exact per-group top-q in one pass over ``df`` (for inputs that are costly to recompute).
-
-    First a window over (group, salt) keeps at most q rows per salt, which
-    spreads a hot group over ``salts`` tasks; then a window over the group
-    ranks at most ``q * salts`` survivors. ``quotas``: dict or (group_col, _quota) table.
-    ``salts`` defaults to the session's shuffle partition count (16..4096), so a
-    hot group is spread as widely as the shuffle itself.
-    """
-    if salts is None:
-        try:
-            salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        except Exception:  # pragma: no cover
-            salts = 64
-        salts = max(16, min(4096, salts))
-    if isinstance(quotas, DataFrame):
-        # a quota table may be data-derived: AQE broadcasts it only if it is small at run time
-        qdf = quotas.select(group_col, F.col("_quota").cast("long"))
-    else:
-        qdf = F.broadcast(_group_literal_df(df, group_col, {g: int(q) for g, q in quotas.items()}))
-    x = df.join(qdf, group_col).withColumn("_salt", F.pmod(F.xxhash64(F.col(tie_col)), F.lit(salts)))
-    w1 = Window.partitionBy(group_col, "_salt").orderBy(F.col(hash_col), F.col(tie_col))
-    first = x.withColumn("_r1", F.row_number().over(w1)).filter(F.col("_r1") <= F.col("_quota"))
-    w2 = Window.partitionBy(group_col).orderBy(F.col(hash_col), F.col(tie_col))
-    return (first.withColumn(rank_col, F.row_number().over(w2))
-                 .filter(F.col(rank_col) <= F.col("_quota"))
-                 .drop("_salt", "_r1", "_quota"))
-
-
-def top_per_group(df: DataFrame, group_col: str, quotas: Mapping, hash_col: str, tie_col: str,
+def top_per_group(df: DataFrame, group_col: str, quotas: Mapping | int, order: Sequence[str],
                   rank_col: str = "rank") -> DataFrame:
-    """Exact first ``quotas[g]`` rows of every group ``g`` in (hash, tie) order.
+    """Exact first ``quotas[g]`` rows of every group ``g`` in ``order``, ranked from 1 in ``rank_col``.
 
-    ``df`` must carry ``hash_col`` as a uniform hex string (md5). ``quotas`` is a
-    dict or a small DataFrame ``(group_col, _quota)``. Groups not in it are dropped. Adds ``rank_col`` (1-based). See the module notes
-    for the skew-safe plan.
+    ``quotas`` is a mapping (groups outside it are dropped) or one number for all
+    groups. ``order`` must be unique within a group for a reproducible result.
     """
-    if isinstance(quotas, DataFrame):
-        # Quota table (group_col, _quota): possibly data-derived, so no broadcast hint;
-        # AQE turns the joins into broadcasts when its run-time size is small.
-        qdf = quotas.select(group_col, F.col("_quota").cast("long")).filter(F.col("_quota") > 0)
-        base = df.join(qdf.select(group_col), group_col, "left_semi")
+    if isinstance(quotas, int):
+        most, quota, base = quotas, F.lit(quotas), df
     else:
         quotas = {g: int(q) for g, q in quotas.items() if int(q) > 0}
         if not quotas:
             return df.limit(0).withColumn(rank_col, F.lit(1).cast("int"))
-        qdf = F.broadcast(_group_literal_df(df, group_col, quotas))  # size = len(quotas), known here
+        most = max(quotas.values())
+        quota = F.element_at(F.create_map(*[F.lit(x) for kv in quotas.items() for x in kv]), F.col(group_col))
         base = df.filter(F.col(group_col).isin(list(quotas)))       # pushed to the scan
-    counts = base.groupBy(group_col).agg(F.count(F.lit(1)).alias("_n"))
-    frac = (F.col("_quota") + F.lit(CUT_SIGMAS) * F.sqrt(F.col("_quota")) + F.lit(CUT_EXTRA)) / F.col("_n")
-    cuts = (qdf.join(counts, group_col)
-               .select(group_col, "_quota", "_n",
-                       F.least(F.lit(HASH_SPACE), F.ceil(frac * F.lit(HASH_SPACE))).cast("long").alias("_cut")))
-    if not isinstance(quotas, DataFrame):
-        cuts = F.broadcast(cuts)                                 # at most len(quotas) rows
-    keyed = base.withColumn("_p", _prefix(hash_col))
-    cand = keyed.join(cuts, group_col).filter(F.col("_p") < F.col("_cut"))
-    got = cand.groupBy(group_col).agg(F.count(F.lit(1)).alias("_got"))
-    short = (cuts.join(got, group_col, "left")               # both sides: one row per group
-                 .filter(F.coalesce(F.col("_got"), F.lit(0)) < F.least(F.col("_quota"), F.col("_n")))
-                 .select(group_col, "_quota", "_n", "_cut"))
-    short = F.broadcast(short) if not isinstance(quotas, DataFrame) else short
-    extra = keyed.join(short, group_col).filter(F.col("_p") >= F.col("_cut"))
-    pool = cand.unionByName(extra)
-    w = Window.partitionBy(group_col).orderBy(F.col(hash_col), F.col(tie_col))
-    return (pool.withColumn(rank_col, F.row_number().over(w))
-                .filter(F.col(rank_col) <= F.col("_quota"))
-                .drop("_p", "_cut", "_quota", "_n"))
-
-
-# Above this many rows reaching the single merge task, a plain top-k is replaced by a pre-cut.
-TOPK_MERGE_ROWS = 1_000_000
-# Geometric grid of quantile levels (ratio 1.5) from 1e-12 to 1, for the key cut of ``head_by_order``.
-_GRID = []
-_g = 1e-12
-while _g < 1.0:
-    _GRID.append(_g)
-    _g *= 1.5
-_GRID.append(1.0)
-
-
-def _partitions(df: DataFrame) -> int:
-    try:
-        return df.rdd.getNumPartitions()
-    except Exception:  # pragma: no cover - Spark Connect
-        return 1 << 20
-
-
-def small_topk(df: DataFrame, n: int) -> bool:
-    """True when a TakeOrderedAndProject of ``n`` is cheap: its merge task gets at most
-    partitions x n rows, and that product is small (known at planning time)."""
-    return _partitions(df) * max(n, 1) <= TOPK_MERGE_ROWS
-
-
-def head_by_order(df: DataFrame, n: int, key: str, tie: str | None = None,
-                  accuracy: int = 100_000) -> DataFrame:
-    """First ``n`` rows in ``(key, tie)`` order, exact, without sending partitions x n rows
-    to one task.
-
-    Small inputs use a plain top-k. Otherwise one aggregate gives the row count
-    and an approximate quantile sketch of ``key`` at a geometric grid of levels;
-    the cut is the smallest grid quantile whose level covers ``n`` plus the
-    sketch's rank error (``total / accuracy``), so at least ``n`` rows lie at or
-    below it and they are a prefix of the order. Only those rows (about
-    ``1.5 n + total / accuracy``) reach the final top-k.
-    """
+    salted = base.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+    first = Window.partitionBy(group_col, "_salt").orderBy(*order)
+    kept = salted.withColumn("_r", F.row_number().over(first)).filter((F.col("_r") <= most) & (F.col("_r") <= quota))
+    last = Window.partitionBy(group_col).orderBy(*order)
+    return (kept.withColumn(rank_col, F.row_number().over(last))
+                .filter((F.col(rank_col) <= most) & (F.col(rank_col) <= quota)).drop("_salt", "_r"))
+
+
+def head_by_order(df: DataFrame, n: int, key: str, tie: str | None = None) -> DataFrame:
+    """First ``n`` rows in ``(key, tie)`` order: per salt first, so at most ``SALTS * n`` rows meet."""
     order = [key] + ([tie] if tie else [])
-    if small_topk(df, n):
-        return df.orderBy(*order).limit(n)
-    k = F.col(key)
-    total = df.select(F.count(F.lit(1))).scalar()
-    qs = df.select(F.percentile_approx(k, _GRID, accuracy)).scalar()
-    frac = (F.lit(float(n)) + total / F.lit(float(accuracy)) + F.lit(1.0)) / total
-    idx = None
-    for i, g in enumerate(_GRID):
-        idx = F.when(frac <= F.lit(g), F.lit(i + 1)) if idx is None else idx.when(frac <= F.lit(g), F.lit(i + 1))
-    idx = idx.otherwise(F.lit(len(_GRID)))
-    cut = df.sparkSession.range(1).select(F.element_at(qs, idx)).scalar()
-    return df.filter(k.isNull() | (k <= cut)).orderBy(*order).limit(n)
+    salted = df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+    w = Window.partitionBy("_salt").orderBy(*order)
+    kept = salted.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n)
+    return kept.drop("_salt", "_r").orderBy(*order).limit(n)
 
 
 def sample_seeded(df: DataFrame, n: int, seed: int, key: str = "doc_id",
                   rank_col: str = "rank") -> DataFrame:
-    """``min(n, size)`` rows without replacement, reproducible per seed.
-
-    A plain top-k when partitions x n is small; otherwise the uniform-hash cut
-    of ``top_per_group`` (about ``n + 6 sqrt(n) + 64`` candidates reach the ranking).
-    """
+    """``min(n, size)`` rows without replacement, reproducible per seed."""
     h = df.withColumn("_h", seeded_hash(key, seed))
-    if small_topk(h, n):
-        w = Window.orderBy("_h", key)
-        top = h.orderBy("_h", key).limit(n)
-        return top.withColumn(rank_col, F.row_number().over(w)).drop("_h")
-    h = h.withColumn("_g", F.lit("all"))
-    return top_per_group(h, "_g", {"all": n}, "_h", key, rank_col).drop("_h", "_g")
+    return (head_by_order(h, n, "_h", key)
+            .withColumn(rank_col, F.row_number().over(Window.orderBy("_h", key))).drop("_h"))   # n rows
 
 
 def apply_quota(df: DataFrame, source_col: str, quotas: Mapping, seed: int,
                 key: str = "doc_id", rank_col: str = "rank") -> DataFrame:
     """J6 + W3: per source, the seeded sample of ``min(quota, size)`` rows."""
     h = df.withColumn("_h", seeded_hash(key, seed))
-    return top_per_group(h, source_col, quotas, "_h", key, rank_col).drop("_h")
+    return top_per_group(h, source_col, quotas, ["_h", key], rank_col).drop("_h")
 
 
 def missing_quota_sources(df: DataFrame, source_col: str, quotas: Mapping) -> DataFrame:
@@ -253,15 +116,9 @@ def shuffle_trim(df: DataFrame, total: int, seed: int, key: str = "doc_id",
 
     ``tie`` breaks ties between copies of one key (a row drawn by two sources).
     """
-    h = df.withColumn("_s", seeded_hash(key, seed, "shuffle"))
-    order = ["_s", key] + ([tie] if tie else [])
-    if small_topk(h, total):
-        top = h.orderBy(*order).limit(total)
-    else:
-        t = h.withColumn("_tk", F.concat_ws("|", *[F.col(c).cast("string") for c in order[1:]]))
-        top = top_per_group(t.withColumn("_g", F.lit("all")), "_g", {"all": total}, "_s", "_tk", "_r") \
-            .drop("_g", "_r", "_tk")
-    return top.withColumn(pos_col, F.row_number().over(Window.orderBy(*order))).drop("_s")
+    h = df.withColumn("_s", seeded_hash(key, seed, "shuffle")).withColumn("_tie", F.struct(key, *([tie] if tie else [])))
+    top = head_by_order(h, total, "_s", "_tie")
+    return top.withColumn(pos_col, F.row_number().over(Window.orderBy("_s", "_tie"))).drop("_s", "_tie")
 
 
 def mix_union(parts: Sequence[DataFrame]) -> DataFrame:
@@ -309,4 +166,4 @@ def apply_quota_disjoint(df: DataFrame, source_col: str, quotas: Mapping, seed:
     """J6 with per-source salted hashes (U4 ``disjoint``): the draw of each source is still seeded."""
     h = df.withColumn("_h", F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}|"),
                                            F.col(source_col).cast("string"))))
-    return top_per_group(h, source_col, quotas, "_h", key, rank_col).drop("_h")
+    return top_per_group(h, source_col, quotas, ["_h", key], rank_col).drop("_h")

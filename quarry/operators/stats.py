@@ -2,8 +2,8 @@
 (A1-A4, A16, J5, P5, P15).
 
 All of these are single-pass aggregates with map-side partial aggregation; totals
-come from scalar subqueries (one value, no join). Term lists are joined by a
-broadcast whose size is bounded by the list the caller passes, never by data.
+come from the grouped rows. Term lists meet vocabulary-sized counts or token
+runs in one equi-join whose strategy Spark picks at run time.
 """
 
 from __future__ import annotations
@@ -13,9 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.functions.text import (MAX_TOKENS, MIN_TOKENS, has_any, length_class, lower_tokens,
-                                   token_count)
-from quarry.session import BROADCAST_ROW_LIMIT
+from quarry.functions.text import MAX_TOKENS, MIN_TOKENS, has_any, length_class, lower_tokens, token_count
+from quarry.session import cut_lineage
 
 # ---------------------------------------------------------------------------
 # Fixed values
@@ -39,20 +38,14 @@ def _r(c: Column, digits: int = 6) -> Column:
     return F.round(c, digits)
 
 
-def distribution(df: DataFrame, col: str, count_col: str = "n", pct_col: str = "percent",
-                 groups_bound: int | None = None) -> DataFrame:
+def distribution(df: DataFrame, col: str, count_col: str = "n", pct_col: str = "percent") -> DataFrame:
     """A1: count and percent of total per value, largest first (ties by value).
 
-    With ``groups_bound`` (a known bound on distinct values, e.g. the sources of
-    a mix) the total is a window sum over the grouped rows, so the input is
-    computed once; otherwise it is a scalar subquery, which re-reads the input
-    but never gathers an unbounded number of groups in one task.
+    The total is a window sum over the grouped rows (one row per distinct value,
+    like the sorted report itself), so the input is read once and lazily.
     """
-    g = df.groupBy(col).agg(F.count(F.lit(1)).alias(count_col))
-    if groups_bound is not None and groups_bound <= 100_000:
-        total = F.sum(count_col).over(Window.partitionBy())
-    else:
-        total = df.select(F.count(F.lit(1))).scalar()
+    g = df.groupBy(F.col(col)).agg(F.count(F.lit(1)).alias(count_col))
+    total = F.sum(count_col).over(Window.partitionBy())
     return (g.withColumn(pct_col, _r(F.try_divide(F.lit(100.0) * F.col(count_col), total)))
              .orderBy(F.col(count_col).desc(), F.col(col)))
 
@@ -77,15 +70,6 @@ def length_stats(df: DataFrame, len_col: str = "n_tokens", by: Sequence[str] = (
     return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
 
 
-def filter_by_length(df: DataFrame, len_col: str = "n_tokens", lo: int = MIN_TOKENS,
-                     hi: int = MAX_TOKENS) -> tuple[DataFrame, DataFrame]:
-    """P5: (accepted rows, class counts). Both bounds inclusive."""
-    classed = df.withColumn("length_class", length_class(len_col, lo, hi))
-    accepted = classed.filter(F.col("length_class") == "accepted").drop("length_class")
-    counts = classed.groupBy("length_class").agg(F.count(F.lit(1)).alias("n"))
-    return accepted, counts
-
-
 def length_bands(df: DataFrame, len_col: str = "n_tokens", lo: int = MIN_TOKENS,
                  hi: int = MAX_TOKENS) -> DataFrame:
     """P5 report: per class the row count, plus A2 statistics of the accepted class."""
@@ -165,22 +149,17 @@ def explode_tokens(df: DataFrame, id_col: str, text_col: str = "text", out: str
 
 
 def term_share(corpus: DataFrame, terms: DataFrame, text_col: str = "text", id_col: str = "doc_id",
-               term_col: str = "term", rare_share: float = RARE_TERM_SHARE,
-               terms_bound: int | None = None) -> DataFrame:
+               term_col: str = "term", rare_share: float = RARE_TERM_SHARE) -> DataFrame:
     """Share of each term among all tokens; absent terms get 0; rare flag.
 
-    Tokens are first reduced to the listed terms (a semi-join; the term side is
-    broadcast only when its row bound is known, otherwise AQE decides), then
-    counted with partial aggregation (a hot term costs one row per partition).
-    The token total is a sum of per-text token counts, without exploding.
+    Tokens are counted first (partial aggregation: a hot token costs one row per
+    task), so the term list meets a vocabulary-sized table, not the tokens; the
+    total is the sum of the same counts.
     """
-    total = corpus.select(F.sum(token_count(text_col))).scalar()   # no explode needed
+    counts = cut_lineage(explode_tokens(corpus, id_col, text_col, term_col)
+                         .groupBy(term_col).agg(F.count(F.lit(1)).alias("occurrences")))
+    total = counts.select(F.sum("occurrences")).scalar()
     tl = terms.select(F.lower(F.col(term_col)).alias(term_col)).distinct()
-    if terms_bound is not None and terms_bound <= BROADCAST_ROW_LIMIT:
-        tl = F.broadcast(tl)
-    toks = explode_tokens(corpus, id_col, text_col, term_col)
-    counts = (toks.join(tl, term_col, "left_semi")                       # keep term tokens only
-                  .groupBy(term_col).agg(F.count(F.lit(1)).alias("occurrences")))
     out = tl.join(counts, term_col, "left").withColumn("occurrences", F.coalesce("occurrences", F.lit(0)))
     share = F.try_divide(F.col("occurrences"), total)
     return out.select(term_col, "occurrences", _r(F.lit(100.0) * share).alias("percent"),
@@ -188,41 +167,34 @@ def term_share(corpus: DataFrame, terms: DataFrame, text_col: str = "text", id_c
 
 
 def augment_with_terms(corpus: DataFrame, terms: DataFrame, per_term: int, seed: int = 42,
-                       text_col: str = "text", id_col: str = "doc_id", term_col: str = "term",
-                       terms_bound: int | None = None) -> DataFrame:
+                       text_col: str = "text", id_col: str = "doc_id", term_col: str = "term") -> DataFrame:
     """For each term, up to ``per_term`` documents containing it (seeded choice).
 
-    Single-word terms match whole lower-cased tokens: (doc, token) pairs are
-    joined to the term list (broadcast when bounded) and de-duplicated.
-    Multi-word terms (ours: the rule is undefined) match when their words occur
-    as consecutive tokens; candidates come from an equi-join on the first word. The per-term
-    ranking is the salted two-level window (``top_per_group_salted``): one pass
-    over the hits, and a hot term is spread over many tasks before its final
-    ranking sees at most ``per_term * salts`` rows. Result: (term, doc_id, rank).
+    A term matches where its words stand as consecutive lower-cased tokens. The
+    word counts that occur in the list say which token runs to look at (a
+    handful of numbers), every text yields its distinct runs of those lengths, and one
+    join on the run finds the hits: no text travels. The per-term ranking is
+    ``top_per_group``. Result: (term, doc_id, rank).
     """
-    from quarry.operators.sampling import top_per_group_salted
+    from quarry.operators.sampling import top_per_group
     from quarry.functions.text import seeded_hash
 
-    norm_term = F.array_join(F.split(F.btrim(F.lower(F.col(term_col))), r"[ \t\n\r\f]+"), " ")
-    tl = terms.select(norm_term.alias(term_col)).filter(F.col(term_col) != "").distinct()
-    single = tl.filter(~F.col(term_col).contains(" "))
-    multi = tl.filter(F.col(term_col).contains(" ")).withColumn("_first", F.substring_index(term_col, " ", 1))
-    if terms_bound is not None and terms_bound <= BROADCAST_ROW_LIMIT:
-        single, multi = F.broadcast(single), F.broadcast(multi)
-    toks = explode_tokens(corpus, id_col, text_col, term_col)
-    hits1 = toks.join(single, term_col).distinct()      # filter to terms first, then de-duplicate
-    # multi-word terms: candidates by an equi-join on the first word, then the phrase is checked
-    # on whole tokens of those documents only (no theta join over the corpus)
-    cand = (toks.withColumnRenamed(term_col, "_first").join(multi, "_first")
-                .select(id_col, term_col).distinct())
-    phrase = corpus.select(id_col, F.concat(F.lit(" "), F.array_join(lower_tokens(text_col), " "),
-                                            F.lit(" ")).alias("_norm"))
-    hits2 = (cand.join(phrase, id_col)
-                 .filter(F.col("_norm").contains(F.concat(F.lit(" "), F.col(term_col), F.lit(" "))))
-                 .select(term_col, id_col))
-    hits = hits1.select(term_col, id_col).unionByName(hits2).withColumn("_h", seeded_hash(id_col, seed))
-    quotas = tl.withColumn("_quota", F.lit(per_term).cast("long"))
-    return top_per_group_salted(hits, term_col, quotas, "_h", id_col).drop("_h")
+    words = F.split(F.btrim(F.lower(F.col(term_col))), r"[ \t\n\r\f]+")
+    tl = cut_lineage(terms.select(F.array_join(words, " ").alias(term_col), F.size(words).alias("_k"))
+                     .filter(F.col(term_col) != "").distinct())
+    lengths = sorted(r._k for r in tl.select("_k").distinct().collect())       # distinct word counts of the terms
+    if not lengths:
+        return corpus.select(F.lit("").alias(term_col), id_col, F.lit(1).alias("rank")).limit(0)
+    toks = F.col("_t")
+
+    def runs(k: int) -> Column:
+        at = F.when(F.size(toks) >= k, F.sequence(F.lit(1), F.size(toks) - (k - 1)))
+        return F.transform(at, lambda i: F.array_join(F.slice(toks, i, k), " "))
+
+    every = F.concat(*[toks if k == 1 else F.coalesce(runs(k), F.array().cast("array<string>")) for k in lengths])
+    held = corpus.select(id_col, lower_tokens(text_col).alias("_t")).select(id_col, F.explode(F.array_distinct(every)).alias(term_col))
+    hits = held.join(tl.select(term_col), term_col).withColumn("_h", seeded_hash(id_col, seed))
+    return top_per_group(hits, term_col, per_term, ["_h", id_col]).select(term_col, id_col, "rank")
 
 
 def preview(df: DataFrame, n: int = 3, chars: int = 200, key: str = "doc_id", text_col: str = "text",

@@ -21,8 +21,8 @@ from quarry.operators.stats import distribution
 def preset_quotas(mix_name: str) -> dict[str, int]:
     """Quotas of a named preset; an unknown mix raises."""
     if mix_name not in MIX_PRESETS:
-        raise ValueError(f"Unknown mix: {mix_name}. Available: {sorted(MIX_PRESETS)}")
-    return {src: samples for src, (_ratio, samples) in MIX_PRESETS[mix_name]["sources"].items()}
+        raise ValueError(f"no mix preset named {mix_name!r}; presets: {', '.join(sorted(MIX_PRESETS))}")
+    return dict(MIX_PRESETS[mix_name])
 
 
 def prepare_mix(docs: DataFrame, quotas: Mapping[str, int], total: int = 512, seed: int = 42,
@@ -42,7 +42,7 @@ def mix_distribution(docs: DataFrame, quotas: Mapping[str, int], total: int = 51
                      source_col: str = "lang", **kw) -> DataFrame:
     """K1 result summary: A1 by source over the prepared mix."""
     mix = prepare_mix(docs, quotas, total, seed, source_col=source_col, **kw)
-    return distribution(mix, source_col, groups_bound=len(quotas))   # one group per quota source
+    return distribution(mix, source_col)
 
 
 log = logging.getLogger("quarry.mix")
@@ -79,7 +79,7 @@ def prepare_preset_mix(mix_name: str, tables: Mapping[str, tuple[DataFrame, Call
     for name, q in quotas.items():
         base, relabel = STAND_INS.get(name, (name, None))
         if base not in tables or base not in LOADER_LABELS:
-            log.warning("Unknown source: %s, skipping", name)
+            log.warning("no loader for %s: left out of the mix", name)
             skipped.append(name)
             continue
         try:
@@ -89,7 +89,7 @@ def prepare_preset_mix(mix_name: str, tables: Mapping[str, tuple[DataFrame, Call
                                  min_len_after=MIN_CHARS_CASES if base in CHAR_FILTERED else None)
             parts.append(part)
         except Exception as ex:  # noqa: BLE001 - the mix continues without this source
-            log.warning("Error loading %s: %s; skipping", name, ex)
+            log.warning("%s left out of the mix, its loader failed: %s", name, ex)
             skipped.append(name)
     if not parts:
         raise ValueError(f"No source of mix {mix_name} could be loaded")

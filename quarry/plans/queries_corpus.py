@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quarry.functions.text import COMPLEX_TERMS, UNCERTAINTY_MARKERS
+from quarry.operators.stats import MEDICAL_KEYWORDS
 from quarry.plans.catalog import ntok, register, strip
 from quarry.plans.mix import mix_distribution
 from quarry.session import table
@@ -132,7 +134,11 @@ def q_length_bands(spark, sf_dir):
     return length_bands(with_token_count(table(spark, sf_dir, "documents")))
 
 
-KW = "['patient', 'clinical', 'diagnosis', 'treatment', 'medical', 'disease', 'symptom', 'therapy']"
+def _sql_list(words) -> str:
+    return "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + "]"
+
+
+KW = _sql_list(MEDICAL_KEYWORDS)
 
 
 @register("quality_checks", TOKENS_CTE + f"""
@@ -159,9 +165,8 @@ def q_quality_checks(spark, sf_dir):
 
 
 # Keywords of the relevance query: the domain list plus stems common in the corpus languages.
-RELEVANCE_WORDS = ("patient", "clinical", "diagnosis", "treatment", "medical", "disease", "symptom",
-                   "therapy", "tion", "ment")
-RELEVANCE_SQL_LIST = "[" + ", ".join(f"'{w}'" for w in RELEVANCE_WORDS) + "]"
+RELEVANCE_WORDS = (*MEDICAL_KEYWORDS, "tion", "ment")
+RELEVANCE_SQL_LIST = _sql_list(RELEVANCE_WORDS)
 
 
 @register("domain_relevance", f"""
@@ -178,9 +183,8 @@ def q_domain_relevance(spark, sf_dir):
     return domain_relevance(table(spark, sf_dir, "documents"), keywords=RELEVANCE_WORDS)
 
 
-COMPLEX = "['bilateral', 'consolidation', 'effusion', 'pneumothorax', 'mediastinum', 'lymphadenopathy']"
-UNCERTAIN = ("['not familiar', 'don''t recognize', 'cannot find', 'no information', 'not aware', "
-             "'fictional', 'doesn''t exist', 'unable to', 'i don''t']")
+COMPLEX = _sql_list(COMPLEX_TERMS)
+UNCERTAIN = _sql_list(UNCERTAINTY_MARKERS)
 
 
 @register("readability", f"""
@@ -199,17 +203,23 @@ def q_readability(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- A16, J5
-# Term list: distinct lower-cased benchmark tokens of at least 8 characters.
+# Term list: all distinct lower-cased benchmark tokens; for the augmentation also the first three tokens
+# of every item as a phrase.
 TERMS_SQL = f"""terms AS (
   SELECT DISTINCT t AS term FROM (SELECT unnest(regexp_extract_all(lower(text), {"'[^ \\t\\n\\r\\f]+'"})) AS t
-                                  FROM benchmark) WHERE length(t) >= 8)"""
+                                  FROM benchmark))"""
 
 
 def benchmark_terms(spark, sf_dir):
     from quarry.functions.text import lower_tokens
     b = table(spark, sf_dir, "benchmark")
-    return (b.select(F.explode(lower_tokens("text")).alias("term"))
-             .filter(F.length("term") >= 8).distinct())
+    return b.select(F.explode(lower_tokens("text")).alias("term")).distinct()
+
+
+def benchmark_phrases(spark, sf_dir):
+    from quarry.functions.text import lower_tokens
+    b = table(spark, sf_dir, "benchmark").withColumn("_t", lower_tokens("text"))
+    return b.filter(F.size("_t") >= 3).select(F.array_join(F.slice("_t", 1, 3), " ").alias("term")).distinct()
 
 
 @register("term_share", f"""
@@ -229,17 +239,25 @@ def q_term_share(spark, sf_dir):
 
 @register("augment_terms", f"""
 WITH {TERMS_SQL},
+bt AS (SELECT regexp_extract_all(lower(text), {"'[^ \\t\\n\\r\\f]+'"}) AS w FROM benchmark),
+phrases AS (SELECT DISTINCT array_to_string(w[1:3], ' ') AS term FROM bt WHERE len(w) >= 3),
+every AS (SELECT term FROM terms UNION SELECT term FROM phrases),
+dw AS (SELECT doc_id, regexp_extract_all(lower(text), {"'[^ \\t\\n\\r\\f]+'"}) AS w FROM documents),
 dt AS (SELECT DISTINCT doc_id, t AS term FROM (
-         SELECT doc_id, unnest(regexp_extract_all(lower(text), {"'[^ \\t\\n\\r\\f]+'"})) AS t FROM documents)),
-hits AS (SELECT dt.term, dt.doc_id FROM dt JOIN terms USING (term)),
+         SELECT doc_id, unnest(w) AS t FROM dw
+         UNION ALL
+         SELECT doc_id, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))
+         FROM dw WHERE len(w) >= 3)),
+hits AS (SELECT dt.term, dt.doc_id FROM dt JOIN every USING (term)),
 r AS (SELECT term, doc_id, row_number() OVER (PARTITION BY term ORDER BY {_md5('doc_id', '|42')}, doc_id) AS rank
       FROM hits)
 SELECT term, doc_id, rank FROM r WHERE rank <= 3
 """)
 def q_augment_terms(spark, sf_dir):
-    """Up to 3 seeded documents per benchmark term."""
+    """Up to 3 seeded documents per benchmark word and per opening phrase of three words."""
     from quarry.operators.stats import augment_with_terms
-    return augment_with_terms(table(spark, sf_dir, "documents"), benchmark_terms(spark, sf_dir), per_term=3)
+    terms = benchmark_terms(spark, sf_dir).union(benchmark_phrases(spark, sf_dir))
+    return augment_with_terms(table(spark, sf_dir, "documents"), terms, per_term=3)
 
 
 # --------------------------------------------------------------------------- P19, P20
@@ -325,34 +343,37 @@ def q_batches(spark, sf_dir):
 
 
 PACK_MAX_SAMPLES = 100_000
+PACK_SHARDS = 8
 
 
-def pack_ctes(max_samples: int, max_length: int = 2048, min_length: int = 256, pack_min: int = 50) -> str:
-    """Recursive-CTE oracle of W2 (one shard): CTEs ``r``, ``kept``, ``c``, ``walk``, ``packs`` and
-    ``members`` (pack_id, doc_id, i) restricted to packs within the budget."""
+def pack_ctes(max_samples: int, shards: int, max_length: int = 2048, min_length: int = 256, pack_min: int = 50) -> str:
+    """Recursive-CTE oracle of W2 per shard (doc_id mod shards): CTEs ``r``, ``kept``, ``c``, ``walk``,
+    ``packs`` and ``members`` (pack_id, doc_id, i) restricted to packs within the shard's budget."""
     return f"""
 r AS (SELECT doc_id, text, least({ntok('text')}, {max_length}) AS n_tokens FROM documents),
 kept AS (SELECT count(*) AS k FROM r WHERE text IS NOT NULL AND text <> '' AND n_tokens >= {min_length}),
-c AS (SELECT row_number() OVER (ORDER BY doc_id) AS i, doc_id, text, length(text) + 1 AS ch, n_tokens
+c AS (SELECT doc_id % {shards} AS sh, row_number() OVER (PARTITION BY doc_id % {shards} ORDER BY doc_id) AS i, doc_id, text,
+             length(text) + 1 AS ch, n_tokens
       FROM r WHERE text IS NOT NULL AND text <> '' AND n_tokens >= {pack_min} AND n_tokens < {min_length}),
-walk(i, pack_start, buf, toks) AS (
-  SELECT i, i, ch, n_tokens FROM c WHERE i = 1
+walk(sh, i, pack_start, buf, toks) AS (
+  SELECT sh, i, i, ch, n_tokens FROM c WHERE i = 1
   UNION ALL
-  SELECT c.i,
+  SELECT c.sh, c.i,
          CASE WHEN w.buf > {2 * max_length} THEN c.i ELSE w.pack_start END,
          CASE WHEN w.buf > {2 * max_length} THEN c.ch ELSE w.buf + c.ch END,
          CASE WHEN w.buf > {2 * max_length} THEN c.n_tokens ELSE w.toks + c.n_tokens END
-  FROM walk w JOIN c ON c.i = w.i + 1),
-closed AS (SELECT pack_start, i AS pack_end, least(toks, {max_length}) AS n_tokens FROM walk WHERE buf > {2 * max_length}),
-packs AS (SELECT p.*, row_number() OVER (ORDER BY pack_start) - 1 AS pack_id
+  FROM walk w JOIN c ON c.sh = w.sh AND c.i = w.i + 1),
+closed AS (SELECT sh, pack_start, i AS pack_end, least(toks, {max_length}) AS n_tokens FROM walk WHERE buf > {2 * max_length}),
+packs AS (SELECT p.*, row_number() OVER (PARTITION BY sh ORDER BY pack_start) - 1 AS no
           FROM closed p WHERE n_tokens >= {min_length}),
 members AS (
-  SELECT p.pack_id, p.n_tokens, c.doc_id, c.i, c.text
-  FROM packs p JOIN c ON c.i BETWEEN p.pack_start AND p.pack_end, kept
-  WHERE kept.k < {max_samples} // 2 AND p.pack_id < {max_samples} - kept.k)"""
+  SELECT p.no * {shards} + p.sh AS pack_id, p.n_tokens, c.doc_id, c.i, c.text
+  FROM packs p JOIN c ON c.sh = p.sh AND c.i BETWEEN p.pack_start AND p.pack_end, kept
+  WHERE kept.k < {max_samples} // 2
+    AND p.no < ({max_samples} - kept.k) // {shards} + CASE WHEN p.sh < ({max_samples} - kept.k) % {shards} THEN 1 ELSE 0 END)"""
 
 
-PACK_SQL = "WITH RECURSIVE " + pack_ctes(PACK_MAX_SAMPLES) + """
+PACK_SQL = "WITH RECURSIVE " + pack_ctes(PACK_MAX_SAMPLES, PACK_SHARDS) + """
 SELECT pack_id, min(doc_id) AS first_doc, max(doc_id) AS last_doc, count(*) AS n_texts, any_value(n_tokens) AS n_tokens
 FROM members GROUP BY pack_id
 """
@@ -360,9 +381,9 @@ FROM members GROUP BY pack_id
 
 @register("pack_short", PACK_SQL)
 def q_pack_short(spark, sf_dir):
-    """W2 over all documents (budget 100,000 sequences, so packing runs at these scales)."""
+    """W2 over all documents in eight shards (budget 100,000 sequences, so packing runs at these scales)."""
     from quarry.operators.packing import pack_short
-    p = pack_short(table(spark, sf_dir, "documents"), max_samples=PACK_MAX_SAMPLES)
+    p = pack_short(table(spark, sf_dir, "documents"), max_samples=PACK_MAX_SAMPLES, n_shards=PACK_SHARDS)
     return p.select("pack_id", "first_doc", "last_doc", "n_texts", "n_tokens")
 
 
@@ -421,4 +442,4 @@ def q_preset_mix(spark, sf_dir):
     tables = {"pubmedqa": (d.filter(F.col("lang") == "en"), qa),
               "pmc_patients": (d.filter(F.col("lang") == "de"), lambda df: F.col("text"))}
     mix, _skipped = prepare_preset_mix("radiology", tables, total=512, seed=SEED)
-    return distribution(mix, "source", groups_bound=3).select("source", "n", "percent")
+    return distribution(mix, "source").select("source", "n", "percent")

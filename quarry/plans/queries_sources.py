@@ -7,7 +7,7 @@ import os
 from pyspark.sql import functions as F
 
 from quarry.plans.catalog import ntok, register, strip
-from quarry.plans.queries_corpus import pack_ctes
+from quarry.plans.queries_corpus import PACK_SHARDS, pack_ctes
 from quarry.session import table
 
 TOKRX = "'[^ \\t\\n\\r\\f]+'"
@@ -292,7 +292,10 @@ def q_report_lines(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- K2, S15
-@register("build_calibration", "WITH RECURSIVE " + pack_ctes(512) + f""",
+CALIBRATION_SAMPLES = 100_000      # well above the kept texts of the given tables, so the packing branch runs
+
+
+@register("build_calibration", "WITH RECURSIVE " + pack_ctes(CALIBRATION_SAMPLES, PACK_SHARDS) + f""",
 buf AS (SELECT pack_id, any_value(n_tokens) AS n_tokens, string_agg(text || ' ', '' ORDER BY i) AS b
         FROM members GROUP BY pack_id)
 SELECT 'text' AS kind, doc_id AS seq_key, least({ntok('text')}, 2048) AS n_tokens,
@@ -307,17 +310,17 @@ SELECT 'pack', pack_id, n_tokens,
 FROM buf
 """)
 def q_build_calibration(spark, sf_dir):
-    """K2: route, truncate, pack (only when fewer than 256 texts are kept) and a run manifest
+    """K2: route, truncate, pack (only when fewer than half the wanted texts are kept) and a run manifest
     whose sample count is observed during the write (no second scan)."""
     from pyspark.sql import Observation
     from quarry.operators.packing import calibration_set
     from quarry.sources.results import run_manifest
     out = _scratch(spark, "calibration")
-    cal = calibration_set(table(spark, sf_dir, "documents"), max_samples=512)
+    cal = calibration_set(table(spark, sf_dir, "documents"), max_samples=CALIBRATION_SAMPLES, n_shards=PACK_SHARDS)
     obs = Observation("calibration")
     cal.observe(obs, F.count(F.lit(1)).alias("num_samples"), F.avg("n_tokens").alias("avg_length")) \
        .write.mode("overwrite").parquet(os.path.join(out, "data"))
-    run_manifest(spark, {"source": "documents", "max_length": 2048, "min_length": 256, "max_samples": 512},
+    run_manifest(spark, {"source": "documents", "max_length": 2048, "min_length": 256, "max_samples": CALIBRATION_SAMPLES},
                  obs.get, os.path.join(out, "manifest"))
     back = spark.read.parquet(os.path.join(out, "data"))
     return back.select("kind", "seq_key", "n_tokens", F.sha2("text", 256).alias("text_hash"))

@@ -15,9 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
-# Above this many rows a side is never broadcast, whatever its byte estimate says.
-BROADCAST_ROW_LIMIT = 1_000_000
-
 
 def build_session(master: str | None = None, app: str = "quarry",
                   shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:

@@ -32,16 +32,17 @@ def test_quota_respected_and_min_size(spark):
     assert {r.lang: r["count"] for r in got} == {"a": 10, "b": 100}
 
 
-def test_threshold_plan_equals_plain_window(spark):
+def test_top_per_group_equals_plain_window(spark):
     from pyspark.sql import Window
-    d = docs(spark, n=5000).withColumn("_h", F.md5(F.concat(F.col("doc_id").cast("string"), F.lit("|42"))))
-    fast = {r.doc_id for r in sm.top_per_group(d, "lang", {"a": 100, "b": 1, "c": 3000}, "_h", "doc_id").collect()}
-    w = Window.partitionBy("lang").orderBy("_h", "doc_id")
+    d = docs(spark, n=5000, parts=90).withColumn("_h", F.md5(F.concat(F.col("doc_id").cast("string"), F.lit("|42"))))
     q = {"a": 100, "b": 1, "c": 3000}
-    plain = {r.doc_id for r in d.withColumn("r", F.row_number().over(w)).collect() if r.r <= q[r.lang]}
-    assert fast == plain
-    salted = {r.doc_id for r in sm.top_per_group_salted(d, "lang", q, "_h", "doc_id", salts=7).collect()}
-    assert salted == plain
+    got = {(r.doc_id, r.rank) for r in sm.top_per_group(d, "lang", q, ["_h", "doc_id"]).collect()}
+    w = Window.partitionBy("lang").orderBy("_h", "doc_id")
+    ranked = d.withColumn("r", F.row_number().over(w)).collect()
+    assert got == {(r.doc_id, r.r) for r in ranked if r.r <= q[r.lang]}
+    same = {(r.doc_id, r.rank) for r in sm.top_per_group(d, "lang", 7, ["_h", "doc_id"]).collect()}
+    assert same == {(r.doc_id, r.r) for r in ranked if r.r <= 7}
+    assert sm.top_per_group(d, "lang", {"a": 0}, ["_h"]).count() == 0
 
 
 def test_sample_seeded_prefix_property(spark):
@@ -68,22 +69,22 @@ def test_mix_result_never_refilled(spark):
     assert m2.count() == 10
 
 
-def test_head_by_order_cut_path_is_exact(spark, monkeypatch):
-    d = docs(spark, n=20000, parts=16).withColumn("k", (F.col("doc_id") * 7919) % 20011)
-    monkeypatch.setattr(sm, "TOPK_MERGE_ROWS", 10)          # force the quantile-cut path
-    got = [r.k for r in sm.head_by_order(d, 1500, "k", "doc_id").collect()]
-    want = sorted(r.k for r in d.select("k").collect())[:1500]
-    assert sorted(got) == want
-    tiny = [r.k for r in sm.head_by_order(d, 3, "k").collect()]
-    assert sorted(tiny) == want[:3]
+def test_head_by_order_is_exact_for_any_key_type(spark):
+    d = docs(spark, n=20000, parts=100).withColumn("k", (F.col("doc_id") * 7919) % 20011)
+    want = sorted(r.k for r in d.select("k").collect())
+    assert [r.k for r in sm.head_by_order(d, 1500, "k", "doc_id").collect()] == want[:1500]
+    s = d.withColumn("k", F.format_string("k%03d", "doc_id"))
+    assert [r.k for r in sm.head_by_order(s, 3, "k").collect()] == ["k000", "k001", "k002"]
 
 
-def test_sample_seeded_threshold_path(spark, monkeypatch):
-    d = docs(spark, n=3000, parts=8)
-    small = {r.doc_id for r in sm.sample_seeded(d, 100, 5).collect()}
-    monkeypatch.setattr(sm, "TOPK_MERGE_ROWS", 10)
-    big = {r.doc_id for r in sm.sample_seeded(d, 100, 5).collect()}
-    assert small == big and len(big) == 100
+def test_mix_starts_no_job_while_it_is_built(spark):
+    from quarry.plans.mix import mix_distribution
+    d = docs(spark, n=600)
+    group = "build-only"
+    spark.sparkContext.setJobGroup(group, "plan building")
+    mix_distribution(d, {"a": 30, "b": 20}, total=50, seed=1)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) == []
 
 
 def test_disjoint_quota_breaks_shared_prefix(spark):
@@ -113,15 +114,3 @@ def test_preset_mix_skips_unknown_and_relabels_stand_in(spark):
     assert by["PMC-Patients (radiology-filtered)"] <= by["PMC-Patients"]      # same seed: a prefix
     with __import__("pytest").raises(ValueError):
         prepare_preset_mix("nonexistent", tables)
-
-
-def test_threshold_fallback_branch_keeps_exactness(spark, monkeypatch):
-    from pyspark.sql import Window
-    d = docs(spark, n=4000).withColumn("_h", F.md5(F.concat(F.col("doc_id").cast("string"), F.lit("|7"))))
-    q = {"a": 300, "b": 40, "c": 5}
-    w = Window.partitionBy("lang").orderBy("_h", "doc_id")
-    want = {r.doc_id for r in d.withColumn("r", F.row_number().over(w)).collect() if r.r <= q[r.lang]}
-    monkeypatch.setattr(sm, "CUT_SIGMAS", -10.0)       # cut far too small: every group comes up short
-    monkeypatch.setattr(sm, "CUT_EXTRA", -200.0)
-    got = {r.doc_id for r in sm.top_per_group(d, "lang", q, "_h", "doc_id").collect()}
-    assert got == want
