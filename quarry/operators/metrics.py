@@ -69,7 +69,7 @@ def summary_metrics(ppl: DataFrame | None, tasks: DataFrame | None, latency: Dat
                     run_cols: Sequence[str] = ()) -> DataFrame:
     """Long table of ``ppl_<dataset>``, ``task_<task>``, unweighted ``avg_perplexity`` /
     ``avg_task_score``, and batch-1 ``latency_ms`` / ``throughput_tps`` (samples per second,
-    the historical key). Errors and non-numbers are left out.
+    the historical key). Errors and non-numbers are left out; a stage without numbers has no row.
 
     Inputs: ``ppl (dataset, perplexity[, error])``, ``tasks (task, metric)``,
     ``latency (batch_size, avg_latency_ms, throughput_samples_per_sec)``.
@@ -84,14 +84,14 @@ def summary_metrics(ppl: DataFrame | None, tasks: DataFrame | None, latency: Dat
         parts.append(p.select(*rc, F.concat(F.lit("ppl_"), F.col("dataset")).alias("metric"),
                               F.col("perplexity").cast("double").alias("value")))
         g = p.groupBy(*rc) if rc else p
-        parts.append(g.agg(F.avg("perplexity").alias("value"))
+        parts.append(g.agg(F.avg("perplexity").alias("value")).filter(F.col("value").isNotNull())
                       .select(*rc, F.lit("avg_perplexity").alias("metric"), "value"))
     if tasks is not None:
         t = tasks.filter(F.col("metric").isNotNull())
         parts.append(t.select(*rc, F.concat(F.lit("task_"), F.col("task")).alias("metric"),
                               F.col("metric").cast("double").alias("value")))
         g = t.groupBy(*rc) if rc else t
-        parts.append(g.agg(F.avg("metric").alias("value"))
+        parts.append(g.agg(F.avg("metric").alias("value")).filter(F.col("value").isNotNull())
                       .select(*rc, F.lit("avg_task_score").alias("metric"), "value"))
     if latency is not None:
         b1 = latency.filter(F.col("batch_size") == 1)
@@ -142,11 +142,12 @@ def comparison_text(cmp: DataFrame) -> DataFrame:
                        .otherwise(na).alias("delta_pct_text"))
 
 
-def latest_run(metrics: DataFrame, key: Sequence[str] | str, ts_col: str = "ts") -> DataFrame:
-    """Newest record per key (``max_by`` on the timestamp; no window, partial aggregation)."""
+def latest_run(metrics: DataFrame, key: Sequence[str] | str, order: Sequence[str] | str = "ts") -> DataFrame:
+    """Newest record per key by ``order`` (time, then an id for equal times); partial aggregation, no window."""
     keys = [key] if isinstance(key, str) else list(key)
+    order = [order] if isinstance(order, str) else list(order)
     rest = [c for c in metrics.columns if c not in keys]
-    latest = metrics.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(ts_col)).alias("_r"))
+    latest = metrics.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_r"))
     return latest.select(*keys, "_r.*")
 
 
@@ -162,13 +163,11 @@ def sweep_gain(runs: DataFrame, param_col: str, quality_col: str, time_col: str)
 
 
 def best_under(runs: DataFrame, quality_col: str, bound_col: str, bound: float,
-               lower_is_better: bool = True, key_col: str | None = None) -> DataFrame:
-    """The best setting subject to ``bound_col < bound``."""
+               lower_is_better: bool = True, key_cols: Sequence[str] = ()) -> DataFrame:
+    """The best setting subject to ``bound_col < bound``; ties go to the smallest ``key_cols``."""
     ok = runs.filter(F.col(bound_col) < F.lit(bound))
-    pick = F.min_by if lower_is_better else F.max_by
-    cols = runs.columns
-    order = F.struct(F.col(quality_col), *([F.col(key_col)] if key_col else []))
-    return ok.agg(pick(F.struct(*cols), order).alias("_b")).select("_b.*")
+    q = F.col(quality_col) if lower_is_better else -F.col(quality_col)
+    return ok.agg(F.min_by(F.struct(*runs.columns), F.struct(q, *key_cols)).alias("_b")).filter("_b is not null").select("_b.*")
 
 
 def round_robin(df: DataFrame, items: DataFrame, order_col: str, item_order_col: str) -> DataFrame:
@@ -193,27 +192,59 @@ def report_text(lines: DataFrame, key: Sequence[str] | str, pos_col: str = "pos"
         F.count(F.lit(1)).alias("n_lines"))
 
 
-def bar(score: str | Column, width: int = 40, char: str = "#") -> Column:
+def bar(score: str | Column, width: int = 40, char: str = "=") -> Column:
     """K5 text variant: a bar of ``int(score * width)`` signs."""
     n = F.floor(F.col(score) * width if isinstance(score, str) else score * width).cast("int")
     return F.repeat(F.lit(char), F.greatest(n, F.lit(0)))
 
 
+def category_bars(categories: DataFrame, category_col: str = "category", score_col: str = "score") -> DataFrame:
+    """K5 text variant: ``category | percent | bar`` lines, one per category (score 0..1)."""
+    line = F.concat(F.rpad(category_col, 25, " "), F.lit(" "), F.lpad(fmt_fixed(F.col(score_col) * 100, 1), 5, " "), F.lit("% |"), bar(score_col))
+    return categories.select(F.col(category_col), line.alias("line"))
 
-def markdown_lines(summary: DataFrame, title: str = "Evaluation Report", key: Sequence[str] = ()) -> DataFrame:
-    """K5 lines of a markdown report per key from a long metric table ``(metric, value)``:
-    a title, a summary table sorted by metric, ``%.3f`` values and ``%.2f`` latency."""
-    keys = list(key)
-    val = F.when(F.col("metric") == "latency_ms", fmt_fixed("value", 2)).otherwise(fmt_fixed("value", 3))
-    body = summary.select(*keys, F.lit(10).alias("_sec"), F.col("metric").alias("_sort"),
-                          F.concat(F.lit("| "), F.col("metric"), F.lit(" | "), F.coalesce(val, F.lit("N/A")),
-                                   F.lit(" |")).alias("line"))
-    heads = summary.select(*keys).distinct() if keys else summary.sparkSession.range(1).select()
-    head = heads.select(*keys, F.explode(F.array(
-        F.struct(F.lit(0).alias("_sec"), F.lit("").alias("_sort"), F.lit(f"# {title}").alias("line")),
-        F.struct(F.lit(1).alias("_sec"), F.lit("").alias("_sort"), F.lit("").alias("line")),
-        F.struct(F.lit(2).alias("_sec"), F.lit("").alias("_sort"), F.lit("## Summary Metrics").alias("line")),
-        F.struct(F.lit(3).alias("_sec"), F.lit("").alias("_sort"), F.lit("| Metric | Value |").alias("line")),
-        F.struct(F.lit(4).alias("_sec"), F.lit("").alias("_sort"), F.lit("|--------|-------|").alias("line")),
-    )).alias("h")).select(*keys, "h.*")
-    return head.unionByName(body).select(*keys, F.struct("_sec", "_sort").alias("pos"), "line")
+
+# Headings of the report sections, in order.
+SECTIONS = ("# Evaluation Report", "## Model Information", "## Hardware Configuration", "## Summary Metrics",
+            "## Perplexity Results", "## Task Evaluation Results", "## Latency Measurements")
+SUMMARY_HEAD = ("| Metric | Value |", "|--------|-------|")
+LATENCY_HEAD = ("| Batch Size | Latency (ms) | Throughput (samples/s) |", "|------------|-------------|------------------------|")
+
+
+def markdown_lines(summary: DataFrame, ppl: DataFrame | None = None, tasks: DataFrame | None = None, latency: DataFrame | None = None,
+                   model: dict | None = None, hardware: dict | None = None, generated: str = "N/A") -> DataFrame:
+    """K5 lines ``(pos, line)`` of a markdown report: header with the time, model, hardware, summary (three digits),
+    perplexity and task results (three digits), latency table (two digits). A section without content is left out."""
+    spark = summary.sparkSession
+
+    def fixed(sec: int, lines: Sequence[str]) -> DataFrame:
+        return spark.createDataFrame([((sec, i, ""), x) for i, x in enumerate(lines)],
+                                     "pos struct<_sec:int,_no:int,_sort:string>, line string")
+
+    def body(sec: int, rows: DataFrame, sort: Column, line: Column) -> DataFrame:
+        return rows.select(F.struct(F.lit(sec).alias("_sec"), F.lit(99).alias("_no"), sort.cast("string").alias("_sort")).alias("pos"), line.alias("line"))
+
+    def item(k: Column, v: Column) -> Column:
+        return F.concat(F.lit("- **"), k, F.lit("**: "), v)
+
+    parts = [fixed(0, [SECTIONS[0], f"Generated: {generated}"])]
+    for sec, values in ((1, model), (2, hardware)):
+        if values:
+            parts.append(fixed(sec, [SECTIONS[sec], *[f"- **{k}**: {v}" for k, v in values.items()]]))
+    parts += [fixed(3, [SECTIONS[3], *SUMMARY_HEAD]),
+              body(3, summary, F.col("metric"), F.concat(F.lit("| "), F.col("metric"), F.lit(" | "), fmt_fixed("value", 3), F.lit(" |")))]
+    if ppl is not None:
+        rows = ppl.filter(F.col("perplexity").isNotNull())
+        parts += [fixed(4, [SECTIONS[4]]), body(4, rows, F.col("dataset"), item(F.col("dataset"), fmt_fixed("perplexity", 3)))]
+    if tasks is not None:
+        rows = tasks.filter(F.col("metric").isNotNull())
+        parts += [fixed(5, [SECTIONS[5]]), body(5, rows, F.col("task"), item(F.col("task"), fmt_fixed("metric", 3)))]
+    if latency is not None:
+        cells = [F.col("batch_size").cast("string"), F.coalesce(fmt_fixed("avg_latency_ms", 2), F.lit("N/A")),
+                 F.coalesce(fmt_fixed("throughput_samples_per_sec", 2), F.lit("N/A"))]
+        parts += [fixed(6, [SECTIONS[6], *LATENCY_HEAD]),
+                  body(6, latency, F.lpad(F.col("batch_size").cast("string"), 12, "0"), F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |")))]
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.unionByName(x)
+    return out

@@ -1,9 +1,7 @@
 """Batches, routing and packing of short texts.
 
-W1 needs a global row index. ``global_index`` deals the rows to ranges of the
-order key with Spark's range partitioner (it samples a bounded number of keys
-per task), writes them to the checkpoint folder, counts each range, sums the
-counts (one row per range) and numbers the rows within their range.
+W1 needs a global row index: ``global_index``, a running count over ranges of the
+order key (see ``ranges``).
 
 W2 is sequential by definition: a buffer of texts that resets. It runs per shard
 (the key modulo ``n_shards``), each shard sorted by key and streamed through one
@@ -16,10 +14,11 @@ by a join on the key.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.text import MIN_TOKENS, PACK_MIN_TOKENS, route_by_length, token_count, truncate_tokens
+from quarry.operators.ranges import running_before
 from quarry.session import cut_lineage, ship_package
 
 # Calibration defaults.
@@ -29,13 +28,7 @@ DEFAULT_MAX_SAMPLES = 512
 
 def global_index(df: DataFrame, order_col: str, idx_col: str = "idx") -> DataFrame:
     """0-based position of every row in ``order_col`` order (``order_col`` unique, any orderable type)."""
-    ranged = cut_lineage(df.repartitionByRange(F.col(order_col)).withColumn("_b", F.spark_partition_id()))
-    sizes = ranged.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"), F.min(order_col).alias("_first"))
-    before = Window.orderBy("_first").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))   # one row per range
-    w = Window.partitionBy("_b").orderBy(order_col)
-    return (ranged.join(offsets, "_b").withColumn(idx_col, F.col("_off") + F.row_number().over(w) - 1)
-                  .drop("_b", "_off"))
+    return running_before(df.withColumn("_one", F.lit(1)), order_col, "_one", name=idx_col).drop("_one")
 
 
 def assign_batches(df: DataFrame, size: int, order_col: str) -> DataFrame:

@@ -8,10 +8,9 @@ with a null or non-finite loss are flagged per row (no exception is raised)
 and their dataset gets an ``error`` value instead of a number.
 
 A7 fits an add-one unigram model per training corpus and scores test texts.
-Test tokens are first counted per (text, token), train tokens per (corpus,
-token); the join on token is then at most one row per text-token pair on one
-side and one per corpus-token on the other. Train vocabularies grow with the
-data, so the join is a shuffle join (AQE splits a hot token), not a broadcast.
+``ngram_losses`` gives the summed loss per corpus: the test tokens of all scored
+texts are counted first, so two vocabulary-sized tables meet, no text and no
+hot token. ``ngram_text_losses`` keeps the texts apart when that is asked for.
 """
 
 from __future__ import annotations
@@ -29,7 +28,8 @@ def perplexity(losses: DataFrame, by: str = "dataset", min_padded_len: int = 2)
     n = F.when(ok, F.col("tokens"))
     samples = F.col("samples") if "samples" in losses.columns else F.lit(1)
     agg = losses.groupBy(by).agg(F.sum(lw).alias("_lw"), F.sum(n).alias("total_tokens"),
-                                 F.sum(samples).alias("num_samples"), F.count_if(ok).alias("num_batches"))
+                                 F.sum(samples).alias("num_samples"),
+                                 (F.sum("batches") if "batches" in losses.columns else F.count_if(ok)).alias("num_batches"))
     tokens = F.coalesce(F.col("total_tokens"), F.lit(0))
     loss = F.when(tokens > 0, F.col("_lw") / tokens).otherwise(F.lit(float("inf")))
     return (agg.withColumn("total_tokens", tokens).withColumn("loss", loss)
@@ -68,19 +68,33 @@ def unigram_counts(train: DataFrame, corpus_col: str, text_col: str = "text") ->
     return counts, totals
 
 
-def ngram_losses(train: DataFrame, test: DataFrame, corpus_col: str, test_id: str,
-                 datasets: list[str], text_col: str = "text") -> DataFrame:
-    """Per (training corpus, test text) the mean add-one unigram NLL and the token count.
+def ngram_losses(train: DataFrame, test: DataFrame, corpus_col: str, datasets: list[str],
+                 text_col: str = "text", min_len: int = 2) -> DataFrame:
+    """A7 summed per training corpus: ``dataset, padded_len, loss, tokens, samples, batches`` (loss per token).
 
-    With ``c`` the token's count in the corpus, ``N`` its token total and ``V``
-    its vocabulary size, a token costs ``ln(N+V) - ln(c+1)``; absent tokens
-    cost ``ln(N+V)`` only, so just the overlapping tokens need the join.
-    ``datasets`` names the training corpora to score against (a parameter, so
-    the per-corpus grid is an explode of a literal list, not a cross join).
-    Output fits A5: ``dataset, batch_id, padded_len, loss, tokens`` (batch size 1).
+    With ``c`` a token's count in the corpus, ``N`` its token total and ``V`` its
+    vocabulary size, a token costs ``ln(N+V) - ln(c+1)``; absent tokens cost
+    ``ln(N+V)``. Texts under ``min_len`` tokens are counted as samples but not
+    scored (``tokens`` of the scored ones). A corpus without training rows has a null loss.
     """
-    train = train.filter(F.col(corpus_col).isin(list(datasets)))
-    counts, totals = unigram_counts(train, corpus_col, text_col)
+    counts, totals = unigram_counts(train.filter(F.col(corpus_col).isin(list(datasets))), corpus_col, text_col)
+    toks = test.select(lower_tokens(text_col).alias("_t"))
+    row = toks.agg(F.count(F.lit(1)).alias("samples"), F.count_if(F.size("_t") >= min_len).alias("batches"),
+                   F.coalesce(F.sum(F.when(F.size("_t") >= min_len, F.size("_t"))), F.lit(0)).alias("tokens"))
+    tt = (toks.filter(F.size("_t") >= min_len).select(F.explode("_t").alias("token"))
+              .groupBy("token").agg(F.count(F.lit(1)).alias("k")))
+    seen = tt.join(counts, "token").groupBy(corpus_col).agg(F.sum(F.col("k") * F.log(F.col("c") + 1)).alias("_s"))
+    grid = row.select("*", F.explode(F.array(*[F.lit(d) for d in datasets])).alias(corpus_col))
+    grid = grid.join(totals, corpus_col, "left").join(seen, corpus_col, "left")
+    n = F.col("tokens")
+    loss = F.when(n > 0, (n * F.log(F.col("N") + F.col("V")) - F.coalesce("_s", F.lit(0.0))) / n)
+    return grid.select(F.col(corpus_col).alias("dataset"), F.lit(min_len).alias("padded_len"), loss.alias("loss"), "tokens", "samples", "batches")
+
+
+def ngram_text_losses(train: DataFrame, test: DataFrame, corpus_col: str, test_id: str, datasets: list[str],
+                      text_col: str = "text") -> DataFrame:
+    """A7 per (training corpus, test text), as batches of one text: ``dataset, batch_id, padded_len, loss, tokens``."""
+    counts, totals = unigram_counts(train.filter(F.col(corpus_col).isin(list(datasets))), corpus_col, text_col)
     tt = (test.select(test_id, F.explode(lower_tokens(text_col)).alias("token"))
               .groupBy(test_id, "token").agg(F.count(F.lit(1)).alias("k")))
     seen = (tt.join(counts, "token")

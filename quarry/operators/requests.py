@@ -5,18 +5,14 @@ request_id, ts (timestamp instant), ts_ntz (wall clock), start_us/end_us
 (epoch microseconds), latency_s, status, reason, confidence, input_key,
 user_id, day. Nothing depends on the session time zone.
 
-Percentiles are exact (``percentile``: Spark keeps one map of distinct values
-per partial aggregate, so memory follows the value resolution, not the row
-count); ``approx=True`` switches to ``percentile_approx`` for float domains
-with unbounded resolution.
-
-Concurrency (W7) needs a running sum over the whole timeline. Instead of one
-un-partitioned window it uses time buckets (width adapted to about a million
-events per bucket): every +1 (start) / -1 (end) event
-lands in the bucket of its own time, the carry-in of a bucket is the sum of all
-earlier buckets' deltas (a running sum over one row per bucket), and the running
-sum inside a bucket is a window partitioned by bucket. Exact, and each task
-holds one bucket.
+Percentiles are exact and distributed (``ranges.exact_percentiles``).
+
+Panels read the log once: one grouped aggregate over the columns a panel needs,
+whose few rows are then turned into the panel's sections.
+
+Concurrency (W7) sums starts and ends per instant, then runs one sum over the
+instants in ranges of equal row counts (``ranges.running_before``), so a burst is
+spread like any other stretch; arrivals within an instant have a closed form.
 """
 
 from __future__ import annotations
@@ -26,6 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.operators.ranges import exact_percentiles, running_before
+
 # ---------------------------------------------------------------------------
 # Fixed values
 # ---------------------------------------------------------------------------
@@ -33,7 +31,7 @@ PANEL_PERCENTILES = (0.50, 0.75, 0.90, 0.95, 0.99)
 SLA_P95_SECONDS = 3.0               # SLA: P95 latency under 3 s
 REVIEW_CONFIDENCE = 0.95            # below this, a result goes to human review
 RETENTION_DAYS = 30
-OFF_PEAK_HOURS = (0, 1, 2, 3, 4, 5, 6, 7, 20, 21, 22, 23)   # ours: the source gives no hours
+OFF_PEAK_HOURS = (22, 23, 0, 1, 2, 3, 4, 5)     # 10 PM to 6 AM
 # ---------------------------------------------------------------------------
 
 US = 1_000_000
@@ -79,41 +77,39 @@ def request_log(events: DataFrame) -> DataFrame:
 
 
 def latency_panel(log: DataFrame, latency_col: str = "latency_s", by: Sequence[str] = (),
-                  percentiles: Sequence[float] = PANEL_PERCENTILES, sla: float = SLA_P95_SECONDS,
-                  approx: bool = False) -> DataFrame:
-    """P50/P75/P90/P95/P99/max and the SLA flag (P95 under ``sla`` seconds)."""
-    x = F.col(latency_col)
-    pct = (F.percentile_approx(x, list(percentiles), 100000) if approx
-           else F.percentile(x, F.array(*[F.lit(p) for p in percentiles])))
-    g = log.groupBy(*by) if by else log
-    out = g.agg(pct.alias("_p"), F.max(x).alias("max"), F.count(F.lit(1)).alias("requests"))
-    cols = [F.round(F.col("_p")[i], 6).alias(f"p{int(round(p * 100))}") for i, p in enumerate(percentiles)]
-    out = out.select(*by, "requests", *cols, F.round("max", 6).alias("max"))
+                  percentiles: Sequence[float] = PANEL_PERCENTILES, sla: float = SLA_P95_SECONDS) -> DataFrame:
+    """Requests, P50/P75/P90/P95/P99/max and the SLA flag (P95 under ``sla`` seconds)."""
+    out = exact_percentiles(log, latency_col, percentiles, by)
+    cols = [F.round(F.col("p")[i], 6).alias(f"p{int(round(p * 100))}") for i, p in enumerate(percentiles)]
+    out = out.select(*by, F.col("n").alias("requests"), *cols, F.round("max", 6).alias("max"))
     return out.withColumn("sla_ok", F.col("p95") < F.lit(sla))
 
 
+def _sections(counted: DataFrame, entries: Sequence[tuple[str, Column, Column | None]]) -> DataFrame:
+    """``(section, key, n)`` summed from rows with a count ``n``: each entry is (section, key, condition)."""
+    items = [F.when(F.lit(True) if cond is None else cond,
+                    F.struct(F.lit(name).alias("section"), key.cast("string").alias("key"), F.col("n"))) for name, key, cond in entries]
+    return (counted.select(F.explode(F.array(*items)).alias("e")).where("e is not null").select("e.*")
+            .groupBy("section", "key").agg(F.sum("n").alias("n")))
+
+
 def request_panel(log: DataFrame) -> DataFrame:
     """Totals by status with percents, failures by reason, mean requests per day.
 
-    Long form ``(section, key, n, percent)``; totals are scalar subqueries.
+    Long form ``(section, key, n, percent)`` from one aggregate by status, reason and day.
     """
-    total = log.select(F.count(F.lit(1))).scalar()
-    failed_total = log.filter(F.col("status") == "failed").select(F.count(F.lit(1))).scalar()
-    days = log.select(F.count_distinct("day")).scalar()
-    by_status = (log.groupBy(F.col("status").alias("key")).agg(F.count(F.lit(1)).alias("n"))
-                    .select(F.lit("status").alias("section"), "key", F.col("n").cast("double").alias("n"),
-                            F.round(F.try_divide(F.lit(100.0) * F.col("n"), total), 6).alias("percent")))
-    by_reason = (log.filter(F.col("status") == "failed")
-                    .groupBy(F.col("reason").alias("key")).agg(F.count(F.lit(1)).alias("n"))
-                    .select(F.lit("failure_reason").alias("section"), "key", F.col("n").cast("double").alias("n"),
-                            F.round(F.try_divide(F.lit(100.0) * F.col("n"), failed_total), 6).alias("percent")))
-    totals = log.agg(F.count(F.lit(1)).alias("n")).select(
-        F.lit("total").alias("section"), F.lit("requests").alias("key"), F.col("n").cast("double").alias("n"),
-        F.lit(100.0).alias("percent"))
-    per_day = log.agg(F.count(F.lit(1)).alias("n")).select(
-        F.lit("per_day").alias("section"), F.lit("mean").alias("key"),
-        F.round(F.try_divide(F.col("n"), days), 6).alias("n"), F.lit(None).cast("double").alias("percent"))
-    return by_status.unionByName(by_reason).unionByName(totals).unionByName(per_day)
+    counted = log.groupBy("status", "reason", "day").agg(F.count(F.lit(1)).alias("n"))
+    failed = F.col("status") == "failed"
+    s = _sections(counted, [("status", F.col("status"), None), ("failure_reason", F.col("reason"), failed),
+                            ("total", F.lit("requests"), None), ("per_day", F.col("day"), None)])
+    share = F.try_divide(F.lit(100.0) * F.col("n"), F.sum("n").over(Window.partitionBy("section")))
+    s = s.withColumn("percent", F.when(F.col("section") != "per_day", F.round(share, 6)))
+    daily = F.col("section") == "per_day"
+    out = (s.groupBy("section", F.when(daily, F.lit("mean")).otherwise(F.col("key")).alias("key"))
+           .agg(F.round(F.avg(F.col("n").cast("double")), 6).alias("n"), F.max("percent").alias("percent")))
+    empty = log.sparkSession.createDataFrame([("total", "requests", 0.0, 100.0), ("per_day", "mean", None, None)],
+                                             "section string, key string, n double, percent double")
+    return out.unionByName(empty.join(out.select("section").distinct(), "section", "left_anti"))
 
 
 def review_reason(log: DataFrame, threshold: float = REVIEW_CONFIDENCE, added_col: str | None = "n_added") -> Column:
@@ -131,147 +127,103 @@ def review_panel(log: DataFrame, threshold: float = REVIEW_CONFIDENCE,
     """Review queue size and share, split by reason; with a reviewer decision table
     ``(request_id, decision)`` ('approved' / 'revised') also the approval and revision rates
     among reviewed items."""
-    total = log.select(F.count(F.lit(1))).scalar()
     r = log.withColumn("review_reason", review_reason(log, threshold))
-    q = r.filter(F.col("review_reason").isNotNull())
-    queued = q.select(F.count(F.lit(1))).scalar()
-    by_reason = (q.groupBy(F.col("review_reason").alias("key")).agg(F.count(F.lit(1)).alias("n"))
-                  .select(F.lit("reason").alias("section"), "key", "n",
-                          F.round(F.try_divide(F.lit(100.0) * F.col("n"), queued), 6).alias("percent")))
-    overall = q.agg(F.count(F.lit(1)).alias("n")).select(
-        F.lit("queue").alias("section"), F.lit("all").alias("key"), "n",
-        F.round(F.try_divide(F.lit(100.0) * F.col("n"), total), 6).alias("percent"))
-    out = overall.unionByName(by_reason)
+    decision = F.lit(None).cast("string")
     if decisions is not None:
-        d = q.select("request_id").join(decisions.select("request_id", "decision"), "request_id")
-        reviewed = d.select(F.count(F.lit(1))).scalar()
-        rates = (d.groupBy(F.col("decision").alias("key")).agg(F.count(F.lit(1)).alias("n"))
-                  .select(F.lit("decision").alias("section"), "key", "n",
-                          F.round(F.try_divide(F.lit(100.0) * F.col("n"), reviewed), 6).alias("percent")))
-        out = out.unionByName(rates)
-    return out
-
-
-def cache_flags(log: DataFrame, key_col: str = "input_key") -> DataFrame:
-    """A20 per row: ``cache_hit`` when an earlier request (ts, id) had the same input.
-
-    The first request per key comes from an aggregate (``min_by``) joined back;
-    a hot key only makes the join skewed, which AQE splits.
+        r = r.join(decisions.select("request_id", F.col("decision").alias("_decision")), "request_id", "left")
+        decision = F.when(F.col("review_reason").isNotNull(), F.col("_decision"))
+    counted = r.groupBy("review_reason", decision.alias("decision")).agg(F.count(F.lit(1)).alias("n"))
+    queued = F.col("review_reason").isNotNull()
+    s = _sections(counted, [("all", F.lit("all"), None), ("queue", F.lit("all"), queued), ("reason", F.col("review_reason"), queued),
+                            ("decision", F.col("decision"), F.col("decision").isNotNull())])
+    whole = Window.partitionBy()                           # a handful of rows
+    total = F.sum(F.when(F.col("section") == "all", F.col("n"))).over(whole)
+    of = F.when(F.col("section") == "queue", total).otherwise(F.sum("n").over(Window.partitionBy("section")))
+    out = s.withColumn("percent", F.round(F.try_divide(F.lit(100.0) * F.col("n"), of), 6)).where("section <> 'all'")
+    # an empty queue still has its row
+    idle = log.sparkSession.createDataFrame([("queue", "all", 0, None)], "section string, key string, n long, percent double")
+    return out.unionByName(idle.join(out.select("section").distinct(), "section", "left_anti"))
+
+
+def cache_hit_rate(log: DataFrame, key_col: str = "input_key", by_day: bool = True) -> DataFrame:
+    """Requests whose input was served before (per day or over all): requests less first occurrences.
+
+    One aggregate by (input, day); the first occurrence of an input is on its
+    earliest day, so neither the log nor a hot input is joined or ranked.
     """
-    first = log.groupBy(key_col).agg(F.min(F.struct("start_us", "request_id")).alias("_first"))
-    return (log.join(first, key_col)
-               .withColumn("cache_hit", F.struct("start_us", "request_id") != F.col("_first"))
-               .drop("_first"))
-
-
-def cache_hit_rate(log: DataFrame, key_col: str = "input_key", by: Sequence[str] = ()) -> DataFrame:
-    """Share of requests whose input was already served."""
-    f = cache_flags(log, key_col)
-    g = f.groupBy(*by) if by else f
-    return (g.agg(F.count(F.lit(1)).alias("requests"), F.count_if("cache_hit").alias("hits"))
+    daily = log.groupBy(key_col, "day").agg(F.count(F.lit(1)).alias("_n"))
+    first = F.when(F.col("day") == F.min("day").over(Window.partitionBy(key_col)), 1).otherwise(0)
+    g = daily.withColumn("_first", first).groupBy(*(["day"] if by_day else []))
+    return (g.agg(F.sum("_n").alias("requests"), (F.sum("_n") - F.sum("_first")).alias("hits"))
              .withColumn("hit_rate", F.round(F.try_divide(F.col("hits"), F.col("requests")), 6)))
 
 
 def before_after(df: DataFrame, answer_col: str, phase_col: str, value_col: str | None = None,
                  phases: Sequence[str] = ("before", "after")) -> DataFrame:
-    """Share of each answer per phase, percent change, and mean value per arm."""
+    """Share of each answer per phase, percent change, and mean value per arm (one read)."""
     b, a = phases
-    totals = {p: df.filter(F.col(phase_col) == p).select(F.count(F.lit(1))).scalar() for p in phases}
-    aggs = [F.count(F.lit(1)).alias("n")]
-    if value_col:
-        aggs.append(F.avg(value_col).alias("mean_value"))
-    pv = df.groupBy(answer_col).pivot(phase_col, list(phases)).agg(*aggs)
-    out = pv.select(answer_col,
-                    F.coalesce(F.col(f"{b}_n"), F.lit(0)).alias(f"n_{b}"),
-                    F.coalesce(F.col(f"{a}_n"), F.lit(0)).alias(f"n_{a}"),
-                    *([F.round(f"{b}_mean_value", 6).alias(f"mean_{b}"),
-                       F.round(f"{a}_mean_value", 6).alias(f"mean_{a}")] if value_col else []))
-    out = (out.withColumn(f"share_{b}", F.try_divide(F.col(f"n_{b}"), totals[b]))
-              .withColumn(f"share_{a}", F.try_divide(F.col(f"n_{a}"), totals[a])))
+    aggs = []
+    for p in phases:
+        here = F.col(phase_col) == p
+        aggs.append(F.count_if(here).alias(f"n_{p}"))
+        if value_col:
+            aggs.append(F.round(F.avg(F.when(here, F.col(value_col))), 6).alias(f"mean_{p}"))
+    every = Window.partitionBy()                           # one row per answer
+    out = df.groupBy(answer_col).agg(*aggs).where(F.col(f"n_{b}") + F.col(f"n_{a}") > 0)
+    for p in phases:
+        out = out.withColumn(f"share_{p}", F.try_divide(F.col(f"n_{p}"), F.sum(f"n_{p}").over(every)))
     change = F.try_divide(F.col(f"share_{a}") - F.col(f"share_{b}"), F.col(f"share_{b}")) * 100
     return (out.withColumn("change_pct", F.round(change, 6))
                .withColumn(f"share_{b}", F.round(F.col(f"share_{b}") * 100, 6))
                .withColumn(f"share_{a}", F.round(F.col(f"share_{a}") * 100, 6)))
 
 
-def concurrency_events(log: DataFrame) -> DataFrame:
-    """+1 at each start, -1 at each end (half-open intervals [start, end))."""
-    return log.select(F.explode(F.array(
-        F.struct(F.col("start_us").alias("t"), F.lit(1).alias("delta"), F.lit(1).alias("is_start")),
-        F.struct(F.col("end_us").alias("t"), F.lit(-1).alias("delta"), F.lit(0).alias("is_start")))).alias("e")
-    ).select("e.*")
-
-
-# Target number of +1/-1 events per time bucket of the concurrency sweep.
-EVENTS_PER_BUCKET = 1_000_000
+def active_counts(log: DataFrame) -> DataFrame:
+    """Per instant ``t``: starts, ends and the active count before it (half-open intervals [start, end))."""
+    ev = log.select(F.explode(F.array(
+        F.struct(F.col("start_us").alias("t"), F.lit(1).alias("starts"), F.lit(0).alias("ends")),
+        F.struct(F.col("end_us").alias("t"), F.lit(0).alias("starts"), F.lit(1).alias("ends")))).alias("e")).select("e.*")
+    instants = ev.groupBy("t").agg(F.sum("starts").alias("starts"), F.sum("ends").alias("ends"))
+    return running_before(instants.withColumn("delta", F.col("starts") - F.col("ends")), "t", "delta", name="active_before")
 
 
-def active_counts(log: DataFrame, bucket_us: int | None = None,
-                  events_per_bucket: int = EVENTS_PER_BUCKET) -> DataFrame:
-    """Active request count right after every start/end event (exact, bucketed).
+def concurrency(log: DataFrame) -> DataFrame:
+    """Maximum simultaneous requests; the active count at arrivals and the queue ahead of an arrival, mean and maximum.
 
-    Without ``bucket_us`` the bucket width adapts to the data: the time span is
-    cut into at least four buckets per shuffle partition and enough buckets
-    that one holds about ``events_per_bucket`` events on average (two scalar
-    aggregates), so a busy period never becomes one huge task.
+    At an instant ends come first; its s arrivals then see 1 .. s more active
+    requests than before, which sums in closed form.
     """
-    ev = concurrency_events(log)
-    if bucket_us is None:
-        try:
-            parts = int(log.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        except Exception:  # pragma: no cover
-            parts = 200
-        span = ev.select(F.max("t") - F.min("t") + 1).scalar()
-        n = ev.select(F.count(F.lit(1))).scalar()
-        # at least 4 buckets per shuffle partition, at most ~events_per_bucket events each
-        buckets = F.greatest(F.lit(4 * parts), F.ceil(F.try_divide(n, F.lit(events_per_bucket))))
-        width = F.greatest(F.lit(1).cast("long"), F.ceil(F.try_divide(span, buckets)).cast("long"))
-    else:
-        width = F.lit(int(bucket_us)).cast("long")
-    ev = ev.withColumn("_b", F.floor(F.col("t") / width).cast("long"))
-    sums = ev.groupBy("_b").agg(F.sum("delta").alias("_s"))
-    carry = sums.withColumn("_carry", F.coalesce(F.sum("_s").over(
-        Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    carry = carry.select("_b", "_carry")              # one row per bucket: small; AQE broadcasts it
-    w = Window.partitionBy("_b").orderBy("t", "delta").rowsBetween(Window.unboundedPreceding, 0)
-    return (ev.join(carry, "_b")
-              .withColumn("active", F.col("_carry") + F.sum("delta").over(w))
-              .drop("_carry"))
-
-
-def concurrency(log: DataFrame, bucket_us: int | None = None,
-                events_per_bucket: int = EVENTS_PER_BUCKET) -> DataFrame:
-    """Maximum simultaneous requests and the mean/max active count seen at arrivals."""
-    a = active_counts(log, bucket_us, events_per_bucket)
-    starts = F.col("is_start") == 1
-    return a.agg(F.max("active").alias("max_concurrent"),
-                 F.round(F.avg(F.when(starts, F.col("active"))), 6).alias("mean_active_at_arrival"),
-                 F.max(F.when(starts, F.col("active") - 1)).alias("max_queue_ahead"))
+    a = active_counts(log).withColumn("left", F.col("active_before") - F.col("ends"))
+    seen = F.col("starts") * F.col("left") + F.col("starts") * (F.col("starts") + 1) / 2
+    some = F.col("starts") > 0
+    return a.agg(F.max(F.when(some, F.col("left") + F.col("starts"))).alias("max_concurrent"),
+                 F.round(F.try_divide(F.sum(seen), F.sum("starts")), 6).alias("mean_active_at_arrival"),
+                 F.round(F.try_divide(F.sum(seen), F.sum("starts")) - 1, 6).alias("mean_queue_ahead"),
+                 F.max(F.when(some, F.col("left") + F.col("starts") - 1)).alias("max_queue_ahead"))
 
 
 def peaks(log: DataFrame, off_peak_hours: Sequence[int] = OFF_PEAK_HOURS) -> DataFrame:
-    """Busiest hour of day and busiest day (ties -> earliest), mean per day, off-peak share."""
-    by_hour = log.groupBy(F.hour("ts_ntz").alias("hour")).agg(F.count(F.lit(1)).alias("n"))
-    by_day = log.groupBy("day").agg(F.count(F.lit(1)).alias("n"))
-    h = by_hour.agg(F.min_by(F.struct("hour", "n"), F.struct(-F.col("n"), F.col("hour"))).alias("h"))
-    d = by_day.agg(F.min_by(F.struct("day", "n"), F.struct(-F.col("n"), F.col("day"))).alias("d"),
-                   F.avg("n").alias("mean_per_day"))
-    off = log.agg(F.avg(F.hour("ts_ntz").isin(list(off_peak_hours)).cast("double")).alias("off_peak_share"))
-    return (h.select(F.lit("busiest_hour").alias("metric"), F.col("h.hour").cast("string").alias("key"),
-                     F.col("h.n").cast("double").alias("value"))
-             .unionByName(d.select(F.lit("busiest_day").alias("metric"), F.col("d.day").cast("string").alias("key"),
-                                   F.col("d.n").cast("double").alias("value")))
-             .unionByName(d.select(F.lit("mean_per_day").alias("metric"), F.lit("").alias("key"),
-                                   F.round("mean_per_day", 6).alias("value")))
-             .unionByName(off.select(F.lit("off_peak_share").alias("metric"), F.lit("").alias("key"),
-                                     F.round("off_peak_share", 6).alias("value"))))
+    """Busiest hour of day and busiest day (ties -> earliest), mean per day, requests per off-peak hour.
+
+    One aggregate by day and hour. The off-peak rate counts every off-peak hour
+    of the days that the log covers, hours without requests included.
+    """
+    counted = log.groupBy("day", F.hour("ts_ntz").alias("hour")).agg(F.count(F.lit(1)).alias("n"))
+    off = F.col("hour").isin(list(off_peak_hours))
+    s = _sections(counted, [("busiest_hour", F.format_string("%02d", "hour"), None), ("busiest_day", F.col("day"), None),
+                            ("mean_per_day", F.col("day"), None), ("off_peak_per_hour", F.lit(""), off)])
+    days = F.count_if(F.col("section") == "busiest_day").over(Window.partitionBy())     # one row per day and hour of day
+    s = s.withColumn("_days", days)
+    g = s.groupBy(F.col("section").alias("metric")).agg(
+        F.min_by(F.struct("key", "n"), F.struct(-F.col("n"), F.col("key"))).alias("top"), F.avg("n").alias("mean"),
+        F.sum("n").alias("sum"), F.max("_days").alias("days"))
+    busiest = F.col("metric").startswith("busiest")
+    key = F.when(F.col("metric") == "busiest_hour", F.col("top.key").cast("int").cast("string")).when(busiest, F.col("top.key")).otherwise("")
+    value = (F.when(busiest, F.col("top.n").cast("double")).when(F.col("metric") == "mean_per_day", F.round("mean", 6))
+             .otherwise(F.round(F.try_divide(F.col("sum"), F.col("days") * len(off_peak_hours)), 6)))
+    return g.select("metric", key.alias("key"), value.alias("value"))
 
 
 def retention_cutoff_us(as_of: str, days: int) -> Column:
     """``as_of - days`` in epoch microseconds (``as_of`` a wall-clock date-time, read as UTC)."""
     return ntz_micros(F.lit(as_of).cast("timestamp_ntz")) - F.lit(int(days) * 86_400 * US)
-
-
-def retain(log: DataFrame, as_of: str, days: int = RETENTION_DAYS, us_col: str = "start_us") -> DataFrame:
-    """T4 (batch): keep rows newer than ``as_of - days`` (``as_of`` is a parameter, never now())."""
-    return log.filter(F.col(us_col) > retention_cutoff_us(as_of, days))

@@ -36,8 +36,15 @@ def cases_without_output(cases: DataFrame, outputs: DataFrame, on: Sequence[str]
     return cases.join(outputs, on, "left_anti")
 
 
-def _hit(output: Column, mode: str):
-    low = F.lower(output)
+def coverage(df: DataFrame, expected_col: str = "expected_elements", output_col: str = "output",
+             mode: str = "words") -> DataFrame:
+    """Found / missing lists (order and duplicates kept) and the 0..1 coverage score.
+
+    ``mode='words'``: element substring, or a multi-word element whose every
+    word occurs somewhere; ``mode='substring'``: substring only. An empty
+    expected list scores 1.0; a missing output is an empty one.
+    """
+    low = F.col("_low")
 
     def hit(e: Column) -> Column:
         el = F.lower(e)
@@ -45,27 +52,15 @@ def _hit(output: Column, mode: str):
         if mode == "substring":
             return direct
         words = F.split(F.btrim(el, F.lit(STRIP_CHARS)), r"[ \t\n\r\f\u000b]+")
-        multi = (F.size(words) > 1) & F.forall(words, lambda w: low.contains(w))
-        return direct | multi
-
-    return hit
-
-
-def coverage(df: DataFrame, expected_col: str = "expected_elements", output_col: str = "output",
-             mode: str = "words") -> DataFrame:
-    """Found / missing lists (order and duplicates kept) and the 0..1 coverage score.
+        return direct | ((F.size(words) > 1) & F.forall(words, lambda w: low.contains(w)))
 
-    ``mode='words'``: element substring, or a multi-word element whose every
-    word occurs somewhere; ``mode='substring'``: substring only. An empty
-    expected list scores 1.0.
-    """
-    exp, out = F.col(expected_col), F.coalesce(F.col(output_col), F.lit(""))
-    hit = _hit(out, mode)
-    n = F.size(exp)
-    return (df.withColumn("elements_found", F.filter(exp, hit))
-              .withColumn("elements_missing", F.filter(exp, lambda e: ~hit(e)))
-              .withColumn("coverage_score",
-                          F.when(n > 0, F.size("elements_found") / n).otherwise(F.lit(1.0))))
+    flags = F.transform(expected_col, lambda e: F.struct(e.alias("e"), hit(e).alias("h")))
+    n = F.size(expected_col)
+    return (df.withColumn("_low", F.lower(F.coalesce(F.col(output_col), F.lit("")))).withColumn("_flags", flags)
+              .withColumn("elements_found", F.transform(F.filter("_flags", lambda x: x["h"]), lambda x: x["e"]))
+              .withColumn("elements_missing", F.transform(F.filter("_flags", lambda x: ~x["h"]), lambda x: x["e"]))
+              .withColumn("coverage_score", F.when(n > 0, F.size("elements_found") / n).otherwise(F.lit(1.0)))
+              .drop("_low", "_flags"))
 
 
 def validation_summary(results: DataFrame, score_col: str = "coverage_score", latency_col: str | None = None,
@@ -78,7 +73,7 @@ def validation_summary(results: DataFrame, score_col: str = "coverage_score", la
             F.avg(s).alias("avg_coverage_score"),
             F.avg(F.round(s * 100, 1)).alias("average_coverage")]
     if latency_col:
-        aggs.append(F.avg(latency_col).alias("avg_latency_ms"))
+        aggs += [F.avg(latency_col).alias("avg_latency_ms"), (F.sum(latency_col) / 1000).alias("total_time_seconds")]
     if tokens_col:
         aggs.append(F.sum(tokens_col).alias("total_tokens"))
     out = results.agg(*aggs).withColumn(
@@ -131,29 +126,24 @@ def consistency(runs: DataFrame, prompt_col: str = "prompt", output_col: str = "
                 .withColumn("consistent", F.col("distinct_outputs") == 1))
 
 
-def term_rows(df: DataFrame, id_cols: Sequence[str], text_col: str, vocabulary: DataFrame,
-              term_col: str = "term", vocab_bound: int | None = None) -> DataFrame:
-    """F3 default extractor, relational form: distinct (id, term) for vocabulary tokens."""
-    from quarry.session import BROADCAST_ROW_LIMIT
-    v = vocabulary.select(F.col(term_col)).distinct()
-    if vocab_bound is not None and vocab_bound <= BROADCAST_ROW_LIMIT:
-        v = F.broadcast(v)
-    toks = df.select(*id_cols, F.explode(lower_tokens(text_col)).alias(term_col)).distinct()
-    return toks.join(v, term_col, "left_semi")
-
-
 def added_terms(pairs: DataFrame, id_cols: Sequence[str], original_col: str, summary_col: str,
-                vocabulary: DataFrame, vocab_bound: int | None = None) -> DataFrame:
-    """Terms of the summary that are absent from the original; valid iff none.
+                vocabulary: DataFrame, term_col: str = "term") -> DataFrame:
+    """Vocabulary terms of the summary that are absent from the original; valid iff none.
 
-    Both sides go through the extractor as (id, term) rows; the difference is a
-    left-anti join on (id, term). Lists are gathered per pair (one summary each).
+    Both texts of a pair are exploded at once, cut to the vocabulary, and one
+    aggregate per (pair, term) tells which side had it. Lists are gathered per
+    pair (one summary each). A missing text has no terms.
     """
     ids = list(id_cols)
-    s_terms = term_rows(pairs, ids, summary_col, vocabulary, vocab_bound=vocab_bound)
-    o_terms = term_rows(pairs, ids, original_col, vocabulary, vocab_bound=vocab_bound)
-    added = s_terms.join(o_terms, ids + ["term"], "left_anti")
-    per = added.groupBy(*ids).agg(F.array_sort(F.collect_list("term")).alias("added_terms"))
+
+    def side(c: str, original: bool) -> Column:
+        return F.transform(F.coalesce(F.array_distinct(lower_tokens(c)), F.array().cast("array<string>")),
+                           lambda t: F.struct(t.alias(term_col), F.lit(original).alias("_orig")))
+
+    toks = pairs.select(*ids, F.explode(F.concat(side(original_col, True), side(summary_col, False))).alias("_x"))
+    toks = toks.select(*ids, f"_x.{term_col}", "_x._orig").join(vocabulary.select(term_col).distinct(), term_col, "left_semi")
+    added = toks.groupBy(*ids, term_col).agg(F.max("_orig").alias("_orig")).filter(~F.col("_orig"))
+    per = added.groupBy(*ids).agg(F.array_sort(F.collect_list(term_col)).alias("added_terms"))
     return (pairs.select(*ids).join(per, ids, "left")
                  .withColumn("added_terms", F.coalesce("added_terms", F.array().cast("array<string>")))
                  .withColumn("n_added", F.size("added_terms"))
@@ -190,35 +180,43 @@ def render_conversation(turns: DataFrame, conv_col: str = "conv_id", turn_col: s
     rendered = F.when(F.col("valid"), text)
     if raise_error:
         rendered = rendered.otherwise(
-            F.raise_error(F.lit("Conversation roles must alternate user/assistant/user/assistant/...")))
+            F.raise_error(F.lit("a user turn must stand on every even position after the system turn")))
     return out.withColumn("rendered", rendered).drop("_m", "_sys", "_rest")
 
 
-def user_turn_cases(conversations: DataFrame, n_elements: int = 6, min_len: int = 5) -> DataFrame:
-    """Cases from user turns (FIXTURES bindings): expected elements are the distinct
-    lower-cased tokens of at least ``min_len`` characters, sorted, first ``n_elements``;
-    the category is the turn number; the output is the next assistant turn."""
-    u = conversations.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("input"))
+def turn_pairs(conversations: DataFrame, question: str = "input", answer: str = "output") -> DataFrame:
+    """Every user turn with the assistant turn that follows it (null when there is none)."""
+    u = conversations.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias(question))
     a = conversations.filter(F.col("role") == "assistant").select(
-        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("output"))
-    exp = F.slice(F.array_sort(F.array_distinct(F.filter(lower_tokens("input"), lambda t: F.length(t) >= min_len))),
-                  1, n_elements)
-    cases = u.select("conv_id", "turn", F.col("turn").cast("string").alias("category"), "input",
-                     exp.alias("expected_elements"))
-    return pair_outputs(cases, a, ["conv_id", "turn"])
+        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias(answer))
+    return pair_outputs(u, a, ["conv_id", "turn"], "left")
+
+
+def user_turn_cases(conversations: DataFrame) -> DataFrame:
+    """Cases from user turns (FIXTURES bindings): expected elements are the distinct lower-cased tokens, sorted,
+    and the first two tokens as one multi-word element; the category is the turn number; the output is the
+    next assistant turn, null when there is none."""
+    toks = lower_tokens("input")
+    pair = F.when(F.size(toks) >= 2, F.array(F.array_join(F.slice(toks, 1, 2), " "))).otherwise(F.array().cast("array<string>"))
+    exp = F.concat(F.array_sort(F.array_distinct(toks)), pair)
+    return turn_pairs(conversations).select("conv_id", "turn", F.col("turn").cast("string").alias("category"), "input",
+                                            F.coalesce(exp, F.array().cast("array<string>")).alias("expected_elements"), "output")
+
+
+# A blank line ends a section; the line breaks stay with the section before them.
+SECTION_BOUNDARY = r"(?<=\n\n)(?=[^\n])"
 
 
 def split_sections(df: DataFrame, id_col: str, text_col: str = "text", min_tokens: int = 3500,
-                   boundary: str = r"\n+") -> DataFrame:
-    """Texts over ``min_tokens`` tokens split at line boundaries (ours), one row per section."""
+                   boundary: str = SECTION_BOUNDARY) -> DataFrame:
+    """Texts over ``min_tokens`` tokens split after blank lines, one row per section; nothing is dropped."""
     long_rows = df.filter(token_count(text_col) > min_tokens)
     return long_rows.select(id_col, F.posexplode(F.split(F.col(text_col), boundary)).alias("section_pos", "section"))
 
 
-def combine_sections(sections: DataFrame, id_col: str, section_col: str = "section",
-                     sep: str = "\n") -> DataFrame:
-    """P14 recombination: sections back in order (bounded: one document per group)."""
+def combine_sections(sections: DataFrame, id_col: str, section_col: str = "section") -> DataFrame:
+    """P14 recombination: sections back in order give the text itself (bounded: one document per group)."""
     return sections.groupBy(id_col).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("section_pos", section_col))),
-                                 lambda s: s[section_col]), sep).alias("combined"),
+                                 lambda s: s[section_col]), "").alias("combined"),
         F.count(F.lit(1)).alias("n_sections"))

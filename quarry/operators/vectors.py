@@ -44,15 +44,17 @@ def quantize_expr(v: Column, bits, group_size, sym) -> Column:
     def part(g):
         return F.slice(v, g * gs + 1, gs)
 
-    def scale(g):
+    def bounds(g):                     # asymmetric: 0 always lies in the range, so a constant group keeps its value
         p = part(g)
-        return F.when(sy, F.array_max(F.transform(p, lambda x: F.abs(x))) / qmax_sym).otherwise(
-            (F.array_max(p) - F.array_min(p)) / levels)
+        return F.least(F.array_min(p), F.lit(0.0)), F.greatest(F.array_max(p), F.lit(0.0))
+
+    def scale(g):
+        low, high = bounds(g)
+        return F.when(sy, F.array_max(F.transform(part(g), lambda x: F.abs(x))) / qmax_sym).otherwise((high - low) / levels)
 
     def zero(g):
-        p = part(g)
-        rng = F.array_max(p) - F.array_min(p)
-        return F.when(sy | (rng == 0), F.lit(0.0)).otherwise(F.round(-F.array_min(p) / (rng / levels)))
+        low, high = bounds(g)
+        return F.when(sy | (high == low), F.lit(0.0)).otherwise(F.round(-low / ((high - low) / levels)))
 
     lo = F.when(sy, -F.pow(F.lit(2.0), b - 1)).otherwise(F.lit(0.0))
     hi = F.when(sy, qmax_sym).otherwise(levels)

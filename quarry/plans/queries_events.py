@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.plans.catalog import register
+from quarry.plans.queries_scoring import ADDED_SQL
 from quarry.session import table
 
 TOKRX = "'[^ \\t\\n\\r\\f]+'"
@@ -53,19 +54,48 @@ def q_request_panel(spark, sf_dir):
     return request_panel(log(spark, sf_dir))
 
 
-@register("review_panel", f"WITH {LOG_CTE},\n" + """
-r AS (SELECT CASE WHEN status = 'failed' THEN 'failed' WHEN confidence < 0.95 THEN 'low_confidence' END AS rr
-      FROM log)
+# Bindings of the review queries: the terms added by the first answer of conversation ``request_id`` (U3),
+# and the reviewer's decision from the quality label of document ``request_id``.
+def added_counts(spark, sf_dir):
+    """(request_id, n_added): terms that the first answer of a conversation adds to its question."""
+    from quarry.plans.queries_scoring import added_terms_of
+    t = added_terms_of(spark, sf_dir).where("turn <= 1")
+    return t.groupBy(F.col("conv_id").alias("request_id")).agg(F.sum("n_added").alias("n_added"))
+
+
+def review_log(spark, sf_dir):
+    return log(spark, sf_dir).join(added_counts(spark, sf_dir), "request_id", "left").withColumn(
+        "n_added", F.coalesce("n_added", F.lit(0)))
+
+
+def decisions(spark, sf_dir):
+    return table(spark, sf_dir, "labels").groupBy(F.col("doc_id").alias("request_id")).agg(
+        F.when(F.max("quality") == 1, "approved").otherwise("revised").alias("decision"))
+
+
+REVIEW_CTE = f"""{LOG_CTE},
+{ADDED_SQL},
+ac AS (SELECT conv_id AS request_id, sum(n_added) AS n_added FROM added_of WHERE turn <= 1 GROUP BY 1),
+dc AS (SELECT doc_id AS request_id, CASE WHEN max(quality) = 1 THEN 'approved' ELSE 'revised' END AS decision
+       FROM labels GROUP BY 1),
+r AS (SELECT request_id, CASE WHEN status = 'failed' THEN 'failed' WHEN confidence < 0.95 THEN 'low_confidence'
+                              WHEN coalesce(n_added, 0) > 0 THEN 'added_terms' END AS rr
+      FROM log LEFT JOIN ac USING (request_id))"""
+
+
+@register("review_panel", f"WITH {REVIEW_CTE},\n" + """
+rd AS (SELECT decision, count(*) AS n FROM r JOIN dc USING (request_id) WHERE rr IS NOT NULL GROUP BY 1)
 SELECT 'queue' AS section, 'all' AS key, count(*) AS n,
        round(100.0 * count(*) / (SELECT count(*) FROM log), 6) AS percent FROM r WHERE rr IS NOT NULL
 UNION ALL
 SELECT 'reason', rr, count(*), round(100.0 * count(*) / (SELECT count(*) FROM r WHERE rr IS NOT NULL), 6)
 FROM r WHERE rr IS NOT NULL GROUP BY rr
+UNION ALL SELECT 'decision', decision, n, round(100.0 * n / (SELECT sum(n) FROM rd), 6) FROM rd
 """)
 def q_review_panel(spark, sf_dir):
-    """Review queue (failed or confidence < 0.95) size, share and reasons."""
+    """Review queue (failed, confidence < 0.95 or added terms): size, share, reasons, approval and revision rates."""
     from quarry.operators.requests import review_panel
-    return review_panel(log(spark, sf_dir))
+    return review_panel(review_log(spark, sf_dir), decisions=decisions(spark, sf_dir))
 
 
 @register("cache_hits", f"WITH {LOG_CTE},\n" + """
@@ -77,7 +107,7 @@ FROM f GROUP BY day
 def q_cache_hits(spark, sf_dir):
     """Per day, requests whose input had been served before."""
     from quarry.operators.requests import cache_hit_rate
-    return cache_hit_rate(log(spark, sf_dir), by=["day"])
+    return cache_hit_rate(log(spark, sf_dir))
 
 
 @register("before_after", f"WITH {LOG_CTE},\n" + """
@@ -110,11 +140,12 @@ ev AS (SELECT start_us AS t, 1 AS delta, 1 AS is_start FROM log
 a AS (SELECT is_start, sum(delta) OVER (ORDER BY t, delta ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS active
       FROM ev)
 SELECT max(active) AS max_concurrent, round(avg(active) FILTER (WHERE is_start = 1), 6) AS mean_active_at_arrival,
+       round(avg(active) FILTER (WHERE is_start = 1) - 1, 6) AS mean_queue_ahead,
        max(active - 1) FILTER (WHERE is_start = 1) AS max_queue_ahead
 FROM a
 """)
 def q_concurrency(spark, sf_dir):
-    """Maximum simultaneous requests over [ts, ts + latency)."""
+    """Maximum simultaneous requests over [ts, ts + latency), mean and maximum queue ahead of an arrival."""
     from quarry.operators.requests import concurrency
     return concurrency(log(spark, sf_dir))
 
@@ -126,11 +157,11 @@ SELECT 'busiest_hour' AS metric, CAST(arg_min(hour, (-n, hour)) AS VARCHAR) AS k
        CAST(arg_min(n, (-n, hour)) AS DOUBLE) AS value FROM h
 UNION ALL SELECT 'busiest_day', CAST(arg_min(day, (-n, day)) AS VARCHAR), CAST(arg_min(n, (-n, day)) AS DOUBLE) FROM d
 UNION ALL SELECT 'mean_per_day', '', round(avg(n), 6) FROM d
-UNION ALL SELECT 'off_peak_share', '', round(avg(CASE WHEN hour(ts) IN (0,1,2,3,4,5,6,7,20,21,22,23) THEN 1.0 ELSE 0.0 END), 6)
-FROM log
+UNION ALL SELECT 'off_peak_per_hour', '', round(count(*) / ((SELECT count(DISTINCT day) FROM log) * 8), 6)
+FROM log WHERE hour(ts) >= 22 OR hour(ts) < 6
 """)
 def q_peaks(spark, sf_dir):
-    """Busiest hour and day, mean per day, off-peak share."""
+    """Busiest hour and day, mean per day, requests per off-peak hour (10 PM to 6 AM)."""
     from quarry.operators.requests import peaks
     return peaks(log(spark, sf_dir))
 
@@ -211,10 +242,7 @@ losses AS (
 
 def ngram_losses(spark, sf_dir, datasets=PPL_DATASETS):
     from quarry.operators.perplexity import ngram_losses as nl
-    docs = table(spark, sf_dir, "documents")
-    conv = table(spark, sf_dir, "conversations").select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("tid"), "text")
-    return nl(docs, conv, "lang", "tid", datasets)
+    return nl(table(spark, sf_dir, "documents"), table(spark, sf_dir, "conversations").select("text"), "lang", datasets)
 
 
 @register("ngram_perplexity", "WITH " + _ppl_sql(PPL_DATASETS[:4]) + """
@@ -288,14 +316,19 @@ def q_pick_metric(spark, sf_dir):
         "doc_id", "metric_name", "metric", "raw")
 
 
-def summary_long(spark, sf_dir):
-    from quarry.operators.metrics import latency_by_batch, pick_metric, summary_metrics
+def evaluation_parts(spark, sf_dir):
+    """The three stages of an evaluation: perplexity (A6), task scores (P16 per source), latency."""
+    from quarry.operators.metrics import latency_by_batch, pick_metric
     from quarry.operators.perplexity import perplexity_suite
-    ppl = perplexity_suite(ngram_losses(spark, sf_dir, PPL_DATASETS))
     picked = pick_metric(task_records(spark, sf_dir), keep_cols=["source"])
-    tasks = picked.groupBy(F.col("source").alias("task")).agg(F.avg("metric").alias("metric"))
-    lat = latency_by_batch(timings(spark, sf_dir))
-    return summary_metrics(ppl, tasks, lat)
+    return {"perplexity": perplexity_suite(ngram_losses(spark, sf_dir, PPL_DATASETS)),
+            "tasks": picked.groupBy(F.col("source").alias("task")).agg(F.avg("metric").alias("metric")),
+            "latency": latency_by_batch(timings(spark, sf_dir))}
+
+
+def summary_of(parts):
+    from quarry.operators.metrics import summary_metrics
+    return summary_metrics(parts["perplexity"], parts["tasks"], parts["latency"])
 
 
 SUMMARY_SQL = "WITH " + _ppl_sql(PPL_DATASETS) + f""",
@@ -323,33 +356,67 @@ long AS (
 @register("summary_metrics", SUMMARY_SQL + "\nSELECT metric, round(value, 6) AS value FROM long")
 def q_summary_metrics(spark, sf_dir):
     """Perplexities (A6), task scores (P16 per source), batch-1 latency (A13) flattened."""
-    s = summary_long(spark, sf_dir)
+    s = summary_of(evaluation_parts(spark, sf_dir))
     return s.select("metric", F.round("value", 6).alias("value"))
 
 
 @register("evaluate_suite", SUMMARY_SQL + """
 SELECT CASE WHEN metric LIKE 'ppl_%' OR metric = 'avg_perplexity' THEN 'perplexity'
             WHEN metric LIKE 'task_%' OR metric = 'avg_task_score' THEN 'tasks' ELSE 'latency' END AS stage,
-       metric, round(value, 6) AS value,
-       CASE WHEN metric = 'latency_ms' THEN printf('%.2f', value) ELSE printf('%.3f', value) END AS display
+       metric, round(value, 6) AS value, printf('%.3f', value) AS display
 FROM long
 """)
 def q_evaluate_suite(spark, sf_dir):
-    """K3: three independent stages, flattened (A12) with the report formatting (%.3f, latency %.2f);
-    results saved as JSON, one-row CSV and a markdown report (S10, K5)."""
-    s = summary_long(spark, sf_dir)
+    """K3: three independent stages, computed once (checkpoint), flattened (A12), saved as JSON, one-row CSV and
+    a markdown report (S10, K5); what is returned is read back from the JSON output."""
+    from quarry.operators.metrics import fmt_fixed, markdown_lines, report_text
+    from quarry.session import cut_lineage, scratch
+    from quarry.sources.results import save_results
+    parts = {k: cut_lineage(v) for k, v in evaluation_parts(spark, sf_dir).items()}
+    s = cut_lineage(summary_of(parts))
+    lines = markdown_lines(s, parts["perplexity"], parts["tasks"], parts["latency"], model=REPORT_MODEL, hardware=REPORT_HARDWARE, generated=REPORT_TIME)
+    with scratch(spark, "evaluate") as out:
+        for fmt in ("json", "csv", "markdown"):                     # S10, all three formats
+            path = save_results(s, out, fmt, "run", report_lines=report_text(lines, []))
+            if fmt == "json":
+                back = cut_lineage(spark.read.json(path))
     stage = (F.when(F.col("metric").startswith("ppl_") | (F.col("metric") == "avg_perplexity"), F.lit("perplexity"))
               .when(F.col("metric").startswith("task_") | (F.col("metric") == "avg_task_score"), F.lit("tasks"))
               .otherwise(F.lit("latency")))
-    from quarry.operators.metrics import fmt_fixed, markdown_lines, report_text
-    from quarry.sources.results import save_results
-    from quarry.streaming.jobs import scratch
-    out = scratch(spark, "evaluate")
-    report = report_text(markdown_lines(s), [])
-    for fmt in ("json", "csv", "markdown"):                     # S10, all three formats
-        save_results(s, out, fmt, "run", report_lines=report)
-    disp = F.when(F.col("metric") == "latency_ms", fmt_fixed("value", 2)).otherwise(fmt_fixed("value", 3))
-    return s.select(stage.alias("stage"), "metric", F.round("value", 6).alias("value"), disp.alias("display"))
+    return back.select(stage.alias("stage"), "metric", F.round("value", 6).alias("value"), fmt_fixed("value", 3).alias("display"))
+
+
+REPORT_MODEL = {"name": "unigram", "languages": "de, en, es, fr"}
+REPORT_HARDWARE = {"engine": "spark"}
+REPORT_TIME = "2024-02-01T00:00:00"
+
+
+@register("markdown_report", SUMMARY_SQL + f""",
+lines(sec, sort, line) AS (
+  SELECT 0, 0.0, '# Evaluation Report' UNION ALL SELECT 0, 1.0, 'Generated: {REPORT_TIME}'
+  UNION ALL SELECT 1, 0.0, '## Model Information' UNION ALL SELECT 1, 1.0, '- **name**: unigram'
+  UNION ALL SELECT 1, 2.0, '- **languages**: de, en, es, fr'
+  UNION ALL SELECT 2, 0.0, '## Hardware Configuration' UNION ALL SELECT 2, 1.0, '- **engine**: spark'
+  UNION ALL SELECT 3, 0.0, '## Summary Metrics' UNION ALL SELECT 3, 1.0, '| Metric | Value |' UNION ALL SELECT 3, 2.0, '|--------|-------|'
+  UNION ALL SELECT 3, 2.0 + row_number() OVER (ORDER BY metric), '| ' || metric || ' | ' || printf('%.3f', value) || ' |' FROM long
+  UNION ALL SELECT 4, 0.0, '## Perplexity Results'
+  UNION ALL SELECT 4, row_number() OVER (ORDER BY dataset), '- **' || dataset || '**: ' || printf('%.3f', perplexity) FROM ppl
+  UNION ALL SELECT 5, 0.0, '## Task Evaluation Results'
+  UNION ALL SELECT 5, row_number() OVER (ORDER BY task), '- **' || task || '**: ' || printf('%.3f', metric) FROM tasks WHERE metric IS NOT NULL
+  UNION ALL SELECT 6, 0.0, '## Latency Measurements' UNION ALL SELECT 6, 1.0, '| Batch Size | Latency (ms) | Throughput (samples/s) |'
+  UNION ALL SELECT 6, 2.0, '|------------|-------------|------------------------|'
+  UNION ALL SELECT 6, 2.0 + row_number() OVER (ORDER BY batch_size),
+                   '| ' || batch_size || ' | ' || printf('%.2f', avg_latency_ms) || ' | ' || printf('%.2f', tps) || ' |' FROM lat)
+SELECT sec AS section, count(*) AS lines, string_agg(line, chr(10) ORDER BY sort) AS text FROM lines GROUP BY sec
+""")
+def q_markdown_report(spark, sf_dir):
+    """K5: the evaluation report by section (header, model, hardware, summary, perplexity, tasks, latency)."""
+    from quarry.operators.metrics import markdown_lines, report_text
+    parts = evaluation_parts(spark, sf_dir)
+    lines = markdown_lines(summary_of(parts), parts["perplexity"], parts["tasks"], parts["latency"], model=REPORT_MODEL,
+                           hardware=REPORT_HARDWARE, generated=REPORT_TIME)
+    t = report_text(lines.withColumn("section", F.col("pos._sec")), "section")
+    return t.select("section", F.col("n_lines").alias("lines"), F.col("report").alias("text"))
 
 
 PHASE_METRICS = ["requests", "error_rate", "mean_latency_s", "latency_ms", "throughput_tps", "gpu_memory_gb"]
@@ -374,33 +441,29 @@ FROM o LEFT JOIN m b ON b.metric = o.metric AND b.phase = 'before'
        LEFT JOIN m c ON c.metric = o.metric AND c.phase = 'after'
 """)
 def q_compare_halves(spark, sf_dir):
-    """Days 1-15 (baseline) against days 16-30 (candidate); an unmeasured metric stays null."""
+    """Days 1-15 (baseline) against days 16-30 (candidate); an unmeasured metric stays null. One aggregate of the log."""
     from quarry.operators.metrics import compare
+    from quarry.session import cut_lineage
     lg = log(spark, sf_dir).withColumn(
         "phase", F.when(F.dayofmonth("ts_ntz") <= 15, F.lit("before")).otherwise(F.lit("after")))
-    req = lg.groupBy("phase").agg(F.count(F.lit(1)).cast("double").alias("requests"),
+    first = (F.pmod(F.col("user_id"), F.lit(3)) == 0) & (F.pmod(F.col("request_id"), F.lit(10)) != 0)     # batch size 1, no warm-up
+    agg = lg.groupBy("phase").agg(F.count(F.lit(1)).cast("double").alias("requests"),
                                   F.avg((F.col("status") == "failed").cast("double")).alias("error_rate"),
-                                  F.avg("latency_s").alias("mean_latency_s"))
-    req_long = req.select("phase", F.expr(
-        "stack(3, 'requests', requests, 'error_rate', error_rate, 'mean_latency_s', mean_latency_s) "
-        "as (metric, value)"))
-    tm = timings(spark, sf_dir).withColumn(
-        "phase", F.when(F.dayofmonth("ts") <= 15, F.lit("before")).otherwise(F.lit("after")))
-    t = tm.filter(~F.col("warmup") & (F.col("batch_size") == 1)).groupBy("phase").agg(
-        (F.sum("seconds") / F.count(F.lit(1))).alias("_avg"))
-    lat_long = t.select("phase", F.expr("stack(2, 'latency_ms', _avg * 1000, 'throughput_tps', 1 / _avg) "
-                                        "as (metric, value)"))
-    m = req_long.unionByName(lat_long)
+                                  F.avg("latency_s").alias("mean_latency_s"), F.avg(F.when(first, F.col("latency_s"))).alias("_t"))
+    m = cut_lineage(agg.select("phase", F.expr(
+        "stack(5, 'requests', requests, 'error_rate', error_rate, 'mean_latency_s', mean_latency_s, "
+        "'latency_ms', _t * 1000, 'throughput_tps', 1 / _t) as (metric, value)")))
     c = compare(m.filter(F.col("phase") == "before"), m.filter(F.col("phase") == "after"), PHASE_METRICS)
     return c.select("pos", "metric", *[F.round(x, 6).alias(x) for x in ("baseline", "candidate", "delta", "delta_pct")])
 
 
 @register("latest_run", """
-SELECT event_type AS run_id, arg_max(ts, ts) AS ts, arg_max(event_id, ts) AS event_id, arg_max(value, ts) AS value
+SELECT event_type AS run_id, arg_max(ts, (ts, event_id)) AS ts, arg_max(event_id, (ts, event_id)) AS event_id,
+       arg_max(value, (ts, event_id)) AS value
 FROM events GROUP BY event_type
 """)
 def q_latest_run(spark, sf_dir):
-    """Newest record per run key (runs keyed by event type)."""
+    """Newest record per run key (runs keyed by event type; equal times: the larger id)."""
     from quarry.operators.metrics import latest_run
     e = table(spark, sf_dir, "events").select(F.col("event_type").alias("run_id"), "ts", "event_id", "value")
-    return latest_run(e, "run_id", "ts").select("run_id", "ts", "event_id", "value")
+    return latest_run(e, "run_id", ["ts", "event_id"]).select("run_id", "ts", "event_id", "value")

@@ -4,25 +4,40 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quarry.functions import text as T
 from quarry.plans.catalog import ntok, register, strip
 from quarry.session import table
 
 TOKRX = "'[^ \\t\\n\\r\\f]+'"
 NL = "chr(10)"
 
-# Cases: user turn -> next assistant turn; expected elements per FIXTURES.
-CASES_SQL = f"""
-cases AS (
-  SELECT u.conv_id, u.turn, CAST(u.turn AS VARCHAR) AS category, u.text AS input,
-         list_sort(list_distinct(list_filter(regexp_extract_all(lower(u.text), {TOKRX}),
-                                             lambda t: length(t) >= 5)))[1:6] AS expected_elements,
-         a.text AS output
-  FROM conversations u JOIN conversations a
+# Every user turn with the next assistant turn, if any.
+PAIRS_SQL = """pairs AS (
+  SELECT u.conv_id, u.turn, u.text AS question, a.text AS answer
+  FROM conversations u LEFT JOIN conversations a
     ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
-  WHERE u.role = 'user'),
+  WHERE u.role = 'user')"""
+
+# Cases: expected elements are all distinct tokens and the first two tokens as a multi-word element.
+CASES_BASE = f"""{PAIRS_SQL},
+toks AS (SELECT *, regexp_extract_all(lower(question), {TOKRX}) AS w FROM pairs),
+cases AS (
+  SELECT conv_id, turn, CAST(turn AS VARCHAR) AS category, question AS input, coalesce(answer, '') AS output,
+         list_concat(list_sort(list_distinct(w)), CASE WHEN len(w) >= 2 THEN [w[1] || ' ' || w[2]] ELSE [] END) AS expected_elements
+  FROM toks)"""
+
+
+def hit_sql(words: bool) -> str:
+    """Predicate of an element ``e`` against ``output``."""
+    direct = "contains(lower(output), lower(e))"
+    return direct if not words else (f"({direct} OR (contains(e, ' ') AND len(list_filter(string_split(lower(e), ' '), "
+                                     "lambda x: NOT contains(lower(output), x))) = 0))")
+
+
+CASES_SQL = f"""{CASES_BASE},
 scored AS (
-  SELECT *, list_filter(expected_elements, lambda e: contains(lower(output), lower(e))) AS elements_found,
-            list_filter(expected_elements, lambda e: NOT contains(lower(output), lower(e))) AS elements_missing
+  SELECT *, list_filter(expected_elements, lambda e: {hit_sql(True)}) AS elements_found,
+            list_filter(expected_elements, lambda e: NOT {hit_sql(True)}) AS elements_missing
   FROM cases),
 res AS (
   SELECT *, CASE WHEN len(expected_elements) > 0 THEN len(elements_found) / len(expected_elements)
@@ -35,7 +50,23 @@ def scored_cases(spark, sf_dir):
     from quarry.functions.text import token_count
     from quarry.operators.scoring import coverage, user_turn_cases
     c = user_turn_cases(table(spark, sf_dir, "conversations"))
-    return coverage(c).withColumn("tokens_generated", token_count("output"))
+    return coverage(c).withColumn("tokens_generated", F.coalesce(token_count("output"), F.lit(0)))
+
+
+def timed_cases(spark, sf_dir):
+    """Scored cases with a latency: the duration of the event that has the conversation's number."""
+    t = table(spark, sf_dir, "events").select(F.col("event_id").alias("conv_id"), (F.col("value") * 1000).alias("latency_ms"))
+    return scored_cases(spark, sf_dir).join(t, "conv_id", "left")
+
+
+@register("cases_without_output", f"WITH {PAIRS_SQL}\nSELECT conv_id, turn FROM pairs WHERE answer IS NULL")
+def q_cases_without_output(spark, sf_dir):
+    """J1 left variant: user turns that no assistant turn follows."""
+    from quarry.operators.scoring import cases_without_output
+    c = table(spark, sf_dir, "conversations")
+    u = c.filter(F.col("role") == "user").select("conv_id", "turn")
+    a = c.filter((F.col("role") == "assistant") & F.col("text").isNotNull()).select("conv_id", (F.col("turn") - 1).alias("turn"))
+    return cases_without_output(u, a, ["conv_id", "turn"])
 
 
 @register("coverage", f"WITH {CASES_SQL}\n" + """
@@ -50,21 +81,56 @@ def q_coverage(spark, sf_dir):
                     F.round("coverage_score", 6).alias("coverage_score"))
 
 
-@register("validation_summary", f"WITH {CASES_SQL}\n" + """
+TIMED_SQL = f"""{CASES_SQL},
+timed AS (SELECT r.*, e.value * 1000 AS latency_ms FROM res r LEFT JOIN events e ON e.event_id = r.conv_id)"""
+
+
+@register("validation_summary", f"WITH {TIMED_SQL}\n" + """
 SELECT count(*) AS total_tests, count(*) FILTER (WHERE coverage_score >= 0.6) AS passed_tests,
        round(avg(coverage_score), 6) AS avg_coverage_score,
        round(avg(round(coverage_score * 100, 1)), 6) AS average_coverage,
-       sum(tokens_generated) AS total_tokens,
-       round(100.0 * count(*) FILTER (WHERE coverage_score >= 0.6) / count(*), 6) AS pass_rate
-FROM res
+       sum(tokens_generated) AS total_tokens, round(avg(latency_ms), 6) AS avg_latency_ms,
+       round(100.0 * count(*) FILTER (WHERE coverage_score >= 0.6) / count(*), 6) AS pass_rate,
+       round(sum(latency_ms) / 1000, 6) AS total_time_seconds,
+       round(sum(tokens_generated) / (sum(latency_ms) / 1000), 6) AS tokens_per_second,
+       CASE WHEN avg(coverage_score) >= 0.5 THEN 'PASS' ELSE 'WARN' END AS verdict
+FROM timed
 """)
 def q_validation_summary(spark, sf_dir):
-    """A9 over all scored cases."""
-    from quarry.operators.scoring import validation_summary
-    s = validation_summary(scored_cases(spark, sf_dir))
+    """A9 over all scored cases: coverage, mean latency, throughput over the wall time of one run after the other, verdict."""
+    from quarry.operators.scoring import quick_verdict, validation_summary
+    s = validation_summary(timed_cases(spark, sf_dir), latency_col="latency_ms", total_time=F.col("total_time_seconds"))
     return s.select("total_tests", "passed_tests", F.round("avg_coverage_score", 6).alias("avg_coverage_score"),
                     F.round("average_coverage", 6).alias("average_coverage"), "total_tokens",
-                    F.round("pass_rate", 6).alias("pass_rate"))
+                    F.round("avg_latency_ms", 6).alias("avg_latency_ms"), F.round("pass_rate", 6).alias("pass_rate"),
+                    F.round("total_time_seconds", 6).alias("total_time_seconds"),
+                    F.round("tokens_per_second", 6).alias("tokens_per_second"), quick_verdict("avg_coverage_score").alias("verdict"))
+
+
+@register("quick_check", f"WITH {TIMED_SQL}\n" + """
+SELECT conv_id, turn, CASE WHEN coverage_score >= 0.5 THEN 'PASS' ELSE 'WARN' END AS status,
+       printf('%.0f', round_even(coverage_score * 100, 0)) || '%' AS coverage
+FROM timed
+""")
+def q_quick_check(spark, sf_dir):
+    """A9 quick variant: PASS or WARN per case with the coverage as shown."""
+    from quarry.operators.metrics import fmt_fixed
+    from quarry.operators.scoring import quick_verdict
+    r = scored_cases(spark, sf_dir)
+    return r.select("conv_id", "turn", quick_verdict("coverage_score").alias("status"),
+                    F.concat(fmt_fixed(F.col("coverage_score") * 100, 0), F.lit("%")).alias("coverage"))
+
+
+@register("category_bars", f"WITH {CASES_SQL}\n" + """
+SELECT category, rpad(category, 25, ' ') || ' ' || lpad(printf('%.1f', round_even(avg(coverage_score) * 100, 1)), 5, ' ') || '% |'
+       || repeat('=', CAST(floor(avg(coverage_score) * 40) AS INTEGER)) AS line
+FROM res GROUP BY category
+""")
+def q_category_bars(spark, sf_dir):
+    """K5 text variant: one line per category with its mean coverage as a bar of int(score * 40) signs."""
+    from quarry.operators.metrics import category_bars
+    c = scored_cases(spark, sf_dir).groupBy("category").agg(F.avg("coverage_score").alias("score"))
+    return category_bars(c)
 
 
 @register("category_breakdown", f"WITH {CASES_SQL}\n" + """
@@ -119,11 +185,14 @@ def q_render_conversation(spark, sf_dir):
     return r.select("conv_id", "n_messages", "valid", F.sha2("rendered", 256).alias("rendered_hash"))
 
 
-PROMPT_HEAD = ("'<|begin_of_text|><|start_header_id|>system<|end_header_id|>' || chr(10) || chr(10) || "
-               "'You are a medical AI assistant. Provide accurate, evidence-based medical information.' || chr(10) || "
-               "'Be concise and professional. Always recommend verification by healthcare professionals.' || "
-               "'<|eot_id|><|start_header_id|>user<|end_header_id|>' || chr(10) || chr(10)")
-PROMPT_TAIL = "'<|eot_id|><|start_header_id|>assistant<|end_header_id|>' || chr(10) || chr(10)"
+def _sql_text(x: str) -> str:
+    """A SQL expression for a text with line breaks."""
+    return " || chr(10) || ".join("'" + part.replace("'", "''") + "'" for part in x.split("\n"))
+
+
+PROMPT_HEAD = _sql_text(f"{T.BEGIN_OF_TEXT}{T.START_HEADER}system{T.END_HEADER}\n\n{T.DEFAULT_SYSTEM_PROMPT}{T.END_OF_TURN}"
+                        f"{T.START_HEADER}user{T.END_HEADER}\n\n")
+PROMPT_TAIL = _sql_text(f"{T.END_OF_TURN}{T.START_HEADER}assistant{T.END_HEADER}\n\n")
 
 
 @register("render_prompt", f"""
@@ -139,13 +208,11 @@ def q_render_prompt(spark, sf_dir):
 
 
 @register("extract_response", f"""
-WITH x AS (
-  SELECT u.conv_id, u.turn, u.text AS prompt,
-         'user' || chr(10) || chr(10) || u.text || 'assistant' || chr(10) || chr(10) || a.text AS full_text,
-         a.text AS reply
-  FROM conversations u JOIN conversations a
-    ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
-  WHERE u.role = 'user'),
+WITH {PAIRS_SQL},
+x AS (
+  SELECT conv_id, turn, question AS prompt, coalesce(answer, '') AS reply,
+         'user' || chr(10) || chr(10) || question || 'assistant' || chr(10) || chr(10) || coalesce(answer, '') AS full_text
+  FROM pairs),
 e AS (
   SELECT conv_id, turn, reply,
          CASE WHEN contains(lower(full_text), 'assistant')
@@ -156,34 +223,26 @@ e AS (
 SELECT conv_id, turn, sha256(response) AS response_hash, response = {strip('reply')} AS exact FROM e
 """)
 def q_extract_response(spark, sf_dir):
-    """P10: the decoded text (special tokens skipped) is cut after the last ``assistant``."""
+    """P10: the decoded text (special tokens skipped) is cut after the last ``assistant``; no answer gives an empty one."""
     from quarry.functions.text import extract_response, stripped
-    c = table(spark, sf_dir, "conversations")
-    u = c.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("prompt"))
-    a = c.filter(F.col("role") == "assistant").select("conv_id", (F.col("turn") - 1).alias("turn"),
-                                                      F.col("text").alias("reply"))
-    x = u.join(a, ["conv_id", "turn"]).withColumn(
-        "full_text", F.concat(F.lit("user\n\n"), "prompt", F.lit("assistant\n\n"), "reply"))
+    from quarry.operators.scoring import turn_pairs
+    x = turn_pairs(table(spark, sf_dir, "conversations"), "prompt", "reply").withColumn("reply", F.coalesce("reply", F.lit("")))
+    x = x.withColumn("full_text", F.concat(F.lit("user\n\n"), "prompt", F.lit("assistant\n\n"), "reply"))
     e = x.withColumn("response", extract_response("full_text", "prompt"))
     return e.select("conv_id", "turn", F.sha2("response", 256).alias("response_hash"),
                     (F.col("response") == stripped("reply")).alias("exact"))
 
 
-@register("format_qa", """
-SELECT u.conv_id, u.turn, length(u.text || chr(10) || chr(10) || a.text) AS text_chars,
-       sha256(u.text || chr(10) || chr(10) || a.text) AS text_hash
-FROM conversations u JOIN conversations a
-  ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
-WHERE u.role = 'user'
+@register("format_qa", f"""
+WITH {PAIRS_SQL},
+t AS (SELECT conv_id, turn, question || chr(10) || chr(10) || coalesce(answer, '') AS t FROM pairs)
+SELECT conv_id, turn, length(t) AS text_chars, sha256(t) AS text_hash FROM t
 """)
 def q_format_qa(spark, sf_dir):
-    """Question (user turn) + blank line + answer (next assistant turn)."""
+    """Question (user turn) + blank line + answer (next assistant turn, empty when there is none)."""
     from quarry.functions.text import format_qa
-    c = table(spark, sf_dir, "conversations")
-    u = c.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("q"))
-    a = c.filter(F.col("role") == "assistant").select("conv_id", (F.col("turn") - 1).alias("turn"),
-                                                      F.col("text").alias("a"))
-    t = u.join(a, ["conv_id", "turn"]).withColumn("t", format_qa("q", "a"))
+    from quarry.operators.scoring import turn_pairs
+    t = turn_pairs(table(spark, sf_dir, "conversations"), "q", "a").withColumn("t", format_qa("q", "a"))
     return t.select("conv_id", "turn", F.length("t").alias("text_chars"), F.sha2("t", 256).alias("text_hash"))
 
 
@@ -212,80 +271,68 @@ def q_format_mcq(spark, sf_dir):
                     F.length("t").alias("text_chars"), F.sha2("t", 256).alias("text_hash"))
 
 
-@register("consistency", """
-WITH x AS (
-  SELECT u.text AS prompt, a.text AS output
-  FROM conversations u JOIN conversations a
-    ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
-  WHERE u.role = 'user')
-SELECT sha256(prompt) AS prompt_hash, count(*) AS runs, count(DISTINCT sha256(output)) AS distinct_outputs,
-       count(DISTINCT sha256(output)) = 1 AS consistent
-FROM x GROUP BY 1
+@register("consistency", f"""
+WITH {PAIRS_SQL}
+SELECT sha256(question) AS prompt_hash, count(*) AS runs, count(DISTINCT sha256(coalesce(answer, ''))) AS distinct_outputs,
+       count(DISTINCT sha256(coalesce(answer, ''))) = 1 AS consistent
+FROM pairs GROUP BY 1
 """)
 def q_consistency(spark, sf_dir):
-    """The same prompt must always get the same answer."""
-    from quarry.operators.scoring import consistency
-    c = table(spark, sf_dir, "conversations")
-    u = c.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("prompt"))
-    a = c.filter(F.col("role") == "assistant").select("conv_id", (F.col("turn") - 1).alias("turn"),
-                                                      F.col("text").alias("output"))
-    return consistency(u.join(a, ["conv_id", "turn"]))
-
+    """The same prompt must always get the same answer (no answer is an empty one)."""
+    from quarry.operators.scoring import consistency, turn_pairs
+    p = turn_pairs(table(spark, sf_dir, "conversations"), "prompt", "output")
+    return consistency(p.withColumn("output", F.coalesce("output", F.lit(""))))
 
-VOCAB_SQL = f"""vocab AS (
-  SELECT DISTINCT t AS term FROM (SELECT unnest(regexp_extract_all(lower(text), {TOKRX})) AS t FROM benchmark)
-  WHERE length(t) >= 5)"""
 
-
-@register("added_terms", f"""
-WITH {VOCAB_SQL},
-pairs AS (
-  SELECT u.conv_id, u.turn, u.text AS original, a.text AS summary
-  FROM conversations u JOIN conversations a
-    ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
-  WHERE u.role = 'user'),
+# U3 per user turn and its answer: CTE ``added_of`` (conv_id, turn, added_terms, n_added); the vocabulary is every benchmark token.
+ADDED_SQL = f"""{PAIRS_SQL},
+vocab AS (SELECT DISTINCT t AS term FROM (SELECT unnest(regexp_extract_all(lower(text), {TOKRX})) AS t FROM benchmark)),
 st AS (SELECT DISTINCT conv_id, turn, t AS term FROM (
-         SELECT conv_id, turn, unnest(regexp_extract_all(lower(summary), {TOKRX})) AS t FROM pairs)
+         SELECT conv_id, turn, unnest(regexp_extract_all(lower(answer), {TOKRX})) AS t FROM pairs)
        WHERE t IN (SELECT term FROM vocab)),
 ot AS (SELECT DISTINCT conv_id, turn, t AS term FROM (
-         SELECT conv_id, turn, unnest(regexp_extract_all(lower(original), {TOKRX})) AS t FROM pairs)
+         SELECT conv_id, turn, unnest(regexp_extract_all(lower(question), {TOKRX})) AS t FROM pairs)
        WHERE t IN (SELECT term FROM vocab)),
 added AS (SELECT * FROM st WHERE NOT EXISTS (
             SELECT 1 FROM ot WHERE ot.conv_id = st.conv_id AND ot.turn = st.turn AND ot.term = st.term)),
-per AS (SELECT conv_id, turn, list_sort(list(term)) AS added_terms FROM added GROUP BY conv_id, turn)
-SELECT p.conv_id, p.turn, coalesce(per.added_terms, []::VARCHAR[]) AS added_terms,
-       len(coalesce(per.added_terms, []::VARCHAR[])) AS n_added,
-       len(coalesce(per.added_terms, []::VARCHAR[])) = 0 AS valid
-FROM pairs p LEFT JOIN per USING (conv_id, turn)
-""")
-def q_added_terms(spark, sf_dir):
-    """U3 with the F3 default extractor (vocabulary = benchmark tokens of 5+ characters)."""
+per AS (SELECT conv_id, turn, list_sort(list(term)) AS terms FROM added GROUP BY conv_id, turn),
+added_of AS (SELECT p.conv_id, p.turn, coalesce(per.terms, []::VARCHAR[]) AS added_terms,
+              len(coalesce(per.terms, []::VARCHAR[])) AS n_added
+       FROM pairs p LEFT JOIN per USING (conv_id, turn))"""
+
+
+def added_terms_of(spark, sf_dir):
     from quarry.functions.text import lower_tokens
-    from quarry.operators.scoring import added_terms
-    c = table(spark, sf_dir, "conversations")
-    u = c.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("original"))
-    a = c.filter(F.col("role") == "assistant").select("conv_id", (F.col("turn") - 1).alias("turn"),
-                                                      F.col("text").alias("summary"))
-    vocab = (table(spark, sf_dir, "benchmark").select(F.explode(lower_tokens("text")).alias("term"))
-             .filter(F.length("term") >= 5).distinct())
-    return added_terms(u.join(a, ["conv_id", "turn"]), ["conv_id", "turn"], "original", "summary", vocab)
+    from quarry.operators.scoring import added_terms, turn_pairs
+    vocab = table(spark, sf_dir, "benchmark").select(F.explode(lower_tokens("text")).alias("term")).distinct()
+    return added_terms(turn_pairs(table(spark, sf_dir, "conversations"), "original", "summary"), ["conv_id", "turn"],
+                       "original", "summary", vocab)
+
+
+@register("added_terms", f"WITH {ADDED_SQL}\nSELECT conv_id, turn, added_terms, n_added, n_added = 0 AS valid FROM added_of")
+def q_added_terms(spark, sf_dir):
+    """U3 with the F3 default extractor (vocabulary = every benchmark token)."""
+    return added_terms_of(spark, sf_dir)
 
 
 @register("sections", f"""
-WITH l AS (SELECT doc_id, text FROM documents WHERE {ntok('text')} > 3500),
-s AS (SELECT doc_id, unnest(string_split_regex(text, '\\n+')) AS section FROM l)
-SELECT doc_id, count(*) AS n_sections, max({ntok('section')}) AS max_section_tokens,
-       sum({ntok('section')}) AS total_tokens
-FROM s GROUP BY doc_id
+WITH l AS (SELECT doc_id, text, string_split_regex(text, '\\n\\n+') AS p FROM documents WHERE {ntok('text')} > 3500),
+s AS (SELECT doc_id, unnest(p) AS section FROM l)
+SELECT doc_id, any_value(len(p)) - CASE WHEN any_value(text) LIKE '%' || chr(10) || chr(10) THEN 1 ELSE 0 END AS n_sections,
+       max({ntok('section')}) AS max_section_tokens, sum({ntok('section')}) AS total_tokens, true AS same_text
+FROM s JOIN l USING (doc_id) GROUP BY doc_id
 """)
 def q_sections(spark, sf_dir):
-    """Documents over 3500 tokens split at line boundaries; per-section token counts."""
+    """Documents over 3500 tokens split after blank lines; token counts, and the sections joined are the text."""
     from quarry.functions.text import token_count
-    from quarry.operators.scoring import split_sections
-    s = split_sections(table(spark, sf_dir, "documents"), "doc_id")
+    from quarry.operators.scoring import combine_sections, split_sections
+    d = table(spark, sf_dir, "documents")
+    s = split_sections(d, "doc_id")
     n = token_count("section")
-    return s.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_sections"), F.max(n).alias("max_section_tokens"),
-                                   F.sum(n).alias("total_tokens"))
+    counts = s.groupBy("doc_id").agg(F.max(n).alias("max_section_tokens"), F.sum(n).alias("total_tokens"))
+    whole = d.select("doc_id", "text").join(combine_sections(s, "doc_id"), "doc_id")
+    return counts.join(whole, "doc_id").select("doc_id", "n_sections", "max_section_tokens", "total_tokens",
+                                               (F.col("combined") == F.col("text")).alias("same_text"))
 
 
 @register("token_tiers", """
@@ -323,16 +370,12 @@ def q_custom_extractor(spark, sf_dir):
 
 @register("sections_roundtrip", f"""
 WITH l AS (SELECT doc_id, text FROM documents WHERE {ntok('text')} > 3500)
-SELECT doc_id, len(string_split_regex(text, '\\n+')) AS n_sections,
-       array_to_string(string_split_regex(text, '\\n+'), chr(10)) = regexp_replace(text, '\\n+', chr(10), 'g')
-         AS same_text
+SELECT doc_id, len(string_split_regex(text, '\\n+')) - CASE WHEN text LIKE '%' || chr(10) THEN 1 ELSE 0 END AS n_sections, true AS same_text
 FROM l
 """)
 def q_sections_roundtrip(spark, sf_dir):
-    """P14 split then recombine: sections processed apart and joined back in order."""
+    """P14 split after every line break and joined again: the text itself."""
     from quarry.operators.scoring import combine_sections, split_sections
     d = table(spark, sf_dir, "documents")
-    s = split_sections(d, "doc_id")
-    c = combine_sections(s, "doc_id")
-    orig = d.select("doc_id", F.regexp_replace("text", r"\n+", "\n").alias("_norm"))
-    return c.join(orig, "doc_id").select("doc_id", "n_sections", (F.col("combined") == F.col("_norm")).alias("same_text"))
+    c = combine_sections(split_sections(d, "doc_id", boundary=r"(?<=\n)(?=[^\n])"), "doc_id")
+    return c.join(d.select("doc_id", "text"), "doc_id").select("doc_id", "n_sections", (F.col("combined") == F.col("text")).alias("same_text"))

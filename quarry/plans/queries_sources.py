@@ -8,16 +8,12 @@ from pyspark.sql import functions as F
 
 from quarry.plans.catalog import ntok, register, strip
 from quarry.plans.queries_corpus import PACK_SHARDS, pack_ctes
-from quarry.session import table
+from quarry.plans.queries_scoring import CASES_BASE, hit_sql
+from quarry.session import cut_lineage, scratch, table
 
 TOKRX = "'[^ \\t\\n\\r\\f]+'"
 
 
-def _scratch(spark, name):
-    from quarry.streaming.jobs import scratch
-    return scratch(spark, name)
-
-
 # --------------------------------------------------------------------------- S3, S5, F4
 def registry():
     from quarry.sources.registry import SourceEntry
@@ -58,7 +54,7 @@ u AS (
   UNION ALL SELECT * FROM (SELECT 'src1', key, text FROM s1 WHERE length({strip('text')}) > 50 ORDER BY key LIMIT 40)
   UNION ALL SELECT * FROM (SELECT 'src2', key, text FROM s2 WHERE length({strip('text')}) > 50 ORDER BY key LIMIT 40)
   UNION ALL SELECT * FROM (SELECT 'src4', key, text FROM s5 WHERE length({strip('text')}) > 50 ORDER BY key LIMIT 40))
-SELECT source, key, sha256(text) AS text_hash FROM u
+SELECT source, CAST(key AS VARCHAR) AS key, sha256(text) AS text_hash FROM u
 """
 
 
@@ -165,55 +161,38 @@ def q_jsonl_round_trip(spark, sf_dir):
     """S7 -> S1 -> S8: documents written as JSON lines, read back, and the stats sidecar written and
     read back (total, counts by source, counts by type)."""
     from quarry.sources.jsonl import read_jsonl, write_jsonl, write_stats
-    base = _scratch(spark, "jsonl")
-    out = os.path.join(base, "calibration.jsonl")
     d = table(spark, sf_dir, "documents").select("text", "source", F.col("lang").alias("type"))
-    write_jsonl(d, out)
-    write_stats(read_jsonl(spark, out), os.path.join(base, "calibration_stats.json"))
-    st = spark.read.json(os.path.join(base, "calibration_stats.json"))
-    total = st.select(F.lit("total").alias("section"), F.lit("all").alias("key"), F.col("total_samples").alias("n"))
-    parts = [st.select(F.lit(sec).alias("section"), F.explode(F.from_json(F.to_json(sec), "map<string,bigint>"))
-                       .alias("key", "n")) for sec in ("sources", "types")]
-    return total.unionByName(parts[0]).unionByName(parts[1])
+    with scratch(spark, "jsonl") as base:
+        out = os.path.join(base, "calibration.jsonl")
+        write_jsonl(d, out)
+        write_stats(read_jsonl(spark, out), os.path.join(base, "calibration_stats.jsonl"))
+        return cut_lineage(spark.read.json(os.path.join(base, "calibration_stats.jsonl"))).select("section", "key", "n")
 
 
 @register("bad_lines", """
 SELECT 'total' AS kind, (SELECT count(*) FROM documents) + (SELECT count(*) FROM pages) AS n
 UNION ALL SELECT 'valid', (SELECT count(*) FROM documents)
 UNION ALL SELECT 'bad', (SELECT count(*) FROM pages)
+UNION ALL SELECT 'located', (SELECT count(*) FROM pages)
 """)
 def q_bad_lines(spark, sf_dir):
     """A folder of JSON lines (documents) mixed with raw non-JSON lines (page URLs) and blank
     lines; malformed lines are counted and located, blanks are skipped."""
     from quarry.sources.jsonl import read_jsonl_checked
-    out = os.path.join(_scratch(spark, "badlines"), "mixed")
     d = table(spark, sf_dir, "documents").select("text", "source", F.col("lang").alias("type"))
-    d.write.mode("overwrite").json(out)
     p = table(spark, sf_dir, "pages").select(F.concat(F.col("url"), F.lit("\n")).alias("value"))
-    p.write.mode("append").text(out)
-    good, bad, counts = read_jsonl_checked(spark, out)
-    return counts.select(F.explode(F.array(
+    with scratch(spark, "badlines") as base:
+        out = os.path.join(base, "mixed")
+        d.write.mode("overwrite").json(out)
+        p.write.mode("append").text(out)
+        good, bad, counts = read_jsonl_checked(spark, out)
+        located = bad.select(F.count(F.lit(1)).alias("located"), F.count_distinct("file", "line_no").alias("places"))
+        both = cut_lineage(counts.join(located))
+    return both.select(F.explode(F.array(
         F.struct(F.lit("total").alias("kind"), F.col("total").alias("n")),
         F.struct(F.lit("valid").alias("kind"), F.col("valid").alias("n")),
-        F.struct(F.lit("bad").alias("kind"), F.col("bad").alias("n")))).alias("x")).select("x.*")
-
-
-# --------------------------------------------------------------------------- S13, S14, J4
-@register("file_inventory")
-def q_file_inventory(spark, sf_dir):
-    """S13 over the data directory (rows-only: sizes depend on the file system)."""
-    from quarry.sources.files import file_inventory, listing
-    return file_inventory(listing(spark, sf_dir)).select("dir", "total_size_bytes", "file_count", "total_size",
-                                                         "extensions")
-
-
-@register("missing_files")
-def q_missing_files(spark, sf_dir):
-    """Required table files per directory and a completeness verdict (rows-only)."""
-    from quarry.sources.files import check_complete, listing
-    req = ["documents.parquet", "events.parquet", "labels.parquet", "manifest.json"]
-    return check_complete(listing(spark, sf_dir), req, [r"\.parquet$"]).select(
-        "dir", "has_match", "missing", "complete")
+        F.struct(F.lit("bad").alias("kind"), F.col("bad").alias("n")),
+        F.struct(F.lit("located").alias("kind"), F.col("places").alias("n")))).alias("x")).select("x.*")
 
 
 # --------------------------------------------------------------------------- F2, J3, K5, P18
@@ -262,7 +241,7 @@ WITH r AS (SELECT event_type AS run_id, count(*) AS requests, count(*) FILTER (W
                   count(DISTINCT user_id) AS users FROM events GROUP BY 1),
 hours AS (SELECT event_type AS run_id, hour(ts) AS h, count(*) AS n FROM events GROUP BY 1, 2),
 hl AS (SELECT h.run_id, 100 + h.h AS pos,
-              lpad(CAST(h.h AS VARCHAR), 2, '0') || ' ' || repeat('#', CAST(floor(h.n / m.mx * 40) AS INTEGER)) AS line
+              lpad(CAST(h.h AS VARCHAR), 2, '0') || ' ' || repeat('=', CAST(floor(h.n / m.mx * 40) AS INTEGER)) AS line
        FROM hours h JOIN (SELECT run_id, max(n) AS mx FROM hours GROUP BY 1) m USING (run_id)),
 head AS (SELECT run_id, 0 AS pos,
                 '# Run ' || run_id || chr(10) || 'Requests: ' || requests || chr(10) || 'Failed: ' || failed || chr(10)
@@ -312,56 +291,96 @@ FROM buf
 def q_build_calibration(spark, sf_dir):
     """K2: route, truncate, pack (only when fewer than half the wanted texts are kept) and a run manifest
     whose sample count is observed during the write (no second scan)."""
-    from pyspark.sql import Observation
     from quarry.operators.packing import calibration_set
+    with scratch(spark, "calibration") as out:
+        cal = calibration_set(table(spark, sf_dir, "documents"), max_samples=CALIBRATION_SAMPLES, n_shards=PACK_SHARDS)
+        save_calibration(spark, cal, out)
+        back = cut_lineage(spark.read.parquet(os.path.join(out, "data"))
+                           .select("kind", "seq_key", "n_tokens", F.sha2("text", 256).alias("text_hash")))
+    return back
+
+
+def save_calibration(spark, cal, out):
+    """Writes a calibration set with its manifest; the sample count is observed during the write."""
+    from pyspark.sql import Observation
     from quarry.sources.results import run_manifest
-    out = _scratch(spark, "calibration")
-    cal = calibration_set(table(spark, sf_dir, "documents"), max_samples=CALIBRATION_SAMPLES, n_shards=PACK_SHARDS)
     obs = Observation("calibration")
-    cal.observe(obs, F.count(F.lit(1)).alias("num_samples"), F.avg("n_tokens").alias("avg_length")) \
+    cal.observe(obs, F.count(F.lit(1)).alias("num_samples"), F.sum("n_tokens").alias("total_tokens")) \
        .write.mode("overwrite").parquet(os.path.join(out, "data"))
-    run_manifest(spark, {"source": "documents", "max_length": 2048, "min_length": 256, "max_samples": CALIBRATION_SAMPLES},
-                 obs.get, os.path.join(out, "manifest"))
-    back = spark.read.parquet(os.path.join(out, "data"))
-    return back.select("kind", "seq_key", "n_tokens", F.sha2("text", 256).alias("text_hash"))
+    params = {"source": "documents", "max_length": 2048, "min_length": 256, "max_samples": CALIBRATION_SAMPLES}
+    return run_manifest(spark, params, obs.get, os.path.join(out, "manifest"), timestamp="2024-02-01T00:00:00", output_dir=os.path.join(out, "data"))
+
+
+@register("run_manifest", f"""
+SELECT 'documents' AS source, 2048 AS max_length, 256 AS min_length, 100000 AS max_samples, count(*) AS num_samples,
+       sum({ntok('text')}) AS total_tokens, '2024-02-01T00:00:00' AS timestamp, 'unknown' AS code_revision, true AS has_output_dir
+FROM documents
+""")
+def q_run_manifest(spark, sf_dir):
+    """The manifest of a written run (parameters, observed counts, time, code revision, output folder), read back."""
+    from quarry.functions.text import token_count
+    with scratch(spark, "manifest") as out:
+        d = table(spark, sf_dir, "documents").select("doc_id", token_count("text").alias("n_tokens"))
+        m = save_calibration(spark, d, out)
+        return cut_lineage(m.select("source", "max_length", "min_length", "max_samples", "num_samples", "total_tokens", "timestamp",
+                                    "code_revision", F.col("output_dir").endswith("/data").alias("has_output_dir")))
 
 
 # --------------------------------------------------------------------------- K4, S9, S11
-@register("validate_cases", """
-WITH cases AS (
-  SELECT CAST(u.conv_id AS VARCHAR) || '-' || CAST(u.turn AS VARCHAR) AS id, CAST(u.turn AS VARCHAR) AS category,
-         list_sort(list_distinct(list_filter(regexp_extract_all(lower(u.text), '[^ \\t\\n\\r\\f]+'),
-                                             lambda t: length(t) >= 5)))[1:6] AS expected_elements,
-         a.text AS output
-  FROM conversations u JOIN conversations a
-    ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
-  WHERE u.role = 'user'),
-s AS (SELECT *, len(list_filter(expected_elements, lambda e: contains(lower(output), lower(e)))) AS found,
-             len(expected_elements) AS total FROM cases),
-c AS (SELECT *, CASE WHEN total > 0 THEN found / total * 100 ELSE 100 END AS coverage FROM s)
-SELECT category, count(*) AS test_count, round(avg(coverage), 6) AS avg_coverage,
-       round(100.0 * count(*) FILTER (WHERE coverage >= 60) / count(*), 6) AS pass_rate
+CASES_DOC_SQL = f"""{CASES_BASE},
+sc AS (SELECT category, len(list_filter(expected_elements, lambda e: {hit_sql(False)})) AS found, len(expected_elements) AS total,
+              {ntok('output')} AS tokens FROM cases),
+c AS (SELECT *, CASE WHEN total > 0 THEN found / total ELSE 1.0 END AS coverage FROM sc)"""
+
+
+@register("validate_cases", f"WITH {CASES_DOC_SQL}" + """
+SELECT category, count(*) AS test_count, round(avg(coverage) * 100, 6) AS avg_coverage,
+       round(100.0 * count(*) FILTER (WHERE coverage >= 0.6) / count(*), 6) AS pass_rate
 FROM c GROUP BY category
 """)
 def q_validate_cases(spark, sf_dir):
-    """K4: cases written as JSON lines and loaded (S9), prompts rendered (P8), paired with the next
-    assistant turn (J1), scored in substring mode (A8, percent), saved (S11) and summarised (A10)."""
+    """K4: cases written as one nested document and loaded (S9), paired with the next assistant turn (J1, left), prompts
+    rendered (P8), scored in substring mode (A8), saved (S11) and read back by category (A10)."""
+    with scratch(spark, "validation") as out:
+        validate(spark, sf_dir, out)
+        return cut_lineage(spark.read.json(os.path.join(out, "v", "category_scores")).select(
+            "category", "test_count", F.round("avg_coverage", 6).alias("avg_coverage"), F.round("pass_rate", 6).alias("pass_rate")))
+
+
+@register("validation_document", f"WITH {CASES_DOC_SQL}" + """
+SELECT 'unigram' AS model, '2024-02-01T00:00:00' AS date, count(*) AS total_tests,
+       count(*) FILTER (WHERE coverage >= 0.6) AS passed_tests, round(avg(coverage), 6) AS avg_coverage_score,
+       (SELECT count(*) FROM events) AS prompts,
+       round((SELECT count(*) / sum(value) FROM events), 6) AS prompts_per_sec, round((SELECT avg(value) * 1000 FROM events), 6) AS avg_latency_ms,
+       count(*) AS saved_cases
+FROM c
+""")
+def q_validation_document(spark, sf_dir):
+    """The saved summary document: metadata, metrics and the performance block, with the number of saved case records."""
+    with scratch(spark, "validation") as out:
+        validate(spark, sf_dir, out)
+        doc = spark.read.json(os.path.join(out, "v", "summary"))
+        cases = spark.read.json(os.path.join(out, "v", "detailed_results")).agg(F.count(F.lit(1)).alias("saved_cases"))
+        return cut_lineage(doc.join(cases).select(
+            "metadata.model", "metadata.date", "metrics.total_tests", "metrics.passed_tests",
+            F.round("metrics.avg_coverage_score", 6).alias("avg_coverage_score"), F.col("performance_benchmark.items").alias("prompts"),
+            F.round("performance_benchmark.items_per_sec", 6).alias("prompts_per_sec"),
+            F.round(F.col("performance_benchmark.mean_latency_s") * 1000, 6).alias("avg_latency_ms"), "saved_cases"))
+
+
+def validate(spark, sf_dir, out):
     from quarry.functions.text import render_prompt
-    from quarry.operators.scoring import category_breakdown, coverage, user_turn_cases, validation_summary
-    from quarry.sources.results import load_test_cases, save_validation
-    out = _scratch(spark, "validation")
+    from quarry.operators.metrics import throughput
+    from quarry.operators.scoring import category_breakdown, coverage, pair_outputs, user_turn_cases, validation_summary
+    from quarry.sources.results import load_test_cases, save_test_cases, save_validation
+    ident = F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("id")
     c = user_turn_cases(table(spark, sf_dir, "conversations"))
-    cases = c.select(F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("id"),
-                     "category", F.lit("qa").alias("task"), "input", "expected_elements",
-                     F.lit("n/a").alias("difficulty"), "output")
-    cases.write.mode("overwrite").json(os.path.join(out, "cases"))
-    loaded = load_test_cases(spark, os.path.join(out, "cases"), multi_line=False)
-    scored = coverage(loaded.withColumn("prompt", render_prompt("input")), mode="substring")
-    detail = scored.withColumn("coverage_pct", F.col("coverage_score") * 100).withColumn(
-        "passed", F.col("coverage_score") >= 0.6)
-    cats = category_breakdown(detail)
-    save_validation(detail.drop("prompt"), validation_summary(detail, tokens_col=None), cats, os.path.join(out, "v"))
-    back = spark.read.json(os.path.join(out, "v", "detailed_results"))
-    b = category_breakdown(back)
-    return b.select("category", "test_count", F.round("avg_coverage", 6).alias("avg_coverage"),
-                    F.round("pass_rate", 6).alias("pass_rate"))
+    cases = c.select(ident, "category", F.lit("qa").alias("task"), "input", "expected_elements", F.lit("n/a").alias("difficulty"))
+    save_test_cases(cases, os.path.join(out, "cases"), {"name": "user turns"})
+    loaded = load_test_cases(spark, os.path.join(out, "cases"))
+    answers = c.where(F.col("output").isNotNull()).select(ident, "output")
+    scored = coverage(pair_outputs(loaded, answers, "id", "left").withColumn("prompt", render_prompt("input")), mode="substring")
+    detail = cut_lineage(scored.withColumn("passed", F.col("coverage_score") >= 0.6).drop("prompt"))
+    gen = table(spark, sf_dir, "events").select(F.get_json_object("props", "$.k").cast("int").alias("tokens_generated"), F.col("value").alias("time_seconds"))
+    save_validation(detail, validation_summary(detail, tokens_col=None), category_breakdown(detail), throughput(gen),
+                    {"model": "unigram", "date": "2024-02-01T00:00:00"}, os.path.join(out, "v"))

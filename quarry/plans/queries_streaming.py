@@ -5,89 +5,98 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.plans.catalog import register
-from quarry.plans.queries_events import LOG_CTE
+from quarry.plans.queries_events import LOG_CTE, REVIEW_CTE, added_counts
+from quarry.session import cut_lineage, scratch, table
 from quarry.streaming import jobs
 
-# Closed windows: those whose end is at or before the final watermark (max ts - 10 minutes).
-CLOSED = "window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"
-
-
-@register("stream_latency", f"WITH {LOG_CTE},\n" + f"""
-w AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, latency_s, status FROM log),
-a AS (SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, count(*) AS requests,
-             count(*) FILTER (WHERE status = 'failed') AS failed,
-             round(quantile_cont(latency_s, 0.5), 6) AS p50, round(quantile_cont(latency_s, 0.95), 6) AS p95
-      FROM w GROUP BY window_start)
-SELECT window_start, window_end, requests, failed, p50, p95, p95 < 3.0 AS sla_ok FROM a WHERE {CLOSED}
+@register("stream_latency", f"WITH {LOG_CTE},\n" + """
+w AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, latency_s, status FROM log)
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, count(*) AS requests,
+       count(*) FILTER (WHERE status = 'failed') AS failed, round(quantile_cont(latency_s, 0.5), 6) AS p50,
+       round(quantile_cont(latency_s, 0.95), 6) AS p95, round(quantile_cont(latency_s, 0.95), 6) < 3.0 AS sla_ok
+FROM w GROUP BY window_start
 """)
 def q_stream_latency(spark, sf_dir):
-    """Hourly windows with watermark, append mode; the sink is read back."""
-    out = jobs.scratch(spark, "stream_latency")
-    path = jobs.run_to_parquet(jobs.stream_latency(jobs.event_stream(spark, sf_dir)), out)
-    r = spark.read.parquet(path)
-    return r.select("window_start", "window_end", "requests", "failed", "p50", "p95", "sla_ok")
+    """Hourly windows with watermark; all windows, the open one included, are read back from the sink."""
+    with scratch(spark, "stream_latency") as out:
+        data = jobs.run_updates(jobs.latency_counts(jobs.event_stream(spark, sf_dir)), out)
+        counts = jobs.newest(spark, data, ["window_start", "window_end", "latency_s", "status"])
+        return cut_lineage(jobs.latency_windows(cut_lineage(counts)))
 
 
-@register("stream_dedupe", f"WITH {LOG_CTE}\nSELECT input_key, count(*) AS requests FROM log GROUP BY input_key")
+@register("stream_dedupe", f"WITH {LOG_CTE}\n" + """
+SELECT input_key, time_bucket(INTERVAL 1 HOUR, ts) AS window_start, count(*) AS requests,
+       arg_min(request_id, (start_us, request_id)) AS first_request
+FROM log GROUP BY ALL
+""")
 def q_stream_dedupe(spark, sf_dir):
-    """First occurrence of each input inside the watermark passes, repeats are served from cache.
-
-    Which of two same-batch repeats passes depends on arrival order, so the
-    check is on the keys: every input passes exactly once, with its request count
-    joined from the full log.
-    """
-    from quarry.operators.requests import request_log
-    from quarry.session import table
-    out = jobs.scratch(spark, "stream_dedupe")
-    path = jobs.run_to_parquet(jobs.stream_dedupe(jobs.event_stream(spark, sf_dir)), out)
-    passed = spark.read.parquet(path).groupBy("input_key").agg(F.count(F.lit(1)).alias("_passed"))
-    counts = request_log(table(spark, sf_dir, "events")).groupBy("input_key").agg(F.count(F.lit(1)).alias("requests"))
-    return passed.filter(F.col("_passed") == 1).join(counts, "input_key").select("input_key", "requests")
+    """Per input and hour the first request passes, the others are served from the cache."""
+    with scratch(spark, "stream_dedupe") as out:
+        data = jobs.run_updates(jobs.first_occurrences(jobs.event_stream(spark, sf_dir)), out)
+        r = jobs.newest(spark, data, ["window_start", "window_end", "input_key"])
+        return cut_lineage(r.select("input_key", "window_start", "requests", "first_request"))
 
 
-@register("stream_review", f"WITH {LOG_CTE}\n" + """
-SELECT CASE WHEN status = 'failed' OR confidence < 0.95 THEN 'review' ELSE 'publish' END AS route,
+@register("stream_review", f"WITH {REVIEW_CTE}\n" + """
+SELECT CASE WHEN rr IS NOT NULL THEN 'review' ELSE 'publish' END AS route, coalesce(rr, 'none') AS reason,
        count(*) AS n, count(DISTINCT request_id) AS distinct_requests
-FROM log GROUP BY 1
+FROM r GROUP BY 1, 2
 """)
 def q_stream_review(spark, sf_dir):
-    """foreachBatch writes the review queue and the published set; counts read back."""
-    out = jobs.scratch(spark, "stream_review")
-    review, publish = jobs.stream_review_route(spark, jobs.event_stream(spark, sf_dir), out)
-    parts = [spark.read.parquet(p).select(F.lit(r).alias("route"), "request_id")
-             for r, p in (("review", review), ("publish", publish))]
-    u = parts[0].unionByName(parts[1])
-    return u.groupBy("route").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("request_id").alias("distinct_requests"))
-
-
-AS_OF = "2024-01-31"
-
-
-@register("retention", f"WITH {LOG_CTE}\n" + """
-SELECT CAST(ts AS DATE) AS date, count(*) AS records, round(sum(confidence), 6) AS confidence_sum
-FROM log WHERE ts > TIMESTAMP '2024-01-31' - INTERVAL 30 DAY GROUP BY 1
+    """foreachBatch writes the review queue (failed, low confidence, added terms) and the published set; read back."""
+    from quarry.operators.requests import review_reason
+    with scratch(spark, "stream_review") as out:
+        added = cut_lineage(added_counts(spark, sf_dir))
+        review, publish = jobs.stream_review_route(jobs.event_stream(spark, sf_dir), out, added)
+        u = None
+        for route, path in (("review", review), ("publish", publish)):
+            rows = spark.read.parquet(path)
+            part = rows.select(F.lit(route).alias("route"), F.coalesce(review_reason(rows), F.lit("none")).alias("reason"), "request_id")
+            u = part if u is None else u.unionByName(part)
+        return cut_lineage(u.groupBy("route", "reason").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("request_id").alias("distinct_requests")))
+
+
+AS_OF = "2024-01-31 12:00:00"
+
+
+@register("retention", f"WITH {LOG_CTE}\n" + f"""
+SELECT CAST(ts AS DATE) AS date, count(*) AS records_before,
+       count(*) FILTER (WHERE ts > TIMESTAMP '{AS_OF}' - INTERVAL 30 DAY) AS records_after,
+       round(sum(confidence) FILTER (WHERE ts > TIMESTAMP '{AS_OF}' - INTERVAL 30 DAY), 6) AS confidence_after
+FROM log GROUP BY 1
 """)
 def q_retention(spark, sf_dir):
-    """T4: audit log streamed into date partitions, then read back keeping the last 30 days as of 2024-01-31."""
-    out = jobs.scratch(spark, "retention")
-    path = jobs.audit_stream(jobs.event_stream(spark, sf_dir), out)
-    kept = jobs.retain_partitions(spark, path, AS_OF, 30)
-    return kept.groupBy("date").agg(F.count(F.lit(1)).alias("records"),
-                                    F.round(F.sum("confidence_score"), 6).alias("confidence_sum"))
-
-
-@register("audit_append", f"WITH {LOG_CTE}\n" + """
+    """T4: the audit log streamed into date partitions, records of 30 days and more removed from disk; counts before and after."""
+    with scratch(spark, "retention") as out:
+        path = jobs.audit_stream(jobs.event_stream(spark, sf_dir), out)
+        before = cut_lineage(jobs.read_audit(spark, path).groupBy("date").agg(F.count(F.lit(1)).alias("records_before")))
+        jobs.purge(spark, path, AS_OF, 30)
+        after = jobs.read_audit(spark, path).groupBy("date").agg(
+            F.count(F.lit(1)).alias("records_after"), F.round(F.sum("confidence_score"), 6).alias("confidence_after"))
+        return cut_lineage(before.join(after, "date", "left").select(
+            "date", "records_before", F.coalesce("records_after", F.lit(0)).alias("records_after"), "confidence_after"))
+
+
+@register("audit_append", f"WITH {LOG_CTE}\n" + f"""
 SELECT CAST(request_id AS VARCHAR) AS report_id, sha256('audit' || CAST(user_id AS VARCHAR)) AS patient_mrn,
-       sha256(input_key) AS input_hash, confidence AS confidence_score, CAST(ts AS DATE) AS date
+       start_us AS generated_us, ts AS generated_at, '{jobs.AUDIT_MODEL_VERSION}' AS model_version, sha256(input_key) AS input_hash,
+       len(reason) + 65 AS output_chars, confidence AS confidence_score, false AS human_reviewed, NULL::VARCHAR AS reviewer_id,
+       NULL::TIMESTAMP AS reviewed_at, CAST(ts AS DATE) AS date
 FROM log
 """)
 def q_audit_append(spark, sf_dir):
-    """Audit records appended (batch writer, date partitions) and read back."""
-    import os
+    """Audit records appended (batch writer, date partitions) and read back, all columns.
+
+    The output hash covers the decimal text of a double, which engines print
+    differently; its length (and the reason's) stands for it.
+    """
     from quarry.operators.requests import request_log
-    from quarry.session import table
-    out = os.path.join(jobs.scratch(spark, "audit"), "audit")
-    jobs.audit_append(jobs.audit_records(request_log(table(spark, sf_dir, "events"))), out)
-    r = spark.read.parquet(out)
-    return r.select("report_id", "patient_mrn", "input_hash", F.round("confidence_score", 6).alias("confidence_score"),
-                    "date")
+    with scratch(spark, "audit") as out:
+        lg = request_log(table(spark, sf_dir, "events"))
+        jobs.audit_append(jobs.audit_records(lg), out)
+        r = cut_lineage(jobs.read_audit(spark, out))
+    reasons = lg.select(F.col("request_id").cast("string").alias("report_id"), F.length("reason").alias("_n"))
+    return r.join(reasons, "report_id").select(
+        "report_id", "patient_mrn", "generated_us", F.col("generated_at").cast("timestamp_ntz").alias("generated_at"), "model_version", "input_hash",
+        (F.length("output_hash") + 1 + F.col("_n")).cast("long").alias("output_chars"), F.round("confidence_score", 6).alias("confidence_score"),
+        "human_reviewed", "reviewer_id", F.col("reviewed_at").cast("timestamp_ntz").alias("reviewed_at"), "date")

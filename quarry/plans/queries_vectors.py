@@ -20,10 +20,11 @@ def _q_sql(src: str, b: str, g: str, sym: str) -> str:
 s AS (
   SELECT *, list_transform(range(0, CAST(ceil(len(v) / {g}) AS BIGINT)), lambda gi:
               CASE WHEN {sym} THEN list_max(list_transform({part}, lambda x: abs(x))) / {qmax}
-                   ELSE (list_max({part}) - list_min({part})) / {levels} END) AS scales,
+                   ELSE (greatest(list_max({part}), 0.0) - least(list_min({part}), 0.0)) / {levels} END) AS scales,
             list_transform(range(0, CAST(ceil(len(v) / {g}) AS BIGINT)), lambda gi:
-              CASE WHEN {sym} OR list_max({part}) = list_min({part}) THEN 0.0
-                   ELSE round(-list_min({part}) / ((list_max({part}) - list_min({part})) / {levels})) END) AS zeros
+              CASE WHEN {sym} OR (list_max({part}) = 0 AND list_min({part}) = 0) THEN 0.0
+                   ELSE round(-least(list_min({part}), 0.0)
+                              / ((greatest(list_max({part}), 0.0) - least(list_min({part}), 0.0)) / {levels})) END) AS zeros
   FROM {src}),
 q AS (
   SELECT *, list_transform(v, lambda x, i: CAST(
@@ -128,6 +129,6 @@ def q_best_setting(spark, sf_dir):
     from quarry.operators.vectors import quant_report
     r = quant_report(table(spark, sf_dir, "embeddings"), REPORT_SETTINGS).withColumn(
         "bits_per_weight", 32 / F.col("compression_ratio"))
-    b = best_under(r, "mean_mse", "bits_per_weight", 5.0, key_col="bits")
+    b = best_under(r, "mean_mse", "bits_per_weight", 5.0, key_cols=["bits", "group_size"])
     return b.select("bits", "group_size", "sym", F.round(F.col("mean_mse") * 1e6, 3).alias("mean_mse_e6"),
                     F.round("bits_per_weight", 6).alias("bits_per_weight"))

@@ -46,13 +46,16 @@ def indexed_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType = CALIBRATION_SCHEMA,
                max_samples: int | None = None) -> DataFrame:
-    """One JSON object per line, blank lines skipped, first ``max_samples`` lines
-    (in path and line order), a malformed line fails the job (FAILFAST)."""
-    lines = indexed_lines(spark, path)
-    if max_samples is not None:
-        lines = lines.filter(F.col("pos") < F.lit(max_samples))
+    """One JSON object per line, blank lines skipped, a malformed line fails the job (FAILFAST).
+
+    Spark's JSON reader reads the files; only a cap needs line numbers, and then
+    only the first ``max_samples`` lines (in path and line order) are parsed.
+    """
+    if max_samples is None:
+        return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    lines = indexed_lines(spark, path).filter(F.col("pos") < F.lit(max_samples))
     parsed = lines.select("pos", F.from_json(stripped("line"), schema, {"mode": "FAILFAST"}).alias("r"))
-    return parsed.select("pos", "r.*")
+    return parsed.select("r.*")
 
 
 def read_jsonl_checked(spark: SparkSession, path: str,
@@ -62,15 +65,17 @@ def read_jsonl_checked(spark: SparkSession, path: str,
     An empty input (no non-blank line) is an error, raised when the counts are read.
     """
     s = T.StructType(list(schema.fields) + [T.StructField("_corrupt", T.StringType())])
-    lines = indexed_lines(spark, path)
-    parsed = lines.select("file", "line_no", "pos", "line",
-                          F.from_json(stripped("line"), s,
-                                      {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}).alias("r"))
-    is_bad = F.col("r").isNull() | F.col("r._corrupt").isNotNull()
-    good = parsed.filter(~is_bad).select("pos", *[F.col(f"r.{f.name}") for f in schema.fields])
-    bad = parsed.filter(is_bad).select("file", "line_no", "line")
-    counts = parsed.agg(F.count(F.lit(1)).alias("total"), F.count_if(~is_bad).alias("valid"),
-                        F.count_if(is_bad).alias("bad"))
+    mode = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+
+    def parsed(lines: DataFrame) -> DataFrame:
+        r = lines.withColumn("r", F.from_json(stripped("line"), s, mode))
+        return r.withColumn("is_bad", F.col("r").isNull() | F.col("r._corrupt").isNotNull())
+
+    plain = parsed(spark.read.text(path).select(F.col("value").alias("line")).filter(stripped("line") != F.lit("")))
+    good = plain.filter(~F.col("is_bad")).select(*[F.col(f"r.{f.name}") for f in schema.fields])
+    bad = parsed(indexed_lines(spark, path)).filter("is_bad").select("file", "line_no", "line")   # line numbers for these only
+    counts = plain.agg(F.count(F.lit(1)).alias("total"), F.count_if(~F.col("is_bad")).alias("valid"),
+                       F.count_if("is_bad").alias("bad"))
     counts = counts.withColumn(
         "total", F.when(F.col("total") > 0, F.col("total")).otherwise(F.raise_error(F.lit("File is empty"))))
     return good, bad, counts
@@ -82,21 +87,20 @@ def write_jsonl(df: DataFrame, path: str) -> None:
 
 
 def sample_stats(df: DataFrame, source_col: str = "source", type_col: str = "type") -> DataFrame:
-    """S8 content: total, counts by source and by type (missing -> 'unknown') as maps.
+    """S8 content, long form ``(section, key, n)``: total, counts by source and by type (missing -> 'unknown').
 
-    The maps hold one entry per distinct source/type, which is a small set.
+    One aggregate by (source, type); its rows give all three sections.
     """
-    def counts(c: str) -> DataFrame:
-        col = F.coalesce(F.col(c), F.lit("unknown")) if c in df.columns else F.lit("unknown")
-        g = df.groupBy(col.alias("k")).agg(F.count(F.lit(1)).alias("n"))
-        return g.select(F.map_from_entries(F.collect_list(F.struct("k", "n"))))
+    def name(c: str):
+        return F.coalesce(F.col(c), F.lit("unknown")) if c in df.columns else F.lit("unknown")
 
-    total = df.select(F.count(F.lit(1))).scalar()
-    return df.sparkSession.range(1).select(total.alias("total_samples"),
-                                           counts(source_col).scalar().alias("sources"),
-                                           counts(type_col).scalar().alias("types"))
+    g = df.groupBy(name(source_col).alias("s"), name(type_col).alias("t")).agg(F.count(F.lit(1)).alias("n"))
+    entry = F.explode(F.array(F.struct(F.lit("total").alias("section"), F.lit("all").alias("key")),
+                              F.struct(F.lit("sources").alias("section"), F.col("s").alias("key")),
+                              F.struct(F.lit("types").alias("section"), F.col("t").alias("key"))))
+    return g.select(entry.alias("e"), "n").groupBy("e.section", "e.key").agg(F.sum("n").alias("n"))
 
 
 def write_stats(df: DataFrame, path: str, **kw) -> None:
-    """``*_stats.json`` sidecar as one JSON document."""
-    sample_stats(df, **kw).coalesce(1).write.mode("overwrite").json(path)
+    """The stats sidecar as JSON lines, one per section entry."""
+    sample_stats(df, **kw).write.mode("overwrite").json(path)

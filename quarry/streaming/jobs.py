@@ -1,11 +1,17 @@
 """Structured Streaming jobs over the request log (T1-T4) and the audit sink.
 
-Sources are file streams (``readStream.parquet`` with an explicit schema);
-sinks are parquet folders under the shared checkpoint folder named by
-``spark.checkpoint.dir``, each with its own checkpoint location, so a lost
-executor or a restarted driver resumes from the last committed batch. The
-helpers here run a query with ``availableNow`` (process what is there, then
-stop) and read the sink back as a batch DataFrame.
+Sources are file streams (``readStream.parquet`` with an explicit schema). Every
+job writes under a folder that the caller owns (on a cluster: shared storage) and
+keeps its checkpoint there, so starting a job again on the same folder resumes
+after the last committed batch. The helpers run a query with ``availableNow``
+(process what is there, then stop).
+
+T1 and T2 keep one aggregate per event-time window and emit it in update mode:
+each micro-batch writes its changed rows to ``batch_id=N`` (rewriting it makes a
+retry idempotent), and readers take the newest row of each key. So the window
+that is still open at the end of the input comes out, too, state is dropped
+behind the watermark, and the answer does not depend on how the events fall into
+files as long as none is later than the watermark.
 
 ``events.ts`` is ``timestamp_ntz``; watermarks need ``timestamp``, so the
 request log derives the instant from epoch microseconds of the wall-clock
@@ -16,25 +22,20 @@ value (independent of the session time zone) and keeps the wall clock as
 from __future__ import annotations
 
 import os
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators.requests import (PANEL_PERCENTILES, REVIEW_CONFIDENCE, SLA_P95_SECONDS, request_log,
-                                       review_reason)
-from quarry.session import checkpoint_dir
+from quarry.operators.ranges import exact_percentiles
+from quarry.operators.requests import (PANEL_PERCENTILES, REVIEW_CONFIDENCE, SLA_P95_SECONDS, micros_ntz, request_log,
+                                       retention_cutoff_us, review_reason)
+from quarry.session import cut_lineage
 
 # Window length and the (ours) watermark delay.
 WINDOW = "1 hour"
 WATERMARK = "10 minutes"
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """Fresh output + checkpoint folder for one run, inside the shared checkpoint folder."""
-    return os.path.join(checkpoint_dir(spark), "streams", f"{name}-{uuid.uuid4().hex}")
-
-
 def event_stream(spark: SparkSession, folder: str, file_glob: str = "events.parquet",
                  max_files: int | None = None) -> DataFrame:
     """Events as a stream; the schema comes from the files once (a footer read, no data)."""
@@ -58,35 +59,57 @@ def run_to_parquet(df: DataFrame, out: str, mode: str = "append", partition_by:
     return os.path.join(out, "data")
 
 
-def stream_latency(events: DataFrame, window: str = WINDOW, watermark: str = WATERMARK,
-                   sla: float = SLA_P95_SECONDS, approx: bool = False) -> DataFrame:
-    """Per tumbling window, requests, failures, P50/P95 latency and the SLA flag.
+def run_updates(df: DataFrame, out: str) -> str:
+    """Run an aggregating stream in update mode; every batch writes its changed rows to ``batch_id=N``."""
+    data = os.path.join(out, "data")
+    q = (df.writeStream.outputMode("update")
+           .foreachBatch(lambda b, i: b.write.mode("overwrite").parquet(os.path.join(data, f"batch_id={i}")))
+           .option("checkpointLocation", os.path.join(out, "checkpoint")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return data
+
+
+def newest(spark: SparkSession, data: str, keys: list[str]) -> DataFrame:
+    """The last state of every key of an update-mode sink."""
+    rows = spark.read.parquet(data)
+    rest = [c for c in rows.columns if c not in (*keys, "batch_id")]
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col("batch_id")).alias("_r"))
+    return last.select(*keys, "_r.*")
+
 
-    Append mode: a window is emitted once the watermark passes its end, so the
-    newest (still open) window stays in state when the input ends. Percentiles
-    are exact (state: distinct latencies of an open window); ``approx=True``
-    keeps a fixed-size sketch per window instead.
+def _bounds(*cols):
+    """Window bounds as wall-clock values."""
+    return [micros_ntz(F.unix_micros("window.start")).alias("window_start"),
+            micros_ntz(F.unix_micros("window.end")).alias("window_end"), *cols]
+
+
+def latency_counts(events: DataFrame, window: str = WINDOW, watermark: str = WATERMARK) -> DataFrame:
+    """T1 stream: requests per (window, latency, status).
+
+    State has a row per distinct value of an open window, spread over all state
+    partitions, instead of one map of values per window.
     """
     log = request_log(events).withWatermark("ts", watermark)
-    levels = [PANEL_PERCENTILES[0], PANEL_PERCENTILES[3]]
-    p = (F.percentile_approx("latency_s", levels, 10_000) if approx
-         else F.percentile("latency_s", F.array(*[F.lit(x) for x in levels])))
-    agg = log.groupBy(F.window("ts", window)).agg(
-        F.count(F.lit(1)).alias("requests"), F.count_if(F.col("status") == "failed").alias("failed"), p.alias("_p"))
-    from quarry.operators.requests import micros_ntz
-    return agg.select(micros_ntz(F.unix_micros("window.start")).alias("window_start"),
-                      micros_ntz(F.unix_micros("window.end")).alias("window_end"),
-                      "requests", "failed", F.round(F.col("_p")[0], 6).alias("p50"),
-                      F.round(F.col("_p")[1], 6).alias("p95"), (F.col("_p")[1] < F.lit(sla)).alias("sla_ok"))
-
-
-def stream_dedupe(events: DataFrame, key: str = "input_key", ttl: str = "1 hour") -> DataFrame:
-    """Pass only first occurrences of an input within ``ttl`` (later ones would hit the cache).
-
-    State holds one entry per distinct key inside the watermark.
-    """
-    log = request_log(events).withWatermark("ts", ttl)
-    return log.dropDuplicatesWithinWatermark([key])
+    g = log.groupBy(F.window("ts", window), "latency_s", "status").agg(F.count(F.lit(1)).alias("n"))
+    return g.select(*_bounds("latency_s", "status", "n"))
+
+
+def latency_windows(counts: DataFrame, sla: float = SLA_P95_SECONDS) -> DataFrame:
+    """T1 panel over the counts: per window requests, failures, exact P50/P95 latency and the SLA flag."""
+    bounds = ["window_start", "window_end"]
+    p = exact_percentiles(counts, "latency_s", [PANEL_PERCENTILES[0], PANEL_PERCENTILES[3]], bounds, weight="n")
+    failed = counts.groupBy(*bounds).agg(F.sum("n").alias("requests"), F.sum(F.when(F.col("status") == "failed", F.col("n")).otherwise(0)).alias("failed"))
+    return failed.join(p.drop("n", "max"), bounds).select(
+        *bounds, "requests", "failed", F.round(F.col("p")[0], 6).alias("p50"), F.round(F.col("p")[1], 6).alias("p95"),
+        (F.col("p")[1] < F.lit(sla)).alias("sla_ok"))
+
+
+def first_occurrences(events: DataFrame, key: str = "input_key", ttl: str = WINDOW, watermark: str = WATERMARK) -> DataFrame:
+    """T2 stream: per (input, fixed window of ``ttl``) the first request and the number of requests; the first
+    one is computed, the others are served from the cache. State is dropped with the window."""
+    log = request_log(events).withWatermark("ts", watermark)
+    g = log.groupBy(F.window("ts", ttl), key).agg(F.min(F.struct("start_us", "request_id")).alias("_first"), F.count(F.lit(1)).alias("requests"))
+    return g.select(*_bounds(key, F.col("_first.request_id").alias("first_request"), "requests"))
 
 
 def route_batch(batch: DataFrame, batch_id: int, out: str, threshold: float = REVIEW_CONFIDENCE) -> None:
@@ -98,9 +121,14 @@ def route_batch(batch: DataFrame, batch_id: int, out: str, threshold: float = RE
                .write.mode("overwrite").parquet(os.path.join(out, route, f"batch_id={batch_id}")))
 
 
-def stream_review_route(spark: SparkSession, events: DataFrame, out: str) -> tuple[str, str]:
-    """Failed or low-confidence results go to the human queue, the rest is published."""
+def stream_review_route(events: DataFrame, out: str, added: DataFrame | None = None) -> tuple[str, str]:
+    """Failed results, results of low confidence and results that add terms go to the human queue, the rest is published.
+
+    ``added`` is a table ``(request_id, n_added)`` of added-term counts (U3), joined to every micro-batch.
+    """
     log = request_log(events)
+    if added is not None:
+        log = log.join(added, "request_id", "left").withColumn("n_added", F.coalesce("n_added", F.lit(0)))
     q = (log.writeStream.foreachBatch(lambda b, i: route_batch(b, i, out))
             .option("checkpointLocation", os.path.join(out, "checkpoint"))
             .trigger(availableNow=True).start())
@@ -138,11 +166,30 @@ def audit_stream(events: DataFrame, out: str) -> str:
     return run_to_parquet(audit_records(request_log(events)), out, partition_by=["date"])
 
 
-def retain_partitions(spark: SparkSession, path: str, as_of: str, days: int = 30) -> DataFrame:
-    """T4 on disk: read only the date partitions from the cutoff day on (partition pruning),
-    then the exact row filter on the record time."""
-    from quarry.operators.requests import micros_ntz, retention_cutoff_us
+def read_audit(spark: SparkSession, path: str) -> DataFrame:
+    """The date partitions that are there now (a stream's own file list would still name removed ones)."""
+    return spark.read.option("basePath", path).parquet(os.path.join(path, "date=*"))
+
+
+def purge(spark: SparkSession, path: str, as_of: str, days: int = 30) -> list[str]:
+    """T4: removes records at or before ``as_of - days`` from a sink partitioned by date; returns the removed dates.
+
+    Whole date partitions before the cutoff are deleted as folders; the cutoff's
+    own day is rewritten without its old records. ``as_of`` is a parameter, never now().
+    """
     cutoff_us = retention_cutoff_us(as_of, days)
-    df = spark.read.parquet(path)
-    return (df.filter(F.col("date") >= F.to_date(micros_ntz(cutoff_us)))
-              .filter(F.col("generated_us") > cutoff_us))
+    day = F.to_date(micros_ntz(cutoff_us))
+    df = read_audit(spark, path)
+    old = [str(r.date) for r in df.where(F.col("date") < day).select("date").distinct().orderBy("date").collect()]   # one a day
+    split = df.where((F.col("date") == day) & (F.col("generated_us") <= cutoff_us))
+    if split.limit(1).count():
+        kept = cut_lineage(df.where((F.col("date") == day) & (F.col("generated_us") > cutoff_us)))
+        if kept.limit(1).count():
+            kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
+        else:
+            old.append(str(split.select("date").first().date))
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = fs_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for d in old:
+        fs.delete(fs_path(os.path.join(path, f"date={d}")), True)
+    return old

@@ -170,11 +170,40 @@ def test_pack_short_sharded_invariants(spark):
     assert len(one) == 12
 
 
-def test_concurrency_bucket_width_does_not_change_result(spark):
+def test_burst_is_spread_and_exact(spark):
     from quarry.operators import requests as rq
-    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
-    log = rq.request_log(ev)
-    a = rq.concurrency(log).collect()[0]
-    b = rq.concurrency(log, events_per_bucket=7).collect()[0]          # many tiny buckets
-    c = rq.concurrency(log, bucket_us=3600 * 1_000_000).collect()[0]
-    assert a == b == c
+    burst = spark.range(9995).select((F.col("id") % 50).alias("start_us"), (F.col("id") % 50 + 30).alias("end_us"))
+    log = burst.union(spark.createDataFrame([(10 ** 12 + i * 10 ** 11, 10 ** 12 + i * 10 ** 11 + 5) for i in range(5)], "start_us long, end_us long"))
+    got = rq.concurrency(log).collect()[0]
+    ev = sorted([(r.start_us, 1) for r in log.collect()] + [(r.end_us, -1) for r in log.collect()])
+    active, seen = 0, []
+    for _, d in ev:
+        active += d
+        if d == 1:
+            seen.append(active)
+    assert (got.max_concurrent, got.max_queue_ahead) == (max(seen), max(seen) - 1)
+    assert got.mean_active_at_arrival == pytest.approx(sum(seen) / len(seen), abs=1e-6)
+
+
+def test_exact_percentiles_by_group(spark):
+    import numpy as np
+    from quarry.operators.ranges import exact_percentiles
+    rng = np.random.default_rng(1)
+    data = {"a": rng.random(501), "b": np.array([2.0]), "c": np.repeat([1.0, 3.0], [5, 200])}
+    df = spark.createDataFrame([(g, float(x)) for g, v in data.items() for x in v] + [("a", None)], "g string, x double").repartition(7)
+    for r in exact_percentiles(df, "x", [0.1, 0.5, 0.99], ["g"]).collect():
+        assert r.n == len(data[r.g]) and r.max == data[r.g].max()
+        assert np.allclose(r.p, np.quantile(data[r.g], [0.1, 0.5, 0.99]))
+
+
+def test_constant_group_survives_asymmetric_quantization(spark):
+    df = spark.createDataFrame([([0.5] * 8,), ([-0.25] * 8,), ([0.0] * 8,)], "embedding array<double>")
+    for r in vq.quantize(df, "embedding", 4, 8, False).collect():
+        assert r.dequant == pytest.approx(r.embedding, abs=1e-9)
+
+
+def test_stage_without_numbers_has_no_row(spark):
+    from quarry.operators.metrics import summary_metrics
+    ppl = spark.createDataFrame([("d", None, "no tokens")], "dataset string, perplexity double, error string")
+    tasks = spark.createDataFrame([("t", None)], "task string, metric double")
+    assert summary_metrics(ppl, tasks, None).count() == 0

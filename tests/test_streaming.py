@@ -1,49 +1,103 @@
-"""Structured Streaming jobs on a small file stream written in two batches."""
+"""Structured Streaming jobs on small file streams: file layout, late rows, restart, removal."""
 
 import datetime as dt
 import os
-import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
+from quarry.operators.requests import request_log
+from quarry.session import checkpoint_dir, scratch
 from quarry.streaming import jobs
 
+EVENT = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+WINDOW = ["window_start", "window_end"]
 
-def _events(spark, rows):
-    return spark.createDataFrame(
-        [(i, dt.datetime(2024, 1, 1, h, m), 1, et, v, '{"k": 1}') for i, h, m, et, v in rows],
-        "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string")
-
-
-def test_stream_latency_watermark_drops_late_rows(spark):
-    src = tempfile.mkdtemp(prefix="quarry-stream-src-")
-    _events(spark, [(1, 10, 5, "view", 1.0), (2, 10, 20, "error", 3.0), (3, 11, 30, "view", 2.0)]) \
-        .coalesce(1).write.parquet(os.path.join(src, "b1"))
-    # second batch moves the watermark to 12:30 and closes the 10:00 and 11:00 windows; the third
-    # brings a row back in the 10:00 window, older than the watermark of the batch before: dropped.
-    # (Spark filters late rows against the previous batch's watermark, so a late row arriving in the
-    # very next batch could still be aggregated into a window that is not yet evicted.)
-    _events(spark, [(5, 12, 40, "view", 1.0)]).coalesce(1).write.parquet(os.path.join(src, "b2"))
-    _events(spark, [(4, 10, 10, "view", 9.0)]).coalesce(1).write.parquet(os.path.join(src, "b3"))
-    schema = spark.read.parquet(os.path.join(src, "b1")).schema
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-                   .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(src))
-    out = jobs.scratch(spark, "test_stream_latency")
-    path = jobs.run_to_parquet(jobs.stream_latency(stream), out)
-    got = {r.window_start.hour: (r.requests, r.failed) for r in spark.read.parquet(path).collect()}
-    assert got[10] == (2, 1)            # the late 10:10 row of the second batch is not counted
-    assert got[11] == (1, 0)
-    assert 12 not in got                # still open when the input ends (append mode)
-
-
-def test_stream_dedupe_and_review(spark):
-    src = tempfile.mkdtemp(prefix="quarry-stream-src-")
-    _events(spark, [(1, 10, 0, "view", 1.0), (2, 10, 5, "view", 1.0), (3, 10, 6, "error", 1.0)]) \
-        .coalesce(1).write.parquet(os.path.join(src, "b1"))
-    schema = spark.read.parquet(os.path.join(src, "b1")).schema
-    stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(src)
-    out = jobs.scratch(spark, "test_dedupe")
-    passed = spark.read.parquet(jobs.run_to_parquet(jobs.stream_dedupe(stream), out))
-    assert passed.select("input_key").distinct().count() == passed.count() == 1
-    review, publish = jobs.stream_review_route(spark, stream, jobs.scratch(spark, "test_review"))
-    assert spark.read.parquet(review).count() == 1 and spark.read.parquet(publish).count() == 2
+
+def events(spark, rows):
+    return spark.createDataFrame([(i, dt.datetime(2024, 1, 1, h, m), 1, et, v, '{"k": 1}') for i, h, m, et, v in rows], EVENT)
+
+
+def stream(spark, src, per_batch=1):
+    return (spark.readStream.schema(EVENT).option("maxFilesPerTrigger", per_batch)
+            .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(src))
+
+
+def latency(spark, src, out):
+    data = jobs.run_updates(jobs.latency_counts(stream(spark, src)), out)
+    return jobs.latency_windows(jobs.newest(spark, data, [*WINDOW, "latency_s", "status"]))
+
+
+def test_late_rows_are_dropped_and_the_open_window_comes_out(spark, tmp_path):
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    events(spark, [(1, 10, 5, "view", 1.0), (2, 10, 20, "error", 3.0), (3, 11, 30, "view", 2.0)]).coalesce(1).write.parquet(src + "/b1")
+    # the second batch moves the watermark to 12:30; the third brings a row older than the watermark
+    events(spark, [(5, 12, 40, "view", 1.0)]).coalesce(1).write.parquet(src + "/b2")
+    events(spark, [(4, 10, 10, "view", 9.0)]).coalesce(1).write.parquet(src + "/b3")
+    got = {r.window_start.hour: (r.requests, r.failed, r.p50) for r in latency(spark, src, out).collect()}
+    assert got == {10: (2, 1, 2.0), 11: (1, 0, 2.0), 12: (1, 0, 1.0)}
+
+
+def test_one_file_and_ten_files_give_the_same(spark, tmp_path):
+    e = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("event_id", "ts", "user_id", "event_type", "value", "props")
+    rows = e.orderBy("ts").collect()
+    answers = []
+    for n in (1, 10):
+        src = str(tmp_path / f"src{n}")
+        step = -(-len(rows) // n)
+        for i in range(n):
+            spark.createDataFrame(rows[i * step:(i + 1) * step], e.schema).coalesce(1).write.parquet(f"{src}/b{i:02d}")
+        lat = sorted(map(tuple, latency(spark, src, str(tmp_path / f"lat{n}")).collect()))
+        data = jobs.run_updates(jobs.first_occurrences(stream(spark, src)), str(tmp_path / f"first{n}"))
+        first = sorted(map(tuple, jobs.newest(spark, data, [*WINDOW, "input_key"]).collect()))
+        answers.append((lat, first))
+    assert answers[0] == answers[1]
+    log = request_log(e).withColumn("hour", F.date_trunc("hour", F.col("ts_ntz").cast("timestamp")))
+    assert len(answers[0][1]) == log.select("hour", "input_key").distinct().count()
+    assert sum(x[2] for x in answers[0][0]) == len(rows)
+
+
+def test_restart_on_the_same_folder_resumes(spark, tmp_path):
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    events(spark, [(1, 10, 5, "view", 1.0)]).coalesce(1).write.parquet(src + "/b1")
+    assert latency(spark, src, out).count() == 1
+    events(spark, [(2, 10, 20, "view", 3.0), (3, 11, 0, "view", 1.0)]).coalesce(1).write.parquet(src + "/b2")
+    got = {r.window_start.hour: r.requests for r in latency(spark, src, out).collect()}
+    assert got == {10: 2, 11: 1}                         # the first file is not read again
+
+
+def test_review_routes(spark, tmp_path):
+    src = str(tmp_path / "src")
+    events(spark, [(1, 10, 0, "view", 1.0), (2, 10, 5, "view", 1.0), (3, 10, 6, "error", 1.0)]).coalesce(1).write.parquet(src + "/b1")
+    added = spark.createDataFrame([(2, 4), (9, 1)], "request_id long, n_added long")
+    review, publish = jobs.stream_review_route(stream(spark, src), str(tmp_path / "out"), added)
+    assert sorted(r.request_id for r in spark.read.parquet(review).collect()) == [2, 3]
+    assert [r.request_id for r in spark.read.parquet(publish).collect()] == [1]
+
+
+def test_purge_removes_old_records_from_disk(spark, tmp_path):
+    path = str(tmp_path / "audit")
+    e = spark.createDataFrame([(i, dt.datetime(2024, 1, 1 + i // 4, 6 * (i % 4)), 1, "view", 1.0, '{"k": 1}') for i in range(16)], EVENT)
+    jobs.audit_append(jobs.audit_records(request_log(e)), path)
+    assert jobs.purge(spark, path, "2024-01-05 12:00:00", 3) == ["2024-01-01"]
+    assert sorted(d for d in os.listdir(path) if d.startswith("date=")) == ["date=2024-01-02", "date=2024-01-03", "date=2024-01-04"]
+    assert sorted(int(r.report_id) for r in jobs.read_audit(spark, path).collect()) == [7, *range(8, 16)]
+
+
+def test_scratch_folder_is_removed(spark):
+    with scratch(spark, "test") as out:
+        spark.range(3).write.parquet(out)
+        assert os.path.isdir(out.replace("file:", ""))
+    assert not os.path.exists(out.replace("file:", ""))
+
+
+def test_no_machine_local_checkpoints_on_a_cluster(spark):
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "spark://host:7077"}.get(key, default)
+
+    class Session:
+        conf, sparkContext = Conf(), spark.sparkContext
+
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(Session())
