@@ -146,7 +146,9 @@ def assign(rows: DataFrame, shards: int, id_col: str, key_col: str) -> DataFrame
     single = single.withColumn("shard", F.size(F.filter(place, lambda hi: hi <= F.col("pos")))).drop("pos")
     cols = [*rows.columns, "shard"]
     done = cut_lineage(linked.select(cols).unionByName(split.select(cols)).unionByName(single.select(cols)))
-    return positions(done, ["shard"], "_h", [id_col], max(LEAST_PER_SHARD, nb // shards), "slot").drop("_h")
+    # single rows of a shard lie in one stretch of the first hash: slots go by another one
+    done = done.withColumn("_s", F.xxhash64(F.lit("slot"), "_h"))
+    return positions(done, ["shard"], "_s", ["_h", id_col], max(LEAST_PER_SHARD, nb // shards), "slot").drop("_h", "_s")
 
 
 def shard_documents(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
