@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 
 from quarry.session import cut_lineage, ship_package
 
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
+#: Rows of an Arrow batch: texts and sets are long, and JVM and worker each hold a batch.
+BATCH_ROWS = 256
 BROADCAST_IDS = 2_000_000          # ids are broadcast only up to this checked count
 
 U64 = np.uint64
@@ -45,8 +47,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def to_workers(spark: SparkSession) -> None:
-    """Executors import this package from the archive that Spark ships."""
+    """Executors import this package from the archive that Spark ships; batches get small unless the session sets a size."""
     ship_package(spark)
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(rows)) == 10_000:            # Spark's default
+        spark.conf.set(rows, BATCH_ROWS)
 
 
 def rows_with_ids(df: DataFrame, col: str, ids: DataFrame, how: str = "left_semi") -> DataFrame:
@@ -167,7 +172,7 @@ def shingle_hashes(words: np.ndarray, off: np.ndarray, k: int) -> list[np.ndarra
         return res
 
 
-def slices(pdf: pd.DataFrame, text: str, limit: int = 4 << 20) -> Iterator[pd.DataFrame]:
+def slices(pdf: pd.DataFrame, text: str, limit: int = 1 << 20) -> Iterator[pd.DataFrame]:
     """Runs of rows of about ``limit`` characters of text (at least one row each)."""
     n = pdf[text].str.len().fillna(0).to_numpy()
     if not len(n):
