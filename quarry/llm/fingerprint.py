@@ -10,6 +10,8 @@ A sketch is carried as one string: twelve hexadecimal digits a value, ascending.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -21,6 +23,8 @@ K = 256
 WORDS = 5
 HASH_BITS = 48
 ROWS_PER_RUN = 4_000
+#: Most runs that a table is cut into; beyond it runs get longer (they are streamed, not held).
+MAX_RUNS = 65_536
 
 
 def sketches(texts, k: int = K, words: int = WORDS) -> list[np.ndarray]:
@@ -135,6 +139,15 @@ def _neighbour_rows(k: int, words: int):
     return run
 
 
+def _run_of(order, tops: list[int]):
+    """Index of the last of the descending ``tops`` that is not below ``order``: by every step-th top, then within the step."""
+    step = max(1, math.isqrt(len(tops)))
+    coarse = F.array(*[F.lit(t) for t in tops[::step]])
+    at = (F.size(F.filter(coarse, lambda t: t >= order)) - 1) * step
+    fine = F.slice(F.array(*[F.lit(t) for t in tops]), at + 1, step)
+    return at + F.size(F.filter(fine, lambda t: t >= order)) - 1
+
+
 def neighbour_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, words: int = WORDS) -> DataFrame:
     """Fingerprints of every text and of its edited text, with their likeness.
 
@@ -160,7 +173,7 @@ def neighbour_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: st
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), low).alias("o"), F.col(id_col).cast("long").alias("id"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     total = rows.count()
-    runs = max(1, total // ROWS_PER_RUN)
+    runs = min(MAX_RUNS, max(1, total // ROWS_PER_RUN))
     part = rows.select("o").repartitionByRange(runs, F.desc("o")).groupBy(F.spark_partition_id()).agg(F.max("o").alias("top"))
     tops = sorted((r.top for r in part.collect()), reverse=True)         # first id of each run, one number a run
     schema = ("id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
@@ -168,8 +181,7 @@ def neighbour_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: st
     if not tops:
         return spark.createDataFrame([], schema).withColumnRenamed("id", id_col)
     # equal ids share a run, so a run starts where the id first reaches a top
-    starts = F.array(*[F.lit(t) for t in tops[1:]]) if len(tops) > 1 else F.array().cast("array<bigint>")
-    rows = rows.withColumn("run", F.size(F.filter(starts, lambda t: t >= F.col("o"))))
+    rows = rows.withColumn("run", _run_of(F.col("o"), tops))
     # the first row of a run (smallest text of its largest id) guards the run before; the very first guards the last
     head = rows.where(F.col("o").isin(*tops)).groupBy("run", "o").agg(F.min("text").alias("text"))
     guard = (head.withColumn("run", F.when(F.col("run") == 0, len(tops) - 1).otherwise(F.col("run") - 1))
