@@ -195,6 +195,53 @@ def q_bad_lines(spark, sf_dir):
         F.struct(F.lit("located").alias("kind"), F.col("places").alias("n")))).alias("x")).select("x.*")
 
 
+# --------------------------------------------------------------------------- S13, S14, J4
+# Addresses of the crawled pages as files: without query and fragment, the page's bytes as length.
+FILES_SQL = r"""f AS (
+  SELECT regexp_replace(url, '[?#].*$', '') AS path, octet_length(encode(html)) AS length FROM pages),
+l AS (SELECT path, regexp_extract(path, '^(.*)/[^/]*$', 1) AS dir, regexp_extract(path, '([^/]*)$', 1) AS name,
+             nullif(lower(regexp_extract(regexp_extract(path, '([^/]*)$', 1), '(\.[^./]*)$', 1)), '') AS ext, length FROM f)"""
+
+
+def _size_sql(x: str) -> str:
+    steps = " ".join(f"WHEN {x} < {1024 ** (i + 1)} THEN printf('%.2f', {x} / {float(1024 ** i)}) || ' {u}'"
+                     for i, u in enumerate(("B", "KB", "MB", "GB", "TB")))
+    return f"CASE {steps} ELSE printf('%.2f', {x} / {float(1024 ** 5)}) || ' PB' END"
+
+
+def page_files(spark, sf_dir):
+    from quarry.sources.files import as_listing
+    return as_listing(table(spark, sf_dir, "pages"), F.regexp_replace("url", "[?#].*$", ""), F.octet_length("html"))
+
+
+@register("file_inventory", f"WITH {FILES_SQL}," + f"""
+e AS (SELECT dir, ext, sum(length) AS b FROM l WHERE ext IS NOT NULL GROUP BY 1, 2),
+x AS (SELECT dir, string_agg(ext || '=' || {_size_sql('b')}, ',' ORDER BY ext) AS extensions FROM e GROUP BY 1),
+t AS (SELECT dir, sum(length)::BIGINT AS total_size_bytes, count(*) AS file_count FROM l GROUP BY 1)
+SELECT dir, total_size_bytes, file_count, {_size_sql('total_size_bytes')} AS total_size, coalesce(extensions, '') AS extensions
+FROM t LEFT JOIN x USING (dir)
+""")
+def q_file_inventory(spark, sf_dir):
+    """Bytes, file count and bytes per extension of every directory of the crawled addresses."""
+    from quarry.sources.files import file_inventory
+    i = file_inventory(page_files(spark, sf_dir))
+    parts = F.transform(F.array_sort(F.map_entries("extensions")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return i.select("dir", "total_size_bytes", "file_count", "total_size", F.coalesce(F.array_join(parts, ","), F.lit("")).alias("extensions"))
+
+
+@register("missing_files", f"WITH {FILES_SQL}," + """
+need AS (SELECT dir, unnest(['7', '25', '474.html']) AS name FROM (SELECT DISTINCT dir FROM l)),
+m AS (SELECT dir, string_agg(name, ',' ORDER BY name) AS missing FROM need ANTI JOIN l USING (dir, name) GROUP BY dir),
+h AS (SELECT dir, bool_or(regexp_matches(name, '[.]html$')) AS has_match FROM l GROUP BY dir)
+SELECT dir, has_match, coalesce(missing, '') AS missing, missing IS NULL AND has_match AS complete FROM h LEFT JOIN m USING (dir)
+""")
+def q_missing_files(spark, sf_dir):
+    """Required names absent from each directory of the crawled addresses, and a completeness verdict."""
+    from quarry.sources.files import check_complete
+    c = check_complete(page_files(spark, sf_dir), ["7", "25", "474.html"], [r"[.]html$"])
+    return c.select("dir", "has_match", F.array_join("missing", ",").alias("missing"), "complete")
+
+
 # --------------------------------------------------------------------------- F2, J3, K5, P18
 GEN_SQL = f"""
 SELECT item_id AS prompt_id,

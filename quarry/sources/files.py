@@ -19,12 +19,18 @@ SIZE_UNITS = ("B", "KB", "MB", "GB", "TB")
 
 def listing(spark: SparkSession, root: str) -> DataFrame:
     """Every file under ``root``: path, directory, name, lower-cased extension (null if none), length."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-                  .select("path", "length", "modificationTime"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    return as_listing(files, "path", "length")
+
+
+def as_listing(df: DataFrame, path: str | Column, length: str | Column) -> DataFrame:
+    """A listing from any table with a path and a length per row (an object-store inventory, crawled addresses ...)."""
+    col = lambda c: F.col(c) if isinstance(c, str) else c
+    files = df.select(col(path).alias("path"), col(length).cast("long").alias("length"))
     name = F.regexp_extract("path", r"([^/]*)$", 1)
     ext = F.lower(F.regexp_extract(name, r"(\.[^./]*)$", 1))
     return files.select("path", F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("dir"), name.alias("name"),
-                        F.when(ext != "", ext).alias("ext"), "length", "modificationTime")
+                        F.when(ext != "", ext).alias("ext"), "length")
 
 
 def format_size(size: str | Column) -> Column:
