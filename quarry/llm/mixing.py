@@ -7,7 +7,7 @@
 * Blocks: a source of n documents is cut into about sqrt(n) blocks by a hash of
   the id. The blocks stand in a hashed (permuted) order. A source is taken whole
   as often as its target allows; of the rest, as many whole blocks as fit, and
-  from the next block the documents that fit, largest first.
+  from the next ``PARTS`` blocks the documents that fit, largest first.
 * Splitting tree: the block quotas of all sources are dealt to ``shards`` output
   shards of equal block counts. A node splits its shards in halves and draws how
   many blocks of each source go left from the multivariate hypergeometric
@@ -32,6 +32,7 @@ WEIGHTS = (3, 1, 2)
 RATIO = 1.5
 LIMIT = 2
 SEED = 17
+PARTS = 4                          # blocks that the last documents of a source are drawn from
 BROADCAST_BLOCKS = 500_000         # block tables are broadcast only up to this checked count
 
 
@@ -134,8 +135,8 @@ def plan(rows: DataFrame, shards: int = 16, weights=WEIGHTS, ratio: float = RATI
 
     ``sources``: source, number, words, target, n_blocks. ``blocks``: source
     number, block, uses (shards that take the whole block). ``picked``: source
-    number, block, id, use (shard) of the documents taken from a partly drawn
-    block. Rows that repeat an id within a source are taken together.
+    number, id, use (shard) of the documents taken from partly drawn blocks. Rows
+    that repeat an id within a source are taken together.
     """
     src = rows.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("words"))
     src = targets(src, weights, ratio, limit)
@@ -153,8 +154,9 @@ def plan(rows: DataFrame, shards: int = 16, weights=WEIGHTS, ratio: float = RATI
     block = cut_lineage(block.withColumn("cut", misfit)
                         .withColumn("extra", F.col("cut").isNull() | (F.col("pos") < F.col("cut")))
                         .withColumn("part", F.coalesce(F.col("pos") == F.col("cut"), F.lit(False)) & (F.col("rest") > 0))
+                        .withColumn("offers", (F.col("pos") >= F.col("cut")) & (F.col("pos") < F.col("cut") + PARTS) & (F.col("rest") > 0))
                         .withColumn("left", F.col("rest") - (F.col("upto") - F.col("w")))
-                        .select("number", "block", "pos", "rounds", "extra", "part", "left", (F.col("rest") > 0).alias("draws")))
+                        .select("number", "block", "pos", "rounds", "extra", "part", "offers", "left", (F.col("rest") > 0).alias("draws")))
     # uses of blocks in order: whole rounds, then the drawn ones (a partly drawn block is a use as well)
     nb = block.groupBy("number").agg(F.count("*").alias("nb"))
     last = F.col("draws") & (F.col("extra") | F.col("part"))
@@ -171,16 +173,18 @@ def plan(rows: DataFrame, shards: int = 16, weights=WEIGHTS, ratio: float = RATI
     uses = cut_lineage(uses.join(leaf, "number").where("at >= lo and at < hi").drop("lo", "hi"))
     blocks = cut_lineage(uses.where("not part").groupBy("number", "block").agg(F.sort_array(F.collect_list("shard")).alias("uses")))
 
-    # documents of a partly drawn block, largest first, while they fit
-    cand = (tagged.join(F.broadcast(uses.where("part").select("number", "block", "shard", "left")), ["number", "block"])
-            .groupBy("number", "block", "shard", "left", "id").agg(F.sum("size").alias("size"))
-            .groupBy("number", "block", "shard", "left")
+    # documents of the partly drawn blocks, about PARTS * sqrt(n) a source, largest first, while they fit
+    use = uses.where("part").select("number", F.col("shard").alias("use"), "left")
+    offered = block.where("offers").select("number", "block").join(F.broadcast(use), "number")
+    cand = (tagged.join(F.broadcast(offered), ["number", "block"])
+            .groupBy("number", "use", "left", "id").agg(F.sum("size").alias("size"))
+            .groupBy("number", "use", "left")
             .agg(F.array_sort(F.collect_list(F.struct((-F.col("size")).alias("s"), F.xxhash64(F.lit(seed + 2), "id").alias("h"), "id"))).alias("docs")))
     fit = F.aggregate(
         "docs", F.struct(F.col("left").cast("double").alias("left"), F.array().cast("array<bigint>").alias("ids")),
         lambda a, d: F.when((-d["s"] <= a["left"]) & (d["s"] < 0) & d["id"].isNotNull(),
                             F.struct((a["left"] + d["s"]).alias("left"), F.concat(a["ids"], F.array(d["id"])).alias("ids"))).otherwise(a))
-    picked = cut_lineage(cand.select("number", "block", F.col("shard").alias("use"), F.explode(fit["ids"]).alias("id")))
+    picked = cut_lineage(cand.select("number", "use", F.explode(fit["ids"]).alias("id")))
     return {"sources": src, "blocks": blocks, "picked": picked, "uses": uses}
 
 
@@ -196,10 +200,10 @@ def apply_plan(rows: DataFrame, decided: dict[str, DataFrame], seed: int = SEED)
     def bounded(t: DataFrame) -> DataFrame:
         return F.broadcast(t) if t.count() <= BROADCAST_BLOCKS else t
 
-    part = decided["picked"].groupBy("number", "block", "id").agg(F.sort_array(F.collect_list("use")).alias("_part"))
+    part = decided["picked"].groupBy("number", "id").agg(F.sort_array(F.collect_list("use")).alias("_part"))
     out = (with_block(rows, decided["sources"], seed)
            .join(bounded(decided["blocks"]), ["number", "block"], "left")
-           .join(bounded(cut_lineage(part)), ["number", "block", "id"], "left"))
+           .join(bounded(cut_lineage(part)), ["number", "id"], "left"))
     none = F.array().cast("array<int>")
     return out.withColumn("uses", F.concat(F.coalesce("uses", none), F.coalesce("_part", none))).drop("_part", "block")
 
