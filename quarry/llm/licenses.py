@@ -113,14 +113,14 @@ def scan(docs: DataFrame, text_col: str = "text", rules=RULES) -> DataFrame:
     """
     table = F.array(*[F.struct(F.lit(n).cast("int").alias("number"), F.lit(label).alias("label"), F.lit(k).alias("keyword"),
                                F.lit(x).alias("expression"), F.lit(c).cast("double").alias("confidence")) for n, label, k, x, c in rules])
-    out = docs.withColumn("_norm", reduced(F.col(text_col).cast("string")))
-    norm = F.col("_norm")
+    out = docs.select(F.struct(*docs.columns).alias("row"), reduced(F.col(text_col).cast("string")).alias("norm"))
+    norm = F.col("norm")
     gate = reduce(lambda a, b: a | b, [F.contains(norm, F.lit(g)) for g in GATES])
     active = F.filter(table, lambda r: F.contains(norm, r["keyword"]))
     every = F.array_sort(F.flatten(F.transform(active, lambda r: _detections(norm, r))).cast(FINDING))
-    out = out.withColumn("_all", F.when(gate, every).otherwise(F.array().cast(FINDING)))
+    out = out.withColumn("found", F.when(gate, every).otherwise(F.array().cast(FINDING)))
     # sorted by start, longest first, then priority: what an earlier one reaches around is inside it
-    kept = F.filter("_all", lambda d, i: ~F.exists(F.slice("_all", 1, i), lambda e: e["neg_end"] <= d["neg_end"]))
+    kept = F.filter("found", lambda d, i: ~F.exists(F.slice("found", 1, i), lambda e: e["neg_end"] <= d["neg_end"]))
     places = []
     for phrase, label in BASE:
         parts = _pieces(norm, F.lit(phrase))
@@ -131,7 +131,7 @@ def scan(docs: DataFrame, text_col: str = "text", rules=RULES) -> DataFrame:
     ends = F.transform(kept, lambda d: F.struct(d["start"].alias("start"), (-d["neg_end"]).alias("end"), d["rule"].alias("rule"),
                                                 d["label"].alias("label"), d["confidence"].alias("confidence")))
     n_words = F.when(norm == F.lit("  "), F.lit(0)).otherwise(_words(norm) - 1).cast("long")
-    return out.withColumn("license_scan", F.struct(n_words.alias("n_words"), F.array(*places).alias("base"), ends.alias("findings"))).drop("_norm", "_all")
+    return out.select("row.*", F.struct(n_words.alias("n_words"), F.array(*places).alias("base"), ends.alias("findings")).alias("license_scan"))
 
 
 def license_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

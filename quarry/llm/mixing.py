@@ -230,15 +230,14 @@ def mixed_documents(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", t
     """The mixed rows: every row of ``docs`` as often as it is taken, all columns unchanged.
 
     With ``place`` the columns ``mix_shard`` and ``mix_order`` (a hash to sort by
-    within the shard) are added.
+    within the shard) are added; ``docs`` must not have such columns then.
     """
     tagged = docs.select(F.col(id_col).cast("long").alias("id"), F.col(source_col).cast("string").alias("source"), F.struct(*docs.columns).alias("row"))
     sizes = cut_lineage(docs.select(F.col(id_col).cast("long").alias("id"), F.col(source_col).cast("string").alias("source"),
                                     words_of(F.col(text_col).cast("string")).alias("size")))
-    out = apply_plan(tagged, plan(sizes, shards)).select("row.*", F.posexplode("uses").alias("_use", "mix_shard"))
-    if not place:
-        return out.drop("_use", "mix_shard")
-    return out.withColumn("mix_order", F.xxhash64(F.lit(SEED + 3), id_col, "_use")).drop("_use")
+    out = apply_plan(tagged, plan(sizes, shards)).select("id", "row", F.posexplode("uses").alias("use", "shard"))
+    order = F.xxhash64(F.lit(SEED + 3), "id", "use")
+    return out.select("row.*", *([F.col("shard").alias("mix_shard"), order.alias("mix_order")] if place else []))
 
 
 def write_shards(mixed: DataFrame, path: str, rows_per_file: int = 100_000) -> None:

@@ -61,6 +61,7 @@ def test_license_scan_matches_brute_force(spark):
         assert r.labels == ",".join(sorted({x for _, x in places} | {x for x, _ in kept}))
         assert r.score == max([0.0, *(c for _, c in kept)] + [0.9] * bool(places))
     assert license_report(docs.limit(0)).count() == 0
+    assert scan(docs).columns == ["doc_id", "text", "_norm", "license_scan"]
     spans = scan(docs.where("doc_id = 1")).select("license_scan.findings").first()[0]
     assert [(x.label, x.start, x.end) for x in spans] == [("apache-2", 0, 5), ("cc-by-nc", 6, 11), ("cc-by", 11, 13)]
 
@@ -140,6 +141,8 @@ def test_mix(spark):
     key = lambda r: (r.doc_id or -1, r.size, r.taken, r.shards)
     assert sorted(map(key, got)) == sorted(map(key, again))
     out = mixed_documents(docs, place=False)
+    clash = docs.withColumnRenamed("size", "mix_shard").withColumnRenamed("number", "uses")
+    assert mixed_documents(clash, place=False).columns == clash.columns
     assert out.columns == docs.columns and out.count() == sum(len([x for x in r.shards.split(",") if x]) for r in got)
     assert mix_report(docs.limit(0)).count() == 0 and mixed_documents(docs.limit(0)).count() == 0
 
