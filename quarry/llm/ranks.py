@@ -24,6 +24,8 @@ def positions(df: DataFrame, part: list[str], uniform: str, ties: list[str], buc
     """
     share = (F.col(uniform).cast("double") / F.lit(2.0 ** 64) + 0.5) * buckets      # signed 64-bit to [0, buckets)
     df = df.withColumn("_b", F.least(F.floor(share), F.lit(buckets - 1)).cast("int"))
+    # dealt by part and range: a part that comes here as one partition (from a join on it) is spread
+    df = df.repartition(*part, "_b")
     sizes = df.groupBy(*part, "_b").agg(F.count("*").alias("_n"))
     before = F.sum("_n").over(Window.partitionBy(*part).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))
     sizes = sizes.select(*part, "_b", F.coalesce(before, F.lit(0)).alias("_before"))
