@@ -44,8 +44,8 @@ def propagate(state: DataFrame, capacity: list[int]) -> DataFrame:
         load = _loads(state, shards)
         room = spark.createDataFrame([(j, capacity[j] - load[j]) for j in range(shards)], "shard int, room long")
         seen = state.join(F.broadcast(room), "shard")
-        rank = F.struct("c", F.xxhash64("key", "shard").alias("tie"), "shard")
-        # a shard attracts while it has room; its own members always count it
+        # a shard attracts while it has room; of equal counts the one with room wins
+        rank = F.struct("c", (F.col("room") > 0).alias("open"), F.xxhash64("key", "shard").alias("tie"), "shard")
         best = (seen.groupBy("key").agg(F.max(F.when(F.col("room") > 0, rank)).alias("best")).where("best is not null"))
         want = (seen.select("key", "shard", "c", rank.alias("own")).join(best, "key")
                 .where("best.shard <> shard and best > own")
