@@ -15,13 +15,13 @@ from __future__ import annotations
 
 import re
 
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.session import cut_lineage
+from quarry.session import cut_lineage, scratch
 
 LEAST = 16
 DICTIONARY = 300
@@ -93,8 +93,12 @@ def train(described: DataFrame, label_col: str = "label"):
     if not n.get(1.0) or not n.get(0.0):
         return (n.get(1.0, 0) + 0.5) / (sum(n.values()) + 1)
     data = VectorAssembler(inputCols=list(FEATURES), outputCol="v").transform(picked.coalesce(1).sortWithinPartitions("_h"))
-    return RandomForestClassifier(featuresCol="v", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=SEED,
-                                  featureSubsetStrategy="sqrt").fit(data)
+    model = RandomForestClassifier(featuresCol="v", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=SEED,
+                                   featureSubsetStrategy="sqrt").fit(data)
+    # a loaded model is the trees alone; a fitted one drags its training summary, and with it the session, into tasks
+    with scratch(described.sparkSession, "forest") as folder:
+        model.write().save(folder)
+        return RandomForestClassificationModel.load(folder)
 
 
 def classify(described: DataFrame, model) -> DataFrame:
