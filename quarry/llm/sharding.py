@@ -114,15 +114,14 @@ def assign(rows: DataFrame, shards: int, id_col: str, key_col: str) -> DataFrame
     total = rows.count()
     capacity = [total // shards + (j < total % shards) for j in range(shards)]
     nb = buckets_for(total)
-    groups = cut_lineage(rows.where(F.col(key_col).isNotNull()).groupBy(F.col(key_col).alias("key"))
-                         .agg(F.count("*").alias("members")).where("members > 1"))
-    if groups.limit(1).count():
-        first = (rows.join(groups.select(F.col("key").alias(key_col)), key_col)
-                 .groupBy(F.col(key_col).alias("key"), F.pmod("_h", F.lit(shards)).cast("int").alias("shard")).agg(F.count("*").alias("c")))
-        # hash order may exceed a capacity by chance; the quotas and the final repair restore it
-        state = propagate(first, capacity)
-    else:
-        state = groups.select("key", F.lit(0).alias("shard"), F.col("members").alias("c")).limit(0)
+    # counts per (key, first shard) come before any join, so a hot key is a row per task and shard; hash
+    # order may exceed a capacity by chance, the quotas and the final repair restore it
+    counts = (rows.where(F.col(key_col).isNotNull())
+              .groupBy(F.col(key_col).alias("key"), F.pmod("_h", F.lit(shards)).cast("int").alias("shard")).agg(F.count("*").alias("c")))
+    members = F.sum("c").over(Window.partitionBy("key"))             # at most one row per shard
+    state = cut_lineage(counts.withColumn("members", members).where("members > 1").drop("members"))
+    if state.limit(1).count():
+        state = propagate(state, capacity)
     load = _loads(state, shards)
 
     whole = state.groupBy("key").agg(F.count("*").alias("parts"), F.min("shard").alias("one"))
