@@ -195,16 +195,20 @@ PROMPT_HEAD = _sql_text(f"{T.BEGIN_OF_TEXT}{T.START_HEADER}system{T.END_HEADER}\
 PROMPT_TAIL = _sql_text(f"{T.END_OF_TURN}{T.START_HEADER}assistant{T.END_HEADER}\n\n")
 
 
+PLAIN_HEAD = _sql_text(f"{T.BEGIN_OF_TEXT}{T.START_HEADER}user{T.END_HEADER}\n\n")
+
+
 @register("render_prompt", f"""
-SELECT conv_id, turn, length(p) AS prompt_chars, sha256(p) AS prompt_hash
-FROM (SELECT conv_id, turn, {PROMPT_HEAD} || text || {PROMPT_TAIL} AS p FROM conversations WHERE role = 'user')
+SELECT conv_id, turn, length(p) AS prompt_chars, sha256(p) AS prompt_hash, sha256(q) AS plain_hash
+FROM (SELECT conv_id, turn, {PROMPT_HEAD} || text || {PROMPT_TAIL} AS p, {PLAIN_HEAD} || text || {PROMPT_TAIL} AS q
+      FROM conversations WHERE role = 'user')
 """)
 def q_render_prompt(spark, sf_dir):
-    """The single-turn chat prompt of every user turn."""
+    """The single-turn chat prompt of every user turn, with and without the system block."""
     from quarry.functions.text import render_prompt
     c = table(spark, sf_dir, "conversations").filter(F.col("role") == "user")
-    p = c.select("conv_id", "turn", render_prompt("text").alias("p"))
-    return p.select("conv_id", "turn", F.length("p").alias("prompt_chars"), F.sha2("p", 256).alias("prompt_hash"))
+    p = c.select("conv_id", "turn", render_prompt("text").alias("p"), render_prompt("text", None).alias("q"))
+    return p.select("conv_id", "turn", F.length("p").alias("prompt_chars"), F.sha2("p", 256).alias("prompt_hash"), F.sha2("q", 256).alias("plain_hash"))
 
 
 @register("extract_response", f"""
