@@ -49,20 +49,19 @@ def build_session(master: str | None = None, app: str = "quarry",
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared checkpoint folder: ``spark.checkpoint.dir``, else the one the context was given.
 
     The cluster's setting always wins. Only a local session (tests) may leave it
     unset and gets a fresh scratch folder; elsewhere that would put checkpoints
     on the disks of single machines, so it is an error.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_FOLDERS.get(spark.sparkContext.applicationId)
+    d = d or spark.sparkContext.getCheckpointDir()
     if not d:
         if not re.match(r"local(\[|$)", spark.conf.get("spark.master", None) or ""):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        d = _LOCAL_FOLDERS.get(spark.sparkContext.applicationId)
-        if d is None:
-            d = _LOCAL_FOLDERS[spark.sparkContext.applicationId] = tempfile.mkdtemp(prefix="quarry-ckpt-")
-            atexit.register(shutil.rmtree, d, ignore_errors=True)
+        d = _LOCAL_FOLDERS[spark.sparkContext.applicationId] = tempfile.mkdtemp(prefix="quarry-ckpt-")
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
     if spark.sparkContext.applicationId not in _REGISTERED:
         spark.sparkContext.setCheckpointDir(d)
         _REGISTERED.add(spark.sparkContext.applicationId)

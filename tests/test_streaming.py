@@ -96,8 +96,14 @@ def test_no_machine_local_checkpoints_on_a_cluster(spark):
         def get(self, key, default=None):
             return {"spark.master": "spark://host:7077"}.get(key, default)
 
+    class Context:
+        applicationId = "cluster-app"
+
+        def getCheckpointDir(self):
+            return None
+
     class Session:
-        conf, sparkContext = Conf(), spark.sparkContext
+        conf, sparkContext = Conf(), Context()
 
     with pytest.raises(RuntimeError):
         checkpoint_dir(Session())
