@@ -188,8 +188,8 @@ def augment_with_terms(corpus: DataFrame, terms: DataFrame, per_term: int, seed:
     toks = F.col("_t")
 
     def runs(k: int) -> Column:
-        at = F.when(F.size(toks) >= k, F.sequence(F.lit(1), F.size(toks) - (k - 1)))
-        return F.transform(at, lambda i: F.array_join(F.slice(toks, i, k), " "))
+        first = F.when(F.size(toks) >= k, F.slice(toks, 1, F.size(toks) - (k - 1)))
+        return F.transform(first, lambda x, i: F.concat_ws(" ", x, *[F.get(toks, i + j) for j in range(1, k)]))
 
     every = F.concat(*[toks if k == 1 else F.coalesce(runs(k), F.array().cast("array<string>")) for k in lengths])
     held = corpus.select(id_col, lower_tokens(text_col).alias("_t")).select(id_col, F.explode(F.array_distinct(every)).alias(term_col))
