@@ -8,6 +8,7 @@ memory bounded for any text length.
 
 from __future__ import annotations
 
+import gc
 import os
 from collections.abc import Callable, Iterable, Iterator
 
@@ -54,6 +55,16 @@ def to_workers(spark: SparkSession) -> None:
         spark.conf.set(rows, BATCH_ROWS)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files and checkpoints of tables that nothing refers to any more.
+
+    Spark does so when the driver's JVM collects garbage; a job of many rounds
+    would otherwise keep the files of all its rounds until that happens.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def rows_with_ids(df: DataFrame, col: str, ids: DataFrame, how: str = "left_semi") -> DataFrame:
     """Rows of ``df`` whose ``col`` is (``left_semi``) or is not (``left_anti``) in ``ids``.
 

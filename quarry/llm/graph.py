@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.common import release
 from quarry.session import cut_lineage
 
 
@@ -30,5 +31,6 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
                           .select("id", F.least("m", "c2").alias("component"),
                                   (F.least("m", "c2") < F.col("component")).alias("moved")))
         labels = new.select("id", "component")
+        release(links.sparkSession)
         if not new.where("moved").limit(1).count():
             return labels

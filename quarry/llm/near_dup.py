@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import SPACE, U64, map_groups, mix64, rows_with_ids, shingle_hashes, slices, to_workers, word_hashes
+from quarry.llm.common import SPACE, U64, map_groups, mix64, release, rows_with_ids, shingle_hashes, slices, to_workers, word_hashes
 from quarry.llm.graph import components
 from quarry.session import cut_lineage
 
@@ -226,13 +226,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     sig = cut_lineage(base.mapInPandas(_sketch_rows(words, bands, rows),
                                        "id long, n long, set binary, bands array<long>, odd binary"))
+    narrow = cut_lineage(sig.select("id", "n", "set"))
     classes = cut_lineage(sig.where("n > 0 and id is not null").groupBy("set").agg(F.min("id").alias("rep")))
     reps = cut_lineage(sig.join(classes, (sig["set"] == classes["set"]) & (sig["id"] == classes["rep"]))
                        .select("id", "n", "bands", "odd").dropDuplicates(["id"]))
+    del sig
+    release(spark)
     bucket = reps.select("id", F.explode("bands").alias("key"))
     shared = bucket.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("most"), F.count("*").alias("size"))
     shared = cut_lineage(shared.where("pivot < most").drop("most"))
     member = cut_lineage(bucket.join(shared, "key"))
+    release(spark)
 
     def links(pairs: DataFrame) -> DataFrame:
         ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
@@ -242,6 +246,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 .join(sets.select(F.col("id").alias("b"), F.col("s").alias("s_b")), "b")
                 .select("a", "b", "s_a", "s_b").mapInPandas(_linked(percent), "a long, b long"))
 
+    def linked(pairs: DataFrame, before: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+        """All links so far and their components; what was made on the way is released."""
+        new = links(pairs)
+        found = cut_lineage(new if before is None else before.union(new))
+        del new
+        release(spark)
+        comp = components(found)
+        release(spark)
+        return found, comp
+
     def sketch(x: str) -> DataFrame:
         return reps.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("odd").alias(f"odd_{x}"))
 
@@ -249,8 +263,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     star = member.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
     pairs = cut_lineage(star.join(sketch("b"), "b").join(sketch("a"), "a")
                         .mapInPandas(_passing(percent), "a long, b long"))
-    first = cut_lineage(links(pairs))
-    comp = components(first)
+    first, comp = linked(pairs)
+    del star, pairs
 
     def split(comp: DataFrame) -> DataFrame:
         """Members of the buckets that hold more than one component, dealt to pairs of blocks."""
@@ -267,13 +281,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # rounds two and three: what is still apart within a bucket, first as forests, then every pair left
     for pick in (_cross_forest, _cross_pairs):
         more = cut_lineage(map_groups(split(comp), ["key", "lo", "hi"], ["id"], pick(percent), "a long, b long").distinct())
+        release(spark)
         if more.limit(1).count():
-            first = cut_lineage(first.union(links(more)))
-            comp = components(first)
+            first, comp = linked(more, first)
 
     of = cut_lineage(classes.join(comp.withColumnRenamed("id", "rep"), "rep", "left")
                      .select("set", F.coalesce("component", "rep").alias("component_id")))
-    out = sig.select("id", "n", "set").join(of, "set", "left")
+    out = narrow.join(of, "set", "left")
     comp_id = F.coalesce("component_id", "id")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), comp_id.alias("component_id"),
                       F.coalesce(F.col("id") == comp_id, F.lit(True)).alias("kept"))
