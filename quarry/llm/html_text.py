@@ -8,7 +8,8 @@ attributes, inline ``display:none`` or ``visibility:hidden``) emit nothing with
 all they hold. All other text is emitted: inline text with white space folded,
 blocks on their own lines with blank lines where a browser leaves a margin, list
 items indented with bullets or numbers, ``pre`` as it stands, and table cells
-aligned in columns. Only the open path is held, so depth does not matter.
+aligned in columns. Text in a table but in no cell stands before the table, as in
+browsers. Only the open path is held, so depth does not matter.
 """
 
 from __future__ import annotations
@@ -35,6 +36,10 @@ IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"d
            "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "tr": ({"tr"}, {"table"}),
            "thead": ({"thead", "tbody", "tfoot", "caption"}, {"table"}), "tbody": ({"thead", "tbody", "tfoot", "caption"}, {"table"}),
            "tfoot": ({"thead", "tbody", "tfoot", "caption"}, {"table"}), "option": ({"option"}, {"select"}), "body": ({"head"}, {"body"})}
+#: A part of a table ends all that is open above one of these (or a template), as a tree builder goes back to the table.
+PLACE = {"td": {"tr", "tbody", "thead", "tfoot", "table"}, "tr": {"tbody", "thead", "tfoot", "table"}, "tbody": {"table"}}
+PLACE.update(th=PLACE["td"], thead=PLACE["tbody"], tfoot=PLACE["tbody"], caption=PLACE["tbody"])
+TABLE_PARTS = frozenset("table thead tbody tfoot tr".split())
 HEAD_ONLY = frozenset("head title meta link base style script noscript template html".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>?|</([a-zA-Z][^\s/>]*)[^>]*>?|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>?", re.S)
@@ -130,6 +135,8 @@ class Renderer:
         if tag in IMPLIED:
             closes, barrier = IMPLIED[tag]
             self.close_to(closes, barrier)
+        if tag in PLACE and self.tables:
+            self.back_to(PLACE[tag] | {"template"})
         if tag in CLOSES_P:
             self.close_to({"p"}, {"button", "td", "th", "table", "body"})
         a = {m[1].lower(): next((x for x in m.groups()[1:] if x is not None), "") for m in ATTRIBUTE.finditer(attributes)} if attributes else {}
@@ -169,6 +176,14 @@ class Renderer:
             if self.open[i][0] in barrier:
                 return
 
+    def back_to(self, places: set) -> None:
+        """Ends what is open above the innermost of ``places``."""
+        for i in range(len(self.open) - 1, -1, -1):
+            if self.open[i][0] in places:
+                while len(self.open) > i + 1:
+                    self.pop()
+                return
+
     def pop(self) -> None:
         tag, unseen = self.open.pop()
         if not unseen:
@@ -218,13 +233,14 @@ class Renderer:
         if tag == "table" and self.tables:
             t = self.tables.pop()
             self.flow = t.holder
+            self.flow.end()
             for x in t.render():
                 self.flow.put(x)
                 self.flow.end(keep=True)
             self.flow.margin()
         elif tag in ("td", "th") and self.tables:
             self.tables[-1].rows[-1].append(f.done())
-            self.flow = _Flow()
+            self.flow = self.tables[-1].holder          # text between cells comes out before the table
         elif tag == "tr" or tag in ("thead", "tbody", "tfoot"):
             pass
         elif tag in ("ul", "ol", "menu", "dir"):
@@ -254,6 +270,8 @@ class Renderer:
 
     def text(self, s: str) -> None:
         if s and not self.hidden():
+            if self.pre and s.isspace() and self.open[-1][0] in TABLE_PARTS:
+                return                                  # white space between cells has no place, not even in pre
             s = html.unescape(s) if "&" in s else s
             self.flow.text(s.replace("\xa0", " ") if not self.pre else s, self.pre > 0)
 

@@ -82,6 +82,21 @@ def test_render(page):
     assert render(page) == PAGES[page]
 
 
+STRAY = {
+    "<table><tr><td>a</td></tr><p>all that follows": "all that follows\n\na", "<table><tr><td>a</td>s<td>b</table>c": "s\na  b\n\nc",
+    "x<table>s<tr><td>a</td></tr><caption>cap</caption><div>d</div><form>f</form><tr><td>b</table>": "x\n\ns\ncap\nd\nf\na\nb",
+    "<table><td>a<tr><td>b</table>c": "a\nb\n\nc", "<table><tr><td>a</td><div>d<td>e</div></table>": "d\na  e",
+    "<table><tr><td><table><tr><td>in</td>s</table></td>t<td>out</table>": "t\ns   out\nin",
+    "<pre><table>\n<tr><td>a</td>\n<td>b</td></tr>\n</table></pre>": "a  b",
+    "<table><tr><td>a</td></tr><tr hidden>n<td>m</td></tr></table>": "a", "<ul><li><table><tr><td>a</td></tr>s</table><li>b</ul>": "- s\n  a\n\n- b",
+}
+
+
+@pytest.mark.parametrize("page", STRAY)
+def test_text_of_a_table_outside_cells(page):
+    assert render(page) == STRAY[page]
+
+
 def test_extract_defined_cases(spark):
     rows = [(1, "<p>a</p>"), (1, "<p>a</p>"), (2, None), (3, "<div>" * 20_000 + "deep"), (None, "<b>x"), (4, "<p>w " * 100_000), (5, "<a href=\"x")]
     got = extract(spark.createDataFrame([(i, h, "t") for i, h in rows], "page_id long, html string, text string")).collect()
