@@ -5,7 +5,9 @@ elements never open, implied end tags close paragraphs, list items, cells and
 rows, stray end tags are ignored, unclosed elements end with their parents.
 Elements that a browser does not show (head, script, style, template, hidden
 attributes, inline ``display:none`` or ``visibility:hidden``) emit nothing with
-all they hold. All other text is emitted: inline text with white space folded,
+all they hold. Of ``svg`` the text elements and foreign objects are shown (what
+``use`` refers to is not followed), of ``math`` all but annotations and phantoms,
+of ``select`` the chosen option or, as a list box, all options. All other text is emitted: inline text with white space folded,
 blocks on their own lines with blank lines where a browser leaves a margin, list
 items indented with bullets or numbers, ``pre`` as it stands, and table cells
 aligned in columns. Text in a table but in no cell stands before the table, as in
@@ -26,7 +28,13 @@ from quarry.llm.common import slices, to_workers
 # Element classes of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-HIDDEN = frozenset("head script style template title noscript iframe noembed noframes datalist object svg math audio video canvas select".split())
+HIDDEN = frozenset("head script style template title noscript iframe noembed noframes datalist object audio video canvas".split())
+#: Elements of embedded vocabularies that show nothing, those whose text stands apart, those that hold HTML, HTML that ends them.
+NOT_DRAWN = frozenset("desc metadata defs symbol clippath mask pattern marker lineargradient radialgradient filter annotation annotation-xml mphantom".split())
+APART = frozenset("text foreignobject mtd".split())
+HOLDS_HTML = frozenset("foreignobject desc title mi mo mn ms mtext".split())
+BREAKOUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p "
+                     "pre ruby s small span strong strike sub sup table tt u ul var".split())
 MARGIN = frozenset("p h1 h2 h3 h4 h5 h6 blockquote ul ol dl pre table figure fieldset hr".split())
 BLOCK = MARGIN | frozenset("html body div section article main header footer nav aside address li dt dd form details summary figcaption "
                            "center legend caption tr td th thead tbody tfoot optgroup option menu dir".split())
@@ -35,7 +43,8 @@ CLOSES_P = BLOCK - frozenset("html body td th tr thead tbody tfoot caption optio
 IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
            "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "tr": ({"tr"}, {"table"}),
            "thead": ({"thead", "tbody", "tfoot", "caption"}, {"table"}), "tbody": ({"thead", "tbody", "tfoot", "caption"}, {"table"}),
-           "tfoot": ({"thead", "tbody", "tfoot", "caption"}, {"table"}), "option": ({"option"}, {"select"}), "body": ({"head"}, {"body"})}
+           "tfoot": ({"thead", "tbody", "tfoot", "caption"}, {"table"}), "option": ({"option"}, {"select"}), "optgroup": ({"option"}, {"select"}),
+           "body": ({"head"}, {"body"})}
 #: A part of a table ends all that is open above one of these (or a template), as a tree builder goes back to the table.
 PLACE = {"td": {"tr", "tbody", "thead", "tfoot", "table"}, "tr": {"tbody", "thead", "tfoot", "table"}, "tbody": {"table"}}
 PLACE.update(th=PLACE["td"], thead=PLACE["tbody"], tfoot=PLACE["tbody"], caption=PLACE["tbody"])
@@ -46,6 +55,8 @@ TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>?|</([a-zA-Z][^\s/>]*)[^>]*>?|<
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 SPACES = re.compile(r"[ \t\n\r\f]+")
 UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+#: What becomes of text in an element: shown, hidden, shown in text elements only (svg), kept for the open option (select).
+SHOW, HIDE, DRAW, CHOOSE = range(4)
 
 
 class _Flow:
@@ -118,18 +129,61 @@ class _Table:
         return out
 
 
+class _Choice:
+    """Options of an open ``select``."""
+
+    def __init__(self, a: dict):
+        self.listed = "multiple" in a or bool(re.fullmatch(r"0*([2-9]|[1-9]\d+)", a.get("size", "").strip()))
+        self.lines: list[dict] = []                 # options and labels of groups, in order
+        self.open: dict | None = None
+        self.dead = False                           # the open group is disabled
+
+    def start(self, tag: str, a: dict, unseen: bool) -> None:
+        line = {"label": html.unescape(a.get("label", "")), "text": "", "unseen": unseen, "option": tag == "option",
+                "selected": "selected" in a, "dead": self.dead or "disabled" in a}
+        if tag == "optgroup":
+            self.dead = "disabled" in a
+        else:
+            self.open = line
+        self.lines.append(line)
+
+    def end(self, tag: str) -> None:
+        self.open = None
+        if tag == "optgroup":
+            self.dead = False
+
+    def shown(self) -> list[str]:
+        if self.listed:
+            lines = [x for x in self.lines if not x["unseen"]]
+        else:
+            options = [x for x in self.lines if x["option"]]
+            lines = [x for x in options if x["selected"]][-1:] or [x for x in options if not x["dead"]][:1]
+        return [t for x in lines if (t := SPACES.sub(" ", x["label"] or x["text"]).strip(" "))]
+
+
 class Renderer:
     def __init__(self):
-        self.open: list[tuple[str, bool]] = []      # (element, hidden)
+        self.open: list[tuple[str, int]] = []       # (element, what becomes of its text)
+        self.foreign = 0                            # open svg and math elements
+        self.choice: _Choice | None = None
         self.flow = _Flow()
         self.tables: list[_Table] = []
         self.lists: list[list] = []                 # [kind, next number]
         self.pre = 0
 
     def hidden(self) -> bool:
-        return bool(self.open) and self.open[-1][1]
+        return self.state() != SHOW
+
+    def state(self) -> int:
+        return self.open[-1][1] if self.open else SHOW
 
     def start(self, tag: str, attributes: str) -> None:
+        if self.foreign and tag in BREAKOUT:
+            self.break_out()
+        if self.choice and tag in ("select", "input", "textarea"):
+            self.end("select")
+            if tag == "select":
+                return
         if self.open and self.open[-1][0] == "head" and tag not in HEAD_ONLY:
             self.end("head")
         if tag in IMPLIED:
@@ -140,19 +194,38 @@ class Renderer:
         if tag in CLOSES_P:
             self.close_to({"p"}, {"button", "td", "th", "table", "body"})
         a = {m[1].lower(): next((x for x in m.groups()[1:] if x is not None), "") for m in ATTRIBUTE.finditer(attributes)} if attributes else {}
-        unseen = (self.hidden() or tag in HIDDEN or "hidden" in a or bool(UNSEEN.search(a.get("style", "")))
+        above = self.state()
+        unseen = (tag in HIDDEN or "hidden" in a or bool(UNSEEN.search(a.get("style", "")))
                   or tag == "input" and a.get("type", "").lower() == "hidden")
+        if self.foreign:
+            unseen = unseen or tag in NOT_DRAWN or a.get("display") == "none" or a.get("visibility") in ("hidden", "collapse")
+        state = HIDE if unseen else above
+        if above == HIDE:
+            state = HIDE
+        elif tag in ("option", "optgroup") and above == CHOOSE:
+            self.choice.start(tag, a, unseen)
+            state = CHOOSE
+        elif not unseen and tag == "svg" and above == SHOW:
+            state = DRAW
+        elif not unseen and tag in ("text", "foreignobject") and above == DRAW:
+            state = SHOW
         if tag in VOID:
-            if not unseen:
+            if state == SHOW:
                 if tag == "br":
                     self.flow.end(keep=True)
                 elif tag == "hr":
                     self.flow.margin()
             return
+        foreign = self.foreign or tag in ("svg", "math")
+        if attributes.endswith("/") and foreign and not (a and a[next(reversed(a))].endswith("/")):
+            return                                  # <x/> in embedded vocabularies, with or without attributes
         if attributes.endswith("/") and tag not in BLOCK and tag not in RAW and a and not a.get(next(reversed(a)), "").endswith("/"):
             return                                  # <x/> of embedded vocabularies
-        self.open.append((tag, unseen))
-        if not unseen:
+        if tag == "select" and state == SHOW:
+            self.choice, state = _Choice(a), CHOOSE
+        self.open.append((tag, state))
+        self.foreign += tag in ("svg", "math")
+        if state == SHOW:
             self.enter(tag, a)
 
     def end(self, tag: str) -> None:
@@ -176,6 +249,20 @@ class Renderer:
             if self.open[i][0] in barrier:
                 return
 
+    def break_out(self) -> None:
+        """Ends embedded vocabularies, up to an element of theirs that holds HTML."""
+        while self.foreign:
+            i = next(i for i in range(len(self.open) - 1, -1, -1) if self.open[i][0] in ("svg", "math") or self.open[i][0] in HOLDS_HTML)
+            if self.open[i][0] in HOLDS_HTML:
+                return
+            while len(self.open) > i:
+                self.pop()
+
+    def apart(self) -> None:
+        """A space between neighbouring texts of one line."""
+        if self.flow.line and not self.flow.line.endswith(" "):
+            self.flow.put(" ")
+
     def back_to(self, places: set) -> None:
         """Ends what is open above the innermost of ``places``."""
         for i in range(len(self.open) - 1, -1, -1):
@@ -185,9 +272,26 @@ class Renderer:
                 return
 
     def pop(self) -> None:
-        tag, unseen = self.open.pop()
-        if not unseen:
+        tag, state = self.open.pop()
+        self.foreign -= tag in ("svg", "math")
+        if state == SHOW:
             self.leave(tag)
+        elif state == CHOOSE and tag in ("option", "optgroup"):
+            self.choice.end(tag)
+        elif state == CHOOSE and tag == "select":
+            self.choose()
+
+    def choose(self) -> None:
+        """Writes the shown options of the ``select`` that ends: one in the line, those of a list box in lines of their own."""
+        choice, self.choice = self.choice, None
+        if choice.listed:
+            self.flow.end()
+        for x in choice.shown():
+            self.apart()
+            self.flow.put(x)
+            if choice.listed:
+                self.flow.end()
+        self.apart()
 
     def enter(self, tag: str, a: dict) -> None:
         f = self.flow
@@ -223,6 +327,8 @@ class Renderer:
             self.pre += 1
         elif tag == "q":
             f.put('"')
+        elif tag in APART and self.foreign:
+            self.apart()
         elif tag in MARGIN:
             f.margin()
         elif tag in BLOCK:
@@ -263,13 +369,18 @@ class Renderer:
             f.margin()
         elif tag == "q":
             f.put('"')
+        elif tag in APART and self.foreign:
+            self.apart()
         elif tag in MARGIN:
             f.margin()
         elif tag in BLOCK:
             f.end()
 
     def text(self, s: str) -> None:
-        if s and not self.hidden():
+        if s and self.state() == CHOOSE:
+            if self.choice.open:
+                self.choice.open["text"] += html.unescape(s).replace("\xa0", " ")
+        elif s and not self.hidden():
             if self.pre and s.isspace() and self.open[-1][0] in TABLE_PARTS:
                 return                                  # white space between cells has no place, not even in pre
             s = html.unescape(s) if "&" in s else s

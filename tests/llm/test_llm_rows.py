@@ -97,6 +97,25 @@ def test_text_of_a_table_outside_cells(page):
     assert render(page) == STRAY[page]
 
 
+EMBEDDED = {
+    "<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> holds": "so x=2 holds",
+    "<math><mtable><mtr><mtd>1</mtd><mtd>2</mtd></mtr></mtable><mspace/></math>": "1 2",
+    "<svg><title>t</title><desc>d</desc><defs><text>n</text></defs><style>s</style><text x='1'>Jan</text><g><text>Fe<tspan>b</tspan></text></g>bare</svg>!": "Jan Feb !",
+    "<svg><defs/><text display='none'>n</text><text>y</text><foreignObject><p>in</p></foreignObject></svg>z": "y\n\nin\n\nz",
+    "<svg><g>bare<p>out": "out", "a<svg/>b<svg hidden><text>n</text></svg>c": "abc",
+    "In <select><option>one<option selected>two</select> of": "In two of", "<select><option disabled>n<option>f&amp;g<option>h</select>": "f&g",
+    "<select multiple><optgroup label=G><option>a</option><option label=L>b</option></optgroup><option hidden>n</select>c": "G\na\nL\nc",
+    "<select size=3><option>a<optgroup label=H disabled><option>b</select>": "a\nH\nb", "<select hidden><option>n</select>x": "x",
+    "<select><option>a<input>b": "a b", "<table><tr><td><select><option>a<td>b</table>": "a  b",
+    "<select><option selected disabled hidden>Choose<option>x</select>": "Choose",
+}
+
+
+@pytest.mark.parametrize("page", EMBEDDED)
+def test_embedded_vocabularies_and_choices(page):
+    assert render(page) == EMBEDDED[page]
+
+
 def test_extract_defined_cases(spark):
     rows = [(1, "<p>a</p>"), (1, "<p>a</p>"), (2, None), (3, "<div>" * 20_000 + "deep"), (None, "<b>x"), (4, "<p>w " * 100_000), (5, "<a href=\"x")]
     got = extract(spark.createDataFrame([(i, h, "t") for i, h in rows], "page_id long, html string, text string")).collect()
