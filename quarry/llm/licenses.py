@@ -2,9 +2,11 @@
 
 A text is reduced to its words (A-Z lower-cased; runs of 0-9, a-z and non-ASCII
 characters) with single spaces between them. A rule is a regular expression over
-whole words, gated by a keyword that every match contains; rules come from the
-table of license names below crossed with the ways in which a license is
-granted. All matches of a rule count, overlapping ones too. A detection that
+whole words, gated by a keyword that every match contains. Rules are the table of
+license names crossed with the ways in which a license is granted (a bare name
+counts, the longer forms raise the confidence), short SPDX identifiers after tags
+and in the ways in which they declare a license, and headers, addresses and
+sentences of license texts. All matches of a rule count, overlapping ones too. A detection that
 lies within a longer one, or within an equal one of a rule of higher priority, is
 suppressed. Everything is computed in the row of the document with SQL
 functions: no join, no shuffle, no Python.
@@ -12,6 +14,7 @@ functions: no join, no shuffle, no Python.
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -66,11 +69,70 @@ FORMS = (
 #: (number, label, keyword, expression, confidence); the order is the priority.
 RULES = [(f * len(NAMES) + n, label, keyword, form.format(f"(?:{name})"), confidence)
          for f, (form, confidence) in enumerate(FORMS) for n, (label, name, keyword) in enumerate(NAMES)]
+# Short identifiers as expressions over words, with the literal that each starts with; alone they say nothing.
+IDS = (
+    ("mit", "mit", "mit "), ("mit-0", "mit 0", "mit 0"), ("apache-2", "apache 2(?: 0)?", "apache 2"), ("apache-1.1", "apache 1 1", "apache 1 1"),
+    ("gpl-3", "gpl 3(?: 0)?(?: only| or later)?", "gpl 3"), ("gpl-2", "gpl 2(?: 0)?(?: only| or later)?", "gpl 2"), ("gpl-1", "gpl 1(?: 0)?(?: only| or later)?", "gpl 1"),
+    ("lgpl-3", "lgpl 3(?: 0)?(?: only| or later)?", "lgpl 3"), ("lgpl-2.1", "lgpl 2 1(?: only| or later)?", "lgpl 2 1"), ("lgpl-2", "lgpl 2(?: 0)?(?: only| or later)?", "lgpl 2"),
+    ("agpl-3", "agpl 3(?: 0)?(?: only| or later)?", "agpl 3"), ("bsd-2", "bsd 2 clause", "bsd 2"), ("bsd-3", "bsd 3 clause", "bsd 3"), ("bsd-4", "bsd 4 clause", "bsd 4"),
+    ("bsd", "bsd", "bsd "), ("0bsd", "0bsd", "0bsd"), ("mpl-2", "mpl 2(?: 0)?", "mpl 2"), ("mpl-1.1", "mpl 1 1", "mpl 1 1"), ("epl-2", "epl 2(?: 0)?", "epl 2"),
+    ("epl-1", "epl 1(?: 0)?", "epl 1"), ("cddl-1", "cddl 1 [01]", "cddl 1"), ("eupl-1.2", "eupl 1 2", "eupl 1 2"), ("isc", "isc", "isc "), ("zlib", "zlib", "zlib "),
+    ("bsl-1", "bsl 1 0", "bsl 1 0"), ("unlicense", "unlicense", "unlicense"), ("wtfpl", "wtfpl", "wtfpl"), ("artistic-2", "artistic 2 0", "artistic 2"),
+    ("artistic-1", "artistic 1 0", "artistic 1"), ("odbl", "odbl(?: 1 0)?", "odbl"), ("ofl-1.1", "ofl 1 1", "ofl 1 1"), ("postgresql", "postgresql", "postgresql "),
+    ("psf", "(?:psf|python) 2 0(?: 1)?", " 2 0"), ("ms-pl", "ms pl", "ms pl"), ("ms-rl", "ms rl", "ms rl"), ("sspl", "sspl 1 0", "sspl 1 0"), ("elastic-2", "elastic 2 0", "elastic 2"),
+    ("busl-1.1", "busl 1 1", "busl 1 1"), ("ncsa", "ncsa", "ncsa "), ("afl-3", "afl 3 0", "afl 3"), ("ecl-2", "ecl 2 0", "ecl 2"), ("cecill-2.1", "cecill 2 1", "cecill 2 1"),
+    ("cc0", "cc0(?: 1 0)?", "cc0"), ("cc-by", "cc by(?: [1-4] [05])?", "cc by"), ("cc-by-sa", "cc by sa(?: [1-4] [05])?", "cc by sa"),
+    ("cc-by-nd", "cc by nd(?: [1-4] [05])?", "cc by nd"), ("cc-by-nc", "cc by nc(?: [1-4] [05])?", "cc by nc"),
+    ("cc-by-nc-sa", "cc by nc sa(?: [1-4] [05])?", "cc by nc sa"), ("cc-by-nc-nd", "cc by nc nd(?: [1-4] [05])?", "cc by nc nd"),
+)
+# How a short identifier declares a license: form, keyword, confidence. The second and third identifier of
+# an SPDX expression start one and two words after the tag, so that none lies within another.
+ANY = "(?:" + "|".join(x for _, x, _ in IDS) + ")"
+ID_FORMS = (
+    ("spdx licen[cs]e identifier {}", "identifier {}", 1.0), (f"licen[cs]e identifier {ANY} (?:or|and) {{}}", "e identifier ", 1.0),
+    (f"identifier {ANY} (?:or|and) {ANY} (?:or|and) {{}}", "identifier ", 1.0),
+    ("(?:is |are )?(?:dual )?licen[cs]ed under (?:the )?(?:terms of )?(?:the )?{}", "{}", 0.95),
+    ("(?:released under|distributed under|available under|published under) (?:the )?(?:terms of )?(?:the )?{}", "{}", 0.93),
+    ("{} licen[cs]ed", "{}", 0.9), ("(?:opensource|spdx) org licen[cs]es? {}", " org licen", 0.9), ("licen[cs]e {}", "e {}", 0.8), ("{} licen[cs]e", "{}", 0.8),
+)
+# Headers, addresses and sentences of license texts (at most 24 words): label, expression, keyword, confidence.
+GNU = "as published by the free software foundation(?: either)? version"
+TEXTS = (
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software", "is hereby granted free of charge", 0.95),
+    ("bsl-1", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software", "is hereby granted free of charge", 0.95),
+    ("isc", "distribute this software for any purpose with or without fee is hereby granted provided that the above", "fee is hereby granted provided", 0.95),
+    ("0bsd", "distribute this software for any purpose with or without fee is hereby granted the software is provided", "fee is hereby granted the", 0.95),
+    ("postgresql", "distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted", "agreement is hereby granted", 0.95),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted", "redistribution and use in source", 0.9),
+    ("bsd-3", "may be used to endorse or promote products derived from this software without (?:specific )?prior written permission", "promote products derived", 0.9),
+    ("bsd-4", "all advertising materials mentioning features or use of this software must display the following", "advertising materials mentioning", 0.95),
+    ("zlib", "provided as is without any express or implied warranty in no event will the authors be held liable", "provided as is without any express", 0.9),
+    ("unlicense", "this is free and unencumbered software released into the public domain", "unencumbered software", 0.95),
+    ("wtfpl", "do what the fuck you want to public licen[cs]e", "you want to public licen", 0.95),
+    ("apache-2", "apache org licen[cs]es licen[cs]e 2 0", "apache org licen", 0.95),
+    ("apache-2", "each contributor hereby grants to you a perpetual worldwide non exclusive no charge", "contributor hereby grants to you", 0.95),
+    ("mpl-2", "each contributor hereby grants you a world wide royalty free non exclusive", "contributor hereby grants you", 0.95),
+    ("mpl-2", "mozilla org mpl 2 0", "mozilla org mpl", 0.9), ("mpl-1.1", "mozilla org mpl mpl 1 1", "mozilla org mpl", 0.9),
+    ("epl-2", "eclipse org legal epl (?:v20|2 0)", "eclipse org legal", 0.9), ("epl-1", "eclipse org legal epl v10", "eclipse org legal", 0.9),
+    ("ofl-1.1", "scripts sil org ofl", "scripts sil org", 0.9), ("cc0", "creativecommons org publicdomain zero(?: 1 0)?", "creativecommons org", 0.95),
+    *((f"cc-{x.replace(' ', '-')}", f"creativecommons org licen[cs]es {x}(?: [1-4] [05])?", "creativecommons org", 0.95)
+      for x in ("by", "by sa", "by nd", "by nc", "by nc sa", "by nc nd")),
+    *((label, f"gnu {kind}general public licen[cs]e {GNU} {version}", "as published by the free software foundation", 0.97) for label, kind, version in (
+        ("gpl-3", "", "3"), ("gpl-2", "", "2"), ("lgpl-3", "lesser ", "3"), ("lgpl-2.1", "lesser ", "2 1"), ("lgpl-2", "library ", "2"), ("agpl-3", "affero ", "3"))),
+    ("lgpl-2", "gnu library general public licen[cs]e", "library general public licen", 0.7),
+)
+RULES += [(len(RULES) + f * len(IDS) + n, label, keyword.format(literal).replace("  ", " "), form.format(f"(?:{x})"), confidence)
+          for f, (form, keyword, confidence) in enumerate(ID_FORMS) for n, (label, x, literal) in enumerate(IDS)]
+RULES += [(len(RULES) + n, label, keyword, x, confidence) for n, (label, x, keyword, confidence) in enumerate(TEXTS)]
 # Every rule's match holds one of these.
-GATES = ("licen", "gpl", " cc by ", " cc0 ", "creative commons", " public domain ", " rights reserved ", " apache 2 ", " mit no attribution ", " wtfpl ")
+GATES = ("licen", "gpl", " cc by ", " cc0 ", "creative commons", " public domain ", " rights reserved ", " apache 2 ", " mit no attribution ", " wtfpl ",
+         " identifier ", " released under ", " distributed under ", " available under ", " published under ", " is hereby granted ", " redistribution and use in source ",
+         " promote products derived ", " advertising materials mentioning ", " provided as is without any express ", " unencumbered software ",
+         " contributor hereby grants ", " mozilla org mpl ", " eclipse org legal ", " scripts sil org ", "creativecommons org")
 
 NON_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 MARK = "\x01"
+TABLE = "array<struct<number:int,label:string,keyword:string,expression:string,confidence:double>>"
 FINDING = "array<struct<start:bigint,neg_end:bigint,rule:int,label:string,confidence:double>>"
 
 
@@ -111,8 +173,8 @@ def scan(docs: DataFrame, text_col: str = "text", rules=RULES) -> DataFrame:
     whatever their names (the added one is ``license_scan``); an empty table
     gives an empty result.
     """
-    table = F.array(*[F.struct(F.lit(n).cast("int").alias("number"), F.lit(label).alias("label"), F.lit(k).alias("keyword"),
-                               F.lit(x).alias("expression"), F.lit(c).cast("double").alias("confidence")) for n, label, k, x, c in rules])
+    # one literal, not some thousands of expressions to plan
+    table = F.from_json(F.lit(json.dumps([dict(zip(("number", "label", "keyword", "expression", "confidence"), r)) for r in rules])), TABLE)
     out = docs.select(F.struct(*docs.columns).alias("row"), reduced(F.col(text_col).cast("string")).alias("norm"))
     norm = F.col("norm")
     gate = reduce(lambda a, b: a | b, [F.contains(norm, F.lit(g)) for g in GATES])

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from quarry.llm.html_text import extract, render
-from quarry.llm.licenses import BASE, GATES, RULES, license_report, scan
+from quarry.llm.licenses import BASE, GATES, ID_FORMS, IDS, RULES, TEXTS, license_report, scan
 from quarry.llm.mixing import hypergeometric, mix_report, mixed_documents, split_tree, targets, write_shards
 from quarry.llm.ranks import positions
 from quarry.llm.sharding import propagate, shard_documents
@@ -138,6 +138,37 @@ def test_pages_lose_no_visible_word(spark):
         assert [w for w in texts[r.page_id] if w != "-"] == t.split()
 
 
+DECLARATIONS = {
+    "// SPDX-License-Identifier: MIT": "mit", "# SPDX-License-Identifier: BSD-3-Clause": "bsd-3", "SPDX-License-Identifier: MPL-2.0": "mpl-2",
+    "/* SPDX-License-Identifier: ISC */": "isc", "SPDX-License-Identifier: GPL-2.0-or-later": "gpl-2", "SPDX-License-Identifier: MIT OR Apache-2.0": "apache-2,mit",
+    "SPDX-License-Identifier: (GPL-2.0-only OR BSD-2-Clause) AND Zlib": "bsd-2,gpl-2,zlib", "This crate is licensed under MIT.": "mit", "MIT licensed": "mit",
+    "Code is dual-licensed under Apache-2.0": "apache-2", '"license": "ISC",': "isc", "Released under BSD.": "bsd", "https://opensource.org/licenses/MIT": "mit",
+    "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files": "mit",
+    "Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided": "bsd",
+    "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above copyright": "isc",
+    "under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License": "gpl-3",
+    "http://www.apache.org/licenses/LICENSE-2.0": "apache-2", "https://creativecommons.org/licenses/by-sa/4.0/": "cc-by-sa",
+    "This is free and unencumbered software released into the public domain.": "unlicense", "https://mozilla.org/MPL/2.0/": "mpl-2",
+    "ein Haus mit Garten": "", "He studied at MIT and ISC.": "", "the identifier mit": "", "python 2.0 was released": "",
+}
+
+
+def test_license_declarations_as_found_in_the_wild(spark):
+    texts = list(DECLARATIONS)
+    got = license_report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {texts[r.doc_id]: r.labels for r in got} == DECLARATIONS
+
+
+def test_license_matches_hold_their_keyword_and_a_gate():
+    """Every identifier in every form: the keyword and a gate are in the reduced match itself."""
+    compiled = [(n, label, k, re.compile(f"(?=( {x} ))"), c) for n, label, k, x, c in RULES]
+    for text in [f.replace("[cs]", "s").replace("{}", x) for _, x, _ in IDS for f, _, _ in ID_FORMS] + [x.replace("[cs]", "s") for _, x, *_ in TEXTS]:
+        whole = " " + " ".join(words(re.sub(r"\(\?:([^()|]*)\)\?", r"\1", text))) + " "
+        for _, _, keyword, x, _ in compiled:
+            for m in x.finditer(whole):
+                assert keyword in m[1] and any(g in m[1] for g in GATES), (x.pattern, keyword, m[1])
+
+
 def water(sizes, ratio=1.5, limit=2):
     order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
     weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(order)}
