@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quarry.llm import licenses
 from quarry.llm.common import read
@@ -149,3 +150,53 @@ def op9_html(spark, sf_dir):
 def op8_secrets(spark, sf_dir):
     from quarry.llm.secrets import secret_findings
     return secret_findings(read(spark, sf_dir, "documents"))
+
+
+# -- 13: fill-in-middle -----------------------------------------------------------------
+
+FIM_SQL = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || doc_id::VARCHAR) AS h,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u FROM documents),
+d AS (SELECT *, len(u) AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+             ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM t),
+f AS (SELECT *, CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+                     WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form,
+             least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b FROM d),
+p AS (SELECT *, array_to_string(u[1:a], '') AS pre, array_to_string(u[a + 1:b], '') AS mid, array_to_string(u[b + 1:], '') AS suf FROM f)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(pre) END::BIGINT AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(mid) END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+              ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(text) AS restored_sha256
+FROM p
+"""
+
+
+@query("op13_fill_in_middle", FIM_SQL)
+def op13_fill_in_middle(spark, sf_dir):
+    from quarry.llm.fim import fill_in_middle, restored
+    made = fill_in_middle(read(spark, sf_dir, "documents"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(restored("output", "form"), 256).alias("restored_sha256"))
+
+
+# -- 12: line deduplication -------------------------------------------------------------
+
+LINES_SQL = r"""
+WITH s AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM s),
+k AS (SELECT doc_id, pos, line, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+o AS (SELECT key, min(doc_id) AS owner FROM k WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
+m AS (SELECT k.doc_id, pos, line, owner IS NOT NULL AND owner <> k.doc_id AS gone FROM k LEFT JOIN o USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
+
+
+@query("op12_line_dedup", LINES_SQL)
+def op12_line_dedup(spark, sf_dir):
+    from quarry.llm.line_dedup import dedup_lines
+    left = dedup_lines(read(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
