@@ -200,3 +200,29 @@ def op12_line_dedup(spark, sf_dir):
     from quarry.llm.line_dedup import dedup_lines
     left = dedup_lines(read(spark, sf_dir, "documents"))
     return left.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+# -- 11: ranked search ------------------------------------------------------------------
+
+RANK_SQL = r"""
+WITH t AS (
+  SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 'q', item_id, text FROM benchmark),
+w AS (SELECT side, id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM t),
+tf AS (SELECT id, term, count(*) AS tf FROM w WHERE side = 'd' GROUP BY ALL),
+len AS (SELECT id, sum(tf)::BIGINT AS n FROM tf GROUP BY id),
+tot AS (SELECT count(*) AS nd, sum(n)::BIGINT AS nw FROM len),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+q AS (SELECT id AS item_id, term, count(*) AS c FROM w WHERE side = 'q' GROUP BY ALL),
+qw AS (SELECT item_id, term, c * floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM q JOIN df USING (term), tot),
+s AS (SELECT item_id, id AS doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * nd) // nw))))::BIGINT AS score
+      FROM qw JOIN tf USING (term) JOIN len USING (id), tot GROUP BY ALL),
+r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT * FROM r WHERE rank <= 10
+"""
+
+
+@query("op11_ranked_search", RANK_SQL)
+def op11_ranked_search(spark, sf_dir):
+    from quarry.llm.ranked_search import ranked
+    return ranked(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
