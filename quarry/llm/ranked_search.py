@@ -38,7 +38,7 @@ from quarry.llm.common import NON_WORD, U64, map_groups, slices, to_workers, wor
 from quarry.session import cut_lineage, scratch
 
 #: Words after which a task closes a shard; a document is never split.
-SHARD_WORDS = 2_000_000
+SHARD_WORDS = 1_000_000
 BLOCK = 128
 #: Documents whose essential lists are added up at a time.
 RANGE = 1024
