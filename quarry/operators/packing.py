@@ -3,21 +3,21 @@
 W1 needs a global row index: ``global_index``, a running count over ranges of the
 order key (see ``ranges``).
 
-W2 is sequential by definition: a buffer of texts that resets. It runs per shard
-(the key modulo ``n_shards``), each shard sorted by key and streamed through one
-task with the open buffer carried from batch to batch, so memory holds one pack
-and one batch whatever the shard's size. Every candidate is read; a pack that is
-thrown away (too few tokens) costs no budget. The members' texts are attached
-by a join on the key.
+W2 is a buffer of texts that resets, yet no task walks it: a pack closes where the
+running sum of characters first exceeds the last close by the limit, and that
+chain of closes is found by composing bounded stretches (see ``chains``). Texts
+that cannot be packed are left out before texts are shuffled to their packs.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.text import MIN_TOKENS, PACK_MIN_TOKENS, route_by_length, token_count, truncate_tokens
+from quarry.operators.chains import chain_numbers
 from quarry.operators.ranges import running_before
 from quarry.session import cut_lineage, ship_package
 
@@ -50,34 +50,20 @@ def truncated(df: DataFrame, text_col: str = "text", max_length: int = DEFAULT_M
     return df.withColumn(text_col, truncate_tokens(text_col, max_length))
 
 
-def _pack_stream(max_length: int, min_length: int):
-    """Walks (shard, key, chars, ntok, budget) rows sorted by shard and key; yields the members of kept packs."""
-    limit = 2 * max_length
-
-    def walk(batches):
-        shard, made, chars, toks, open_ = None, 0, 0, 0, []
-        for pdf in batches:
-            out: list[tuple] = []
-            for sh, key, c, n, budget in zip(pdf["shard"], pdf["key"], pdf["chars"], pdf["ntok"], pdf["budget"]):
-                if sh != shard:                                # the unfinished tail of a shard is dropped
-                    shard, made, chars, toks, open_ = sh, 0, 0, 0, []
-                if made >= budget:
-                    continue
-                open_.append(key)
-                chars += c + 1                                 # text + " "
-                toks += n
-                if chars > limit:                              # closed: kept with enough tokens
-                    if min(toks, max_length) >= min_length:
-                        out += [(sh, made, k, i) for i, k in enumerate(open_)]
-                        made += 1
-                    chars, toks, open_ = 0, 0, []
-            yield pd.DataFrame(out, columns=["shard", "pack", "member", "pos"])
-    return walk
+def _pack_members(cand: DataFrame, max_length: int, min_length: int, budget: int) -> DataFrame:
+    """``(pack, member)`` of the first ``budget`` kept packs of ``cand`` (key, chars, ntok), numbered from 0."""
+    sums = running_before(cand.withColumn("chars", F.col("chars") + 1), "key", "chars")          # text + " "
+    rows = sums.select("key", F.col("ntok").alias("weight"), "before", (F.col("before") + F.col("chars")).alias("end"))
+    placed = cut_lineage(chain_numbers(rows, 2 * max_length))
+    packs = placed.groupBy("number").agg(F.sum("weight").alias("ntok"), F.bool_or("closes").alias("closed"))
+    packs = packs.where(F.col("closed") & (F.least("ntok", F.lit(max_length)) >= min_length)).select("number")
+    kept = global_index(packs, "number", "pack").where(F.col("pack") < budget)
+    return placed.join(kept, "number").select("pack", F.col("key").alias("member"))
 
 
 def pack_short(df: DataFrame, key: str = "doc_id", text_col: str = "text",
                max_length: int = DEFAULT_MAX_LENGTH, min_length: int = MIN_TOKENS,
-               max_samples: int = DEFAULT_MAX_SAMPLES, pack_min: int = PACK_MIN_TOKENS,
+               max_samples: int | Callable[[int], int] = DEFAULT_MAX_SAMPLES, pack_min: int = PACK_MIN_TOKENS,
                n_shards: int = 1) -> DataFrame:
     """Packs of short texts, in key order.
 
@@ -85,37 +71,42 @@ def pack_short(df: DataFrame, key: str = "doc_id", text_col: str = "text",
     texts are appended with a trailing space, a pack closes once the buffer
     exceeds ``2*max_length`` characters, is truncated to ``max_length`` tokens
     and kept when it has at least ``min_length`` tokens; packing stops when
-    kept texts plus packs reach ``max_samples``; the unfinished tail is dropped.
+    kept texts plus packs reach ``max_samples`` (a number, or a function of the
+    number of kept texts); the unfinished tail is dropped.
+
+    ``n_shards = 1`` is the sequential rule over all candidates, run in parallel.
+    More shards give another rule: a candidate belongs to the shard
+    ``key mod n_shards``, and each shard packs its candidates with its share of
+    the budget (the first shards get one more).
 
-    ``n_shards = 1`` is the sequential rule over all candidates. With more
-    shards, a candidate belongs to the shard ``key mod n_shards``; each shard
-    packs its candidates in key order with its share of the budget (the first
-    shards get one more), in parallel.
+    Defined cases: a null or empty text is no candidate; ``key`` is unique and
+    not null; an empty table gives an empty result.
 
     Returns one row per pack: ``pack_id`` (``pack number * n_shards + shard``),
     ``first_doc, last_doc, n_texts, n_tokens, chars, text``.
     """
     ship_package(df.sparkSession)
-    # one tokenizing pass; the narrow routing table is read by the kept count and by the walk
     routed = cut_lineage(route(df.select(key, text_col), text_col, max_length, min_length, pack_min)
                          .select(F.col(key).cast("long").alias("key"), "route",
                                  F.length(text_col).cast("long").alias("chars"),
                                  token_count(text_col).cast("long").alias("ntok")))
-    kept = routed.filter(F.col("route") == "keep").select(F.count(F.lit(1))).scalar()
-    rest = F.when(kept < F.lit(max_samples // 2), F.lit(max_samples) - kept).otherwise(F.lit(0))
-    shard = F.pmod("key", F.lit(n_shards))
-    cand = (routed.filter(F.col("route") == "pack")
-                  .select(shard.alias("shard"), "key", "chars", "ntok",
-                          (F.floor(rest / n_shards) + F.when(shard < F.pmod(rest, F.lit(n_shards)), 1).otherwise(0))
-                          .cast("long").alias("budget")))
-    members = (cand.repartition(n_shards, "shard").sortWithinPartitions("shard", "key")
-                   .mapInPandas(_pack_stream(max_length, min_length), "shard long, pack long, member long, pos int"))
-    members = members.select((F.col("pack") * n_shards + F.col("shard")).alias("pack_id"), "member", "pos")
-    texts = df.select(F.col(key).cast("long").alias("member"), text_col)
+    kept = routed.filter(F.col("route") == "keep").count()
+    wanted = max_samples(kept) if callable(max_samples) else max_samples
+    rest = wanted - kept if kept < wanted // 2 else 0
+    cand = routed.filter(F.col("route") == "pack").select("key", "chars", "ntok")
+    members = None
+    for shard in range(n_shards):
+        mine = cand if n_shards == 1 else cand.where(F.pmod("key", F.lit(n_shards)) == shard)
+        budget = rest // n_shards + (shard < rest % n_shards)
+        part = _pack_members(mine if budget else mine.limit(0), max_length, min_length, budget)
+        part = part.select((F.col("pack") * n_shards + shard).alias("pack_id"), "member")
+        members = part if members is None else members.unionByName(part)
+    texts = (route(df.select(key, text_col), text_col, max_length, min_length, pack_min).where(F.col("route") == "pack")
+             .select(F.col(key).cast("long").alias("member"), text_col))
     packed = texts.join(members, "member").groupBy("pack_id").agg(
         F.min("member").alias("first_doc"), F.max("member").alias("last_doc"),
         F.count(F.lit(1)).alias("n_texts"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", text_col))),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("member", text_col))),
                                  lambda s: F.concat(s[text_col], F.lit(" "))), "").alias("_buf"))
     return (packed.withColumn("chars", F.length("_buf"))
                   .withColumn("n_tokens", F.least(token_count("_buf"), F.lit(max_length)))
@@ -125,7 +116,7 @@ def pack_short(df: DataFrame, key: str = "doc_id", text_col: str = "text",
 
 def calibration_set(df: DataFrame, key: str = "doc_id", text_col: str = "text",
                     max_length: int = DEFAULT_MAX_LENGTH, min_length: int = MIN_TOKENS,
-                    max_samples: int = DEFAULT_MAX_SAMPLES, pack_min: int = PACK_MIN_TOKENS,
+                    max_samples: int | Callable[[int], int] = DEFAULT_MAX_SAMPLES, pack_min: int = PACK_MIN_TOKENS,
                     n_shards: int = 1) -> DataFrame:
     """K2 core: kept texts (truncated) plus packs, as ``(kind, seq_key, n_tokens, text)``."""
     routed = route(df.select(key, text_col), text_col, max_length, min_length, pack_min)

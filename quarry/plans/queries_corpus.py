@@ -342,38 +342,36 @@ def q_batches(spark, sf_dir):
                                      F.max("doc_id").alias("last_doc"), F.sum("n_tokens").alias("tokens"))
 
 
-PACK_MAX_SAMPLES = 100_000
-PACK_SHARDS = 8
+def pack_budget(kept: int) -> int:
+    """Sequences wanted: three times the kept texts, so that packing runs at every size."""
+    return 3 * kept + 2
 
 
-def pack_ctes(max_samples: int, shards: int, max_length: int = 2048, min_length: int = 256, pack_min: int = 50) -> str:
-    """Recursive-CTE oracle of W2 per shard (doc_id mod shards): CTEs ``r``, ``kept``, ``c``, ``walk``,
-    ``packs`` and ``members`` (pack_id, doc_id, i) restricted to packs within the shard's budget."""
+def pack_ctes(max_length: int = 2048, min_length: int = 256, pack_min: int = 50) -> str:
+    """Recursive-CTE oracle of W2 over all candidates in one sequence: CTEs ``r``, ``kept``, ``c``, ``walk``,
+    ``packs`` and ``members`` (pack_id, doc_id, i) restricted to packs within the budget."""
     return f"""
 r AS (SELECT doc_id, text, least({ntok('text')}, {max_length}) AS n_tokens FROM documents),
 kept AS (SELECT count(*) AS k FROM r WHERE text IS NOT NULL AND text <> '' AND n_tokens >= {min_length}),
-c AS (SELECT doc_id % {shards} AS sh, row_number() OVER (PARTITION BY doc_id % {shards} ORDER BY doc_id) AS i, doc_id, text,
-             length(text) + 1 AS ch, n_tokens
+c AS (SELECT row_number() OVER (ORDER BY doc_id) AS i, doc_id, text, length(text) + 1 AS ch, n_tokens
       FROM r WHERE text IS NOT NULL AND text <> '' AND n_tokens >= {pack_min} AND n_tokens < {min_length}),
-walk(sh, i, pack_start, buf, toks) AS (
-  SELECT sh, i, i, ch, n_tokens FROM c WHERE i = 1
+walk(i, pack_start, buf, toks) AS (
+  SELECT i, i, ch, n_tokens FROM c WHERE i = 1
   UNION ALL
-  SELECT c.sh, c.i,
+  SELECT c.i,
          CASE WHEN w.buf > {2 * max_length} THEN c.i ELSE w.pack_start END,
          CASE WHEN w.buf > {2 * max_length} THEN c.ch ELSE w.buf + c.ch END,
          CASE WHEN w.buf > {2 * max_length} THEN c.n_tokens ELSE w.toks + c.n_tokens END
-  FROM walk w JOIN c ON c.sh = w.sh AND c.i = w.i + 1),
-closed AS (SELECT sh, pack_start, i AS pack_end, least(toks, {max_length}) AS n_tokens FROM walk WHERE buf > {2 * max_length}),
-packs AS (SELECT p.*, row_number() OVER (PARTITION BY sh ORDER BY pack_start) - 1 AS no
-          FROM closed p WHERE n_tokens >= {min_length}),
+  FROM walk w JOIN c ON c.i = w.i + 1),
+closed AS (SELECT pack_start, i AS pack_end, least(toks, {max_length}) AS n_tokens FROM walk WHERE buf > {2 * max_length}),
+packs AS (SELECT p.*, row_number() OVER (ORDER BY pack_start) - 1 AS no FROM closed p WHERE n_tokens >= {min_length}),
 members AS (
-  SELECT p.no * {shards} + p.sh AS pack_id, p.n_tokens, c.doc_id, c.i, c.text
-  FROM packs p JOIN c ON c.sh = p.sh AND c.i BETWEEN p.pack_start AND p.pack_end, kept
-  WHERE kept.k < {max_samples} // 2
-    AND p.no < ({max_samples} - kept.k) // {shards} + CASE WHEN p.sh < ({max_samples} - kept.k) % {shards} THEN 1 ELSE 0 END)"""
+  SELECT p.no AS pack_id, p.n_tokens, c.doc_id, c.i, c.text
+  FROM packs p JOIN c ON c.i BETWEEN p.pack_start AND p.pack_end, kept
+  WHERE kept.k < (3 * kept.k + 2) // 2 AND p.no < 2 * kept.k + 2)"""
 
 
-PACK_SQL = "WITH RECURSIVE " + pack_ctes(PACK_MAX_SAMPLES, PACK_SHARDS) + """
+PACK_SQL = "WITH RECURSIVE " + pack_ctes() + """
 SELECT pack_id, min(doc_id) AS first_doc, max(doc_id) AS last_doc, count(*) AS n_texts, any_value(n_tokens) AS n_tokens
 FROM members GROUP BY pack_id
 """
@@ -381,9 +379,9 @@ FROM members GROUP BY pack_id
 
 @register("pack_short", PACK_SQL)
 def q_pack_short(spark, sf_dir):
-    """W2 over all documents in eight shards (budget 100,000 sequences, so packing runs at these scales)."""
+    """W2 over all documents as one sequence; the budget follows from the number of kept texts."""
     from quarry.operators.packing import pack_short
-    p = pack_short(table(spark, sf_dir, "documents"), max_samples=PACK_MAX_SAMPLES, n_shards=PACK_SHARDS)
+    p = pack_short(table(spark, sf_dir, "documents"), max_samples=pack_budget)
     return p.select("pack_id", "first_doc", "last_doc", "n_texts", "n_tokens")
 
 

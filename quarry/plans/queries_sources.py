@@ -7,7 +7,7 @@ import os
 from pyspark.sql import functions as F
 
 from quarry.plans.catalog import ntok, register, strip
-from quarry.plans.queries_corpus import PACK_SHARDS, pack_ctes
+from quarry.plans.queries_corpus import pack_budget, pack_ctes
 from quarry.plans.queries_scoring import CASES_BASE, hit_sql
 from quarry.session import cut_lineage, scratch, table
 
@@ -318,10 +318,10 @@ def q_report_lines(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- K2, S15
-CALIBRATION_SAMPLES = 100_000      # well above the kept texts of the given tables, so the packing branch runs
+CALIBRATION_SAMPLES = 100_000      # as named in the manifest of ``run_manifest``
 
 
-@register("build_calibration", "WITH RECURSIVE " + pack_ctes(CALIBRATION_SAMPLES, PACK_SHARDS) + f""",
+@register("build_calibration", "WITH RECURSIVE " + pack_ctes() + f""",
 buf AS (SELECT pack_id, any_value(n_tokens) AS n_tokens, string_agg(text || ' ', '' ORDER BY i) AS b
         FROM members GROUP BY pack_id)
 SELECT 'text' AS kind, doc_id AS seq_key, least({ntok('text')}, 2048) AS n_tokens,
@@ -340,21 +340,21 @@ def q_build_calibration(spark, sf_dir):
     whose sample count is observed during the write (no second scan)."""
     from quarry.operators.packing import calibration_set
     with scratch(spark, "calibration") as out:
-        cal = calibration_set(table(spark, sf_dir, "documents"), max_samples=CALIBRATION_SAMPLES, n_shards=PACK_SHARDS)
-        save_calibration(spark, cal, out)
+        cal = calibration_set(table(spark, sf_dir, "documents"), max_samples=pack_budget)
+        save_calibration(spark, cal, out, "3 * kept + 2")
         back = cut_lineage(spark.read.parquet(os.path.join(out, "data"))
                            .select("kind", "seq_key", "n_tokens", F.sha2("text", 256).alias("text_hash")))
     return back
 
 
-def save_calibration(spark, cal, out):
+def save_calibration(spark, cal, out, max_samples=CALIBRATION_SAMPLES):
     """Writes a calibration set with its manifest; the sample count is observed during the write."""
     from pyspark.sql import Observation
     from quarry.sources.results import run_manifest
     obs = Observation("calibration")
     cal.observe(obs, F.count(F.lit(1)).alias("num_samples"), F.sum("n_tokens").alias("total_tokens")) \
        .write.mode("overwrite").parquet(os.path.join(out, "data"))
-    params = {"source": "documents", "max_length": 2048, "min_length": 256, "max_samples": CALIBRATION_SAMPLES}
+    params = {"source": "documents", "max_length": 2048, "min_length": 256, "max_samples": max_samples}
     return run_manifest(spark, params, obs.get, os.path.join(out, "manifest"), timestamp="2024-02-01T00:00:00", output_dir=os.path.join(out, "data"))
 
 
