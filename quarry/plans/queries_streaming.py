@@ -24,17 +24,22 @@ def q_stream_latency(spark, sf_dir):
         return cut_lineage(jobs.latency_windows(cut_lineage(counts)))
 
 
-@register("stream_dedupe", f"WITH {LOG_CTE}\n" + """
-SELECT input_key, time_bucket(INTERVAL 1 HOUR, ts) AS window_start, count(*) AS requests,
-       arg_min(request_id, (start_us, request_id)) AS first_request
-FROM log GROUP BY ALL
+@register("stream_dedupe", f"WITH RECURSIVE {LOG_CTE},\n" + """
+o AS (SELECT input_key, request_id, start_us, row_number() OVER (PARTITION BY input_key ORDER BY start_us, request_id) AS i FROM log),
+walk(input_key, i, request_id, start_us, first_request, first_us) AS (
+  SELECT input_key, i, request_id, start_us, request_id, start_us FROM o WHERE i = 1
+  UNION ALL
+  SELECT o.input_key, o.i, o.request_id, o.start_us,
+         CASE WHEN o.start_us < w.first_us + 3600000000 THEN w.first_request ELSE o.request_id END,
+         CASE WHEN o.start_us < w.first_us + 3600000000 THEN w.first_us ELSE o.start_us END
+  FROM walk w JOIN o ON o.input_key = w.input_key AND o.i = w.i + 1)
+SELECT input_key, first_request, first_us, count(*) AS requests, max(start_us) AS last_us FROM walk GROUP BY ALL
 """)
 def q_stream_dedupe(spark, sf_dir):
-    """Per input and hour the first request passes, the others are served from the cache."""
+    """The answer to a request serves the same input for an hour; the requests that are computed and what each serves."""
     with scratch(spark, "stream_dedupe") as out:
-        data = jobs.run_updates(jobs.first_occurrences(jobs.event_stream(spark, sf_dir)), out)
-        r = jobs.newest(spark, data, ["window_start", "window_end", "input_key"])
-        return cut_lineage(r.select("input_key", "window_start", "requests", "first_request"))
+        data = jobs.run_updates(jobs.serve_with_ttl(jobs.event_stream(spark, sf_dir)), out)
+        return cut_lineage(jobs.served(jobs.newest(spark, data, ["request_id"])))
 
 
 @register("stream_review", f"WITH {REVIEW_CTE}\n" + """

@@ -6,8 +6,8 @@ keeps its checkpoint there, so starting a job again on the same folder resumes
 after the last committed batch. The helpers run a query with ``availableNow``
 (process what is there, then stop).
 
-T1 and T2 keep one aggregate per event-time window and emit it in update mode:
-each micro-batch writes its changed rows to ``batch_id=N`` (rewriting it makes a
+T1 keeps one aggregate per event-time window, T2 the last computed request and the
+requests after the watermark per input. Both emit in update mode: each micro-batch writes its changed rows to ``batch_id=N`` (rewriting it makes a
 retry idempotent), and readers take the newest row of each key. So the window
 that is still open at the end of the input comes out, too, state is dropped
 behind the watermark, and the answer does not depend on how the events fall into
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from quarry.operators.ranges import exact_percentiles
 from quarry.operators.requests import (PANEL_PERCENTILES, REVIEW_CONFIDENCE, SLA_P95_SECONDS, micros_ntz, request_log,
                                        retention_cutoff_us, review_reason)
-from quarry.session import cut_lineage
+from quarry.session import cut_lineage, ship_package
 
 # Window length and the (ours) watermark delay.
 WINDOW = "1 hour"
@@ -104,6 +104,76 @@ def latency_windows(counts: DataFrame, sla: float = SLA_P95_SECONDS) -> DataFram
         (F.col("p")[1] < F.lit(sla)).alias("sla_ok"))
 
 
+TTL_ROWS = "input_key string, request_id long, start_us long, first_request long, first_us long"
+_TTL_STATE = "first_us long, first_request long, open_us array<long>, open_ids array<long>"
+
+
+def _serve(ttl_us: int):
+    """Decides the requests of one input in event-time order; see ``serve_with_ttl``."""
+    def run(key, batches, state):
+        import numpy as np
+        import pandas as pd
+
+        first_us, first_id, us, ids = state.get if state.exists else (None, None, [], [])
+        settled = state.getCurrentWatermarkMs() * 1000
+        new = [] if state.hasTimedOut else [(b["start_us"].to_numpy(), b["request_id"].to_numpy()) for b in batches]
+        us = np.concatenate([np.array(us, np.int64), *[x for x, _ in new]])
+        ids = np.concatenate([np.array(ids, np.int64), *[x for _, x in new]])
+        order = np.lexsort((ids, us))
+        us, ids = us[order], ids[order]
+        # an answer serves until ttl after it was computed: jump from one computed request to the next
+        by_us, by_id = np.empty(len(us), np.int64), np.empty(len(us), np.int64)
+        now_us, now_id, at = first_us, first_id, 0
+        past = int(np.searchsorted(us, settled, "right"))           # no request up to the watermark can come any more
+        while at < len(us):
+            if now_us is None or us[at] >= now_us + ttl_us:
+                now_us, now_id = int(us[at]), int(ids[at])
+            to = int(np.searchsorted(us, now_us + ttl_us, "left"))
+            by_us[at:to], by_id[at:to] = now_us, now_id
+            at = to
+        if past:
+            first_us, first_id = int(by_us[past - 1]), int(by_id[past - 1])
+        if past < len(us):
+            wake = int(us[-1]) // 1000 + 1
+        else:
+            wake = None if first_us is None or (first_us + ttl_us) <= settled else (first_us + ttl_us) // 1000 + 1
+        if wake is None:
+            state.remove()
+        else:
+            state.update((first_us, first_id, us[past:].tolist(), ids[past:].tolist()))
+            state.setTimeoutTimestamp(max(wake, settled // 1000 + 1))
+        if new and len(us):
+            yield pd.DataFrame({"input_key": key[0], "request_id": ids, "start_us": us, "first_request": by_id, "first_us": by_us})
+    return run
+
+
+def serve_with_ttl(events: DataFrame, ttl_seconds: int = 3600, watermark: str = WATERMARK) -> DataFrame:
+    """T2 stream: every request with the request whose answer serves it (``TTL_ROWS``).
+
+    The first request of an input is computed; its answer serves requests of the
+    same input that start less than ``ttl_seconds`` after it, the next later one
+    is computed again. State per input is the last computed request that is final
+    and the requests after the watermark, kept as two arrays of numbers; a timer
+    drops it once both are past. Rows come in update mode: a request that is not
+    final yet is decided again when an earlier one arrives, and the newest row of
+    a request counts. So the answer does not depend on how the requests fall into
+    files. An input's requests of one micro-batch meet in one task; ``max_files``
+    of the source bounds a micro-batch. Requests without an input are left out.
+    """
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    ship_package(events.sparkSession)
+    log = request_log(events).where("input_key is not null").withWatermark("ts", watermark).select("ts", "input_key", "start_us", "request_id")
+    return log.groupBy("input_key").applyInPandasWithState(_serve(ttl_seconds * 1_000_000), TTL_ROWS, _TTL_STATE, "update",
+                                                           GroupStateTimeout.EventTimeTimeout)
+
+
+def served(rows: DataFrame) -> DataFrame:
+    """Per computed request its input, start and the requests it serves (itself included)."""
+    return (rows.groupBy("input_key", "first_request", "first_us").agg(F.count(F.lit(1)).alias("requests"),
+                                                                       F.max("start_us").alias("last_us")))
+
+
 def first_occurrences(events: DataFrame, key: str = "input_key", ttl: str = WINDOW, watermark: str = WATERMARK) -> DataFrame:
     """T2 stream: per (input, fixed window of ``ttl``) the first request and the number of requests; the first
     one is computed, the others are served from the cache. State is dropped with the window."""

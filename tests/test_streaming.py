@@ -107,3 +107,32 @@ def test_no_machine_local_checkpoints_on_a_cluster(spark):
 
     with pytest.raises(RuntimeError):
         checkpoint_dir(Session())
+
+
+def test_time_to_live_equals_the_walk_for_any_file_layout(spark, tmp_path):
+    """Requests two hours apart at most, in 1 and 6 files, shuffled within the watermark; a restart in between."""
+    import random
+    r = random.Random(4)
+    minute = sorted(r.randrange(0, 600) for _ in range(150))
+    rows = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m, seconds=r.randrange(60)), r.randrange(2), "view", 1.0, '{"k": %d}' % r.randrange(3))
+            for i, m in enumerate(minute)]
+    e = spark.createDataFrame(rows, EVENT)
+    want, last = {}, {}
+    for x in request_log(e).orderBy("start_us", "request_id").collect():
+        us, by = last.get(x.input_key, (None, None))
+        if us is None or x.start_us >= us + 3_600_000_000:
+            us, by = last[x.input_key] = x.start_us, x.request_id
+        want[x.request_id] = by
+    assert 3 < len(set(want.values())) < 100
+    late = sorted(rows, key=lambda x: (x[1] + dt.timedelta(minutes=r.randrange(0, 8)), x[0]))     # up to 8 minutes out of order
+    for n in (1, 6):
+        src, out = str(tmp_path / f"ttl{n}"), str(tmp_path / f"ttl-out{n}")
+        step = -(-len(late) // n)
+        parts = [late[i * step:(i + 1) * step] for i in range(n)]
+        for i, part in enumerate(parts):
+            spark.createDataFrame(part, EVENT).coalesce(1).write.parquet(f"{src}/b{i:02d}")
+            if i == 2:
+                jobs.run_updates(jobs.serve_with_ttl(stream(spark, src)), out)                    # stops here and goes on below
+        data = jobs.run_updates(jobs.serve_with_ttl(stream(spark, src)), out)
+        got = jobs.newest(spark, data, ["request_id"]).collect()
+        assert {x.request_id: x.first_request for x in got} == want
