@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import gc
 import os
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -65,6 +66,20 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def saver(spark: SparkSession, folder: str) -> Callable[[DataFrame], DataFrame]:
+    """A function that writes a table into ``folder`` (a ``scratch`` folder) and reads it back.
+
+    For tables that loops derive from one another: a checkpoint keeps the size
+    estimate of the plan it came from, and those of joins multiply from round to
+    round, while a written table has the size of its files.
+    """
+    def save(df: DataFrame) -> DataFrame:
+        path = f"{folder}/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    return save
+
+
 def rows_with_ids(df: DataFrame, col: str, ids: DataFrame, how: str = "left_semi") -> DataFrame:
     """Rows of ``df`` whose ``col`` is (``left_semi``) or is not (``left_anti``) in ``ids``.
 

@@ -12,39 +12,60 @@
    ``SIGMAS`` standard deviations) are not verified.
 4. Verification on the full shingle sets, exact integer arithmetic.
 
-Groups of any size stay linear where links are found. Round one compares each
-member of a bucket with the bucket's smallest id only. Round two takes the
-buckets in which more than one component is left, in blocks of bounded size, and
-verifies a spanning forest of the pairs that the sketches allow. Round three
-verifies every such pair that is still between two components, produced by its
-first common band only. So no link is lost, no bucket goes whole into one task,
-and members that are already connected are not paired again.
+The rows of a round stay linear in the members of the buckets, whatever a group's size:
+
+* Round one compares each member of a bucket with the bucket's smallest id only.
+* Buckets that then still hold more than ``BLOCK`` members outside their largest
+  component get up to ``TURNS`` more such stars, each from another drawn member.
+* In what is still apart, the largest component of a bucket is dealt to parts of
+  ``BLOCK`` members and the members outside it, ``BLOCK`` at most, go to every
+  part: less than two rows a member. A part first yields a spanning forest of the
+  pairs that the sketches allow, then every such pair that is still between two
+  components, produced by its first common band only.
+* Buckets with more members outside the largest component after that are dealt
+  anew by more minima a band (``LEVELS``; the number of bands follows from the same ``MISS``),
+  so only texts that agree on more minima meet, and handled alike. Only on the
+  last level such members go to every part all the same, so that no pair is lost.
+
+So no link is lost, no bucket goes whole into one task, and members that are
+already connected are not paired again.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import SPACE, U64, map_groups, mix64, release, rows_with_ids, shingle_hashes, slices, to_workers, word_hashes
+from quarry.llm.common import SPACE, U64, map_groups, mix64, release, rows_with_ids, saver, shingle_hashes, slices, to_workers, word_hashes
 from quarry.llm.graph import components
-from quarry.session import cut_lineage
+from quarry.session import cut_lineage, scratch
 
 BINS = 8192
 BITS = 4096
 SIGMAS = 4.5
 MISS = 1e-6
-BLOCK = 512
+#: Members of a bucket that meet in one group.
+BLOCK = 1024
+#: Further stars in crowded buckets, each from another member.
+TURNS = 2
+#: Minima a band has more at each level.
+LEVELS = (0, 4, 8)
+
+
+def bands_for(percent: int, rows: int) -> int:
+    """Bands of ``rows`` minima so that a pair of ``percent`` similarity shares none with probability below MISS."""
+    return math.ceil(math.log(MISS) / math.log(1 - (percent / 100) ** rows))
 
 
 def band_plan(percent: int) -> tuple[int, int]:
-    """(bands, rows) so that a pair of ``percent`` similarity shares no band with probability below MISS."""
+    """(bands, rows) of the first level."""
     rows = 5 if percent >= 83 else 4 if percent >= 75 else 3 if percent >= 60 else 2
-    return math.ceil(math.log(MISS) / math.log(1 - (percent / 100) ** rows)), rows
+    return bands_for(percent, rows), rows
 
 
 def signature(shingles: np.ndarray, bands: int, rows: int) -> tuple[np.ndarray, bytes]:
@@ -144,7 +165,7 @@ def _linked(percent: int):
 def _cross_forest(percent: int):
     """A spanning forest of the pairs that the sketches allow, most similar first, components counting as connected.
 
-    Prim's method over one block pair of a bucket: fewer pairs than rows.
+    Prim's method over one part of a bucket: fewer pairs than rows.
     """
     def run(g: pd.DataFrame):
         ids, n = g["id"].to_numpy(), g["n"].to_numpy(float)
@@ -179,19 +200,16 @@ def _cross_forest(percent: int):
 
 
 def _cross_pairs(percent: int):
-    """All pairs of different components in one block pair of a bucket that the sketches allow, by their first common band."""
+    """All pairs of different components in one part of a bucket that the sketches allow, by their first common band."""
     def run(g: pd.DataFrame):
-        key, lo, hi = g["key"].iat[0], g["lo"].iat[0], g["hi"].iat[0]
-        ids, comp, blk = g["id"].to_numpy(), g["comp"].to_numpy(), g["blk"].to_numpy()
+        key = g["key"].iat[0]
+        ids, comp = g["id"].to_numpy(), g["comp"].to_numpy()
         n = g["n"].to_numpy(float)
-        pivot = g["pivot"].iat[0]
         keys = np.vstack(g["bands"].to_numpy())
         odd = np.frombuffer(b"".join(g["odd"]), U64).reshape(len(g), -1)
         found = []
-        other = np.flatnonzero(blk == hi)
-        for i in np.flatnonzero((blk == lo) & (ids != pivot)):
-            j = other[other > i] if lo == hi else other
-            j = j[(comp[j] != comp[i]) & (ids[j] != pivot)]
+        for i in range(len(g) - 1):
+            j = np.flatnonzero(comp[i + 1:] != comp[i]) + i + 1
             j = j[100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])]
             if not len(j):
                 continue
@@ -222,21 +240,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     spark = docs.sparkSession
     to_workers(spark)
+    with scratch(spark, "near") as folder:
+        return _near_duplicates(docs, id_col, text_col, words, percent, saver(spark, folder))
+
+
+def _near_duplicates(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, save: Callable) -> DataFrame:
+    spark = docs.sparkSession
     bands, rows = band_plan(percent)
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    sig = cut_lineage(base.mapInPandas(_sketch_rows(words, bands, rows),
-                                       "id long, n long, set binary, bands array<long>, odd binary"))
+    sketched = "id long, n long, set binary, bands array<long>, odd binary"
+    sig = cut_lineage(base.mapInPandas(_sketch_rows(words, bands, rows), sketched))
     narrow = cut_lineage(sig.select("id", "n", "set"))
     classes = cut_lineage(sig.where("n > 0 and id is not null").groupBy("set").agg(F.min("id").alias("rep")))
     reps = cut_lineage(sig.join(classes, (sig["set"] == classes["set"]) & (sig["id"] == classes["rep"]))
                        .select("id", "n", "bands", "odd").dropDuplicates(["id"]))
     del sig
     release(spark)
-    bucket = reps.select("id", F.explode("bands").alias("key"))
-    shared = bucket.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("most"), F.count("*").alias("size"))
-    shared = cut_lineage(shared.where("pivot < most").drop("most"))
-    member = cut_lineage(bucket.join(shared, "key"))
-    release(spark)
+
+    def members(of: DataFrame) -> DataFrame:
+        """(id, key, pivot, size) of the members of buckets of two or more; the pivot is the smallest id."""
+        bucket = of.select("id", F.explode("bands").alias("key"))
+        shared = bucket.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("most"), F.count("*").alias("size"))
+        shared = cut_lineage(shared.where("pivot < most").drop("most"))
+        return cut_lineage(bucket.join(shared, "key"))
 
     def links(pairs: DataFrame) -> DataFrame:
         ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
@@ -246,44 +272,80 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 .join(sets.select(F.col("id").alias("b"), F.col("s").alias("s_b")), "b")
                 .select("a", "b", "s_a", "s_b").mapInPandas(_linked(percent), "a long, b long"))
 
-    def linked(pairs: DataFrame, before: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-        """All links so far and their components; what was made on the way is released."""
-        new = links(pairs)
-        found = cut_lineage(new if before is None else before.union(new))
-        del new
-        release(spark)
-        comp = components(found)
-        release(spark)
-        return found, comp
-
     def sketch(x: str) -> DataFrame:
         return reps.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("odd").alias(f"odd_{x}"))
 
-    # round one: each member against the smallest id of its buckets
-    star = member.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
-    pairs = cut_lineage(star.join(sketch("b"), "b").join(sketch("a"), "a")
-                        .mapInPandas(_passing(percent), "a long, b long"))
-    first, comp = linked(pairs)
-    del star, pairs
-
-    def split(comp: DataFrame) -> DataFrame:
-        """Members of the buckets that hold more than one component, dealt to pairs of blocks."""
-        apart = member.where("size > 2").join(comp, "id", "left").withColumn("comp", F.coalesce("component", "id"))
-        apart = cut_lineage(apart.select("id", "key", "pivot", "size", "comp"))
-        cross = apart.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 < c2").select("key")
-        blocks = F.ceil(F.col("size") / BLOCK)
-        return (apart.join(cut_lineage(cross), "key")
-                .withColumn("blk", F.pmod(F.xxhash64("id"), blocks))
-                .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-                .select("id", "key", "pivot", "comp", "blk", F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi"))
-                .join(reps, "id"))
-
-    # rounds two and three: what is still apart within a bucket, first as forests, then every pair left
-    for pick in (_cross_forest, _cross_pairs):
-        more = cut_lineage(map_groups(split(comp), ["key", "lo", "hi"], ["id"], pick(percent), "a long, b long").distinct())
+    def allowed(pairs: DataFrame) -> DataFrame:
+        return cut_lineage(pairs.distinct().join(sketch("b"), "b").join(sketch("a"), "a")
+                           .mapInPandas(_passing(percent), "a long, b long"))
+
+    found = spark.createDataFrame([], "a long, b long")
+    comp = spark.createDataFrame([], "id long, component long")
+
+    def connect(pairs: DataFrame) -> bool:
+        """Verifies ``pairs``, adds their links to ``found`` and joins the components; False if there are none."""
+        nonlocal found, comp
+        if not pairs.limit(1).count():
+            return False
+        found = save(found.union(links(pairs)))
+        release(spark)
+        comp = save(components(found))
         release(spark)
-        if more.limit(1).count():
-            first, comp = linked(more, first)
+        return True
+
+    def apart(member: DataFrame) -> tuple[DataFrame, Column]:
+        """Members of the buckets that still hold more than one component, and which buckets are crowded.
+
+        A bucket that is whole stays whole, so each call looks at what the last
+        one returned. ``comp`` is a member's component, ``main`` the largest one of its bucket
+        with ``most`` members. A bucket is crowded if it has more than ``BLOCK``
+        members outside that one.
+        """
+        now = member.where("size > 2").select("id", "key", "size").join(comp, "id", "left")
+        now = cut_lineage(now.select("id", "key", "size", F.coalesce("component", "id").alias("comp")))
+        main = (now.groupBy("key", "comp").count()
+                .groupBy("key").agg(F.max_by("comp", "count").alias("main"), F.max("count").alias("most"), F.count("*").alias("comps")))
+        seen = cut_lineage(now.join(cut_lineage(main.where("comps > 1").drop("comps")), "key"))
+        return seen, (F.col("size") - F.col("most") > BLOCK)
+
+    def settle(member: DataFrame, level: int) -> None:
+        """Finds all links between members of one bucket that are not connected yet."""
+        # stars: each member of a crowded bucket against one drawn member of another component, a row each
+        seen, crowd = apart(member)
+        calm, crowded = seen.where(~crowd), seen.where(crowd)
+        for turn in range(TURNS):
+            if not crowded.limit(1).count():
+                break
+            drawn = crowded.groupBy("key").agg(F.min_by(F.struct(F.col("id").alias("p"), F.col("comp").alias("c")),
+                                                        F.xxhash64("id", F.lit(turn))).alias("d"))
+            star = crowded.join(cut_lineage(drawn), "key").where("comp <> d.c")
+            connect(allowed(star.select(F.least("id", "d.p").alias("a"), F.greatest("id", "d.p").alias("b"))))
+            seen, crowd = apart(crowded)
+            calm, crowded = calm.unionByName(seen.where(~crowd)), seen.where(crowd)
+        last = level + 1 == len(LEVELS)
+        few = calm.unionByName(crowded) if last else calm
+        deep = None if last else cut_lineage(crowded.select("id").distinct())
+        # parts: the largest component of a bucket is dealt out, the members outside it meet every part
+        for pick in (_cross_forest, _cross_pairs):
+            few = few.withColumn("parts", F.when(F.col("size") <= BLOCK, F.lit(1).cast("long")).otherwise(F.ceil(F.col("most") / BLOCK)))
+            inside = F.array(F.pmod(F.xxhash64("id"), F.col("parts")))
+            part = F.when(F.col("comp") == F.col("main"), inside).otherwise(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
+            dealt = few.select("id", "key", "comp", F.explode(part).alias("part")).join(reps, "id")
+            pairs = cut_lineage(map_groups(dealt, ["key", "part"], ["id"], pick(percent), "a long, b long").distinct())
+            release(spark)
+            if connect(pairs) and pick is _cross_forest:
+                few, _ = apart(few)
+        # crowds outside the largest component: their buckets once more, by more minima
+        if deep is not None and deep.limit(1).count():
+            more = rows + LEVELS[level + 1]
+            sub = rows_with_ids(base, "id", deep).mapInPandas(_sketch_rows(words, bands_for(percent, more), more), sketched)
+            settle(members(cut_lineage(sub.dropDuplicates(["id"]))), level + 1)
+
+    # round one: each member against the smallest id of its buckets
+    member = members(reps)
+    release(spark)
+    connect(allowed(member.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b"))))
+    settle(member, 0)
 
     of = cut_lineage(classes.join(comp.withColumnRenamed("id", "rep"), "rep", "left")
                      .select("set", F.coalesce("component", "rep").alias("component_id")))
