@@ -24,6 +24,35 @@ def q_stream_latency(spark, sf_dir):
         return cut_lineage(jobs.latency_windows(cut_lineage(counts)))
 
 
+@register("stream_latency_sketch", f"WITH {LOG_CTE},\n" + """
+u AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, latency_s, status, greatest(round(latency_s * 1000000)::BIGINT, 0) AS us FROM log),
+b AS (SELECT *, greatest(length(bin(us)) - 8, 0)::INTEGER AS shift FROM u),
+v AS (SELECT *, (((us >> shift) << shift) + ((1::BIGINT << shift) >> 1)) / 1000000 AS value FROM b),
+p AS (SELECT window_start, count(*) AS requests, count(*) FILTER (WHERE status = 'failed') AS failed, quantile_cont(value, 0.5) AS p50,
+             quantile_cont(value, 0.95) AS p95, quantile_cont(latency_s, 0.5) AS e50, quantile_cont(latency_s, 0.95) AS e95 FROM v GROUP BY window_start)
+SELECT window_start, requests, failed, round(p50 * 1e9)::BIGINT AS p50_ns, round(p95 * 1e9)::BIGINT AS p95_ns,
+       abs(p50 - e50) <= e50 / 256 + 1e-6 AND abs(p95 - e95) <= e95 / 256 + 1e-6 AS within_bound FROM p
+""")
+def q_stream_latency_sketch(spark, sf_dir):
+    """T1 with bounded state: hourly percentiles from the bucket counts, held against the exact batch panel."""
+    from quarry.operators.ranges import exact_percentiles
+    from quarry.operators.requests import request_log
+    with scratch(spark, "stream_sketch") as out:
+        data = jobs.run_updates(jobs.latency_sketch(jobs.event_stream(spark, sf_dir)), out)
+        counts = cut_lineage(jobs.newest(spark, data, ["window_start", "window_end", "latency_s", "status"]))
+    hour = F.date_trunc("hour", "ts_ntz").cast("timestamp_ntz").alias("window_start")
+    exact = exact_percentiles(request_log(table(spark, sf_dir, "events")).select(hour, "latency_s"), "latency_s", [0.5, 0.95], ["window_start"])
+    near = exact_percentiles(counts, "latency_s", [0.5, 0.95], ["window_start"], weight="n").select("window_start", F.col("p").alias("q"))
+    total = counts.groupBy("window_start").agg(F.sum("n").alias("requests"),
+                                               F.sum(F.when(F.col("status") == "failed", F.col("n")).otherwise(0)).alias("failed"))
+    ok = F.lit(True)
+    for i in range(2):
+        ok = ok & (F.abs(F.col("q")[i] - F.col("p")[i]) <= F.col("p")[i] / 256 + 1e-6)
+    return total.join(near, "window_start").join(exact.select("window_start", "p"), "window_start").select(
+        "window_start", "requests", "failed", *[F.round(F.col("q")[i] * 1e9).cast("long").alias(n) for i, n in enumerate(("p50_ns", "p95_ns"))],
+        ok.alias("within_bound"))
+
+
 @register("stream_dedupe", f"WITH RECURSIVE {LOG_CTE},\n" + """
 o AS (SELECT input_key, request_id, start_us, row_number() OVER (PARTITION BY input_key ORDER BY start_us, request_id) AS i FROM log),
 walk(input_key, i, request_id, start_us, first_request, first_us) AS (

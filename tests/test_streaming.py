@@ -136,3 +136,24 @@ def test_time_to_live_equals_the_walk_for_any_file_layout(spark, tmp_path):
         data = jobs.run_updates(jobs.serve_with_ttl(stream(spark, src)), out)
         got = jobs.newest(spark, data, ["request_id"]).collect()
         assert {x.request_id: x.first_request for x in got} == want
+
+
+def test_latency_sketch_is_bounded_and_near(spark, tmp_path):
+    """Every request has another latency: few state rows a window, percentiles within the stated bound."""
+    import random
+    r = random.Random(2)
+    e = spark.createDataFrame([(i, dt.datetime(2024, 1, 1, i % 3, i % 60), 1, "view", 10 ** r.uniform(-3, 4), "{}") for i in range(4000)], EVENT)
+    src = str(tmp_path / "sketch")
+    e.repartition(4).write.parquet(src)
+    data = jobs.run_updates(jobs.latency_sketch(stream(spark, src, per_batch=10)), str(tmp_path / "sketch-out"))
+    counts = jobs.newest(spark, data, [*WINDOW, "latency_s", "status"]).cache()
+    exact = {x.h: x for x in request_log(e).groupBy(F.hour("ts_ntz").alias("h")).agg(
+        F.count("*").alias("n"), F.percentile("latency_s", 0.5).alias("p50"), F.percentile("latency_s", 0.95).alias("p95"),
+        F.count_distinct("latency_s").alias("d"), F.log2(F.max("latency_s") / F.min("latency_s")).alias("octaves")).collect()}
+    sizes = {x.h: x["count"] for x in counts.groupBy(F.hour("window_start").alias("h")).count().collect()}
+    for x in jobs.latency_windows(counts).collect():
+        y = exact[x.window_start.hour]
+        assert x.requests == y.n and sizes[x.window_start.hour] <= 128 * (y.octaves + 2)
+        assert abs(x.p50 - y.p50) <= y.p50 / 256 + 2e-6 and abs(x.p95 - y.p95) <= y.p95 / 256 + 2e-6
+    one = spark.range(1).select(*[jobs.bucket_value(F.lit(v)).alias(f"v{i}") for i, v in enumerate((None, -1.0, 0.0, 255e-6, 1.0, 1e12))]).first()
+    assert (one.v0, one.v1, one.v2, one.v3) == (None, 0.0, 0.0, 255e-6) and abs(one.v4 - 1) < 1 / 256 and abs(one.v5 / 1e12 - 1) < 1 / 256
