@@ -80,6 +80,30 @@ def test_hot_group_of_near_copies_is_whole(spark):
     assert got == {i: c for i, (_, c) in brute(rows, 3, 85).items()}
 
 
+def test_rows_of_a_hot_group_are_linear(spark, monkeypatch):
+    """The smallest id is far from most of its group: parts hold less than two rows a member and no link is lost."""
+    import quarry.llm.near_dup as m
+    rnd = random.Random(8)
+    base = [f"b{i}" for i in range(150)]
+    rows = []
+    for i in range(200):
+        w = list(base)
+        for _ in range(9 if i == 0 else rnd.randrange(0, 9)):
+            w[rnd.randrange(150)] = f"e{rnd.randrange(10 ** 6)}"
+        rows.append((i, " ".join(w)))
+    made, groups = [], m.map_groups
+
+    def counted(dealt, keys, *rest):
+        made.append((dealt.count(), dealt.select("id", "key").distinct().count()))
+        return groups(dealt, keys, *rest)
+
+    monkeypatch.setattr(m, "map_groups", counted)
+    monkeypatch.setattr(m, "BLOCK", 100)
+    got = {r.doc_id: r.component_id for r in near_duplicates(frame(spark, rows), words=3, percent=85).collect()}
+    assert got == {i: c for i, (_, c) in brute(rows, 3, 85).items()}
+    assert made and max(n for _, n in made) > 100 and all(n <= 2 * members for n, members in made)
+
+
 def test_near_duplicates_defined_cases(spark):
     long_text = " ".join(f"t{i}" for i in range(300_000))
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (2, "A B C D E F"), (None, "a b c d e f"), (3, long_text), (4, long_text + " end"), (5, None)]
