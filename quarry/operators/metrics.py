@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.session import cut_lineage, ship_package
+
 # ---------------------------------------------------------------------------
 # Fixed values
 # ---------------------------------------------------------------------------
@@ -162,6 +164,54 @@ def sweep_gain(runs: DataFrame, param_col: str, quality_col: str, time_col: str)
                 .withColumn("time_change_pct", F.try_divide(F.col(time_col) - prev_t, prev_t) * 100))
 
 
+def _undominated(batches):
+    """Rows of vectors (all measures lower-is-better) that no other one dominates, batch by batch; only those are held."""
+    import numpy as np
+    import pandas as pd
+
+    held = None
+    for pdf in batches:
+        new = pdf.to_numpy(float)
+        cols = pdf.columns
+        both = new if held is None else np.vstack([held, new])
+        # whoever dominates a vector has a smaller sum, so one pass in that order is enough
+        both = both[np.lexsort((*both.T, both.sum(axis=1)))]
+        keep = np.empty((0, both.shape[1]))
+        for v in both:
+            worse = (keep <= v).all(axis=1) & (keep < v).any(axis=1)
+            if not worse.any():
+                keep = np.vstack([keep, v])
+        held = keep
+    if held is not None and len(held):
+        yield pd.DataFrame(held, columns=cols)
+
+
+def skyline(runs: DataFrame, lower: Sequence[str], higher: Sequence[str] = ()) -> DataFrame:
+    """The settings that no other one beats: as good in every measure and better in one.
+
+    Small values of ``lower`` and large values of ``higher`` are better. The
+    distinct measure vectors are reduced to local skylines per task, those are
+    merged by fewer and fewer tasks, and the rows with a vector that is left
+    come out. A task holds one skyline (the settings worth a choice), not its input.
+
+    Defined cases: rows with a null or NaN measure are left out; rows of equal
+    measures all stay; an empty table gives an empty result.
+    """
+    ship_package(runs.sparkSession)
+    measures = [F.col(c).cast("double") for c in lower] + [-F.col(c).cast("double") for c in higher]
+    names = [f"_m{i}" for i in range(len(measures))]
+    known = runs.select("*", *[m.alias(n) for m, n in zip(measures, names)])
+    for n in names:
+        known = known.where(F.col(n).isNotNull() & ~F.isnan(n))
+    schema = ", ".join(f"{n} double" for n in names)
+    left = cut_lineage(known.select(*names).distinct().mapInPandas(_undominated, schema))
+    parts = left.select(F.spark_partition_id()).distinct().count()
+    while parts > 1:
+        parts = -(-parts // 8)
+        left = cut_lineage(left.repartition(parts).mapInPandas(_undominated, schema))
+    return known.join(left, names, "left_semi").drop(*names)
+
+
 def best_under(runs: DataFrame, quality_col: str, bound_col: str, bound: float,
                lower_is_better: bool = True, key_cols: Sequence[str] = ()) -> DataFrame:
     """The best setting subject to ``bound_col < bound``; ties go to the smallest ``key_cols``."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.plans.catalog import register
-from quarry.session import table
+from quarry.session import cut_lineage, table
 
 REPORT_SETTINGS = [(3, 16, True), (3, 32, False), (4, 16, True), (4, 32, False), (4, 64, True), (8, 64, True)]
 SWEEP_GROUPS = [8, 16, 32, 64]
@@ -132,3 +132,18 @@ def q_best_setting(spark, sf_dir):
     b = best_under(r, "mean_mse", "bits_per_weight", 5.0, key_cols=["bits", "group_size"])
     return b.select("bits", "group_size", "sym", F.round(F.col("mean_mse") * 1e6, 3).alias("mean_mse_e6"),
                     F.round("bits_per_weight", 6).alias("bits_per_weight"))
+
+
+@register("setting_skyline", report_sql(REPORT_SETTINGS) + """
+SELECT a.bits, a.group_size, a.sym, round(a.mean_mse * 1e6, 3) AS mean_mse_e6, round(32 / a.compression_ratio, 6) AS bits_per_weight
+FROM rep a WHERE NOT EXISTS (
+  SELECT 1 FROM rep b WHERE b.mean_mse <= a.mean_mse AND b.compression_ratio >= a.compression_ratio
+                        AND (b.mean_mse < a.mean_mse OR b.compression_ratio > a.compression_ratio))
+""")
+def q_setting_skyline(spark, sf_dir):
+    """W9 skyline: the settings that no other one beats in both error and size."""
+    from quarry.operators.metrics import skyline
+    from quarry.operators.vectors import quant_report
+    r = skyline(cut_lineage(quant_report(table(spark, sf_dir, "embeddings"), REPORT_SETTINGS)), ["mean_mse"], ["compression_ratio"])
+    return r.select("bits", "group_size", "sym", F.round(F.col("mean_mse") * 1e6, 3).alias("mean_mse_e6"),
+                    F.round(32 / F.col("compression_ratio"), 6).alias("bits_per_weight"))
