@@ -110,6 +110,28 @@ def q_cache_hits(spark, sf_dir):
     return cache_hit_rate(log(spark, sf_dir))
 
 
+CACHE_SIZES, CACHE_AGES = [10, 100, 1000, 10000], [3600, 86400, None]
+
+
+@register("cache_curve", f"WITH {LOG_CTE},\n" + f"""
+o AS (SELECT input_key, start_us, row_number() OVER (ORDER BY start_us, request_id) AS i FROM log),
+u AS (SELECT i, start_us, lag(i) OVER w AS p, start_us - lag(start_us) OVER w AS gap FROM o WINDOW w AS (PARTITION BY input_key ORDER BY i)),
+r AS (SELECT * FROM u WHERE p IS NOT NULL),
+nested AS (SELECT r.i, count(*) AS n FROM r JOIN r q ON q.i < r.i AND q.p > r.p GROUP BY r.i),
+d AS (SELECT r.i - r.p - 1 - coalesce(nested.n, 0) AS distance, gap FROM r LEFT JOIN nested USING (i)),
+c(capacity) AS (VALUES {", ".join(f"({c}::BIGINT)" for c in CACHE_SIZES)}),
+a(max_age_s) AS (VALUES {", ".join("(NULL::BIGINT)" if x is None else f"({x}::BIGINT)" for x in CACHE_AGES)}),
+h AS (SELECT capacity, max_age_s, (SELECT count(*) FROM log) AS requests,
+             count(distance) FILTER (WHERE distance < capacity AND (max_age_s IS NULL OR gap <= max_age_s * 1000000)) AS hits
+      FROM c CROSS JOIN a LEFT JOIN d ON true GROUP BY capacity, max_age_s)
+SELECT *, round(hits / requests, 6) AS hit_rate FROM h
+""")
+def q_cache_curve(spark, sf_dir):
+    """Hits of caches of several capacities and ages, by reuse distances."""
+    from quarry.operators.reuse import cache_curve
+    return cache_curve(log(spark, sf_dir), CACHE_SIZES, CACHE_AGES)
+
+
 @register("before_after", f"WITH {LOG_CTE},\n" + """
 p AS (SELECT event_type, value, CASE WHEN day(ts) <= 15 THEN 'before' ELSE 'after' END AS phase FROM log),
 t AS (SELECT phase, count(*) AS tot FROM p GROUP BY phase),
@@ -412,8 +434,9 @@ SELECT sec AS section, count(*) AS lines, string_agg(line, chr(10) ORDER BY sort
 def q_markdown_report(spark, sf_dir):
     """K5: the evaluation report by section (header, model, hardware, summary, perplexity, tasks, latency)."""
     from quarry.operators.metrics import markdown_lines, report_text
-    parts = evaluation_parts(spark, sf_dir)
-    lines = markdown_lines(summary_of(parts), parts["perplexity"], parts["tasks"], parts["latency"], model=REPORT_MODEL,
+    from quarry.session import cut_lineage
+    parts = {k: cut_lineage(v) for k, v in evaluation_parts(spark, sf_dir).items()}        # the summary and the sections read them
+    lines = markdown_lines(cut_lineage(summary_of(parts)), parts["perplexity"], parts["tasks"], parts["latency"], model=REPORT_MODEL,
                            hardware=REPORT_HARDWARE, generated=REPORT_TIME)
     t = report_text(lines.withColumn("section", F.col("pos._sec")), "section")
     return t.select("section", F.col("n_lines").alias("lines"), F.col("report").alias("text"))
