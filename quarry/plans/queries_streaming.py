@@ -134,3 +134,66 @@ def q_audit_append(spark, sf_dir):
         "report_id", "patient_mrn", "generated_us", F.col("generated_at").cast("timestamp_ntz").alias("generated_at"), "model_version", "input_hash",
         (F.length("output_hash") + 1 + F.col("_n")).cast("long").alias("output_chars"), F.round("confidence_score", 6).alias("confidence_score"),
         "human_reviewed", "reviewer_id", F.col("reviewed_at").cast("timestamp_ntz").alias("reviewed_at"), "date")
+
+
+# Sealed audit records: the output's latency as a decimal text, which all engines print alike.
+SEALED = ["report_id", "patient_mrn", "generated_us", "model_version", "input_hash", "output_hash", "confidence_score", "human_reviewed", "reviewer_id"]
+SEAL_LEVELS = 7                                       # of the SQL below: days of up to 16^7 records
+
+
+def sealed_records(spark, sf_dir):
+    from quarry.operators.requests import request_log
+    lg = request_log(table(spark, sf_dir, "events"))
+    return jobs.audit_records(lg.withColumn("latency_s", F.col("latency_s").cast("decimal(18,6)")))
+
+
+def _seal_sql():
+    text = {"report_id": "CAST(request_id AS VARCHAR)", "patient_mrn": "sha256('audit' || CAST(user_id AS VARCHAR))",
+            "generated_us": "CAST(start_us AS VARCHAR)", "model_version": f"'{jobs.AUDIT_MODEL_VERSION}'", "input_hash": "sha256(input_key)",
+            "output_hash": "sha256(reason || '|' || CAST(CAST(latency_s AS DECIMAL(18,6)) AS VARCHAR))",
+            "confidence_score": "CAST(confidence AS VARCHAR)", "human_reviewed": "'false'", "reviewer_id": "NULL::VARCHAR"}
+    parts = " || ".join(f"coalesce(length({text[c]}) || ':' || {text[c]}, '-')" for c in SEALED)
+    levels = f"""leaf AS (SELECT day, CAST(request_id AS VARCHAR) AS id, start_us, sha256('leaf|' || {parts}) AS hash FROM log),
+l0 AS (SELECT day, row_number() OVER (PARTITION BY day ORDER BY start_us, id) - 1 AS pos, hash, count(*) OVER (PARTITION BY day) AS left_n FROM leaf)"""
+    for i in range(1, SEAL_LEVELS + 1):
+        levels += f""",
+l{i} AS (SELECT day, pos, hash, count(*) OVER (PARTITION BY day) AS left_n FROM (
+  SELECT day, pos // 16 AS pos, CASE WHEN any_value(left_n) = 1 THEN any_value(hash)
+         ELSE sha256('node|' || string_agg(hash, '|' ORDER BY pos)) END AS hash FROM l{i - 1} GROUP BY day, pos // 16))"""
+    return levels
+
+
+@register("audit_seal", f"WITH RECURSIVE {LOG_CTE},\n{_seal_sql()}" + f""",
+r AS (SELECT l.day, (SELECT count(*) FROM log WHERE log.day = l.day) AS n, l.hash AS root, row_number() OVER (ORDER BY l.day) AS i FROM l{SEAL_LEVELS} l),
+walk(i, day, n, root, chain) AS (
+  SELECT i, day, n, root, sha256('{"0" * 64}' || '|' || day || '|' || n || '|' || root) FROM r WHERE i = 1
+  UNION ALL SELECT r.i, r.day, r.n, r.root, sha256(w.chain || '|' || r.day || '|' || r.n || '|' || r.root) FROM walk w JOIN r ON r.i = w.i + 1)
+SELECT day, n, root, chain FROM walk
+""")
+def q_audit_seal(spark, sf_dir):
+    """The audit log written by date and read back; a hash tree per day and the chain of the days' roots."""
+    from quarry.operators.merkle import leaves, seal, tree
+    with scratch(spark, "audit_seal") as out:
+        jobs.audit_append(sealed_records(spark, sf_dir), out)
+        nodes = tree(leaves(jobs.read_audit(spark, out), "report_id", ["generated_us"], columns=SEALED))
+    return seal(nodes)
+
+
+@register("audit_altered", f"WITH {LOG_CTE},\n" + """
+f AS (SELECT CAST(request_id AS VARCHAR) AS id, day, CASE WHEN request_id % 97 = 5 THEN 'dropped' WHEN request_id % 89 = 7 THEN 'changed'
+             WHEN request_id % 83 = 3 THEN 'moved' END AS finding FROM log)
+SELECT id, finding, day, CASE finding WHEN 'dropped' THEN NULL WHEN 'moved' THEN CAST(day + INTERVAL 1 DAY AS DATE) ELSE day END AS new_day
+FROM f WHERE finding IS NOT NULL
+UNION ALL SELECT CAST(-request_id AS VARCHAR), 'added', NULL, day FROM log WHERE request_id % 1000 = 1
+""")
+def q_audit_altered(spark, sf_dir):
+    """A copy of the audit log with records dropped, changed, moved to the next day and added; the seal names each."""
+    from quarry.operators.merkle import altered, leaves, tree
+    r = sealed_records(spark, sf_dir)
+    rid = F.col("report_id").cast("long")
+    dropped, changed, moved = rid % 97 == 5, rid % 89 == 7, rid % 83 == 3
+    forged = r.where(~dropped).withColumn("confidence_score", F.when(changed, F.col("confidence_score") + 1).otherwise(F.col("confidence_score")))
+    forged = forged.withColumn("date", F.when(moved & ~changed, F.date_add("date", 1)).otherwise(F.col("date")))
+    forged = forged.unionByName(r.where(rid % 1000 == 1).withColumn("report_id", (-rid).cast("string")))
+    old, new = (tree(leaves(x, "report_id", ["generated_us"], columns=SEALED)) for x in (r, forged))
+    return altered(old, new)
