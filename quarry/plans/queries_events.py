@@ -283,6 +283,46 @@ def q_ngram_perplexity(spark, sf_dir):
                     "total_tokens", "num_samples", "num_batches")
 
 
+def _backoff_sql(order, name):
+    """Loss per corpus of a back-off model of ``order`` words, as CTE ``name``; tables g1..gn, x1..xn."""
+    w = lambda k: ", ".join(f"w{i}" for i in range(k, 0, -1))               # noqa: E731
+    lagged = ", ".join(f"CASE WHEN i >= {k} THEN toks[i - {k - 1}] ELSE '' END AS w{k}" for k in range(order, 0, -1))
+    split = f"regexp_extract_all(lower(text), {TOKRX})"
+    sql = f"""
+{name}t AS (SELECT lang, toks, unnest(range(1, len(toks) + 1)) AS i FROM (SELECT lang, {split} AS toks FROM documents WHERE lang IN ('de', 'en', 'es', 'fr'))),
+{name}g{order} AS (SELECT lang, {w(order)}, count(*) AS c FROM (SELECT lang, {lagged} FROM {name}t) GROUP BY ALL),
+{name}q AS (SELECT {w(order)}, count(*) AS n FROM (SELECT {lagged} FROM (SELECT toks, unnest(range(1, len(toks) + 1)) AS i
+  FROM (SELECT {split} AS toks FROM conversations) WHERE len(toks) >= 2)) GROUP BY ALL)"""
+    for k in range(order, 0, -1):
+        if k < order:
+            sql += f",\n{name}g{k} AS (SELECT lang, {w(k)}, count(*) AS c FROM {name}g{k + 1} GROUP BY ALL)"
+        context = "".join(f", w{i}" for i in range(k, 1, -1))
+        sql += f",\n{name}x{k} AS (SELECT lang{context}, sum(c) AS t, count(*) AS k FROM {name}g{k} GROUP BY ALL)"
+    sql += f",\n{name}p0 AS (SELECT {name}q.*, lang, 1.0::DOUBLE / (k + 1) AS p FROM {name}q CROSS JOIN {name}x1)"
+    for k in range(1, order + 1):
+        on_g = " AND ".join(["g.lang = b.lang"] + [f"g.w{i} = b.w{i}" for i in range(1, k + 1)])
+        on_x = " AND ".join(["x.lang = b.lang"] + [f"x.w{i} = b.w{i}" for i in range(2, k + 1)])
+        sql += f""",
+{name}p{k} AS (SELECT b.* REPLACE (CASE WHEN x.t IS NULL THEN b.p ELSE greatest(coalesce(g.c, 0) - 0.75::DOUBLE, 0) / x.t + 0.75::DOUBLE * x.k / x.t * b.p END AS p)
+  FROM {name}p{k - 1} b LEFT JOIN {name}g{k} g ON {on_g} LEFT JOIN {name}x{k} x ON {on_x})"""
+    return sql + f",\n{name} AS (SELECT lang AS dataset, {order} AS words, sum(-ln(p) * n) / sum(n) AS loss, sum(n)::BIGINT AS total_tokens FROM {name}p{order} GROUP BY lang)"
+
+
+@register("backoff_perplexity", "WITH " + ",".join(_backoff_sql(n, f"m{n}") for n in (2, 3)) + """
+SELECT dataset, words, round(loss, 6) AS loss, total_tokens FROM (SELECT * FROM m2 UNION ALL SELECT * FROM m3)
+""")
+def q_backoff_perplexity(spark, sf_dir):
+    """A7 -> A5: conversation texts scored by back-off models of two and three words of each language's documents."""
+    from quarry.operators.backoff import backoff_losses
+    from quarry.operators.perplexity import perplexity
+    out = None
+    for words in (2, 3):
+        losses = backoff_losses(table(spark, sf_dir, "documents"), table(spark, sf_dir, "conversations"), "lang", PPL_DATASETS[:4], words)
+        r = perplexity(losses).select("dataset", F.lit(words).alias("words"), F.round("loss", 6).alias("loss"), "total_tokens")
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
 @register("perplexity_suite", "WITH " + _ppl_sql(PPL_DATASETS) + """,
 agg AS (
   SELECT dataset,
