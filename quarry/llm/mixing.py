@@ -5,9 +5,13 @@
   the excess goes to the others by weight. That is one water level, found with
   window sums over one row per source.
 * Blocks: a source of n documents is cut into about sqrt(n) blocks by a hash of
-  the id. The blocks stand in a hashed (permuted) order. A source is taken whole
-  as often as its target allows; of the rest, as many whole blocks as fit, and
-  from the next ``PARTS`` blocks the documents that fit, largest first.
+  the id; a document longer than the mean block (there are fewer of them than
+  blocks) is a block of its own. The blocks stand in a hashed (permuted) order. A
+  source is taken whole as often as its target allows. Of the rest, the long
+  documents are settled first: each is drawn with the share of the source that is
+  wanted, while they fit, and more are taken, shortest first, where the others
+  would not fill the rest. Then come as many whole blocks as fit, and from the
+  next ``PARTS`` blocks the documents that fit, largest first.
 * Splitting tree: the block quotas of all sources are dealt to ``shards`` output
   shards of equal block counts. A node splits its shards in halves and draws how
   many blocks of each source go left from the multivariate hypergeometric
@@ -143,27 +147,28 @@ def plan(rows: DataFrame, shards: int = 16, weights=WEIGHTS, ratio: float = RATI
     src = cut_lineage(src.withColumn("n_blocks", F.ceil(F.sqrt("n")).cast("long"))
                       .withColumn("rounds", F.when(F.col("words") > 0, F.floor(F.col("target") / F.col("words") + 1e-9)).otherwise(0).cast("int"))
                       .withColumn("rest", F.greatest(F.lit(0.0), F.col("target") - F.col("rounds") * F.col("words"))))
-    tagged = with_block(rows, src, seed)
+    longs = long_documents(rows, src, seed)
+    tagged = with_block(rows, src, longs, seed)
     block = tagged.groupBy("number", "block").agg(F.sum("size").alias("w"))
-    order = Window.partitionBy("number").orderBy(F.xxhash64(F.lit(seed + 1), "number", "block"), "block")
-    block = (block.join(F.broadcast(src.select("number", "rounds", "rest")), "number")
-             .withColumn("pos", F.row_number().over(order) - 1)
-             .withColumn("upto", F.sum("w").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
+    order = Window.partitionBy("number", "long").orderBy(F.xxhash64(F.lit(seed + 1), "number", "block"), "block")
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    block = (block.join(bounded(src.select("number", "rounds", "rest", "words", "n_blocks")), "number")
+             .withColumn("long", F.col("block") >= F.col("n_blocks")))
+    block = settle_long(block, order, seed).withColumn("pos", F.row_number().over(order) - 1).withColumn("upto", F.sum("w").over(upto))
     # whole blocks up to the first that does not fit; that one is drawn in part
-    misfit = F.min(F.when(F.col("upto") > F.col("rest"), F.col("pos"))).over(Window.partitionBy("number"))
+    misfit = F.min(F.when(~F.col("long") & (F.col("upto") > F.col("rest")), F.col("pos"))).over(Window.partitionBy("number"))
+    here = ~F.col("long") & (F.col("rest") > 0)
     block = cut_lineage(block.withColumn("cut", misfit)
-                        .withColumn("extra", F.col("cut").isNull() | (F.col("pos") < F.col("cut")))
-                        .withColumn("part", F.coalesce(F.col("pos") == F.col("cut"), F.lit(False)) & (F.col("rest") > 0))
-                        .withColumn("offers", (F.col("pos") >= F.col("cut")) & (F.col("pos") < F.col("cut") + PARTS) & (F.col("rest") > 0))
+                        .withColumn("extra", F.when(F.col("long"), F.col("taken")).otherwise(here & (F.col("cut").isNull() | (F.col("pos") < F.col("cut")))))
+                        .withColumn("part", F.coalesce(F.col("pos") == F.col("cut"), F.lit(False)) & here)
+                        .withColumn("offers", F.coalesce((F.col("pos") >= F.col("cut")) & (F.col("pos") < F.col("cut") + PARTS), F.lit(False)) & here)
                         .withColumn("left", F.col("rest") - (F.col("upto") - F.col("w")))
-                        .select("number", "block", "pos", "rounds", "extra", "part", "offers", "left", (F.col("rest") > 0).alias("draws")))
+                        .select("number", "block", "pos", "long", "rounds", "extra", "part", "offers", "left"))
     # uses of blocks in order: whole rounds, then the drawn ones (a partly drawn block is a use as well)
-    nb = block.groupBy("number").agg(F.count("*").alias("nb"))
-    last = F.col("draws") & (F.col("extra") | F.col("part"))
-    uses = (block.join(nb, "number")
-            .withColumn("round", F.explode(F.sequence(F.lit(0), F.col("rounds"))))
-            .where((F.col("round") < F.col("rounds")) | last)
-            .withColumn("at", F.col("round") * F.col("nb") + F.col("pos"))
+    run = Window.partitionBy("number").orderBy("round", "long", "pos")
+    uses = (block.withColumn("round", F.explode(F.sequence(F.lit(0), F.col("rounds"))))
+            .where((F.col("round") < F.col("rounds")) | F.col("extra") | F.col("part"))
+            .withColumn("at", F.row_number().over(run) - 1)
             .select("number", "block", "at", "left", (F.col("part") & (F.col("round") == F.col("rounds"))).alias("part")))
     uses = cut_lineage(uses)
     leaf = split_tree(uses.groupBy("number").agg(F.count("*").alias("blocks")), shards, seed)
@@ -175,8 +180,8 @@ def plan(rows: DataFrame, shards: int = 16, weights=WEIGHTS, ratio: float = RATI
 
     # documents of the partly drawn blocks, about PARTS * sqrt(n) a source, largest first, while they fit
     use = uses.where("part").select("number", F.col("shard").alias("use"), "left")
-    offered = block.where("offers").select("number", "block").join(F.broadcast(use), "number")
-    cand = (tagged.join(F.broadcast(offered), ["number", "block"])
+    offered = block.where("offers").select("number", "block").join(bounded(use), "number")
+    cand = (tagged.join(bounded(offered), ["number", "block"])
             .groupBy("number", "use", "left", "id").agg(F.sum("size").alias("size"))
             .groupBy("number", "use", "left")
             .agg(F.array_sort(F.collect_list(F.struct((-F.col("size")).alias("s"), F.xxhash64(F.lit(seed + 2), "id").alias("h"), "id"))).alias("docs")))
@@ -185,23 +190,65 @@ def plan(rows: DataFrame, shards: int = 16, weights=WEIGHTS, ratio: float = RATI
         lambda a, d: F.when((-d["s"] <= a["left"]) & (d["s"] < 0) & d["id"].isNotNull(),
                             F.struct((a["left"] + d["s"]).alias("left"), F.concat(a["ids"], F.array(d["id"])).alias("ids"))).otherwise(a))
     picked = cut_lineage(cand.select("number", "use", F.explode(fit["ids"]).alias("id")))
-    return {"sources": src, "blocks": blocks, "picked": picked, "uses": uses}
+    return {"sources": src, "longs": longs, "blocks": blocks, "picked": picked, "uses": uses}
 
 
-def with_block(rows: DataFrame, src: DataFrame, seed: int = SEED) -> DataFrame:
+def bounded(t: DataFrame) -> DataFrame:
+    """``t``, to be broadcast if its counted rows are within ``BROADCAST_BLOCKS``."""
+    return F.broadcast(t) if t.count() <= BROADCAST_BLOCKS else t
+
+
+def _numbered(rows: DataFrame, src: DataFrame) -> DataFrame:
+    """``rows`` with their source's number, blocks and words."""
+    small = bounded(src.select(F.col("source").alias("_s"), "number", "n_blocks", F.col("words").alias("_words")))
+    return rows.join(small, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
+
+
+def long_documents(rows: DataFrame, src: DataFrame, seed: int = SEED) -> DataFrame:
+    """``(number, id, long_block)`` of the ids with a row longer than the mean block of their source.
+
+    Fewer than ``n_blocks`` a source, numbered from ``n_blocks`` on.
+    """
+    numbered = _numbered(rows, src).where(F.col("id").isNotNull() & (F.col("size") * F.col("n_blocks") > F.col("_words")))
+    ids = numbered.select("number", "n_blocks", "id").distinct()
+    order = Window.partitionBy("number").orderBy(F.xxhash64(F.lit(seed + 4), "id"), "id")
+    return cut_lineage(ids.select("number", "id", (F.col("n_blocks") + F.row_number().over(order) - 1).alias("long_block")))
+
+
+def settle_long(block: DataFrame, order, seed: int = SEED) -> DataFrame:
+    """``block`` with ``taken`` (long documents that are drawn) and ``rest`` lowered by their words.
+
+    ``order`` is the hashed order of a source's long (or other) blocks. A source's
+    long documents are drawn with probability ``rest / words`` and taken up to the
+    first that does not fit any more; while the other documents could not fill
+    what is left, the shortest ones not drawn are added as far as they fit.
+    """
+    every = Window.partitionBy("number")
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    drawn = F.col("long") & (F.col("w") <= F.col("rest")) & (_uniform(F.lit(seed + 5), "number", "block") * F.col("words") < F.col("rest"))
+    out = block.withColumn("_drawn", drawn)
+    out = out.withColumn("taken", F.col("_drawn") & (F.sum(F.when(F.col("_drawn"), F.col("w")).otherwise(0)).over(upto) <= F.col("rest")))
+    out = out.withColumn("_left", F.col("rest") - F.sum(F.when(F.col("taken"), F.col("w")).otherwise(0)).over(every))
+    out = out.withColumn("_others", F.sum(F.when(~F.col("long"), F.col("w")).otherwise(0)).over(every))
+    more = F.when(F.col("long") & ~F.col("taken"), F.col("w")).otherwise(0)
+    rising = Window.partitionBy("number").orderBy("w", "block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    with_it = F.sum(more).over(rising)
+    added = (more > 0) & (F.col("_left") - (with_it - more) > F.col("_others")) & (with_it <= F.col("_left"))
+    out = out.withColumn("taken", F.col("taken") | added)
+    rest = F.col("rest") - F.sum(F.when(F.col("taken"), F.col("w")).otherwise(0)).over(every)
+    return out.withColumn("rest", rest).drop("_drawn", "_left", "_others")
+
+
+def with_block(rows: DataFrame, src: DataFrame, longs: DataFrame, seed: int = SEED) -> DataFrame:
     """``rows`` with the number of their source and their block."""
-    small = F.broadcast(src.select(F.col("source").alias("_s"), "number", "n_blocks"))
-    return (rows.join(small, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-            .withColumn("block", F.pmod(F.xxhash64(F.lit(seed), "id"), F.col("n_blocks"))).drop("n_blocks"))
+    return (_numbered(rows, src).drop("_words").join(bounded(longs), ["number", "id"], "left")
+            .withColumn("block", F.coalesce("long_block", F.pmod(F.xxhash64(F.lit(seed), "id"), F.col("n_blocks")))).drop("n_blocks", "long_block"))
 
 
 def apply_plan(rows: DataFrame, decided: dict[str, DataFrame], seed: int = SEED) -> DataFrame:
     """``rows`` (with id and source) plus ``number`` and ``uses``: the shards that take the row, once per use."""
-    def bounded(t: DataFrame) -> DataFrame:
-        return F.broadcast(t) if t.count() <= BROADCAST_BLOCKS else t
-
     part = decided["picked"].groupBy("number", "id").agg(F.sort_array(F.collect_list("use")).alias("_part"))
-    out = (with_block(rows, decided["sources"], seed)
+    out = (with_block(rows, decided["sources"], decided["longs"], seed)
            .join(bounded(decided["blocks"]), ["number", "block"], "left")
            .join(bounded(cut_lineage(part)), ["number", "id"], "left"))
     none = F.array().cast("array<int>")
@@ -220,7 +267,7 @@ def mix_report(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_c
     rows = cut_lineage(docs.select(F.col(id_col).cast("long").alias("id"), F.col(source_col).cast("string").alias("source"),
                                    words_of(F.col(text_col).cast("string")).alias("size")))
     decided = plan(rows, shards)
-    out = apply_plan(rows, decided).join(F.broadcast(decided["sources"].select("number", F.col("words").alias("source_size"), "target")), "number")
+    out = apply_plan(rows, decided).join(bounded(decided["sources"].select("number", F.col("words").alias("source_size"), "target")), "number")
     return out.select(F.col("id").alias("doc_id"), "size", F.col("source_size").cast("long").alias("source_size"), "target",
                       (F.col("size") * F.size("uses")).cast("long").alias("taken"), F.array_join(F.col("uses").cast("array<string>"), ",").alias("shards"))
 
@@ -230,8 +277,13 @@ def mixed_documents(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", t
     """The mixed rows: every row of ``docs`` as often as it is taken, all columns unchanged.
 
     With ``place`` the columns ``mix_shard`` and ``mix_order`` (a hash to sort by
-    within the shard) are added; ``docs`` must not have such columns then.
+    within the shard) are added; it is an error if ``docs`` has such columns then.
+    Null texts have size 0 and rows of size 0 are not taken unless their block
+    is; a null source is a source of its own; repeated rows share their fate; an
+    empty table gives an empty result.
     """
+    if place and {"mix_shard", "mix_order"} & set(docs.columns):
+        raise ValueError("docs has a column mix_shard or mix_order already")
     tagged = docs.select(F.col(id_col).cast("long").alias("id"), F.col(source_col).cast("string").alias("source"), F.struct(*docs.columns).alias("row"))
     sizes = cut_lineage(docs.select(F.col(id_col).cast("long").alias("id"), F.col(source_col).cast("string").alias("source"),
                                     words_of(F.col(text_col).cast("string")).alias("size")))

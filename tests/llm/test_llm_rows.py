@@ -212,6 +212,23 @@ def test_mix(spark):
     assert mix_report(docs.limit(0)).count() == 0 and mixed_documents(docs.limit(0)).count() == 0
 
 
+def test_mix_meets_targets_beside_long_documents(spark):
+    """Sources of 600 short documents and one with a fifth of the words: every target within 0.5%."""
+    docs = spark.sql("""select s * 1000 + i as doc_id, concat('s', lpad(s, 2, '0')) as source,
+        repeat('w ', if(i = 600, 7500 + s, 1 + pmod(xxhash64(s, i), 99))) as text
+        from (select explode(sequence(0, 23)) as s) cross join (select explode(sequence(0, 600)) as i)""")
+    got = mix_report(docs).groupBy(F.floor(F.col("doc_id") / 1000)).agg({"taken": "sum", "target": "max", "source_size": "max", "size": "max"}).collect()
+    assert len(got) == 24
+    for r in got:
+        assert abs(r["sum(taken)"] - r["max(target)"]) <= 0.005 * r["max(target)"], r
+    # one long document holds nearly all: it cannot be taken, all others are
+    few = spark.createDataFrame([(i, "a", "w " * (900 if i == 9 else 5)) for i in range(10)] + [(10 + i, "b", "w " * 50) for i in range(40)],
+                                "doc_id long, source string, text string")
+    assert all(0 <= r.taken <= 2 * r.size for r in mix_report(few).collect())
+    with pytest.raises(ValueError):
+        mixed_documents(few.withColumnRenamed("source", "mix_order").selectExpr("*", "'a' as source"))
+
+
 def test_mix_shards_are_disjoint_and_even(spark, tmp_path):
     docs = spark.createDataFrame([(i, "a b c", f"s{i % 4}") for i in range(2000)], "doc_id long, text string, source string")
     out = mixed_documents(docs, shards=5)
