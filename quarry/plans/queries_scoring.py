@@ -334,9 +334,26 @@ def q_sections(spark, sf_dir):
     s = split_sections(d, "doc_id")
     n = token_count("section")
     counts = s.groupBy("doc_id").agg(F.max(n).alias("max_section_tokens"), F.sum(n).alias("total_tokens"))
-    whole = d.select("doc_id", "text").join(combine_sections(s, "doc_id"), "doc_id")
+    hashes = d.where(token_count("text") > 3500).select("doc_id", F.sha2("text", 256).alias("whole"))     # no text travels
+    whole = hashes.join(combine_sections(s, "doc_id"), "doc_id")
     return counts.join(whole, "doc_id").select("doc_id", "n_sections", "max_section_tokens", "total_tokens",
-                                               (F.col("combined") == F.col("text")).alias("same_text"))
+                                               (F.sha2("combined", 256) == F.col("whole")).alias("same_text"))
+
+
+@register("sections_budget", f"""
+SELECT doc_id, CAST(ceil({ntok('text')} / 500.0) AS BIGINT) AS n_sections, true AS within_budget, {ntok('text')} AS total_tokens, true AS same_text
+FROM documents WHERE {ntok('text')} > 500
+""")
+def q_sections_budget(spark, sf_dir):
+    """Documents over 500 tokens in the fewest sections of at most 500, cut at the mildest places; joined they are the text."""
+    from quarry.operators.scoring import combine_sections
+    from quarry.operators.sectioning import budget_sections
+    from quarry.session import cut_lineage
+    s = cut_lineage(budget_sections(table(spark, sf_dir, "documents"), "doc_id", budget=500))
+    tokens = s.groupBy("doc_id", "text_sha256").agg(F.max("n_tokens").alias("most"), F.sum("n_tokens").alias("total_tokens"))
+    return tokens.join(combine_sections(s, "doc_id"), "doc_id").select(
+        "doc_id", "n_sections", (F.col("most") <= 500).alias("within_budget"), "total_tokens",
+        (F.sha2("combined", 256) == F.col("text_sha256")).alias("same_text"))
 
 
 @register("token_tiers", """
@@ -379,7 +396,9 @@ FROM l
 """)
 def q_sections_roundtrip(spark, sf_dir):
     """P14 split after every line break and joined again: the text itself."""
+    from quarry.functions.text import token_count
     from quarry.operators.scoring import combine_sections, split_sections
     d = table(spark, sf_dir, "documents")
     c = combine_sections(split_sections(d, "doc_id", boundary=r"(?<=\n)(?=[^\n])"), "doc_id")
-    return c.join(d.select("doc_id", "text"), "doc_id").select("doc_id", "n_sections", (F.col("combined") == F.col("text")).alias("same_text"))
+    hashes = d.where(token_count("text") > 3500).select("doc_id", F.sha2("text", 256).alias("whole"))
+    return c.join(hashes, "doc_id").select("doc_id", "n_sections", (F.sha2("combined", 256) == F.col("whole")).alias("same_text"))
