@@ -170,12 +170,14 @@ def augment_with_terms(corpus: DataFrame, terms: DataFrame, per_term: int, seed:
                        text_col: str = "text", id_col: str = "doc_id", term_col: str = "term") -> DataFrame:
     """For each term, up to ``per_term`` documents containing it (seeded choice).
 
-    A term matches where its words stand as consecutive lower-cased tokens. The
-    word counts that occur in the list say which token runs to look at (a
-    handful of numbers), every text yields its distinct runs of those lengths, and one
-    join on the run finds the hits: no text travels. The per-term ranking is
-    ``top_per_group``. Result: (term, doc_id, rank).
+    A term matches where its words stand as consecutive lower-cased tokens. A
+    counted list of up to ``terms.BROADCAST_TERMS`` terms goes to the executors as
+    a trie that every text is walked through once; of a longer list, the word
+    counts that occur say which token runs to look at, every text yields its
+    distinct runs of those lengths, and one join on the run finds the hits. No
+    text travels either way. The per-term ranking is ``top_per_group``. Result: (term, doc_id, rank).
     """
+    from quarry.operators import terms as trie
     from quarry.operators.sampling import top_per_group
     from quarry.functions.text import seeded_hash
 
@@ -185,6 +187,9 @@ def augment_with_terms(corpus: DataFrame, terms: DataFrame, per_term: int, seed:
     lengths = sorted(r._k for r in tl.select("_k").distinct().collect())       # distinct word counts of the terms
     if not lengths:
         return corpus.select(F.lit("").alias(term_col), id_col, F.lit(1).alias("rank")).limit(0)
+    if tl.count() <= trie.BROADCAST_TERMS:
+        hits = trie.rows_with_terms(corpus, [r[0] for r in tl.select(term_col).distinct().collect()], id_col, text_col, term_col)
+        return top_per_group(hits.withColumn("_h", seeded_hash(id_col, seed)), term_col, per_term, ["_h", id_col]).select(term_col, id_col, "rank")
     toks = F.col("_t")
 
     def runs(k: int) -> Column:
