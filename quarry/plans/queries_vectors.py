@@ -147,3 +147,50 @@ def q_setting_skyline(spark, sf_dir):
     r = skyline(cut_lineage(quant_report(table(spark, sf_dir, "embeddings"), REPORT_SETTINGS)), ["mean_mse"], ["compression_ratio"])
     return r.select("bits", "group_size", "sym", F.round(F.col("mean_mse") * 1e6, 3).alias("mean_mse_e6"),
                     F.round(32 / F.col("compression_ratio"), 6).alias("bits_per_weight"))
+
+
+FEEDBACK_SETTINGS = [(3, 16, True), (4, 16, True), (4, 64, True), (8, 64, True)]
+
+
+@register("quant_feedback", f"""
+WITH RECURSIVE st(bits, group_size, sym) AS (VALUES {_settings_sql(FEEDBACK_SETTINGS)}),
+{VEC_SRC},
+el AS (SELECT vec_id, unnest(v) AS x, unnest(range(1, len(v) + 1)) AS i FROM vsrc),
+gram AS (SELECT a.i, b.i AS k, avg(a.x * b.x) AS g FROM el a JOIN el b USING (vec_id) GROUP BY a.i, b.i),
+gram_row AS (SELECT i, list(g ORDER BY k) AS g FROM gram GROUP BY i),
+damped AS (SELECT i, k, g + CASE WHEN i = k THEN 0.01 * (SELECT avg(g) FROM gram WHERE i = k) ELSE 0 END AS h FROM gram),
+elim AS (
+  SELECT (SELECT max(i) FROM gram) AS j, i, k, h FROM damped
+  UNION ALL
+  SELECT j - 1, i, k, h - h_ij * h_jk / h_jj
+  FROM (SELECT *, max(h) FILTER (k = j) OVER (PARTITION BY i) AS h_ij, max(h) FILTER (i = j) OVER (PARTITION BY k) AS h_jk,
+               max(h) FILTER (i = j AND k = j) OVER () AS h_jj FROM elim) AS x
+  WHERE i < j AND k < j),
+feed AS (SELECT a.j, list(a.h / b.h ORDER BY a.i) AS w FROM elim a JOIN elim b ON b.j = a.j AND b.i = b.j AND b.k = b.j
+         WHERE a.k = a.j AND a.i < a.j GROUP BY a.j),
+scaled AS (SELECT vec_id, v, bits, group_size, sym, list_transform(range(0, len(v)), lambda i:
+             list_max(list_transform(v[(i // group_size) * group_size + 1 : (i // group_size + 1) * group_size], lambda x: abs(x)))
+             / (pow(2.0, bits - 1) - 1)) AS s FROM vsrc CROSS JOIN st),
+walk AS (
+  SELECT *, 0 AS j, CAST([] AS DOUBLE[]) AS e FROM scaled
+  UNION ALL
+  SELECT vec_id, v, bits, group_size, sym, s, walk.j + 1,
+         list_append(e, v[walk.j + 1] - CASE WHEN s[walk.j + 1] = 0 THEN 0 ELSE s[walk.j + 1] * greatest(-pow(2.0, bits - 1), least(pow(2.0, bits - 1) - 1,
+           round((v[walk.j + 1] + CASE WHEN walk.j = 0 THEN 0 ELSE list_dot_product(w, e) END) / s[walk.j + 1]))) END)
+  FROM walk LEFT JOIN feed ON feed.j = walk.j + 1 WHERE walk.j < len(v)),
+err AS (
+  SELECT bits, group_size, sym, vec_id, e AS fed, list_transform(range(1, len(v) + 1), lambda i: v[i] - CASE WHEN s[i] = 0 THEN 0
+           ELSE s[i] * greatest(-pow(2.0, bits - 1), least(pow(2.0, bits - 1) - 1, round(v[i] / s[i]))) END) AS plain
+  FROM walk WHERE j = len(v)),
+proj AS (SELECT bits, group_size, sym, vec_id, sum(plain[i] * list_dot_product(g, plain)) AS plain, sum(fed[i] * list_dot_product(g, fed)) AS fed
+         FROM err CROSS JOIN gram_row GROUP BY bits, group_size, sym, vec_id)
+SELECT bits, group_size, sym, round(avg(plain) * 1e6, 3) AS plain_error_e6, round(avg(fed) * 1e6, 3) AS feedback_error_e6,
+       round(avg(fed) / avg(plain), 6) AS ratio
+FROM proj GROUP BY bits, group_size, sym
+""")
+def q_quant_feedback(spark, sf_dir):
+    """V1 with error feedback: mean square error of dot products with the table's vectors, against round to nearest."""
+    from quarry.operators.feedback import feedback_report
+    r = feedback_report(table(spark, sf_dir, "embeddings"), FEEDBACK_SETTINGS)
+    return r.select("bits", "group_size", "sym", F.round(F.col("plain_error") * 1e6, 3).alias("plain_error_e6"),
+                    F.round(F.col("feedback_error") * 1e6, 3).alias("feedback_error_e6"), F.round("ratio", 6).alias("ratio"))
