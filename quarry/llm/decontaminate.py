@@ -2,16 +2,20 @@
 
 For every benchmark item of n words, windows of n words are slid over each
 document. Windows and items are fingerprinted by a 64-bit SimHash of their
-5-word shingles. Fingerprints are cut into ``PARTS`` blocks of 8 bits; if two
-differ in at most ``RADIUS`` bits, some block differs in at most
-``RADIUS // PARTS`` bits, so looking up every block value within that distance
-finds all items within the radius. Candidates are verified by the exact weighted
-(multiset) Jaccard similarity of the shingles.
+5-word shingles, the second occurrence of a shingle hashed apart from the first,
+so that the fingerprints estimate the very similarity that is verified.
+Fingerprints are cut into ``PARTS`` blocks of 8 bits; if two differ in at most
+``RADIUS`` bits, some block differs in at most ``RADIUS // PARTS`` bits, so looking
+up every block value within that distance finds all items within the radius.
+Candidates are verified by the exact weighted (multiset) Jaccard similarity of
+the shingles.
 
-A window that reaches the similarity shares a shingle with its item, so only
-windows around shared shingles are fingerprinted; a fixed-size bitmap followed by
-a sorted lookup finds those while the document is read. ``RADIUS`` lies more than
-4.5 standard deviations above the distance expected at similarity 0.8.
+A window that reaches the similarity shares many shingles with its item, so only
+windows that hold as many shingles of the items of their size are fingerprinted:
+a fixed-size bitmap and a sorted lookup find the shared shingles while the document
+is read, and sums over their places count them for all windows at once. Windows
+are taken in pieces that bound the memory. ``RADIUS`` lies more than 4.5 standard
+deviations above the distance expected at similarity 0.8.
 
 The benchmark is read in blocks of at most about ``ITEMS_PER_BLOCK`` items; each
 block's index is broadcast and the documents are streamed past it.
@@ -32,36 +36,75 @@ PERCENT = 80
 PARTS, RADIUS = 8, 23
 ITEMS_PER_BLOCK = 10_000
 MAP_BITS = 22
+PIECE_WINDOWS = 4096                # windows fingerprinted at once, fewer where they meet many items
+PIECE_PAIRS = 1 << 22               # bound on windows times items of their size held at once
 
 _NEAR = np.array([[bin(a ^ b).count("1") <= RADIUS // PARTS for b in range(256)] for a in range(256)])
 _BYTE = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int8) * 2 - 1      # +1 / -1 a bit
 
 
-def _bits(shingles: np.ndarray) -> np.ndarray:
-    """+1 or -1 for each of the 64 bits of each shingle's own hash."""
-    h = mix64(shingles ^ U64(0xA5A5A5A5_5A5A5A5A))
+def _bits(shingles: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """+1 or -1 for each of the 64 bits of each shingle's hash, by which occurrence of the shingle it is."""
+    with np.errstate(over="ignore"):
+        h = mix64(mix64(shingles ^ U64(0xA5A5A5A5_5A5A5A5A)) + number.astype(U64) * U64(0x9E3779B97F4A7C15))
     return _BYTE[h.view(np.uint8).reshape(-1, 8)].reshape(-1, 64)
 
 
+def window_simhash(shingles: np.ndarray, first: int, last: int, size: int) -> np.ndarray:
+    """Fingerprints of the windows of ``size`` shingles that start at ``first`` to ``last``; one row of 8 bytes each.
+
+    A window's sum over its (shingle, occurrence) pairs follows from that of the
+    window before: the highest occurrence of the shingle that leaves goes, the
+    next one of the shingle that enters comes.
+    """
+    part = shingles[first:last + size]
+    place = np.arange(len(part))
+    _, kind = np.unique(part, return_inverse=True)
+    known = np.sort(kind * (len(part) + 1) + place)
+
+    def count(at: np.ndarray, low: np.ndarray) -> np.ndarray:
+        """Occurrences of the shingle at ``at[0]`` from place ``low`` to ``at[1]``."""
+        base = kind[at[0]] * (len(part) + 1)
+        return np.searchsorted(known, base + at[1], "right") - np.searchsorted(known, base + low, "left")
+
+    total = np.zeros(64, np.int64)
+    for a in range(0, size, 1 << 16):
+        p = place[a:min(size, a + (1 << 16))]
+        total += _bits(part[p], count(np.stack([p, p]), np.zeros_like(p))).sum(axis=0, dtype=np.int64)
+    sums = np.empty((last - first + 1, 64), np.int32)
+    sums[0] = total
+    if last > first:
+        gone = place[:last - first]
+        come = gone + size
+        sums[1:] = (_bits(part[come], count(np.stack([come, come]), gone + 1)).astype(np.int32)
+                    - _bits(part[gone], count(np.stack([gone, come - 1]), gone)))
+    return np.packbits(np.cumsum(sums, axis=0) > 0, axis=1)
+
+
 def simhash(shingles: np.ndarray) -> np.ndarray:
     """The fingerprint of one shingle sequence as 8 bytes."""
-    return np.packbits(_bits(shingles).sum(axis=0, dtype=np.int32) > 0)
+    return window_simhash(shingles, 0, 0, len(shingles))[0]
 
 
-def window_simhash(shingles: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
-    """Fingerprints of the windows of ``size`` shingles at ``starts``, by prefix sums; one row of 8 bytes each."""
-    c = np.zeros((len(shingles) + 1, 64), np.int32)
-    np.cumsum(_bits(shingles), axis=0, out=c[1:])
-    return np.packbits(c[starts + size] - c[starts] > 0, axis=1)
+def shared_counts(shingles: np.ndarray, place: np.ndarray, kinds: np.ndarray, most: np.ndarray, first: int, last: int, size: int) -> np.ndarray:
+    """Sum of the smaller counts of every shingle in a window and in an item, for windows that start at ``first`` to ``last``.
 
-
-def weighted_similarity(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
-    """(sum of smaller counts, sum of larger counts) over the shingles of both."""
-    u, n = np.unique(a, return_counts=True)
-    v, m = np.unique(b, return_counts=True)
-    _, i, j = np.intersect1d(u, v, assume_unique=True, return_indices=True)
-    both = int(np.minimum(n[i], m[j]).sum())
-    return both, len(a) + len(b) - both
+    ``kinds`` (sorted) and ``most`` are the item's shingles and counts, ``place``
+    the places where the windows may hold one. A place counts unless its window
+    holds the shingle before it as often as the item does.
+    """
+    place = place[(place >= first) & (place < last + size)]
+    at = np.minimum(np.searchsorted(kinds, shingles[place]), len(kinds) - 1)
+    mine = kinds[at] == shingles[place]
+    at, place = at[mine], place[mine]
+    order = np.lexsort((place, at))
+    at, place = at[order], place[order]
+    back = np.arange(len(at)) - most[at]                           # the occurrence that makes this one superfluous
+    before = np.where((back >= 0) & (at[np.maximum(back, 0)] == at), place[np.maximum(back, 0)], -1)
+    low, high = np.maximum(np.maximum(before, place - size) + 1, first), np.minimum(place, last)
+    real = low <= high
+    change = np.bincount(low[real] - first, minlength=last - first + 2) - np.bincount(high[real] + 1 - first, minlength=last - first + 2)
+    return np.cumsum(change)[:last - first + 1]
 
 
 def _grams(words: np.ndarray, k: int) -> np.ndarray:
@@ -84,14 +127,27 @@ class ItemIndex:
         sh = shingle_hashes(words, off, WORDS)
         long_ = [(i, s) for i, s, n in zip(ids, sh, np.diff(off)) if n >= WORDS]
         self.size = sorted({len(s) for _, s in long_})
-        self.items = {m: [(i, s) for i, s in long_ if len(s) == m] for m in self.size}
-        self.prints = {m: np.array([simhash(s) for _, s in v]) for m, v in self.items.items()}
+        #: size -> (item, (its shingles in order, their counts))
+        self.items = {m: [] for m in self.size}
+        self.prints = {m: [] for m in self.size}
+        for i, s in long_:
+            self.items[len(s)].append((i, np.unique(s, return_counts=True)))
+            self.prints[len(s)].append(simhash(s))
+        self.prints = {m: np.array(p) for m, p in self.prints.items()}
         #: [size][part, byte] -> items whose byte of that part is near
         self.near = {m: np.stack([_NEAR[:, p[:, j]] for j in range(PARTS)]) for m, p in self.prints.items()}
-        flat = np.concatenate([s for _, s in long_]) if long_ else np.zeros(0, U64)
-        size_of = np.concatenate([np.full(len(s), len(s)) for _, s in long_]) if long_ else np.zeros(0, int)
-        key = np.unique(np.column_stack([flat, size_of.astype(U64)]), axis=0) if len(flat) else np.zeros((0, 2), U64)
-        self.shared, self.shared_size = key[:, 0].copy(), key[:, 1].astype(np.int64)
+        #: size -> shingles of its items in order, and how often one item holds each at most
+        self.shingles: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for m, v in self.items.items():
+            held = [counted for _, counted in v]
+            kinds, at = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
+            most = np.zeros(len(kinds), np.int64)
+            np.maximum.at(most, at, np.concatenate([c for _, c in held]))
+            self.shingles[m] = kinds, most
+        flat = np.concatenate([k for k, _ in self.shingles.values()]) if long_ else np.zeros(0, U64)
+        size_of = np.repeat(np.array(list(self.shingles), np.int64), [len(k) for k, _ in self.shingles.values()])
+        order = np.lexsort((size_of, flat))
+        self.shared, self.shared_size = flat[order], size_of[order]
         self.map = np.zeros(1 << MAP_BITS, bool)
         self.map[(flat >> U64(64 - MAP_BITS)).astype(np.int64)] = True
         self.short: dict[int, dict[int, list[int]]] = {}
@@ -110,39 +166,46 @@ class ItemIndex:
                     best[i] = (i, 1.0, int(p), k, 0)
         if len(words) >= WORDS and len(self.shared):
             hit = np.flatnonzero(self.map[(shingles >> U64(64 - MAP_BITS)).astype(np.int64)])
-            if len(hit):
-                lo = np.searchsorted(self.shared, shingles[hit], "left")
-                hi = np.searchsorted(self.shared, shingles[hit], "right")
-                sizes: dict[int, list[int]] = {}
-                for p, a, b in zip(hit, lo, hi):
-                    for m in self.shared_size[a:b]:
-                        sizes.setdefault(int(m), []).append(int(p))
-                for m, anchors in sizes.items():
-                    self._windows(m, np.array(anchors), shingles, percent, best)
+            kinds = np.unique(shingles[hit])
+            ranges = zip(np.searchsorted(self.shared, kinds, "left"), np.searchsorted(self.shared, kinds, "right"))
+            sizes = [self.shared_size[a:b] for a, b in ranges if b > a]
+            for m in np.unique(np.concatenate(sizes)) if sizes else ():
+                self._windows(int(m), hit, shingles, percent, best)
         return list(best.values())
 
-    def _windows(self, m: int, anchors: np.ndarray, shingles: np.ndarray, percent: int, best: dict) -> None:
-        n, w = len(shingles), min(m, len(shingles))
-        for zone in np.split(anchors, np.flatnonzero(np.diff(anchors) > 2 * m) + 1):
-            first, last = max(0, int(zone[0]) - w + 1), min(n - w, int(zone[-1]))
-            starts = np.arange(first, last + 1)
-            prev = np.searchsorted(zone, starts, "left")     # keep windows that hold a shared shingle
-            holds = (prev < len(zone)) & (zone[np.minimum(prev, len(zone) - 1)] < starts + w)
-            starts = starts[holds]
-            if not len(starts):
-                continue
-            prints = window_simhash(shingles[first:last + w], starts - first, w)
-            near = np.zeros((len(starts), len(self.items[m])), bool)
+    def _windows(self, m: int, hit: np.ndarray, shingles: np.ndarray, percent: int, best: dict) -> None:
+        """Finds the items of size ``m``; ``hit`` are the places that may hold a shingle of some item."""
+        w = min(m, len(shingles))
+        need = -(-percent * (w + m) // (100 + percent))             # shared shingles that the similarity asks for
+        kinds, most = self.shingles[m]
+        place = hit[np.isin(shingles[hit], kinds)]
+        if len(place) < need:
+            return
+        first, last = max(0, int(place[0]) - w + 1), min(len(shingles) - w, int(place[-1]))
+        starts = first + np.flatnonzero(shared_counts(shingles, place, kinds, most, first, last, w) >= need)     # of any items of the size
+        prints, items = self.prints[m], self.items[m]
+        span = max(1, min(PIECE_WINDOWS, PIECE_PAIRS // len(items)))
+        while len(starts):
+            end = int(np.searchsorted(starts, starts[0] + span))
+            gap = np.flatnonzero(np.diff(starts[:end]) > w)
+            piece, starts = np.split(starts, [int(gap[0]) + 1 if len(gap) else end])
+            first, last = int(piece[0]), int(piece[-1])
+            mine = window_simhash(shingles, first, last, w)[piece - first]
+            near = np.zeros((len(piece), len(items)), bool)
             for j in range(PARTS):
-                near |= self.near[m][j][prints[:, j]]
-            for a, b in zip(*np.nonzero(near)):
-                bits = int(np.bitwise_count(prints[a] ^ self.prints[m][b]).sum())
-                if bits > RADIUS:
-                    continue
-                item, s = self.items[m][b]
-                both, all_ = weighted_similarity(shingles[starts[a]:starts[a] + w], s)
-                if 100 * both >= percent * all_ and (item not in best or both / all_ > best[item][1]):
-                    best[item] = (item, both / all_, int(starts[a]), w + WORDS - 1, bits)
+                near |= self.near[m][j][mine[:, j]]
+            window, other = np.nonzero(near)
+            bits = np.bitwise_count(mine[window] ^ prints[other]).sum(axis=1)
+            close = bits <= RADIUS
+            window, other, bits = window[close], other[close], bits[close]
+            order = np.argsort(other, kind="stable")
+            for run in np.split(order, np.flatnonzero(np.diff(other[order])) + 1) if len(order) else ():
+                item, counted = items[other[run[0]]]
+                both = shared_counts(shingles, place, *counted, first, last, w)[piece[window[run]] - first]
+                k = int(np.argmax(both))                            # the first of the best
+                likeness = int(both[k]) / (w + m - int(both[k]))
+                if both[k] >= need and (item not in best or likeness > best[item][1]):
+                    best[item] = (item, likeness, int(piece[window[run[k]]]), w + WORDS - 1, int(bits[run[k]]))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",

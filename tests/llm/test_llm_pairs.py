@@ -256,3 +256,45 @@ def test_sketch_estimates_and_merging(spark):
     f = fingerprints(spark.createDataFrame([(1, parts[0]), (1, parts[1]), (2, ""), (2, None)], "doc_id long, text string"))
     got = {r.doc_id: r.fingerprint for r in merge_by(f, "doc_id").collect()}
     assert (decode(got[1]) == x).all() and got[2] == ""
+
+
+def test_window_fingerprints_number_repeats():
+    import quarry.llm.decontaminate as m
+    sh = np.random.default_rng(1).integers(0, 12, 200).astype(np.uint64)
+    for size in (1, 7, 30):
+        got = m.window_simhash(sh, 3, 150, size)
+        for start in range(3, 151):
+            window = sh[start:start + size]
+            number = np.array([(window[:k + 1] == x).sum() for k, x in enumerate(window)])
+            assert (np.packbits(m._bits(window, number).sum(axis=0) > 0) == got[start - 3]).all()
+
+
+def index_finds(items, text):
+    import quarry.llm.decontaminate as m
+    index = m.ItemIndex([i for i, _ in items], [t for _, t in items])
+    words, off = word_hashes([text], NON_WORD)
+    return index.matches(words, shingle_hashes(words, off, 5)[0], 80)
+
+
+def test_decontamination_finds_items_whose_repeats_the_page_lacks():
+    for seed in range(40):
+        rnd = random.Random(seed)
+        base = [f"u{rnd.randrange(10 ** 9)}" for _ in range(164)]
+        page = [f"x{i}" for i in range(300)] + base + [f"y{i}" for i in range(300)]
+        assert [x[0] for x in index_finds([(1, " ".join(base + ["la"] * 20))], " ".join(page))] == [1]       # 160 of 200
+
+
+def test_decontamination_of_many_items_with_one_opening_is_linear():
+    import time
+    rnd = random.Random(3)
+    opening = "the quick brown fox jumps".split()
+
+    def sentence():
+        return " ".join(opening + [f"v{rnd.randrange(5000)}" for _ in range(40)])
+
+    items = [(i, sentence()) for i in range(3000)]
+    big = " ".join(f"v{rnd.randrange(5000)}" for _ in range(15000))
+    text = " ".join([sentence() for _ in range(2000)] + [items[77][1], big, " ".join(opening * 5000)])
+    start = time.time()
+    assert sorted(x[0] for x in index_finds(items + [(9000, big)], text)) == [77, 9000]
+    assert time.time() - start < 20
