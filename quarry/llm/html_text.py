@@ -11,7 +11,14 @@ of ``select`` the chosen option or, as a list box, all options. All other text i
 blocks on their own lines with blank lines where a browser leaves a margin, list
 items indented with bullets or numbers, ``pre`` as it stands, and table cells
 aligned in columns. Text in a table but in no cell stands before the table, as in
-browsers. Only the open path is held, so depth does not matter.
+browsers. Only the open path is held.
+
+Work and output stay in proportion to the page, whatever its markup: the open
+path is searched by name, columns are at most ``COLUMN_WIDTH`` wide (a longer line
+of a cell pushes the rest of its row), a row whose alignment would take more than
+``PADDING`` times its text is written cell by cell, lists and quotes are indented
+up to ``INDENTS`` levels, and tables nested deeper than ``TABLE_DEPTH`` are written
+cell by cell.
 """
 
 from __future__ import annotations
@@ -57,6 +64,7 @@ SPACES = re.compile(r"[ \t\n\r\f]+")
 UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 #: What becomes of text in an element: shown, hidden, shown in text elements only (svg), kept for the open option (select).
 SHOW, HIDE, DRAW, CHOOSE = range(4)
+COLUMN_WIDTH, PADDING, INDENTS, TABLE_DEPTH = 40, 50, 20, 16
 
 
 class _Flow:
@@ -64,7 +72,7 @@ class _Flow:
 
     def __init__(self):
         self.lines: list[str] = []
-        self.line = ""
+        self.line: list[str] = []      # pieces of the open line, none of them empty
         self.gap = 0                   # blank lines owed before the next text
         self.prefix: list[str] = []    # indentation of open lists and quotes
         self.marker = ""               # bullet of the item that has no text yet
@@ -78,7 +86,7 @@ class _Flow:
                 self.put(x)
             return
         s = SPACES.sub(" ", s)
-        if s.startswith(" ") and (not self.line or self.line.endswith(" ")):
+        if s.startswith(" ") and (not self.line or self.line[-1].endswith(" ")):
             s = s[1:]
         self.put(s)
 
@@ -89,19 +97,20 @@ class _Flow:
             if self.gap and self.lines:
                 self.lines.extend([""] * self.gap)
             self.gap = 0
-            lead = "".join(self.prefix)
+            lead = "".join(self.prefix[-INDENTS:])
             if self.marker:
                 lead = lead[:len(lead) - len(self.marker)] + self.marker
                 self.marker = ""
-            self.line = lead + s
+            self.line = [lead + s]
         else:
-            self.line += s
+            self.line.append(s)
 
     def end(self, keep: bool = False) -> None:
         """Ends the current line; ``keep`` also ends an empty one."""
         if self.line or keep:
-            self.lines.append(self.line.rstrip(" ") if not keep else self.line)
-            self.line = ""
+            line = "".join(self.line)
+            self.lines.append(line.rstrip(" ") if not keep else line)
+            self.line = []
 
     def margin(self) -> None:
         self.end()
@@ -113,18 +122,22 @@ class _Flow:
 
 
 class _Table:
-    def __init__(self, holder: _Flow):
-        self.holder, self.rows = holder, []
+    def __init__(self, holder: _Flow, plain: bool):
+        self.holder, self.plain, self.rows = holder, plain, []
 
     def render(self) -> list[str]:
         """Lines in which the cells of a column start at the same place; columns are two spaces apart."""
         width: dict[int, int] = {}
         for row in self.rows:
             for j, cell in enumerate(row):
-                width[j] = max(width.get(j, 0), max(map(len, cell), default=0))
+                width[j] = max(width.get(j, 0), max((len(x) for x in cell if len(x) <= COLUMN_WIDTH), default=0))
         out = []
         for row in self.rows:
-            for k in range(max(map(len, row), default=0)):
+            tall = max(map(len, row), default=0)
+            if tall > 1 and tall * sum(width[j] + 2 for j in range(len(row))) > PADDING * sum(len(x) + 1 for cell in row for x in cell):
+                out += [x for cell in row for x in cell]
+                continue
+            for k in range(tall):
                 out.append("  ".join((cell[k] if k < len(cell) else "").ljust(width[j]) for j, cell in enumerate(row)).rstrip())
         return out
 
@@ -139,7 +152,7 @@ class _Choice:
         self.dead = False                           # the open group is disabled
 
     def start(self, tag: str, a: dict, unseen: bool) -> None:
-        line = {"label": html.unescape(a.get("label", "")), "text": "", "unseen": unseen, "option": tag == "option",
+        line = {"label": html.unescape(a.get("label", "")), "text": [], "unseen": unseen, "option": tag == "option",
                 "selected": "selected" in a, "dead": self.dead or "disabled" in a}
         if tag == "optgroup":
             self.dead = "disabled" in a
@@ -158,12 +171,13 @@ class _Choice:
         else:
             options = [x for x in self.lines if x["option"]]
             lines = [x for x in options if x["selected"]][-1:] or [x for x in options if not x["dead"]][:1]
-        return [t for x in lines if (t := SPACES.sub(" ", x["label"] or x["text"]).strip(" "))]
+        return [t for x in lines if (t := SPACES.sub(" ", x["label"] or "".join(x["text"])).strip(" "))]
 
 
 class Renderer:
     def __init__(self):
         self.open: list[tuple[str, int]] = []       # (element, what becomes of its text)
+        self.places: dict[str, list[int]] = {}      # element -> its places in the open path
         self.foreign = 0                            # open svg and math elements
         self.choice: _Choice | None = None
         self.flow = _Flow()
@@ -223,56 +237,55 @@ class Renderer:
             return                                  # <x/> of embedded vocabularies
         if tag == "select" and state == SHOW:
             self.choice, state = _Choice(a), CHOOSE
+        self.places.setdefault(tag, []).append(len(self.open))
         self.open.append((tag, state))
         self.foreign += tag in ("svg", "math")
         if state == SHOW:
             self.enter(tag, a)
 
+    def last(self, tags) -> int:
+        """Place of the innermost open element of ``tags``, -1 if none is open."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
+
+    def close(self, place: int) -> None:
+        while len(self.open) > place:
+            self.pop()
+
     def end(self, tag: str) -> None:
-        barrier = {"table"} if tag != "table" else set()
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
-                while len(self.open) > i:
-                    self.pop()
-                return
-            if self.open[i][0] in barrier and tag not in ("body", "html"):
-                return
-        if tag == "p" and not self.hidden():        # a stray </p> is an empty paragraph
+        barrier = self.last(("table",)) if tag not in ("table", "body", "html") else -1
+        place = self.last((tag,))
+        if place > barrier:
+            self.close(place)
+        elif barrier < 0 and tag == "p" and not self.hidden():     # a stray </p> is an empty paragraph
             self.flow.margin()
 
     def close_to(self, closes: set, barrier: set) -> None:
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] in closes:
-                while len(self.open) > i:
-                    self.pop()
-                return
-            if self.open[i][0] in barrier:
-                return
+        place = self.last(closes)
+        if place > self.last(barrier - closes):
+            self.close(place)
 
     def break_out(self) -> None:
         """Ends embedded vocabularies, up to an element of theirs that holds HTML."""
         while self.foreign:
-            i = next(i for i in range(len(self.open) - 1, -1, -1) if self.open[i][0] in ("svg", "math") or self.open[i][0] in HOLDS_HTML)
-            if self.open[i][0] in HOLDS_HTML:
+            place = self.last(("svg", "math"))
+            if self.last(HOLDS_HTML) > place:
                 return
-            while len(self.open) > i:
-                self.pop()
+            self.close(place)
 
     def apart(self) -> None:
         """A space between neighbouring texts of one line."""
-        if self.flow.line and not self.flow.line.endswith(" "):
+        if self.flow.line and not self.flow.line[-1].endswith(" "):
             self.flow.put(" ")
 
     def back_to(self, places: set) -> None:
         """Ends what is open above the innermost of ``places``."""
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] in places:
-                while len(self.open) > i + 1:
-                    self.pop()
-                return
+        place = self.last(places)
+        if place >= 0:
+            self.close(place + 1)
 
     def pop(self) -> None:
         tag, state = self.open.pop()
+        self.places[tag].pop()
         self.foreign -= tag in ("svg", "math")
         if state == SHOW:
             self.leave(tag)
@@ -297,9 +310,11 @@ class Renderer:
         f = self.flow
         if tag == "table":
             f.margin()
-            self.tables.append(_Table(f))
+            self.tables.append(_Table(f, len(self.tables) >= TABLE_DEPTH))
         elif tag == "tr" and self.tables:
             self.tables[-1].rows.append([])
+        elif tag in ("td", "th") and self.tables and self.tables[-1].plain:
+            f.end()
         elif tag in ("td", "th") and self.tables:
             if not self.tables[-1].rows:
                 self.tables[-1].rows.append([])
@@ -344,6 +359,8 @@ class Renderer:
                 self.flow.put(x)
                 self.flow.end(keep=True)
             self.flow.margin()
+        elif tag in ("td", "th") and self.tables and self.tables[-1].plain:
+            f.end()
         elif tag in ("td", "th") and self.tables:
             self.tables[-1].rows[-1].append(f.done())
             self.flow = self.tables[-1].holder          # text between cells comes out before the table
@@ -379,7 +396,7 @@ class Renderer:
     def text(self, s: str) -> None:
         if s and self.state() == CHOOSE:
             if self.choice.open:
-                self.choice.open["text"] += html.unescape(s).replace("\xa0", " ")
+                self.choice.open["text"].append(html.unescape(s).replace("\xa0", " "))
         elif s and not self.hidden():
             if self.pre and s.isspace() and self.open[-1][0] in TABLE_PARTS:
                 return                                  # white space between cells has no place, not even in pre

@@ -326,3 +326,35 @@ def test_pipeline_against_its_stages(spark, tmp_path):
     assert max(kept["mixing"].values()) <= 2
     got = Counter(r.doc_id for r in corpus_pipeline.run(spark, SF).collect())
     assert got == kept["mixing"]
+
+
+def test_hard_pages_take_time_and_room_in_proportion():
+    import time
+    from quarry.llm.html_text import render
+    words = "word " * 60_000
+    pages = {
+        "wide": f"<table><tr><td>{words}</td><td>x</td></tr>" + "<tr><td>a</td><td>b</td></tr>" * 20_000 + "</table>",
+        "tall": "<table><tr>" + "<td>a" * 20_000 + "<td>" + "a<br>" * 20_000 + "</table>",
+        "columns": "<table><tr>" + ("<td>" + "a" * 40) * 2_000 + "<tr>" + "<td>a" * 100_000 + "</table>",
+        "open": "<div>" * 10_000 + "<p>a" * 10_000,
+        "buttons": "<p><button>" + "<div>" * 10_000 + "<p>a</p></b>" * 10_000,
+        "lists": "<ul><li>" * 10_000 + "<li>a" * 10_000,
+        "quotes": "<blockquote>a" * 10_000,
+        "tables": "<table><tr><td>a" * 8_000,
+        "inline": "<b>a</b>" * 100_000,
+    }
+    for name, page in pages.items():
+        start = time.time()
+        text = render(page)
+        assert time.time() - start < 15 and len(text) < 10 * len(page) + 80 * page.count("<blockquote"), name
+        shown = re.sub(r"<[^>]*>", "", page)
+        assert all(text.count(c) == shown.count(c) for c in "aword"), name       # no letter is lost or doubled
+    assert render(pages["wide"]).startswith(words.strip() + "  x\na") and render(pages["wide"]).endswith("b")
+
+
+def test_long_cells_do_not_widen_their_column():
+    from quarry.llm.html_text import COLUMN_WIDTH, render
+    long = "x" * (COLUMN_WIDTH + 1)
+    assert render(f"<table><tr><td>{long}<td>1<tr><td>ab<td>2<tr><td>c<td>3</table>") == f"{long}  1\nab  2\nc   3"
+    fits = "y" * COLUMN_WIDTH
+    assert render(f"<table><tr><td>{fits}<td>1<tr><td>ab<td>2</table>") == f"{fits}  1\nab{' ' * (COLUMN_WIDTH - 2)}  2"
