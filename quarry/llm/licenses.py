@@ -132,6 +132,7 @@ GATES = ("licen", "gpl", " cc by ", " cc0 ", "creative commons", " public domain
 
 NON_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 MARK = "\x01"
+STRETCH = 256
 TABLE = "array<struct<number:int,label:string,keyword:string,expression:string,confidence:double>>"
 FINDING = "array<struct<start:bigint,neg_end:bigint,rule:int,label:string,confidence:double>>"
 
@@ -152,13 +153,27 @@ def _pieces(norm: Column, expression) -> Column:
     return F.split(F.regexp_replace(norm, F.concat(F.lit("(?= "), expression, F.lit(" )")), F.lit(MARK)), MARK)
 
 
+def _before(values: Column, fold) -> Column:
+    """For every number of an array (none below 0) the fold of those before it, 0 for the first.
+
+    Results are gathered in stretches of ``STRETCH``, so that no long array grows number by number.
+    """
+    longs = F.array().cast("array<bigint>")
+    start = F.struct(F.lit(0).cast("long").alias("now"), longs.alias("done"), longs.alias("open"))
+
+    def step(a, x):
+        full = F.size(a["open"]) >= STRETCH
+        return F.struct(fold(a["now"], x).alias("now"), F.when(full, F.concat(a["done"], a["open"])).otherwise(a["done"]).alias("done"),
+                        F.when(full, F.array(a["now"])).otherwise(F.concat(a["open"], F.array(a["now"]))).alias("open"))
+
+    return F.aggregate(values, start, step, lambda a: F.concat(a["done"], a["open"]))
+
+
 def _detections(norm: Column, rule: Column) -> Column:
     """Start and negated end (words, end exclusive) of every match of one rule."""
     parts = _pieces(norm, rule["expression"])
     found = F.regexp_extract_all(norm, F.concat(F.lit("(?=( "), rule["expression"], F.lit(" ))")), F.lit(1))
-    starts = F.aggregate(
-        F.slice(parts, 1, F.size(parts) - 1), F.struct(F.lit(0).cast("long").alias("n"), F.array().cast("array<bigint>").alias("at")),
-        lambda a, p: F.struct((a["n"] + _words(p)).alias("n"), F.concat(a["at"], F.array(a["n"] + _words(p))).alias("at")))["at"]
+    starts = F.slice(_before(F.transform(parts, _words), lambda a, b: a + b), 2, F.size(parts) - 1)
     return F.zip_with(starts, found, lambda s, m: F.struct(
         s.alias("start"), (-(s + _words(m) - 1)).alias("neg_end"), rule["number"].alias("rule"), rule["label"].alias("label"),
         rule["confidence"].alias("confidence")))
@@ -179,10 +194,12 @@ def scan(docs: DataFrame, text_col: str = "text", rules=RULES) -> DataFrame:
     norm = F.col("norm")
     gate = reduce(lambda a, b: a | b, [F.contains(norm, F.lit(g)) for g in GATES])
     active = F.filter(table, lambda r: F.contains(norm, r["keyword"]))
-    every = F.array_sort(F.flatten(F.transform(active, lambda r: _detections(norm, r))).cast(FINDING))
+    every = F.sort_array(F.flatten(F.transform(active, lambda r: _detections(norm, r))).cast(FINDING))
     out = out.withColumn("found", F.when(gate, every).otherwise(F.array().cast(FINDING)))
     # sorted by start, longest first, then priority: what an earlier one reaches around is inside it
-    kept = F.filter("found", lambda d, i: ~F.exists(F.slice("found", 1, i), lambda e: e["neg_end"] <= d["neg_end"]))
+    reach = _before(F.transform("found", lambda d: -d["neg_end"]), F.greatest)
+    kept = F.transform(F.filter(F.zip_with("found", reach, lambda d, r: F.struct(d.alias("d"), r.alias("r"))),
+                                lambda x: x["r"] < -x["d"]["neg_end"]), lambda x: x["d"])
     places = []
     for phrase, label in BASE:
         parts = _pieces(norm, F.lit(phrase))

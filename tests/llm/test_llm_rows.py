@@ -358,3 +358,15 @@ def test_long_cells_do_not_widen_their_column():
     assert render(f"<table><tr><td>{long}<td>1<tr><td>ab<td>2<tr><td>c<td>3</table>") == f"{long}  1\nab  2\nc   3"
     fits = "y" * COLUMN_WIDTH
     assert render(f"<table><tr><td>{fits}<td>1<tr><td>ab<td>2</table>") == f"{fits}  1\nab{' ' * (COLUMN_WIDTH - 2)}  2"
+
+
+def test_license_fold_and_dense_texts(spark):
+    from quarry.llm import licenses as m
+    rnd = random.Random(4)
+    rows = [[rnd.randrange(10 ** 6) for _ in range(n)] for n in (0, 1, 2, m.STRETCH - 1, m.STRETCH, m.STRETCH + 1, 3 * m.STRETCH + 5)]
+    df = spark.createDataFrame([(r,) for r in rows], "v array<bigint>")
+    for r in df.select("v", m._before(F.col("v"), F.greatest).alias("most"), m._before(F.col("v"), lambda a, b: a + b).alias("total")).collect():
+        assert r.most == [max(r.v[:i], default=0) for i in range(len(r.v))] and r.total == [sum(r.v[:i]) for i in range(len(r.v))]
+    dense = spark.createDataFrame([(1, "see the mit license or not at " * 1500)], "doc_id long, text string")
+    found = scan(dense).select("license_scan.findings").first()[0]
+    assert len(found) == 1500 and [f.start for f in found] == sorted({f.start for f in found}) and {f.label for f in found} == {"mit"}
