@@ -7,7 +7,7 @@ after the last committed batch. The helpers run a query with ``availableNow``
 (process what is there, then stop).
 
 T1 keeps one aggregate per event-time window, T2 the last computed request and the
-requests after the watermark per input. Both emit in update mode: each micro-batch writes its changed rows to ``batch_id=N`` (rewriting it makes a
+requests after the watermark per input, dealt into groups of inputs. Both emit in update mode: each micro-batch writes its changed rows to ``batch_id=N`` (rewriting it makes a
 retry idempotent), and readers take the newest row of each key. So the window
 that is still open at the end of the input comes out, too, state is dropped
 behind the watermark, and the answer does not depend on how the events fall into
@@ -136,67 +136,91 @@ def latency_windows(counts: DataFrame, sla: float = SLA_P95_SECONDS) -> DataFram
 
 
 TTL_ROWS = "input_key string, request_id long, start_us long, first_request long, first_us long"
-_TTL_STATE = "first_us long, first_request long, open_us array<long>, open_ids array<long>"
+_TTL_STATE = "input_keys array<string>, us array<long>, ids array<long>, settled array<boolean>"
+#: Groups that the inputs are dealt into; part of a running job's state, so a folder keeps the number it began with.
+TTL_GROUPS = 4096
+#: Start of a request without a time.
+_NO_TIME = -2 ** 63
 
 
 def _serve(ttl_us: int):
-    """Decides the requests of one input in event-time order; see ``serve_with_ttl``."""
+    """Decides the requests of one group of inputs, each input in event-time order; see ``serve_with_ttl``."""
     def run(key, batches, state):
         import numpy as np
         import pandas as pd
 
-        first_us, first_id, us, ids = state.get if state.exists else (None, None, [], [])
-        settled = state.getCurrentWatermarkMs() * 1000
-        new = [] if state.hasTimedOut else [(b["start_us"].to_numpy(), b["request_id"].to_numpy()) for b in batches]
-        us = np.concatenate([np.array(us, np.int64), *[x for x, _ in new]])
-        ids = np.concatenate([np.array(ids, np.int64), *[x for _, x in new]])
-        order = np.lexsort((ids, us))
-        us, ids = us[order], ids[order]
-        # an answer serves until ttl after it was computed: jump from one computed request to the next
-        by_us, by_id = np.empty(len(us), np.int64), np.empty(len(us), np.int64)
-        now_us, now_id, at = first_us, first_id, 0
-        past = int(np.searchsorted(us, settled, "right"))           # no request up to the watermark can come any more
-        while at < len(us):
-            if now_us is None or us[at] >= now_us + ttl_us:
-                now_us, now_id = int(us[at]), int(ids[at])
-            to = int(np.searchsorted(us, now_us + ttl_us, "left"))
-            by_us[at:to], by_id[at:to] = now_us, now_id
-            at = to
-        if past:
-            first_us, first_id = int(by_us[past - 1]), int(by_id[past - 1])
-        if past < len(us):
-            wake = int(us[-1]) // 1000 + 1
+        # rows of the state: per input the last computed request that is final (settled), and the requests after the watermark
+        old = state.get if state.exists else ([], [], [], [])
+        new = [] if state.hasTimedOut else [(b["input_key"].to_numpy(object), b["start_us"].to_numpy(np.int64), b["request_id"].to_numpy(np.int64))
+                                            for b in batches]
+        watermark = state.getCurrentWatermarkMs() * 1000
+        names = np.concatenate([np.array(old[0], object), *[x for x, _, _ in new]])
+        us = np.concatenate([np.array(old[1], np.int64), *[x for _, x, _ in new]])
+        ids = np.concatenate([np.array(old[2], np.int64), *[x for _, _, x in new]])
+        final = np.concatenate([np.array(old[3], bool), np.zeros(len(us) - len(old[3]), bool)])
+        fresh = np.arange(len(us)) >= len(old[0])
+        untimed = us == _NO_TIME                                   # serve nothing, are served by nothing
+        if untimed.any():
+            n = pd.array([pd.NA] * int(untimed.sum()), "Int64")
+            yield pd.DataFrame({"input_key": names[untimed], "request_id": ids[untimed], "start_us": n, "first_request": ids[untimed], "first_us": n})
+            names, us, ids, final, fresh = (x[~untimed] for x in (names, us, ids, final, fresh))
+        code, inputs = pd.factorize(names)
+        order = np.lexsort((ids, us, ~final, code))
+        code, us, ids, final, fresh = (x[order] for x in (code, us, ids, final, fresh))
+        # an answer serves until ttl after it was computed: jump from one computed request to the next of the input
+        times = np.unique(us)
+        place = code * (len(times) + 1) + np.searchsorted(times, us)
+        jump = np.searchsorted(place, code * (len(times) + 1) + np.searchsorted(times, us + ttl_us)).tolist()
+        ends = np.searchsorted(code, np.arange(len(inputs)), "right").tolist()
+        computed, at = [], 0
+        for end in ends:
+            while at < end:
+                computed.append(at)
+                at = jump[at]
+        by = np.repeat(np.array(computed, np.int64), np.diff([*computed, len(us)])) if computed else np.zeros(0, np.int64)
+        # no request up to the watermark can come any more: of those, the last computed one of the input stays while it serves
+        is_open = us > watermark
+        past = np.flatnonzero(~is_open)
+        last = past[np.append(code[past][1:] != code[past][:-1], True)] if len(past) else past
+        kept = by[last][us[by[last]] + ttl_us > watermark]
+        stay = np.concatenate([kept, np.flatnonzero(is_open)])
+        if len(stay):
+            wake = us[is_open].max() if is_open.any() else (us[kept] + ttl_us).max()
+            state.update((inputs[code[stay]].tolist(), us[stay].tolist(), ids[stay].tolist(), (np.arange(len(stay)) < len(kept)).tolist()))
+            state.setTimeoutTimestamp(max(int(wake) // 1000 + 1, watermark // 1000 + 1))
         else:
-            wake = None if first_us is None or (first_us + ttl_us) <= settled else (first_us + ttl_us) // 1000 + 1
-        if wake is None:
             state.remove()
-        else:
-            state.update((first_us, first_id, us[past:].tolist(), ids[past:].tolist()))
-            state.setTimeoutTimestamp(max(wake, settled // 1000 + 1))
-        if new and len(us):
-            yield pd.DataFrame({"input_key": key[0], "request_id": ids, "start_us": us, "first_request": by_id, "first_us": by_us})
+        told = np.isin(code, code[fresh]) & ~final
+        if told.any():
+            yield pd.DataFrame({"input_key": inputs[code[told]], "request_id": ids[told], "start_us": us[told], "first_request": ids[by[told]],
+                                "first_us": us[by[told]]})
     return run
 
 
-def serve_with_ttl(events: DataFrame, ttl_seconds: int = 3600, watermark: str = WATERMARK) -> DataFrame:
+def serve_with_ttl(events: DataFrame, ttl_seconds: int = 3600, watermark: str = WATERMARK, groups: int = TTL_GROUPS) -> DataFrame:
     """T2 stream: every request with the request whose answer serves it (``TTL_ROWS``).
 
     The first request of an input is computed; its answer serves requests of the
     same input that start less than ``ttl_seconds`` after it, the next later one
     is computed again. State per input is the last computed request that is final
-    and the requests after the watermark, kept as two arrays of numbers; a timer
-    drops it once both are past. Rows come in update mode: a request that is not
-    final yet is decided again when an earlier one arrives, and the newest row of
-    a request counts. So the answer does not depend on how the requests fall into
-    files. An input's requests of one micro-batch meet in one task; ``max_files``
-    of the source bounds a micro-batch. Requests without an input are left out.
+    and the requests after the watermark; a timer drops it once both are past.
+    Rows come in update mode: a request that is not final yet is decided again
+    when an earlier one arrives, and the newest row of a request counts. So the
+    answer does not depend on how the requests fall into files. Requests without
+    a start are computed and serve no other; those without an input are left out.
+
+    Inputs are dealt by hash into ``groups`` that are decided as arrays, so the
+    cost of a call is paid per group and not per input. A group's requests of one
+    micro-batch meet in one call; ``max_files`` of the source bounds a micro-batch.
     """
     from pyspark.sql.streaming.state import GroupStateTimeout
 
     ship_package(events.sparkSession)
-    log = request_log(events).where("input_key is not null").withWatermark("ts", watermark).select("ts", "input_key", "start_us", "request_id")
-    return log.groupBy("input_key").applyInPandasWithState(_serve(ttl_seconds * 1_000_000), TTL_ROWS, _TTL_STATE, "update",
-                                                           GroupStateTimeout.EventTimeTimeout)
+    log = request_log(events).where("input_key is not null").withWatermark("ts", watermark)
+    log = log.select("ts", "input_key", F.coalesce("start_us", F.lit(_NO_TIME)).alias("start_us"), "request_id",
+                     F.pmod(F.xxhash64("input_key"), F.lit(groups)).alias("_group"))
+    return log.groupBy("_group").applyInPandasWithState(_serve(ttl_seconds * 1_000_000), TTL_ROWS, _TTL_STATE, "update",
+                                                        GroupStateTimeout.EventTimeTimeout)
 
 
 def served(rows: DataFrame) -> DataFrame:

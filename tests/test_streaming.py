@@ -157,3 +157,59 @@ def test_latency_sketch_is_bounded_and_near(spark, tmp_path):
         assert abs(x.p50 - y.p50) <= y.p50 / 256 + 2e-6 and abs(x.p95 - y.p95) <= y.p95 / 256 + 2e-6
     one = spark.range(1).select(*[jobs.bucket_value(F.lit(v)).alias(f"v{i}") for i, v in enumerate((None, -1.0, 0.0, 255e-6, 1.0, 1e12))]).first()
     assert (one.v0, one.v1, one.v2, one.v3) == (None, 0.0, 0.0, 255e-6) and abs(one.v4 - 1) < 1 / 256 and abs(one.v5 / 1e12 - 1) < 1 / 256
+
+
+def test_many_inputs_are_decided_in_one_call_as_the_watermark_moves():
+    """One group of 300 inputs over several calls: answers equal the walk, settled inputs leave the state, a timer empties it."""
+    import random
+
+    import pandas as pd
+
+    class State:
+        get, exists, hasTimedOut, watermark = None, False, False, 0
+
+        def getCurrentWatermarkMs(self):
+            return self.watermark
+
+        def update(self, value):
+            self.get, self.exists = value, True
+
+        def remove(self):
+            self.get, self.exists = None, False
+
+        def setTimeoutTimestamp(self, ms):
+            assert ms > self.watermark
+            self.wake = ms
+
+    r, hour = random.Random(7), 3_600_000_000
+    rows = sorted((r.randrange(1, 20 * hour), i, f"in{r.randrange(300)}") for i in range(4000))
+    want, last = {}, {}
+    for us, i, name in rows:
+        if name not in last or us >= last[name][0] + hour:
+            last[name] = (us, i)
+        want[i] = last[name][1]
+    assert 300 < len(set(want.values())) < 4000
+    serve, state, got, top = jobs._serve(hour), State(), {}, 0
+    for n in range(0, 4000, 500):
+        part = rows[n:n + 500]
+        r.shuffle(part)                                     # any order within a call
+        frame = pd.DataFrame([(name, us, i) for us, i, name in part], columns=["input_key", "start_us", "request_id"])
+        for out in serve((0,), iter([frame[:200], frame[200:]]), state):
+            got.update(zip(out["request_id"], out["first_request"]))
+        top = max(top, *[us for us, _, _ in part])
+        state.watermark = (top - 1) // 1000 - 600_000       # counts from the next call on
+    assert got == want
+    state.hasTimedOut = True
+    for _ in range(2):                                      # requests become final, then their answers end
+        state.watermark = state.wake
+        assert not list(serve((0,), iter([]), state)) and (not state.exists or all(state.get[3]))
+    assert not state.exists
+
+
+def test_requests_without_a_start_are_computed_alone(spark, tmp_path):
+    rows = [(1, None), (2, dt.datetime(2024, 1, 1, 10, 0)), (3, dt.datetime(2024, 1, 1, 10, 30)), (4, None), (5, dt.datetime(2024, 1, 1, 11, 0))]
+    src = str(tmp_path / "src")
+    spark.createDataFrame([(i, t, 1, "view", 1.0, '{"k": 1}') for i, t in rows], EVENT).coalesce(1).write.parquet(src + "/b1")
+    data = jobs.run_updates(jobs.serve_with_ttl(stream(spark, src), groups=2), str(tmp_path / "out"))
+    got = {x.request_id: (x.first_request, x.first_us is None) for x in jobs.newest(spark, data, ["request_id"]).collect()}
+    assert got == {1: (1, True), 2: (2, False), 3: (2, False), 4: (4, True), 5: (5, False)}
