@@ -1,11 +1,15 @@
 """Back-off models: probabilities sum to one, equal plain counting, and longer contexts help."""
 
 import math
+import os
+import random
 from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
+from quarry.operators import backoff
 from quarry.operators.backoff import backoff_losses, backoff_model, gram_probabilities
+from quarry.session import checkpoint_dir
 
 TRAIN = ["the cat sat on the mat", "The cat ate the fish", "a dog sat on the cat", "the the the the", "", None, "fish"]
 WORDS = sorted({w for t in TRAIN if t for w in t.lower().split()})
@@ -65,3 +69,39 @@ def test_losses_and_their_edges(spark):
     assert loss[3]["x"].loss < loss[1]["x"].loss
     empty = backoff_losses(train, test.where(F.lit(False)), "lang", ["x"], 2).first()
     assert (empty.loss, empty.tokens, empty.samples) == (None, 0, 0)
+
+
+def test_corpora_asked_together_are_as_asked_alone(spark):
+    train = spark.createDataFrame([(t, c) for t in TRAIN for c in ("x", None)] + [("a cat sat", "y"), ("the cat", "y")], "text string, lang string")
+    words = [("", "the", "cat"), ("the", "cat", "sat"), ("on", "the", "cat"), ("a", "cat", "never"), ("the", "cat", "sat")]
+    asked = spark.createDataFrame([(*w, i) for i, w in enumerate(words)], "w3 string, w2 string, w1 string, n long")
+    model = backoff_model(train, "lang", 3)
+    together = {(r.lang, r.n): r.p for r in gram_probabilities(asked, model, "lang", corpora=["x", "y", "none"]).collect()}
+    alone = asked.withColumn("lang", F.explode(F.array(F.lit("x"), F.lit("y"), F.lit("none"), F.lit(None).cast("string"))))
+    alone = {(r.lang, r.n): r.p for r in gram_probabilities(alone, model, "lang").collect()}
+    assert together == {k: v for k, v in alone.items() if k[0]} and len(together) == 15 and len(alone) == 20
+    p = plain(3)
+    for i, w in enumerate(words):
+        assert math.isclose(together["x", i], p(w[2], w[:2]), rel_tol=1e-12)
+        assert together["none", i] is None and alone[None, i] is None and together["y", i] != together["x", i]
+
+
+def test_what_is_written_stays_near_the_size_of_the_texts(spark, monkeypatch):
+    draw = random.Random(7)
+    texts = [" ".join(f"word{int(draw.paretovariate(0.6)) % 4000}" for _ in range(100)) for _ in range(1500)]
+    train = spark.createDataFrame([(t, "xyz"[i % 3]) for i, t in enumerate(texts)], "text string, lang string").repartition(4)
+    test = spark.createDataFrame([(t,) for t in texts[:150]], "text string")
+    written = []
+
+    def size():
+        return sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(checkpoint_dir(spark)) for f in names if f.startswith("part-"))
+
+    def noted(df, cut=backoff.cut_lineage):
+        before, out = size(), cut(df)
+        written.append(size() - before)
+        return out
+
+    monkeypatch.setattr(backoff, "cut_lineage", noted)
+    rows = backoff_losses(train, test, "lang", ["x", "y", "z"], 3).collect()
+    assert len(rows) == 3 and all(r.loss > 0 and r.tokens == 15000 for r in rows)
+    assert 0 < max(written) < sum(map(len, texts)) / 2      # a row for each gram took 1.5 times the texts
